@@ -92,7 +92,7 @@ def forest(left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, component) for every node that has a link; component is the smallest node reachable.
+    """(node, component) for every linked node that isn't the smallest of its component; component is that smallest node.
 
     `links` has two long columns a, b.  Alternating large-star and small-star steps: each is an
     aggregation and an equi-join, so a node with very many links is pre-aggregated on the map side and

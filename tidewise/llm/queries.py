@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewise.llm import bpe, simhash, tokenids
+from tidewise.llm import bpe, simhash, substring, sufarray, tokenids
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -24,17 +24,27 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup(table(spark, sf_dir, "documents"), window=20)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), BPE_RANKS, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sufarray.dedup(table(spark, sf_dir, "documents"), length=200)
+
+
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.tokenize_to_files(table(spark, sf_dir, "documents"), WORD_TOKENIZER, END_ID)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op4_substring": op4_substring,
     "op6_bpe": op6_bpe,
+    "op9_suffix_array": op9_suffix_array,
     "op10_token_ids": op10_token_ids,
 }
 SQL: dict[str, str] = {}
