@@ -9,7 +9,7 @@ of their count differences, so all other tile pairs are skipped without being fo
 own tile as a member and each later tile in reach as a probe.  Inside a tile the comparison is numpy
 exclusive-or and bit counts over blocks, again skipping blocks whose total counts differ beyond the radius.  A tile with more than
 BLOCK members is split by hash into blocks that meet each other as probes, so no task holds an unbounded group.
-Only a spanning forest of a block's links leaves it.
+Only a spanning forest of the links found in a batch of tiles leaves a task.
 
 Exact copies collapse to one fingerprint before any of this.  Null texts have no words (fingerprint zero).  A null doc_id
 keeps its own row: it has a fingerprint, and its component_id is that of its equals, or null if all of them
@@ -18,7 +18,8 @@ lack an id.  Repeated rows repeat in the result.
 
 from __future__ import annotations
 
-from itertools import product
+import math
+from itertools import chain, product
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,10 @@ SEED = 42
 SEGMENTS = 6
 BLOCK = 4096
 STEP = 1024
-SKETCH = 8
+#: A document is placed in the tiles of its TILES smallest shingle hashes and judged by its SKETCH smallest.
+TILES = 6
+SKETCH = 64
+VERIFY = 4096
 
 
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
@@ -61,8 +65,9 @@ def vote(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, sketch: int = 0) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long); with `sketch`, the so many smallest distinct shingle hashes as well."""
-    fields = [("doc_id", pa.int64()), ("fp", pa.int64())] + [("low", pa.list_(pa.int64()))] * bool(sketch)
+    """doc_id and fp (the 64 bits as a signed long); with `sketch`, low (the TILES smallest distinct shingle hashes)
+    and sketch (the upper halves of the so many smallest, big-endian and ascending)."""
+    fields = [("doc_id", pa.int64()), ("fp", pa.int64())] + [("low", pa.list_(pa.int64())), ("sketch", pa.binary())] * bool(sketch)
     schema = pa.schema(fields)
 
     def run(batches):
@@ -70,10 +75,12 @@ def fingerprints(docs: DataFrame, shingle: int = 3, sketch: int = 0) -> DataFram
             hashes = [shingle_hashes(raw(t).lower().split(), shingle) for t in rows]
             out = {"doc_id": keys, "fp": np.array([vote(h) for h in hashes], np.uint64).view(np.int64)}
             if sketch:
-                out["low"] = [np.unique(h)[:sketch].view(np.int64) if len(h) else [] for h in hashes]
+                small = [np.unique(h)[:sketch] for h in hashes]
+                out["low"] = [h[:TILES].view(np.int64) for h in small]
+                out["sketch"] = [(h >> np.uint64(32)).astype(">u4").tobytes() for h in small]
             yield batch_of(schema, **out)
 
-    return texts(docs).mapInArrow(run, "doc_id long, fp long" + ", low array<long>" * bool(sketch))
+    return texts(docs).mapInArrow(run, "doc_id long, fp long" + ", low array<long>, sketch binary" * bool(sketch))
 
 
 def _segments() -> list[int]:
@@ -107,28 +114,25 @@ def _split_hot(spread: DataFrame) -> DataFrame:
     n = F.coalesce(F.col("blocks"), F.lit(1))
     own = F.pmod(F.xxhash64("fp", "node"), n).cast("int")
     visits = F.when(F.col("role") == 1, F.sequence(F.lit(0), n - 1)).otherwise(F.sequence(F.lit(0), own))
-    dealt = spread.join(hot, "tile", "left").withColumn("own", own).select("tile", "role", "fp", "node", "own", F.explode(visits).alias("blk"))
-    return dealt.select("tile", "blk", F.when((F.col("role") == 0) & (F.col("blk") == F.col("own")), 0).otherwise(1).alias("role"), "fp", "node")
+    more = [c for c in spread.columns if c not in ("tile", "role", "fp", "node")]
+    dealt = spread.join(hot, "tile", "left").withColumn("own", own).select("tile", "role", "fp", "node", "own", *more, F.explode(visits).alias("blk"))
+    return dealt.select("tile", "blk", F.when((F.col("role") == 0) & (F.col("blk") == F.col("own")), 0).otherwise(1).alias("role"), "fp", "node", *more)
 
 
-def _pairs(a: np.ndarray, b: np.ndarray, radius: int, upper: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs within the radius; both sides are sorted by population count, and block pairs out of reach are skipped."""
+def _near(a: np.ndarray, b: np.ndarray, radius: int, upper: bool):
+    """Index pairs within the radius, block by block; both sides are sorted by population count, and block pairs out of reach are skipped."""
     ca, cb = np.bitwise_count(a), np.bitwise_count(b)
-    left, right = [], []
     for i in range(0, len(a), STEP):
         x, lo, hi = a[i : i + STEP], int(ca[i]) - radius, int(ca[min(i + STEP, len(a)) - 1]) + radius
-        first, last = int(np.searchsorted(cb, lo)), int(np.searchsorted(cb, hi, side="right"))
+        first, last = int(np.searchsorted(cb, max(lo, 0))), int(np.searchsorted(cb, min(hi, 64), side="right"))
         for j in range(max(first, i) if upper else first, last, STEP):
             y = b[j : min(j + STEP, last)]
             r, c = np.nonzero(np.bitwise_count(x[:, None] ^ y[None, :]) <= radius)
             if upper:
                 keep = r + i < c + j
                 r, c = r[keep], c[keep]
-            left.append(r + i)
-            right.append(c + j)
-    if not left:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(left), np.concatenate(right)
+            if len(r):
+                yield r + i, c + j
 
 
 def compare_tiles(spread: DataFrame, radius: int) -> DataFrame:
@@ -141,8 +145,8 @@ def compare_tiles(spread: DataFrame, radius: int) -> DataFrame:
 
         def link(nodes_a, fps_a, nodes_b, fps_b, upper):
             oa, ob = np.argsort(np.bitwise_count(fps_a), kind="stable"), np.argsort(np.bitwise_count(fps_b), kind="stable")
-            r, c = _pairs(fps_a[oa], fps_b[ob], radius, upper)
-            return nodes_a[oa][r], nodes_b[ob][c]
+            for r, c in _near(fps_a[oa], fps_b[ob], radius, upper):
+                yield nodes_a[oa][r], nodes_b[ob][c]
 
         for batch in batches:
             if not batch.num_rows:
@@ -167,10 +171,9 @@ def compare_tiles(spread: DataFrame, radius: int) -> DataFrame:
                         found.append(link(old_n, old_f, n[s:members], f[s:members], False))
                 if e > members:
                     found.append(link(node, fp, n[members:e], f[members:e], False))
-                for a, b in found:
-                    if len(a):
-                        links_a.append(a)
-                        links_b.append(b)
+                for a, b in chain.from_iterable(found):
+                    links_a.append(a)
+                    links_b.append(b)
             if links_a:
                 tree = forest(np.concatenate(links_a), np.concatenate(links_b))
                 yield batch_of(schema, a=[x for x, _ in tree], b=[x for _, x in tree])
@@ -188,18 +191,109 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
     return marked.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Jaccard similarity of rows of sketches (ascending, padded by the largest value): the share of common hashes among
+    the SKETCH smallest of both together; exact where both hold fewer shingles than that."""
+    both = np.sort(np.concatenate([a, b], axis=1), axis=1)
+    fresh = np.concatenate([np.ones((len(both), 1), bool), both[:, 1:] != both[:, :-1]], axis=1) & (both != _PAD)
+    rank = np.cumsum(fresh, axis=1)
+    shared = (~fresh & (both != _PAD) & (rank <= SKETCH)).sum(axis=1)
+    return shared / np.maximum(np.minimum(rank[:, -1], SKETCH), 1)
+
+
+_PAD = np.uint64(1 << 33)
+
+
+def _sketches(column) -> np.ndarray:
+    out = np.full((len(column), SKETCH), _PAD, np.uint64)
+    for i, data in enumerate(column.to_pylist()):
+        got = np.frombuffer(data, ">u4")
+        out[i, : len(got)] = got
+    return out
+
+
+class _Judge:
+    """Joins the documents of one tile: a pair that is near by fingerprint and not joined yet is judged by its sketches."""
+
+    def __init__(self, radius: int, similarity: float) -> None:
+        self.radius, self.similarity = radius, similarity
+        self.root: dict[int, int] = {}
+        self.links: list[tuple[int, int]] = []
+
+    def find(self, x: int) -> int:
+        root = self.root
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    def compare(self, a, b, upper: bool) -> None:
+        (na, fa, sa), (nb, fb, sb) = (tuple(x[np.argsort(np.bitwise_count(side[1]), kind="stable")] for x in side) for side in (a, b))
+        for left, right in _near(fa, fb, self.radius, upper):
+            while len(left):
+                ra, rb = (np.array([self.find(x) for x in n.tolist()]) for n in (na[left], nb[right]))
+                apart = ra != rb
+                left, right = left[apart], right[apart]
+                x, y = left[:VERIFY], right[:VERIFY]
+                for i in np.flatnonzero(overlap(sa[x], sb[y]) >= self.similarity - 1e-9).tolist():
+                    p, q = int(na[x[i]]), int(nb[y[i]])
+                    rp, rq = self.find(p), self.find(q)
+                    if rp != rq:
+                        self.root[max(rp, rq)] = min(rp, rq)
+                        self.links.append((p, q))
+                left, right = left[VERIFY:], right[VERIFY:]
+
+
+def compare_similar(spread: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """Links between nodes that share a tile, are within the radius and are similar by their sketches."""
+    dealt = _split_hot(spread).repartition("tile", "blk").sortWithinPartitions("tile", "blk", "role")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        key, judge, held = None, None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tile, blk, role, f, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            f, sketch = f.astype(np.int64).view(np.uint64), None
+            starts = np.concatenate([[0], np.flatnonzero((tile[1:] != tile[:-1]) | (blk[1:] != blk[:-1])) + 1, [len(tile)]])
+            out = []
+            for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                goes_on = key == (tile[s], blk[s])
+                if not goes_on:
+                    key, judge, held = (tile[s], blk[s]), _Judge(radius, similarity), None
+                if not goes_on and e - s == 1 and e < len(tile):
+                    continue
+                if sketch is None:
+                    sketch = _sketches(batch.column(5))
+                members = s + int(np.searchsorted(role[s:e], 1))
+                new, probes = ((n[i:j], f[i:j], sketch[i:j]) for i, j in ((s, members), (members, e)))
+                judge.compare(new, new, True)
+                if held is not None:
+                    judge.compare(held, new, False)
+                held = new if held is None else tuple(np.concatenate(x) for x in zip(held, new, strict=True))
+                judge.compare(held, probes, False)
+                out += judge.links
+                judge.links = []
+            if out:
+                yield batch_of(schema, a=[x for x, _ in out], b=[x for _, x in out])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """doc_id, component_id: documents whose fingerprints agree in at least `similarity` of their 64 bits.
+    """doc_id, component_id: documents linked by a shingle overlap (Jaccard) of at least `similarity`.
 
-    At so wide a radius population counts alone rule out little, so a tile holds documents with one of their
-    SKETCH smallest shingle hashes in common (at a shingle overlap of 0.8 two documents share one with
-    probability 1 - 0.2**8); inside it the comparison is the same blocked exclusive-or with the same skipping rule.
-    Documents with equal fingerprint and equal sketch (exact copies are) are one node.  A text without words is alone.
+    At the radius this needs (the expected distance at that overlap and three deviations more) population counts alone
+    rule out little, so a tile holds documents that have one of their TILES smallest shingle hashes in common: two documents
+    miss each other with probability (1 - similarity)**TILES at most.  Inside a tile the comparison is the same blocked
+    exclusive-or with the same skipping rule, and near pairs not joined yet are judged by their sketches.
+    Documents with equal fingerprint and sketch (exact copies are) are one node.  A text without words is alone.
     """
-    radius = int(64 * (1 - similarity) + 1e-9)
+    angle = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    radius = min(64, math.ceil(64 * angle + 3 * math.sqrt(64 * angle * (1 - angle))))
     marked = fingerprints(docs, shingle, SKETCH)
-    nodes = marked.groupBy("fp", "low").agg(F.min("doc_id").alias("node")).where("node is not null")
-    spread = nodes.select(F.explode("low").alias("tile"), F.lit(0).alias("role"), "fp", "node")
-    groups = components(compare_tiles(spread, radius))
-    named = nodes.where("size(low) > 0").join(groups, "node", "left").select("fp", "low", F.coalesce("component", "node").alias("component_id"))
-    return marked.join(named, ["fp", "low"], "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+    nodes = marked.where("size(low) > 0").groupBy("fp", "low", "sketch").agg(F.min("doc_id").alias("node")).where("node is not null")
+    spread = nodes.select(F.explode("low").alias("tile"), F.lit(0).alias("role"), "fp", "node", "sketch")
+    groups = components(compare_similar(spread, radius, similarity))
+    named = nodes.join(groups, "node", "left").select("fp", "sketch", F.coalesce("component", "node").alias("component_id"))
+    return marked.join(named, ["fp", "sketch"], "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
