@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewise.llm import bpe, simhash, substring, sufarray, tokenids
+from tidewise.llm import bpe, simhash, substring, sufarray, tokenids, toxicity
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -19,6 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+TOXIC_AT = 0.7
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.fit(docs, table(spark, sf_dir, "labels")).score(docs)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -41,6 +50,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
     "op4_substring": op4_substring,
     "op6_bpe": op6_bpe,
