@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewise.llm import bpe, simhash, substring, sufarray, tokenids, toxicity
+from tidewise.llm import ann, bpe, decontam, quality, simhash, substring, sufarray, tokenids, toxicity
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -33,14 +33,34 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(table(spark, sf_dir, "documents"), window=20)
 
 
+#: Grades: 0 poor text, 1 good text that is toxic, 2 good text.  Selection is by P(grade >= 1).
+GRADES, KEEP_TAIL, KEEP_AT = 3, 1, 0.5
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ratings = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") * (2 - F.col("toxic"))).alias("grade"))
+    graded = quality.grade(docs, quality.fit(docs, ratings, GRADES), KEEP_TAIL)
+    return graded.select("doc_id", quality.held_out().alias("held_out"), "expected_grade", "tail_probability", (F.col("tail_probability") >= KEEP_AT).alias("keep"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), BPE_RANKS, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sufarray.dedup(table(spark, sf_dir, "documents"), length=200)
 
@@ -52,8 +72,11 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
+    "op3_decontamination": op3_decontamination,
     "op4_substring": op4_substring,
+    "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
+    "op8_neighbours": op8_neighbours,
     "op9_suffix_array": op9_suffix_array,
     "op10_token_ids": op10_token_ids,
 }
