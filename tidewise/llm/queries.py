@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewise.llm import ann, bpe, decontam, quality, simhash, substring, sufarray, tokenids, toxicity
+from tidewise.llm import ann, bpe, decontam, lm, quality, simhash, substring, sufarray, tokenids, toxicity
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -56,6 +56,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), BPE_RANKS, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = lm.score(docs, lm.fit(docs))
+    return scored.select("doc_id", lm.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return ann.search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
@@ -76,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring": op4_substring,
     "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
+    "op7_lm": op7_lm,
     "op8_neighbours": op8_neighbours,
     "op9_suffix_array": op9_suffix_array,
     "op10_token_ids": op10_token_ids,
