@@ -27,6 +27,7 @@ def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple[li
 
 
 def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
+    """A batch of the schema's columns; others given are left out."""
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 
 
@@ -60,6 +61,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def bounded_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """About `rows` rows of df (never over twice as many), those with the smallest hash of the keys; all, if there are no more."""
+    total = df.count()
+    if total <= rows:
+        return df
+    space = 1 << 40
+    return df.where(F.pmod(F.xxhash64(*keys), F.lit(space)) < int(space * rows / total)).limit(2 * rows)
+
+
 def sliding(values: np.ndarray, width: int, op=np.minimum) -> np.ndarray:
     """op over every run of `width` neighbours, by doubling; one value per run start."""
     out, have = values, 1

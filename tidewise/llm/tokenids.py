@@ -3,7 +3,7 @@
 A dictionary is trained on serialized id arrays of a bounded sample of documents.  Ids are then written
 as blocks: rows of a Parquet table, each holding up to BLOCK_TOKENS ids of consecutive documents as
 independent zstandard frames (`payload`), the byte offset of each frame (`offsets`), the documents' ids
-and token counts, the SHA-256 of the dictionary, and `start`, the number of ids in all earlier blocks.
+and token counts, the SHA-256 of the dictionary, and `start`, the number of ids in the earlier blocks of its part.
 Blocks are in ascending doc_id order across and within files.  One document is read by finding its
 block, taking its slice of `payload`, and decompressing that frame alone.
 
@@ -14,9 +14,10 @@ by text; a null doc_id sorts first.  An empty table gives an empty result.  Extr
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from array import array
-from itertools import pairwise
+from itertools import filterfalse, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,18 +26,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidewise.llm.common import batch_of, raw, rows_of, shared_path, texts
+from tidewise.llm.common import batch_of, bounded_sample, raw, rows_of, shared_path, texts
 
 BLOCK_TOKENS = 262_144
 BLOCK_DOCS = 2_048
 DICTIONARY_BYTES = 65_536
-#: The dictionary is fitted on at most so many documents, those with the smallest hash of doc_id.
+#: The dictionary is fitted on about so many documents, those with the smallest hash of doc_id.
 SAMPLE_DOCS = 1_000
 LEVEL = 3
-WORD_CACHE = 500_000
+WORD_CACHE = 400_000
 
-_BLOCK = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int32())), ("offsets", pa.list_(pa.int64())), ("payload", pa.binary()), ("dictionary_sha256", pa.string()), ("block_tokens", pa.int64())])
-_BLOCK_DDL = "part int, block int, doc_ids array<long>, n_tokens array<int>, offsets array<long>, payload binary, dictionary_sha256 string, block_tokens long"
+_BLOCK = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int32())), ("offsets", pa.list_(pa.int64())), ("payload", pa.binary()), ("dictionary_sha256", pa.string()), ("start", pa.int64()), ("block_tokens", pa.int64())])
+_BLOCK_DDL = "part int, block int, doc_ids array<long>, n_tokens array<int>, offsets array<long>, payload binary, dictionary_sha256 string, start long, block_tokens long"
+
+
+_STOP = re.compile(rb"(?<=[a-z])([.,])(?=\s)")
 
 
 class WordEncoder:
@@ -49,55 +53,66 @@ class WordEncoder:
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = False
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def _parts(self, word: bytes) -> list[bytes]:
-        """The word's pre-tokens that can be cached apart: letters are lower-cased by the tokenizer itself, and a full
-        stop or comma after an ASCII letter is a pre-token of its own."""
-        word = word.lower()
-        if word[-1:] in (b".", b",") and word[-2:-1].isalpha():
-            return [word[:-1], word[-1:]]
-        return [word]
+    @staticmethod
+    def words(row: bytes) -> list[bytes]:
+        """The row's words, in fewer forms: ASCII letters are lower-cased (the tokenizer does so anyway) and a full stop or
+        comma between a letter and white space, a pre-token of its own, is set apart.  Rows that may spell a special token stay."""
+        if b"<|" in row:
+            return row.split()
+        return _STOP.sub(rb" \1", row.lower()).split()
 
     def _learn(self, missing: set[bytes]) -> None:
+        if len(self.young) + len(missing) > WORD_CACHE:
+            self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        if len(young) + len(missing) > WORD_CACHE:
-            self.old, self.young = young, {}
-            young, old = self.young, self.old
-        parts, fresh = {}, {}
+        fresh = []
         for w in missing:
             ids = old.get(w)
-            if ids is not None:
+            if ids is None:
+                fresh.append(w)
+            else:
                 young[w] = ids
-                continue
-            parts[w] = got = self._parts(w)
-            for p in got:
-                if p not in young:
-                    ids = old.get(p)
-                    if ids is not None:
-                        young[p] = ids
-                    else:
-                        fresh[p] = None
         if fresh:
-            words = list(fresh)
-            for word, got in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), strict=True):
-                young[word] = array("I", got.ids).tobytes()
-        for w, got in parts.items():
-            young[w] = b"".join([young[p] for p in got]) if len(got) > 1 else young[got[0]]
+            self._encode(fresh, young)
+
+    def _encode(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
+        """Words of letters alone are one pre-token, so many go to the library as one text and are told apart by the ends of words."""
+        plain, other = [], []
+        for w in words:
+            (plain if len(w) < 100 and w.decode().isalpha() else other).append(w)
+        for at in range(0, len(plain), 4096):
+            part = plain[at : at + 4096]
+            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(part):
+                other += part
+                continue
+            data, last = ids.tobytes(), 0
+            for w, stop in zip(part, (stops * 4).tolist(), strict=True):
+                into[w] = data[last:stop]
+                last = stop
+        if other:
+            for w, got in zip(other, self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False), strict=True):
+                into[w] = array("I", got.ids).tobytes()
 
     def encode_many(self, rows: list[bytes]) -> list[bytes]:
-        split = [r.split() for r in rows]
+        split = [self.words(r) for r in rows]
         young = self.young
         missing: set[bytes] = set()
         for words in split:
-            missing.update([w for w in words if w not in young])
+            missing.update(filterfalse(young.__contains__, words))
         if missing:
             self._learn(missing)
             if self.young is not young:  # a new generation: it must hold every word of these rows
                 self._learn({w for words in split for w in words if w not in self.young})
                 young = self.young
-        return [b"".join([young[w] for w in words]) for words in split]
+        return [b"".join(map(young.__getitem__, words)) for words in split]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -111,7 +126,7 @@ def encoder(path: str) -> WordEncoder:
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, sample_docs: int = SAMPLE_DOCS) -> bytes:
     """A zstandard dictionary of id arrays (empty if there is too little to learn from)."""
-    picked = texts(docs).where("length(text) > 0").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(sample_docs)
+    picked = bounded_sample(texts(docs), sample_docs, "doc_id", "text").where("length(text) > 0")
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches):
@@ -139,10 +154,10 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
         part = TaskContext.get().partitionId()
         coder = encoder(tokenizer_path)
         squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
-        block, ids, counts, offsets, frames = 0, [], [], [0], []
+        block, start, ids, counts, offsets, frames = 0, 0, [], [], [0], []
 
         def full():
-            return batch_of(_BLOCK, part=[part], block=[block], doc_ids=[ids], n_tokens=[counts], offsets=[offsets], payload=[b"".join(frames)], dictionary_sha256=[digest], block_tokens=[sum(counts)])
+            return batch_of(_BLOCK, part=[part], block=[block], doc_ids=[ids], n_tokens=[counts], offsets=[offsets], payload=[b"".join(frames)], dictionary_sha256=[digest], start=[start], block_tokens=[sum(counts)])
 
         for keys, rows in rows_of(batches, "doc_id", "text"):
             for key, data in zip(keys, coder.encode_many([raw(t) for t in rows]), strict=True):
@@ -151,8 +166,9 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
                 counts.append(len(data) // 4 + 1)
                 frames.append(frame)
                 offsets.append(offsets[-1] + len(frame))
-                if len(ids) >= BLOCK_DOCS or sum(counts[-1:]) >= BLOCK_TOKENS or offsets[-1] >= 4 * BLOCK_TOKENS:
+                if len(ids) >= BLOCK_DOCS or offsets[-1] >= 4 * BLOCK_TOKENS:
                     yield full()
+                    start += sum(counts)
                     block, ids, counts, offsets, frames = block + 1, [], [], [0], []
         if ids:
             yield full()
@@ -166,11 +182,9 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
 
 
 def starts(blocks: DataFrame) -> DataFrame:
-    """part, block, start: ids before each block.  The window runs over one row a block, not a document."""
+    """part, before: ids in all earlier parts.  The window runs over one row a part, that is one a writing task."""
     totals = blocks.groupBy("part").agg(F.sum("block_tokens").alias("total"))
-    before = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("before"))
-    inside = blocks.select("part", "block", (F.sum("block_tokens").over(Window.partitionBy("part").orderBy("block")) - F.col("block_tokens")).alias("inside"))
-    return inside.join(before, "part").select("part", "block", (F.col("before") + F.col("inside")).alias("start"))
+    return totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("before"))
 
 
 def read_tokens(spark, path: str, with_ids: bool = False) -> DataFrame:
@@ -181,7 +195,7 @@ def read_tokens(spark, path: str, with_ids: bool = False) -> DataFrame:
     if first is not None and first[0] != hashlib.sha256(b"").hexdigest():
         dictionary = bytes(spark.read.parquet(f"{path}-dictionary").where(F.col("dictionary_sha256") == first[0]).first().dictionary)
     digest = hashlib.sha256(dictionary).hexdigest()
-    fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())] + [("ids", pa.list_(pa.int32()))] * with_ids
+    fields = [("part", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())] + [("ids", pa.list_(pa.int32()))] * with_ids
     schema = pa.schema(fields)
 
     def run(batches):
@@ -197,6 +211,7 @@ def read_tokens(spark, path: str, with_ids: bool = False) -> DataFrame:
                     data = expand.decompress(payload[a:b])
                     if len(data) != 4 * n:
                         raise ValueError(f"document {key}: {len(data)} bytes for {n} ids")
+                    out["part"].append(x["part"])
                     out["doc_id"].append(key)
                     out["start"].append(at)
                     out["n_tokens"].append(n)
@@ -206,8 +221,10 @@ def read_tokens(spark, path: str, with_ids: bool = False) -> DataFrame:
                     at += n
                 yield batch_of(schema, **out)
 
-    ddl = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return blocks.join(starts(blocks.select("part", "block", "block_tokens")), ["part", "block"]).mapInArrow(run, ddl)
+    ddl = "part int, doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
+    read = blocks.drop("block", "block_tokens").mapInArrow(run, ddl)
+    more = ["ids"] * with_ids
+    return read.join(starts(blocks.select("part", "block_tokens")), "part").select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", *more)
 
 
 def read_document(spark, path: str, doc_id: int) -> list[list[int]]:
