@@ -185,14 +185,20 @@ def _keep_repeated(batches):
 
 
 def with_repeated(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """doc_id, text, hs for the documents that hold repeated anchors; hs are those anchors' hashes.
+    """doc_id, text, hs for every document; hs are the hashes of its repeated anchors (null: none).
 
     The anchors are dealt by hash and streamed in sorted order, so a hash that a third of all documents hold needs no
-    memory; documents are dealt by doc_id, as the callers' last join does again (the exchange is reused).
+    memory.  The join keeps all documents so that their exchange by doc_id is the very one the callers' last join
+    asks for: Spark makes it once and reads it twice.
     """
     found = anchors(docs, scheme).repartition("h").sortWithinPartitions("h").mapInArrow(_keep_repeated, "doc_id long, h long")
     lists = found.groupBy("doc_id").agg(F.collect_list("h").alias("hs"))
-    return docs.join(lists, "doc_id").select("doc_id", "text", "hs")
+    return docs.join(lists, "doc_id", "left").select("doc_id", "text", "hs")
+
+
+def listed(column) -> list[np.ndarray]:
+    """Sorted arrays of an Arrow list column; null counts as empty."""
+    return [np.sort(np.asarray(x or (), np.int64)) for x in column.to_pylist()]
 
 
 def candidates(scheme: Scheme, pack: Pack, lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -201,8 +207,9 @@ def candidates(scheme: Scheme, pack: Pack, lists: list[np.ndarray]) -> tuple[np.
     hashes, keep = m.view(np.int64), np.zeros(len(m), bool)
     stops = np.append(pack.begin[1:], len(pack.units))
     for doc, begin, stop in zip(pack.doc.tolist(), pack.begin.tolist(), np.minimum(stops, len(m)).tolist(), strict=True):
-        if stop > begin:
-            known, part = lists[doc], hashes[begin:stop]
+        known = lists[doc]
+        if stop > begin and len(known):
+            part = hashes[begin:stop]
             keep[begin:stop] = known[np.minimum(np.searchsorted(known, part), len(known) - 1)] == part
     keep &= pack.valid
     at = np.flatnonzero(keep)

@@ -22,12 +22,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.anchors import Scheme, candidates, grams, packs, with_repeated
+from tidewise.llm.anchors import Scheme, candidates, grams, listed, packs, with_repeated
 from tidewise.llm.common import batch_of, raw, texts
 
-_ROW = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32()), ("n", pa.int32()), ("ref_doc", pa.int64()), ("ref_pos", pa.int32())])
-_ROW_DDL = "h1 long, h2 long, doc_id long, pos int, n int, ref_doc long, ref_pos int"
-_SPAN = pa.schema([("doc_id", pa.int64()), ("pos", pa.int32()), ("n", pa.int32()), ("ref_doc", pa.int64()), ("ref_pos", pa.int32())])
+_LOW = 24  # a place is packed as start << _LOW | windows; no windows: an index row of one window
+
+
+def _schemas(detail: bool) -> tuple[pa.Schema, str, pa.Schema, str]:
+    """Of index rows and of spans; where a span refers to is carried only if the factors are asked for."""
+    refs = [("ref_doc", pa.int64()), ("ref_pos", pa.int32())] * detail
+    place, more = [("doc_id", pa.int64()), ("place", pa.int64())], ", ref_doc long, ref_pos int" * detail
+    row = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), *place, *refs])
+    return row, "h1 long, h2 long, doc_id long, place long" + more, pa.schema([*place, *refs]), "doc_id long, place long" + more
 
 
 def _runs(*joined: tuple[np.ndarray, int]) -> np.ndarray:
@@ -38,15 +44,15 @@ def _runs(*joined: tuple[np.ndarray, int]) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], broken]))
 
 
-def _index_block(scheme: Scheme):
+def _index_block(scheme: Scheme, schema: pa.Schema):
     """Rows of windows that are first in their block (n = 0), and factors against the block itself (n windows)."""
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                keys = part.column(0).to_numpy()
-                lists = [np.sort(np.asarray(x, np.int64)) for x in part.column(2).to_pylist()]
+                part = part.filter(part.column(2).is_valid())
+                keys, lists = part.column(0).to_numpy(), listed(part.column(2))
                 for pack in packs(scheme, [raw(t) for t in part.column(1).to_pylist()]):
                     at_, _ = candidates(scheme, pack, lists)
                     if not len(at_):
@@ -55,47 +61,52 @@ def _index_block(scheme: Scheme):
                     h2 = grams(scheme.values(pack.units, 1), scheme.width)[at_].view(np.int64)
                     row, pos = pack.owners(at_)
                     doc = keys[row]
+                    pos = pos.astype(np.int64)
                     order = np.lexsort((pos, doc, h2, h1))
                     h1, h2, doc, pos = h1[order], h2[order], doc[order], pos[order]
                     first = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
                     lead = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
                     again = ~first & ((doc != doc[lead]) | (pos != pos[lead]))
                     k = int(first.sum())
-                    none = pa.nulls(k, pa.int64())
-                    yield batch_of(_ROW, h1=h1[first], h2=h2[first], doc_id=doc[first], pos=pos[first].astype(np.int32), n=np.zeros(k, np.int32), ref_doc=none, ref_pos=none.cast(pa.int32()))
+                    none = pa.nulls(k)
+                    yield batch_of(schema, h1=h1[first], h2=h2[first], doc_id=doc[first], place=pos[first] << _LOW, ref_doc=none, ref_pos=none)
                     if again.any():
                         d, p, rd, rp = doc[again], pos[again], doc[lead][again], pos[lead][again]
                         order = np.lexsort((p, d))
                         d, p, rd, rp = d[order], p[order], rd[order], rp[order]
                         runs = _runs((d, 0), (p, 1), (rd, 0), (rp, 1))
-                        n = np.diff(np.append(runs, len(d))).astype(np.int32)
-                        yield batch_of(_ROW, h1=d[runs] * 1_000_003 + p[runs], h2=d[runs], doc_id=d[runs], pos=p[runs].astype(np.int32), n=n, ref_doc=rd[runs], ref_pos=rp[runs].astype(np.int32))
+                        n = np.diff(np.append(runs, len(d)))
+                        yield batch_of(schema, h1=d[runs] * 1_000_003 + p[runs], h2=d[runs], doc_id=d[runs], place=p[runs] << _LOW | n, ref_doc=rd[runs], ref_pos=rp[runs])
 
     return run
 
 
-def _look_up(batches):
+def _look_up(schema: pa.Schema):
     """From index rows sorted by window: each window that has an earlier occurrence, with the earliest; factors pass through."""
-    key, ref = None, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        h1, h2, doc, pos, n = (batch.column(i).to_numpy() for i in range(5))
-        done = n > 0
-        if done.any():
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(done)) for c in batch.columns[2:]], schema=_SPAN)
-            h1, h2, doc, pos = h1[~done], h2[~done], doc[~done], pos[~done]
-        if not len(h1):
-            continue
-        first = np.concatenate([[key != (h1[0], h2[0])], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
-        lead = np.maximum.accumulate(np.where(first, np.arange(len(first)), -1))
-        rd, rp = doc[np.maximum(lead, 0)], pos[np.maximum(lead, 0)]
-        if not first[0]:
-            rd, rp = np.where(lead < 0, ref[0], rd), np.where(lead < 0, ref[1], rp)
-        key, ref = (h1[-1], h2[-1]), (rd[-1], rp[-1])
-        later = (doc != rd) | (pos != rp)
-        if later.any():
-            yield batch_of(_SPAN, doc_id=doc[later], pos=pos[later], n=np.ones(int(later.sum()), np.int32), ref_doc=rd[later], ref_pos=rp[later].astype(np.int32))
+
+    def run(batches):
+        key, ref = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h1, h2, doc, place = (batch.column(i).to_numpy() for i in range(4))
+            done = place & (1 << _LOW) - 1 > 0
+            if done.any():
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(done)) for c in batch.columns[2:]], schema=schema)
+                h1, h2, doc, place = h1[~done], h2[~done], doc[~done], place[~done]
+            if not len(h1):
+                continue
+            first = np.concatenate([[key != (h1[0], h2[0])], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
+            lead = np.maximum.accumulate(np.where(first, np.arange(len(first)), -1))
+            rd, rp = doc[np.maximum(lead, 0)], place[np.maximum(lead, 0)]
+            if not first[0]:
+                rd, rp = np.where(lead < 0, ref[0], rd), np.where(lead < 0, ref[1], rp)
+            key, ref = (h1[-1], h2[-1]), (rd[-1], rp[-1])
+            later = (doc != rd) | (place != rp)
+            if later.any():
+                yield batch_of(schema, doc_id=doc[later], place=place[later] | 1, ref_doc=rd[later], ref_pos=rp[later] >> _LOW)
+
+    return run
 
 
 def factors_of(pos: np.ndarray, n: np.ndarray, ref_doc: np.ndarray, ref_pos: np.ndarray, window: int) -> list[dict]:
@@ -114,9 +125,10 @@ def dedup(docs: DataFrame, window: int = 20, gram: int = 5, detail: bool = False
     """doc_id, n_words, n_removed, kept_sha256 of every row; with `detail` also kept (the text left) and factors."""
     scheme = Scheme(window, gram, words=True)
     docs = texts(docs)
-    rows = with_repeated(docs, scheme).mapInArrow(_index_block(scheme), _ROW_DDL)
-    spans = rows.repartition("h1", "h2").sortWithinPartitions("h1", "h2", "doc_id", "pos").mapInArrow(_look_up, "doc_id long, pos int, n int, ref_doc long, ref_pos int")
-    per_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "n", "ref_doc", "ref_pos")).alias("spans"))
+    row, row_ddl, span, span_ddl = _schemas(detail)
+    rows = with_repeated(docs, scheme).mapInArrow(_index_block(scheme, row), row_ddl)
+    spans = rows.repartition("h1", "h2").sortWithinPartitions("h1", "h2", "doc_id", "place").mapInArrow(_look_up(span), span_ddl)
+    per_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("place", "ref_doc", "ref_pos") if detail else F.col("place")).alias("spans"))
     fields = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())]
     ddl = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     if detail:
@@ -131,7 +143,9 @@ def dedup(docs: DataFrame, window: int = 20, gram: int = 5, detail: bool = False
                 out: dict[str, list] = {f.name: [] for f in schema}
                 spans_ = part.column(2)
                 flat, ends = spans_.flatten(), spans_.value_lengths().fill_null(0).to_numpy().cumsum()
-                cols = [flat.field(i).to_numpy(zero_copy_only=False) for i in range(4)]
+                place, *refs = [flat.field(i).to_numpy(zero_copy_only=False) for i in range(3)] if detail else [flat.to_numpy(zero_copy_only=False)]
+                place = place.astype(np.int64)
+                cols = [place >> _LOW, place & (1 << _LOW) - 1, *refs]
                 for i, (key, text) in enumerate(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)):
                     words = raw(text).split()
                     a, b = int(ends[i - 1]) if i else 0, int(ends[i])
