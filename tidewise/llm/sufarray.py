@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.anchors import Scheme, anchors, candidates, grams, packs
+from tidewise.llm.anchors import Scheme, anchors, candidates, grams, listed, packs
 from tidewise.llm.common import batch_of, raw, texts
 
 BLOCK = 1 << 20
@@ -34,7 +34,8 @@ RUN = 4096
 
 _ROW = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32()), ("n", pa.int32()), ("kind", pa.int32()), ("seg", pa.binary())])
 _ROW_DDL = "h1 long, h2 long, doc_id long, pos int, n int, kind int, seg binary"
-_SPAN = pa.schema([("doc_id", pa.int64()), ("pos", pa.int32()), ("n", pa.int32())])
+_SPAN = pa.schema([("doc_id", pa.int64()), ("span", pa.int64())])
+_LOW = 24  # a span is packed as start << _LOW | windows
 SEGMENT, WINDOW, DONE = 0, 1, 2
 
 
@@ -71,31 +72,26 @@ def repeated_starts(symbols: np.ndarray, length: int) -> np.ndarray:
     order = suffix_order(text + 1, length + 1)
     n += 1
     bwt = text[order - 1]
-    count = np.bincount(bwt, minlength=sigma)
-    base = np.concatenate([[0], np.cumsum(count)[:-1]])
-    #: rank in its own symbol of each BWT position, so that the interval of (symbol + string) starts at base + rank of the first
-    by_symbol = np.argsort(bwt, kind="stable")
+    by_symbol = np.argsort(bwt, kind="stable")  # the LF mapping: where the suffix one symbol longer stands
     lf = np.empty(n, np.int64)
     lf[by_symbol] = np.arange(n)
     known = np.zeros(n + 1, bool)  # boundaries whose common prefix is fixed
     known[0] = known[n] = True
     lb, rb = np.array([0]), np.array([n])
     for _ in range(length):
-        # all (interval, symbol) pairs: within an interval positions of one symbol map to neighbours
+        # an interval's children: its positions of one symbol map to neighbours, so each child is where such a stretch begins and ends
         sizes = rb - lb
-        total = int(sizes.sum())
+        wide = sizes > 1
+        single = lf[lb[~wide]]
+        sizes, from_ = sizes[wide], lb[wide]
         ends = np.cumsum(sizes)
-        at = np.arange(total) - np.repeat(ends - sizes, sizes) + np.repeat(lb, sizes)
-        target = lf[at]
-        owner = np.repeat(np.arange(len(lb)), sizes)
-        wide = sizes[owner] > 1
-        if wide.any():
-            rank = np.lexsort((target, owner))
-            target, owner, symbol = target[rank], owner[rank], bwt[at[rank]]
-            starts = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (symbol[1:] != symbol[:-1])]))
-            new_lb, new_rb = target[starts], target[np.append(starts[1:], len(target)) - 1] + 1
-        else:
-            new_lb, new_rb = target, target + 1
+        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(from_ - (ends - sizes), sizes)
+        owner = np.repeat(np.arange(len(sizes)) * sigma, sizes) + bwt[at]
+        rank = np.argsort(owner, kind="stable")
+        owner, target = owner[rank], lf[at[rank]]
+        starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(owner)), bool), owner[1:] != owner[:-1]]))
+        new_lb = np.concatenate([single, target[starts]])
+        new_rb = np.concatenate([single, target[np.append(starts[1:], len(target))[: len(starts)] - 1]]) + 1
         fresh = ~known[new_rb]
         new_lb, new_rb = new_lb[fresh], new_rb[fresh]
         if not len(new_rb):
@@ -116,9 +112,9 @@ def _cut_segments(scheme: Scheme):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                keys = part.column(0).to_numpy()
-                lists = [np.sort(np.asarray(x, np.int64)) for x in part.column(2).to_pylist()]
-                hot = np.unique(np.concatenate([np.asarray(x, np.int64) for x in part.column(3).to_pylist()] or [np.empty(0, np.int64)]))
+                part = part.filter(part.column(2).is_valid())
+                keys, lists = part.column(0).to_numpy(), listed(part.column(2))
+                hot = np.unique(np.concatenate([np.empty(0, np.int64), *listed(part.column(3))]))
                 for pack in packs(scheme, [raw(t) for t in part.column(1).to_pylist()]):
                     at_, h = candidates(scheme, pack, lists)
                     if not len(at_):
@@ -254,7 +250,7 @@ class _Meeting:
         if self.out:
             doc, pos, n = (np.concatenate([x[i] for x in self.out]) for i in range(3))
             self.out = []
-            yield batch_of(_SPAN, doc_id=doc, pos=pos.astype(np.int32), n=n.astype(np.int32))
+            yield batch_of(_SPAN, doc_id=doc, span=pos << _LOW | n)
 
 
 def _meet(length: int):
@@ -275,26 +271,27 @@ _KEPT = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("hot", pa.bool_()
 
 
 def with_repeated(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """doc_id, text, hs (repeated anchors of the document), hot (those with over HOT occurrences)."""
-    found = anchors(docs, scheme).repartition("h")  # read twice, made once: the exchange is reused
-    counts = found.groupBy("h").agg(F.sum("c").alias("c")).where("c > 1")
-    kept = found.join(counts.withColumnRenamed("c", "total"), "h").select("doc_id", "h", (F.col("total") > HOT).alias("hot"))
+    """doc_id, text, hs (repeated anchors of the document; null: none), hot (those with over HOT occurrences)."""
+    found = anchors(docs, scheme).repartition("h")  # read twice, made once: both sides ask for the same columns, so the exchange is reused
+    counts = found.groupBy("h").agg(F.sum("c").alias("total"), F.min("doc_id").alias("some")).where("total > 1")
+    kept = found.join(counts, "h").select("doc_id", F.when(F.col("c") > 0, F.col("h")).alias("h"), (F.col("total") > HOT).alias("hot"))
     lists = kept.groupBy("doc_id").agg(F.collect_list("h").alias("hs"), F.collect_list(F.when(F.col("hot"), F.col("h"))).alias("hot"))
-    return docs.join(lists, "doc_id").select("doc_id", "text", "hs", "hot")
+    return docs.join(lists, "doc_id", "left").select("doc_id", "text", "hs", "hot")  # left: the last join reuses this exchange of docs
 
 
-def dedup(docs: DataFrame, length: int = 200, gram: int = 32, detail: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; with `detail` also spans (start, stop) and kept (bytes)."""
+def dedup(docs: DataFrame, length: int = 200, gram: int = 96, detail: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; with `detail` also spans (start, stop), kept (bytes) and
+    kept_text (kept as text; characters that were cut through are left out)."""
     scheme = Scheme(length, gram, words=False)
     docs = texts(docs)
     rows = with_repeated(docs, scheme).mapInArrow(_cut_segments(scheme), _ROW_DDL)
-    spans = rows.repartition("h1", "h2").sortWithinPartitions("h1", "h2", F.col("kind").desc()).mapInArrow(_meet(length), "doc_id long, pos int, n int")
-    per_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "n")).alias("spans"))
+    spans = rows.repartition("h1", "h2").sortWithinPartitions("h1", "h2", F.col("kind").desc()).mapInArrow(_meet(length), "doc_id long, span long")
+    per_doc = spans.groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
     fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     if detail:
-        fields += [("kept", pa.binary()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))]
-        ddl += ", kept binary, spans array<struct<start: long, stop: long>>"
+        fields += [("kept", pa.binary()), ("kept_text", pa.string()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))]
+        ddl += ", kept binary, kept_text string, spans array<struct<start: long, stop: long>>"
     schema = pa.schema(fields)
 
     def finish(batches):
@@ -304,7 +301,8 @@ def dedup(docs: DataFrame, length: int = 200, gram: int = 32, detail: bool = Fal
                 out: dict[str, list] = {f.name: [] for f in schema}
                 spans_ = part.column(2)
                 flat, ends = spans_.flatten(), spans_.value_lengths().fill_null(0).to_numpy().cumsum()
-                starts, counts = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(2))
+                packed = flat.to_numpy(zero_copy_only=False).astype(np.int64)
+                starts, counts = packed >> _LOW, packed & (1 << _LOW) - 1
                 for i, (key, text) in enumerate(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)):
                     data = raw(text)
                     a, b = int(ends[i - 1]) if i else 0, int(ends[i])
@@ -327,6 +325,7 @@ def dedup(docs: DataFrame, length: int = 200, gram: int = 32, detail: bool = Fal
                     out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
                     if detail:
                         out["kept"].append(kept)
+                        out["kept_text"].append(None if text is None else kept.decode("utf-8", "ignore"))
                         out["spans"].append([{"start": x, "stop": y} for x, y in cuts])
                 yield batch_of(schema, **out)
 
