@@ -1,4 +1,6 @@
 """Registry of the engine's named queries and their SQL counterparts."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from tidewise.registry import history, items, trees  # noqa: F401
+from tidewise.registry.base import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
