@@ -1,6 +1,6 @@
 """Registry of the engine's named queries and their SQL counterparts."""
 
-from tidewise.registry import history, items, scheduling, trees  # noqa: F401
+from tidewise.registry import history, ingest, items, scheduling, trees  # noqa: F401
 from tidewise.registry.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
