@@ -40,7 +40,8 @@ _BLOCK = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.
 _BLOCK_DDL = "part int, block int, doc_ids array<long>, n_tokens array<int>, offsets array<long>, payload binary, dictionary_sha256 string, start long, block_tokens long"
 
 
-_STOP = re.compile(rb"(?<=[a-z])([.,])(?=\s)")
+#: A full stop or comma between a letter (ASCII, or of Latin-1 by its two UTF-8 bytes) and white space.
+_STOP = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,])(?=\s)")
 
 
 class WordEncoder:
@@ -109,9 +110,9 @@ class WordEncoder:
             missing.update(filterfalse(young.__contains__, words))
         if missing:
             self._learn(missing)
-            if self.young is not young:  # a new generation: it must hold every word of these rows
-                self._learn({w for words in split for w in words if w not in self.young})
-                young = self.young
+            if self.young is not young:  # a new generation: what these rows need is in it or in the one before
+                new, old = self.young, self.old
+                young = {w: new[w] if w in new else old[w] for words in split for w in words}
         return [b"".join(map(young.__getitem__, words)) for words in split]
 
 
@@ -153,7 +154,10 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
 
         part = TaskContext.get().partitionId()
         coder = encoder(tokenizer_path)
-        squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
+        shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+        if shared:
+            shared.precompute_compress(level=LEVEL)  # digested once, not for each document
+        squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
         block, start, ids, counts, offsets, frames = 0, 0, [], [], [0], []
 
         def full():
