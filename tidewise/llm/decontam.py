@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidewise.llm.common import batch_of, rows_of, texts
 
-CHARS_PER_ERROR = 16
+CHARS_PER_ERROR = 12
 MIN_CHARS = 24
 BLOCK_CHARS = 4_000_000
 
