@@ -23,10 +23,10 @@ def parent_folder() -> Column:
 
 def whole_files(spark: SparkSession, path: str, glob: str, recursive: bool = False, modified_after: str | None = None) -> DataFrame:
     """value, file, folder: one row a file; `modified_after` is pushed into the listing."""
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", glob).option("recursiveFileLookup", recursive)
+    reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", recursive)
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
-    return reader.text(path).select("value", file_name().alias("file"), parent_folder().alias("folder"))
+    return reader.text(path, wholetext=True).select("value", file_name().alias("file"), parent_folder().alias("folder"))
 
 
 def thread_nodes(spark: SparkSession, path: str) -> DataFrame:
@@ -62,7 +62,7 @@ def latest_per_folder(files: DataFrame) -> DataFrame:
 def state_or_default(spark: SparkSession, path: str, schema: str, default: str = "{}") -> DataFrame:
     """One row of parsed state; a missing or corrupt file gives the default."""
     try:
-        text = spark.read.option("wholetext", True).text(path)
+        text = spark.read.text(path, wholetext=True)
         rows = text.agg(F.coalesce(F.max("value"), F.lit(default)).alias("value"))
     except Exception as problem:
         if "PATH_NOT_FOUND" not in str(problem):
@@ -74,7 +74,7 @@ def state_or_default(spark: SparkSession, path: str, schema: str, default: str =
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """line (from 0) and value of a text file, in the file's order whatever its size: the file is read whole and split."""
-    return spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", r"\r?\n")).alias("line", "value"))
+    return spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("line", "value"))
 
 
 def priority_list(spark: SparkSession, path: str) -> DataFrame:
