@@ -7,7 +7,7 @@ expected grade and the tail probability P(grade >= `tail`), by which it is selec
 Features are hashed words and hashed shapes of words (letters, digits and symbols as classes, doubled symbols kept), each weighted
 by the square root of its share, and a few hashed counts of how often the commonest word returns.  Null and empty texts have none and get the score of the
 thresholds alone.  Repeated rows are scored alike.  Labels that are null are ignored; with no label at all the tail
-probability is 0.5.  The model is fitted on at most SAMPLE_ROWS labelled rows, those with the smallest hash of doc_id.
+probability is 0.5.  The model is fitted on about SAMPLE_ROWS labelled rows, those with the smallest hash of doc_id.
 """
 
 from __future__ import annotations
@@ -21,12 +21,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.common import batch_of, raw, rows_of, texts
+from tidewise.llm.common import batch_of, bounded_sample, raw, rows_of, texts
 
 BITS = 16
 SAMPLE_ROWS = 12_000
 CACHE = 200_000
-EPOCHS = 12
+EPOCHS, STEPS = 12, 600  # at least so many of both
 _LOWER, _UPPER, _DIGIT = re.compile(rb"[a-z\x80-\xff]+"), re.compile(rb"[A-Z]+"), re.compile(rb"[0-9]+")
 
 
@@ -77,7 +77,7 @@ def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n
     mt, vt = np.zeros_like(raw_), np.zeros_like(raw_)
     rng, step = np.random.default_rng(seed), 0
     sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-STEPS * 256 // max(1, len(rows))))):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), 256):
             part = order[at : at + 256]
@@ -114,7 +114,7 @@ def fit(docs: DataFrame, ratings: DataFrame, n_grades: int, sample_rows: int = S
     """Fit on rows of docs that are not held out; ratings has doc_id and grade (0 .. n_grades - 1)."""
     graded = ratings.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("grade").cast("int").alias("grade")).where(F.col("doc_id").isNotNull() & F.col("grade").between(0, n_grades - 1))
     graded = graded.where(~held_out()).groupBy("doc_id").agg(F.max("grade").alias("grade"))
-    graded = graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    graded = F.broadcast(bounded_sample(graded, sample_rows, "doc_id"))  # bounded: it goes to the texts, not the texts to it
     schema = pa.schema([("grade", pa.int32()), ("i", pa.list_(pa.int32())), ("x", pa.list_(pa.float32()))])
 
     def run(batches):
