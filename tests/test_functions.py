@@ -133,3 +133,32 @@ def test_subtree_prune_attach(spark):
     assert {r.node for r in trees.orphans(nodes).collect()} == {6}
     placed = {r.node: r.placement for r in trees.attach(nodes, nodes.where("node in (1, 2)")).collect()}
     assert placed == {1: "replace", 2: "replace", 3: "child", 4: "child", 5: "root", 6: "root"}
+
+
+def test_simulation_repeats(spark):
+    from tidewise.plans.simulation import simulate
+
+    a, b = (sorted(map(tuple, simulate(spark, 4, posts=10, hours=6, budget=3).collect())) for _ in range(2))
+    assert a == b and len(a) == 4 and all(0 <= waste <= 1 for _, _, waste in a)
+
+
+def test_nested_threads(spark):
+    import json
+
+    from tidewise.operators import threads
+
+    deep = {"id": "d0"}
+    for i in range(1, 400):
+        deep = {"id": f"d{i}", "replies": [deep]}
+    rows = [("a", json.dumps([{"id": "r", "author": "u", "text": "x", "score": 2, "replies": [{"id": "s", "body": "y", "replies": ""}]}, {"id": "q"}])), ("b", "broken {"), ("c", None), ("d", json.dumps(deep))]
+    flat = threads.flatten(spark.createDataFrame(rows, "thread string, json string"))
+    got = {(r.thread, r.node): (r.parent, r.depth, r.text, r.score) for r in flat.collect()}
+    assert got["a", "s"] == ("r", 1, "y", None) and got["a", "q"] == (None, 0, "", None) and got["d", "d0"][1] == 399 and len(got) == 403
+    again = threads.flatten(threads.rebuild(flat))
+    assert {(r.thread, r.node): (r.parent, r.depth, r.text, r.score) for r in again.collect()} == got
+    lost = spark.createDataFrame([("t", 0, "x", "gone", 1, "a", "t", 1)], threads.FLAT)
+    assert threads.rebuild(lost).first().orphans == 1
+    view = threads.latest_view(threads.as_nodes(flat.where("thread = 'a'"), F.lit("now"))).where("node = 'q'").first()
+    assert (view.score, view.text, view.edits) == (0, "", 0)
+    bag = threads.with_remainder(spark.createDataFrame([(1, 2, 3)], "a int, b int, c int"), ["a"]).first()
+    assert json.loads(bag.extra) == {"b": 2, "c": 3}
