@@ -22,6 +22,7 @@ import math
 import uuid
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -108,6 +109,11 @@ class Parameters:
         return out
 
 
+def summed(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the rows that share an index."""
+    return np.stack([np.bincount(index, column, size) for column in rows.T], axis=1)
+
+
 def nce_step(p: Parameters, contexts: np.ndarray, targets: np.ndarray, noise: np.ndarray, log_noise: np.ndarray, grads: np.ndarray, rate: float) -> None:
     """One AdaGrad step on a batch; `noise` are class samples that the whole batch shares, log_noise the log of NOISE * q."""
     n = len(targets)
@@ -117,10 +123,8 @@ def nce_step(p: Parameters, contexts: np.ndarray, targets: np.ndarray, noise: np
     g_hit = (1 / (1 + np.exp(-np.clip(hit, -30, 30))) - 1) / n
     g_miss = 1 / (1 + np.exp(-np.clip(miss, -30, 30))) / n * (NOISE / len(noise))
     g = Parameters(np.zeros_like(p.flat))
-    one_hot = np.zeros((CLASSES, n), np.float32)
-    one_hot[targets, np.arange(n)] = 1
-    g.target += one_hot @ (g_hit[:, None] * predicted)
-    g.bias += one_hot @ g_hit
+    g.target += summed(targets, g_hit[:, None] * predicted, CLASSES)
+    g.bias += np.bincount(targets, g_hit, CLASSES)
     back = g_miss.T @ predicted
     for i, c in enumerate(noise.tolist()):
         g.target[c] += back[i]
@@ -129,9 +133,7 @@ def nce_step(p: Parameters, contexts: np.ndarray, targets: np.ndarray, noise: np
     for i in range(CONTEXT):
         word = contexts[:, i]
         g.maps[i] += p.context[word].T @ to_predicted
-        hot = np.zeros((CLASSES + 1, n), np.float32)
-        hot[word, np.arange(n)] = 1
-        g.context += hot @ (to_predicted @ p.maps[i].T)
+        g.context += summed(word, to_predicted @ p.maps[i].T, CLASSES + 1)
     grads += g.flat**2
     p.flat -= rate * g.flat / (np.sqrt(grads) + 1e-6)
 
@@ -160,11 +162,26 @@ class Model:
         return {w: i + 1 for i, w in enumerate(list(self.table)[: CLASSES - 1])}
 
 
+def commonest(counts: DataFrame, most: int) -> dict[bytes, int]:
+    """The commonest words, at most so many, in falling order (words as frequent as the first left out are left out too).
+
+    How many words have a count is asked first, so only the words that are wanted go to the driver."""
+    least, have = None, 0
+    for r in counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).toLocalIterator():
+        if have + r.words > most:
+            break
+        least, have = r.n, have + r.words
+    if least is None:
+        return {}
+    rows = [(bytes(r.word), r.n) for r in counts.where(F.col("n") >= least).toLocalIterator()]
+    return dict(sorted(rows, key=lambda x: (-x[1], x[0])))
+
+
 def fit(docs: DataFrame) -> Model:
     train = texts(docs).where(F.col("doc_id").isNotNull() & ~held_out())
     counts = cut(train.select("text").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
     total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    table = {bytes(r.word): r.n for r in counts.orderBy(F.desc("n"), "word").limit(TABLE).collect()}
+    table = commonest(counts, TABLE)
     model = Model(counts, total, types, table, np.empty(0))
     classes = model.classes
     common = np.array([0, *list(table.values())[: CLASSES - 1]], np.float64)
@@ -195,7 +212,7 @@ def fit(docs: DataFrame) -> Model:
         get = classes.get
         for (rows,) in rows_of(batches, "text"):
             for t in rows:
-                held.append(np.array([get(w, 0) for w in tokens(t)], np.int32))
+                held.append(np.array(list(map(get, tokens(t), repeat(0))), np.int32))
                 size += len(held[-1])
             if size >= 16 * BATCH:
                 learn()
@@ -213,7 +230,7 @@ def fit(docs: DataFrame) -> Model:
     return model
 
 
-_tables: dict[str, tuple] = {}
+_tables: dict[str, tuple] = {}  # one model a worker process
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -231,35 +248,40 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         uid, table, flat = shared.value
         if uid not in _tables:
             _tables.clear()
-            known = {w: (i + 1 if i < CLASSES - 1 else 0, math.log10(n + 1)) for i, (w, n) in enumerate(table.items())}
-            _tables[uid] = (known, Parameters(flat.copy()).log_table())
-        known, logs = _tables[uid]
-        get, row = known.get, TaskContext.get().partitionId() << 33
+            counts = np.array([*table.values(), 0], np.float64)  # the last is for what is not in the table
+            classes = np.zeros(len(counts), np.int64)
+            classes[: min(CLASSES - 1, len(table))] = np.arange(1, min(CLASSES - 1, len(table)) + 1)
+            _tables[uid] = ({w: i for i, w in enumerate(table)}, classes, np.log10(counts + 1), Parameters(flat.copy()).log_table())
+        place, classes, own, logs = _tables[uid]
+        get, row = place.get, TaskContext.get().partitionId() << 33
         for keys, rows in rows_of(batches, "doc_id", "text"):
-            out: dict[str, list] = {f.name: [] for f in schema}
-
-            def add(*values, out=out):
-                for f, v in zip(schema, values, strict=True):
-                    out[f.name].append(v)
-
-            for key, text in zip(keys, rows, strict=True):
-                words = tokens(text)
-                found = [get(w) for w in words]
-                rare = Counter([w for w, f in zip(words, found, strict=True) if f is None]) if None in found else {}
-                ids = np.array([f[0] if f else 0 for f in found], np.int32)
-                own = np.array([f[1] if f else 0.0 for f in found])
-                here = np.array([f is not None for f in found])
-                ends = np.zeros(len(ids), bool)
-                ends[-1] = True
-                pairs = contexts_of(ids, ends)
-                by_class = float(logs[pairs[:, 0] * (CLASSES + 1) + pairs[:, 1], ids].astype(np.float64).sum())
-                rest = here & (ids == 0)
-                row += 1
-                base = float(own.sum()) - base_log * int(here.sum())
-                add(row, key, None, 0, len(words), int(here.sum()), base, by_class + float(own[rest].sum()) - rest_log * int(rest.sum()))
-                for w, n in rare.items():
-                    add(row, None, w, n, 0, 0, 0.0, 0.0)
-            yield batch_of(schema, **out)
+            words = [tokens(t) for t in rows]
+            sizes = np.array([len(w) for w in words])
+            flat_words = list(chain.from_iterable(words))
+            at = np.array(list(map(get, flat_words, repeat(len(place)))), np.int64)
+            first, ends = np.cumsum(sizes) - sizes, np.zeros(len(at), bool)
+            ends[np.cumsum(sizes) - 1] = True
+            ids, here = classes[at], at < len(place)
+            pairs = contexts_of(ids, ends)
+            by_class = logs[pairs[:, 0] * (CLASSES + 1) + pairs[:, 1], ids].astype(np.float64)
+            base = np.where(here, own[at] - base_log, 0.0)
+            model_score = by_class + np.where(here & (ids == 0), own[at] - rest_log, 0.0)
+            rare = np.flatnonzero(~here)
+            n, k = len(keys), len(rare)
+            numbers = row + 1 + np.arange(n)
+            row += n
+            zero = np.zeros(k)
+            yield batch_of(
+                schema,
+                row=np.concatenate([numbers, numbers[np.searchsorted(first, rare, side="right") - 1]]),
+                doc_id=keys + [None] * k,
+                word=[None] * n + [flat_words[i] for i in rare.tolist()],
+                tf=np.concatenate([np.zeros(n), zero + 1]).astype(np.int64),
+                n_tokens=np.concatenate([sizes, zero]).astype(np.int64),
+                n_known=np.concatenate([np.add.reduceat(here.astype(np.int64), first), zero]).astype(np.int64),
+                base=np.concatenate([np.add.reduceat(base, first), zero]),
+                score=np.concatenate([np.add.reduceat(model_score, first), zero]),
+            )
 
     parts = texts(docs).mapInArrow(run, "row long, doc_id long, word binary, tf long, n_tokens long, n_known long, base double, score double")
     joined = parts.join(model.counts.withColumnRenamed("n", "c"), "word", "left")
