@@ -87,4 +87,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_array": op9_suffix_array,
     "op10_token_ids": op10_token_ids,
 }
-SQL: dict[str, str] = {}
+#: The other nine have no SQL: hashes, tokenizers, models, edit distances and byte windows are beyond it, or too slow on whole tables.
+SQL: dict[str, str] = {
+    "op4_substring": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  p AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS i, w FROM d),
+  k AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(w[i : i + 19], ' ') ORDER BY doc_id, i) AS n FROM p),
+  gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS pos FROM k WHERE n > 1),
+  words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+  kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)""",
+}
