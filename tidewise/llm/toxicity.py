@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.common import batch_of, rows_of, texts
+from tidewise.llm.common import batch_of, bounded_sample, cut, rows_of, texts
 
 #: What a symbol may stand for in obfuscated spelling.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i", "§": "s", "#": "h", "%": "x"}
@@ -36,10 +36,11 @@ LAMBDA = 4.0
 #: Sizes of the model, not of the data: so many 4-grams and features are kept, the most frequent and the most telling.
 MAX_GRAMS = 200_000
 MAX_FEATURES = 4_096
-#: The logistic model is fitted on at most so many labelled rows, those with the smallest hash; all other counts cover all rows.
-SAMPLE_ROWS = 20_000
+#: The classifier (its features and weights) is fitted on about so many labelled rows, those with the smallest hash, or all if there
+#: are no more; the language model's counts cover all training texts.
+SAMPLE_ROWS = 30_000
 MAX_TOKEN = 48
-CACHE = 300_000
+CACHE = 200_000
 SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
 EDGE = ".,;:!?\"'()[]{}<>«»„“”…"
 PREFIXES = (4, 5, 6)
@@ -127,34 +128,46 @@ def restore(token: str, model: CharModel) -> str:
     return min(states.values())[1].strip()
 
 
-_SUSPICIOUS = re.compile(r"(?=.*[^\W\d_])(?:.*[0-9@$!|+(<€£¡§#%*~/\\_.\-'].*|.*(.)\1\1.*)", re.DOTALL)
+_TRIPLE = re.compile(r"(.)\1\1", re.DOTALL)
+_LETTER = re.compile(r"[^\W\d_]")
+_FRAME = re.compile(r"^([^\w\s])\1+|([^\w\s])\2+[.,;:!?]*$")
+_SWAPPED = frozenset(LOOKALIKES) | frozenset(SEPARATORS)
+
+
+def suspicious(token: str) -> bool:
+    """Letters among look-alikes or separators, or a character three times in a row."""
+    if token.isalpha():
+        return _TRIPLE.search(token) is not None
+    return _LETTER.search(token) is not None and (not _SWAPPED.isdisjoint(token) or _TRIPLE.search(token) is not None)
 
 
 def core(token: str) -> str:
-    """A token without the punctuation around it; a look-alike at its end stays if the rest is spelt with others."""
+    """A token without the punctuation around it (marks and runs of one symbol); a look-alike at its end stays if the rest is spelt with others."""
+    if token.isalpha():
+        return token
+    token = _FRAME.sub("", token)
     bare = token.strip(EDGE)
-    if token and bare != token and any(c in LOOKALIKES for c in bare):
+    if bare != token and any(c in LOOKALIKES for c in bare):
         whole = token.strip(".,;:?\"'()[]{}«»„“”…")
         return whole if len(whole) - len(bare) <= 1 else bare
     return bare
 
 
 class Restorer:
-    """Restored words of texts, with a cache of tokens."""
+    """Restored words of texts; restorations, the costly part, are remembered."""
 
     def __init__(self, model: CharModel) -> None:
         self.model, self.cache = model, {}
 
-    def token(self, token: str) -> tuple[str, ...]:
-        got = self.cache.get(token)
+    def token(self, token: str) -> list[str]:
+        bare = core(token)
+        if len(bare) > MAX_TOKEN or not suspicious(bare):
+            return [bare] if bare else []
+        got = self.cache.get(bare)
         if got is None:
-            bare = core(token)
-            if len(bare) <= MAX_TOKEN and _SUSPICIOUS.match(bare):
-                bare = restore(bare, self.model)
-            got = tuple(bare.split())
             if len(self.cache) >= CACHE:
                 self.cache.clear()
-            self.cache[token] = got
+            got = self.cache[bare] = restore(bare, self.model).split()
         return got
 
     def spaced(self, run: str) -> tuple[str, ...]:
@@ -163,6 +176,7 @@ class Restorer:
 
 
 def tokens_of(text: str | None) -> tuple[set[str], list[str]]:
+    """Distinct lower-case tokens, and runs of three or more single characters."""
     low = (text or "").lower()
     return set(low.split()), SPACED.findall(low)
 
@@ -176,56 +190,77 @@ def word_features(word: str) -> list[int]:
     return out
 
 
-def features_of(text: str | None, restorer: Restorer, cache: dict[str, tuple[int, ...]], known: dict[int, int] | None = None) -> set[int]:
-    """Distinct features of the restored text; with `known`, the numbers of those it holds."""
-    words, runs = tokens_of(text)
-    out: set[int] = set()
-    for w in words:
-        got = cache.get(w)
-        if got is None:
-            ids = [f for x in restorer.token(w) for f in word_features(x)]
-            got = tuple(ids if known is None else [known[f] for f in ids if f in known])
-            if len(cache) >= CACHE:
-                cache.clear()
-            cache[w] = got
-        if got:
-            out.update(got)
-    for run in runs:
-        for x in restorer.spaced(run):
-            ids = word_features(x)
-            out.update(ids if known is None else [known[f] for f in ids if f in known])
-    return out
+class Features:
+    """Distinct features of restored texts, with tables of recent tokens in two generations; with `known`, the numbers of those it holds."""
+
+    def __init__(self, restorer: Restorer, known: dict[int, int] | None = None) -> None:
+        self.restorer, self.known = restorer, known
+        self.young: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
+
+    def _numbers(self, words) -> tuple[int, ...]:
+        ids = [f for w in words for f in word_features(w)]
+        return tuple(ids if self.known is None else [self.known[f] for f in ids if f in self.known])
+
+    def __call__(self, text: str | None) -> set[int]:
+        words, runs = tokens_of(text)
+        young, old = self.young, self.old
+        out: set[int] = set()
+        for w in words:
+            got = young.get(w)
+            if got is None:
+                got = old.get(w)
+                if got is None:
+                    got = self._numbers(self.restorer.token(w))
+                if len(young) >= CACHE:
+                    self.old, self.young = young, {}
+                    young, old = self.young, self.old
+                young[w] = got
+            if got:
+                out.update(got)
+        for run in runs:
+            out.update(self._numbers(self.restorer.spaced(run)))
+        return out
 
 
 def held_out(doc_id="doc_id") -> F.Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
+def count_grams(words: dict[str, int]) -> tuple[list[str], list[int]]:
+    """4-grams of words (blanks stand before and behind), each counted as often as its word; in numpy over all words at once."""
+    kept = {w: n for w, n in words.items() if len(w) <= MAX_TOKEN}
+    if not kept:
+        return [], []
+    edge = " " * (ORDER - 1)
+    points = np.frombuffer("".join([edge + w + " " for w in kept]).encode("utf-32-le", "replace"), "<u4")
+    weight = np.repeat(np.fromiter(kept.values(), np.int64), [len(w) + ORDER for w in kept])
+    alphabet, ids = np.unique(points, return_inverse=True)
+    width, n = int(len(alphabet)).bit_length(), len(points) - ORDER + 1
+    keys = np.zeros(n, np.int64)
+    for i in range(ORDER):
+        keys = keys << width | ids[i : i + n]
+    inside = (points[ORDER - 1 :] != 32) | (points[ORDER - 2 : -1] != 32)  # not across words
+    found, where = np.unique(keys[inside], return_inverse=True)
+    counts = np.bincount(where, weight[:n][inside]).astype(np.int64)
+    letters, mask = [chr(p) for p in alphabet.tolist()], (1 << width) - 1
+    return ["".join([letters[k >> width * j & mask] for j in range(ORDER - 1, -1, -1)]) for k in found.tolist()], counts.tolist()
+
+
 def _counts(batches):
     schema = pa.schema([("gram", pa.string()), ("n", pa.int64())])
-    grams: Counter = Counter()
     words: Counter = Counter()
-
-    def spill():
-        for w, n in words.items():
-            if len(w) <= MAX_TOKEN:
-                padded = " " * (ORDER - 1) + w + " "
-                for i in range(len(w) + 1):
-                    grams[padded[i : i + ORDER]] += n
-        words.clear()
-
     for (rows,) in rows_of(batches, "text"):
         for t in rows:
             if t:
                 words.update(t.lower().split())
-        if len(words) > 200_000:
-            spill()
-        if len(grams) > 400_000:
-            yield batch_of(schema, gram=list(grams), n=list(grams.values()))
-            grams.clear()
-    spill()
+        if len(words) > 300_000:
+            grams, counts = count_grams(words)
+            yield batch_of(schema, gram=grams, n=counts)
+            words.clear()
+    grams, counts = count_grams(words)
     if grams:
-        yield batch_of(schema, gram=list(grams), n=list(grams.values()))
+        yield batch_of(schema, gram=grams, n=counts)
 
 
 def char_model(docs: DataFrame) -> dict[str, int]:
@@ -286,38 +321,50 @@ class Detector:
         return docs.where(~(score(F.col("text")) >= threshold))
 
 
-_scorers: dict = {}
+_kept: dict = {}
+
+
+def _once(key: str, make):
+    """make(), once a worker process and key; the last few are kept."""
+    if key not in _kept:
+        while len(_kept) > 2:
+            _kept.pop(next(iter(_kept)))
+        _kept[key] = make()
+    return _kept[key]
 
 
 def _scorer(shared):
     """One scorer, with its caches, a worker process and model."""
     uid, grams, features, weights = shared.value
-    if uid not in _scorers:
-        _scorers.clear()
-        restorer, cache, known, w = Restorer(CharModel(grams)), {}, {f: i for i, f in enumerate(features)}, weights.tolist()
+
+    def make():
+        w = weights.tolist()
+        found = Features(Restorer(CharModel(grams)), {f: i for i, f in enumerate(features)})
 
         def scorer(text):
-            z = w[-1] + sum([w[i] for i in sorted(features_of(text, restorer, cache, known))])
+            z = w[-1] + sum([w[i] for i in sorted(found(text))])
             return 1 / (1 + math.exp(-min(max(z, -30.0), 30.0)))
 
-        _scorers[uid] = scorer
-    return _scorers[uid]
+        return scorer
+
+    return _once(uid, make)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Detector:
     """Fit on the rows of docs that are not held out."""
     train = texts(docs).where(F.col("doc_id").isNotNull() & ~held_out())
     grams = char_model(train)
-    toxic = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    marked = train.join(toxic, "doc_id").select("doc_id", "text", "toxic")
-    once = marked.groupBy(F.xxhash64("text").alias("h")).agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    marked = marked.join(once, "doc_id", "left_semi")
+    toxic = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
+    sample = bounded_sample(toxic.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), SAMPLE_ROWS, "doc_id")
+    # the sample's size is bounded, so it goes to the texts, not the texts to it; of equal texts one is used
+    found = train.join(F.broadcast(sample), "doc_id").groupBy(F.xxhash64("text")).agg(F.min("doc_id").alias("doc_id"), F.min_by("toxic", "doc_id").alias("toxic"))
+    marked = train.join(F.broadcast(cut(found.select("doc_id", "toxic"))), "doc_id").select("doc_id", "text", "toxic")
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(grams)
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, grams))
     schema = pa.schema([("f", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
     def count(batches):
-        restorer, cache = Restorer(CharModel(shared.value)), {}
+        found = _once(shared.value[0], lambda: Features(Restorer(CharModel(shared.value[1]))))
         seen: dict[int, list[int]] = {}
 
         def out():
@@ -325,7 +372,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Detector:
 
         for rows, ys in rows_of(batches, "text", "toxic"):
             for text, y in zip(rows, ys, strict=True):
-                for f in features_of(text, restorer, cache) | {-1}:
+                for f in found(text) | {-1}:
                     got = seen.get(f)
                     if got is None:
                         got = seen[f] = [0, 0]
@@ -346,16 +393,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Detector:
     best = stats.where("f >= 0 and a >= 3").select("f", z.alias("z")).where("z > 2").orderBy(F.desc("z"), "f").limit(MAX_FEATURES).collect()
     stats.unpersist()
     features = [r.f for r in best]
-    known = spark.sparkContext.broadcast((grams, features))
+    known = spark.sparkContext.broadcast((uuid.uuid4().hex, grams, features))
     pairs = pa.schema([("toxic", pa.int32()), ("ids", pa.list_(pa.int32()))])
 
     def sparse(batches):
-        restorer, cache, index = Restorer(CharModel(known.value[0])), {}, {f: i for i, f in enumerate(known.value[1])}
+        uid, grams, features = known.value
+        found = _once(uid, lambda: Features(Restorer(CharModel(grams)), {f: i for i, f in enumerate(features)}))
         for rows, ys in rows_of(batches, "text", "toxic"):
-            yield batch_of(pairs, toxic=ys, ids=[sorted(features_of(t, restorer, cache, index)) for t in rows])
+            yield batch_of(pairs, toxic=ys, ids=[sorted(found(t)) for t in rows])
 
-    share = min(1.0, 1.05 * SAMPLE_ROWS / max(1, total.a + total.b))
-    sample = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(share * 1_000_003) + 1)
-    got = sample.select("text", "toxic").mapInArrow(sparse, "toxic int, ids array<int>").limit(2 * SAMPLE_ROWS).collect()
+    got = marked.select("text", "toxic").mapInArrow(sparse, "toxic int, ids array<int>").collect()
     weights = fit_logistic([list(r.ids) for r in got], np.array([r.toxic for r in got], float), len(features))
     return Detector(grams, features, weights)
