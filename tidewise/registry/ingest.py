@@ -38,12 +38,12 @@ def q_range_confirmed(spark, sf_dir):
 
 
 @query(
-    """WITH x AS (SELECT o_custkey, o_orderkey, max((o_orderkey % 7 = 0)::INT) OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC ROWS UNBOUNDED PRECEDING) AS stopped FROM orders) SELECT o_custkey, o_orderkey FROM x WHERE stopped = 0"""
+    """WITH x AS (SELECT o_custkey, o_orderkey, max((o_orderstatus = 'P')::INT) OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC ROWS UNBOUNDED PRECEDING) AS stopped FROM orders) SELECT o_custkey, o_orderkey FROM x WHERE stopped = 0"""
 )
 def q_freshness_keyset(spark, sf_dir):
     """Newest first until the first one known: what an early-terminating scan takes."""
-    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
-    return relational.until_first(orders, ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")], F.col("o_orderkey") % 7 == 0).select("o_custkey", "o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus")
+    return relational.until_first(orders, ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")], F.col("o_orderstatus") == "P").select("o_custkey", "o_orderkey")
 
 
 @query("SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_order, strftime(max(o_orderdate), '%Y-%m-%d') AS high_water, strftime(greatest(max(o_orderdate) - INTERVAL 2 DAY, TIMESTAMP '1998-01-01'), '%Y-%m-%d') AS window_start FROM orders GROUP BY o_custkey")
@@ -71,24 +71,24 @@ def q_backfill_decision(spark, sf_dir):
 
 
 @query(
-    """WITH d AS (SELECT l_orderkey, max(l_shipdate) AS got FROM lineitem WHERE l_linenumber = 1 GROUP BY l_orderkey) SELECT o_orderkey FROM orders LEFT JOIN d ON l_orderkey = o_orderkey
+    """WITH d AS (SELECT l_orderkey, max(l_shipdate) AS got FROM lineitem GROUP BY l_orderkey) SELECT o_orderkey FROM orders LEFT JOIN d ON l_orderkey = o_orderkey
 WHERE got IS NULL OR o_orderdate > got OR o_orderstatus = 'P'"""
 )
 def q_should_attempt(spark, sf_dir):
     """Pending, never fetched, or updated since."""
-    got = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("got"))
+    got = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("got"))
     return table(spark, sf_dir, "orders").join(got, "o_orderkey", "left").where("got is null or o_orderdate > got or o_orderstatus = 'P'").select("o_orderkey")
 
 
-@query("SELECT l_orderkey, l_linenumber, CAST(greatest(1, ceil(l_quantity / (CASE WHEN l_linenumber <= 2 THEN 100 WHEN l_linenumber <= 5 THEN 50 ELSE 10 END))) AS BIGINT) AS estimated, round(abs(l_tax * 100 - l_discount * 100) / greatest(1, l_tax * 100) * 100, 4) AS error_pct FROM lineitem WHERE l_orderkey % 10 = 0")
+@query("SELECT l_orderkey, l_linenumber, CAST(greatest(1, ceil(l_quantity / (CASE WHEN l_linenumber <= 2 THEN 100 WHEN l_linenumber <= 5 THEN 50 ELSE 10 END))) AS BIGINT) AS estimated, round(abs(l_tax * 100 - l_discount * 100) / greatest(1, l_tax * 100) * 100, 4) AS error_pct FROM lineitem")
 def q_cost_error(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").where("l_orderkey % 10 = 0")
+    rows = table(spark, sf_dir, "lineitem")
     return rows.select("l_orderkey", "l_linenumber", models.estimate_requests(F.col("l_quantity"), F.col("l_linenumber")).alias("estimated"), F.round(models.cost_error_pct(F.col("l_tax") * 100, F.col("l_discount") * 100), 4).alias("error_pct"))
 
 
 @query(
     """WITH s AS (SELECT p_partkey, p_size, count(*) AS n, avg(l_quantity) AS q FROM part JOIN lineitem ON l_partkey = p_partkey GROUP BY ALL),
-  near AS (SELECT a.p_partkey, list_sort(list(round(b.q, 6))) AS x FROM (SELECT * FROM s WHERE p_partkey % 20 = 0) a JOIN s b ON abs(a.p_size - b.p_size) < a.p_size * 0.2 GROUP BY a.p_partkey)
+  near AS (SELECT a.p_partkey, list_sort(list(round(b.q, 6))) AS x FROM s a JOIN s b ON abs(a.p_size - b.p_size) < a.p_size * 0.2 GROUP BY a.p_partkey)
 SELECT p_partkey, len(x) AS similar, CASE WHEN len(x) >= 10 THEN x[CAST(floor(len(x) * 0.75) AS BIGINT) + 1] ELSE 1.0 END AS predicted FROM near"""
 )
 def q_cost_p75(spark, sf_dir):
@@ -98,14 +98,14 @@ def q_cost_p75(spark, sf_dir):
     to counts of values a size, so a common size does not multiply rows by parts."""
     s = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.avg("l_quantity").alias("q")).join(table(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey")
     by_size = s.groupBy(F.col("p_size").alias("near"), F.round("q", 6).alias("q")).agg(F.count("*").alias("c"))
-    sizes = s.where("p_partkey % 20 = 0").select("p_size").distinct()
+    sizes = s.select("p_size").distinct()
     low, high = F.floor(F.col("p_size") * 0.8).cast("int"), F.ceil(F.col("p_size") * 1.2).cast("int")
     bands = sizes.withColumn("near", F.explode(F.sequence(low, high))).where(F.abs(F.col("near") - F.col("p_size")) < F.col("p_size") * 0.2)
     merged = bands.join(by_size, "near").groupBy("p_size", "q").agg(F.sum("c").alias("c"))
     w = Window.partitionBy("p_size")
     upto = merged.withColumn("upto", F.sum("c").over(w.orderBy("q"))).withColumn("similar", F.sum("c").over(w))
     p75 = upto.where(F.col("upto") > F.floor(F.col("similar") * 0.75)).groupBy("p_size").agg(F.min("q").alias("p75"), F.max("similar").alias("similar"))
-    return s.where("p_partkey % 20 = 0").join(p75, "p_size").select("p_partkey", "similar", F.when(F.col("similar") >= 10, F.col("p75")).otherwise(1.0).alias("predicted"))
+    return s.join(p75, "p_size").select("p_partkey", "similar", F.when(F.col("similar") >= 10, F.col("p75")).otherwise(1.0).alias("predicted"))
 
 
 @query(

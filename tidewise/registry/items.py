@@ -105,10 +105,10 @@ def q_json_props(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_type", k.alias("k")).groupBy("event_type").agg(F.sum("k").alias("k_sum"), F.max("k").alias("k_max"), F.count("k").alias("k_count"))
 
 
-@query("SELECT page_id, url FROM pages p WHERE NOT EXISTS (SELECT 1 FROM pages h WHERE h.page_id % 3 = 0 AND h.url = p.url)")
+@query("SELECT page_id, url FROM pages p WHERE NOT EXISTS (SELECT 1 FROM pages h WHERE contains(h.url, '/en/') AND h.url = p.url)")
 def q_anti_history(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    history = pages.where("page_id % 3 = 0").select("url").distinct()
+    history = pages.where("contains(url, '/en/')").select("url").distinct()
     return pages.join(history, "url", "left_anti").select("page_id", "url")
 
 
@@ -125,11 +125,11 @@ STOP_WORDS = (
 
 
 @query(
-    f"""SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(lower(text), '[^a-z0-9'']+')) AS word FROM documents WHERE lang = 'en')
+    f"""SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(lower(text), '[^a-z0-9'']+')) AS word FROM documents)
 WHERE length(word) > 3 AND word NOT IN ({", ".join(f"'{w}'" for w in STOP_WORDS)}) GROUP BY word ORDER BY n DESC, word LIMIT 50"""
 )
 def q_keywords(spark, sf_dir):
-    words = table(spark, sf_dir, "documents").where("lang = 'en'").select(F.explode(F.split(F.lower("text"), "[^a-z0-9']+")).alias("word"))
+    words = table(spark, sf_dir, "documents").select(F.explode(F.split(F.lower("text"), "[^a-z0-9']+")).alias("word"))
     kept = words.where((F.length("word") > 3) & ~F.col("word").isin(*STOP_WORDS))
     return kept.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(50)
 
@@ -158,12 +158,12 @@ def q_convergence_matrix(spark, sf_dir):
 
 
 @query(
-    """WITH a AS (SELECT DISTINCT p_name AS l FROM part WHERE p_partkey < 300), b AS (SELECT DISTINCT p_name AS r FROM part WHERE p_partkey >= 300 AND p_partkey < 600)
-SELECT l, r, CAST(levenshtein(lower(l), lower(r)) AS INT) AS distance FROM a, b WHERE levenshtein(lower(l), lower(r)) <= 2"""
+    """WITH a AS (SELECT DISTINCT p_name AS l FROM part), b AS (SELECT l AS r FROM a)
+SELECT l, r, CAST(levenshtein(lower(l), lower(r)) AS INT) AS distance FROM a, b WHERE l < r AND levenshtein(lower(l), lower(r)) <= 2"""
 )
 def q_fuzzy_entities(spark, sf_dir):
-    names = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return relational.similar_names(names.where("p_partkey < 300").select("p_name"), names.where("p_partkey >= 300 and p_partkey < 600").select("p_name"))
+    names = table(spark, sf_dir, "part").select("p_name")
+    return relational.similar_names(names, names).where("l < r")
 
 
 @query("SELECT doc_id, replace(substr(regexp_replace(text, '[\\r\\n]+', ' ', 'g'), 1, 80), '|', '/') AS headline, CASE WHEN n_chars >= 2000 THEN 'high' WHEN n_chars >= 600 THEN 'medium' ELSE 'low' END AS tier FROM documents")

@@ -37,12 +37,12 @@ def q_thread_velocity(spark, sf_dir):
     return v.groupBy((F.col("item") % 25).cast("long").alias("thread")).agg(r6(F.sum(F.abs(F.col("b") - F.col("a"))) / F.max("m"), "velocity"))
 
 
-@query(f"{REC}, d AS (SELECT thread, node, max(distance) AS depth FROM closure GROUP BY ALL) SELECT n.thread, n.node FROM nodes n JOIN d USING (thread, node) JOIN nodes p ON p.thread = n.thread AND p.node = n.parent WHERE depth >= 2 AND length(n.text) % 3 = 1 AND length(p.text) % 3 = 1")
+@query(f"{REC}, d AS (SELECT thread, node, max(distance) AS depth FROM closure GROUP BY ALL) SELECT n.thread, n.node FROM nodes n JOIN d USING (thread, node) JOIN nodes p ON p.thread = n.thread AND p.node = n.parent WHERE depth >= 2 AND length(n.text) < 400 AND length(p.text) < 400")
 def q_dead_branches(spark, sf_dir):
     nodes = thread_nodes(spark, sf_dir)
     depth = trees.closure(nodes).groupBy("thread", "node").agg(F.max("distance").alias("depth"))
-    parents = nodes.select("thread", F.col("node").alias("parent"), (F.length("text") % 3).alias("ps"))
-    return nodes.join(depth, ["thread", "node"]).join(parents, ["thread", "parent"]).where((F.col("depth") >= 2) & (F.length("text") % 3 == 1) & (F.col("ps") == 1)).select("thread", "node")
+    parents = nodes.select("thread", F.col("node").alias("parent"), F.length("text").alias("ps"))
+    return nodes.join(depth, ["thread", "node"]).join(parents, ["thread", "parent"]).where((F.col("depth") >= 2) & (F.length("text") < 400) & (F.col("ps") < 400)).select("thread", "node")
 
 
 @query("WITH l AS (SELECT quantile_cont(o_totalprice, 0.95) AS p95 FROM orders) SELECT o_orderkey, round(o_totalprice / p95, 6) AS times FROM orders, l WHERE o_totalprice > 1.02 * p95 OR (o_orderpriority = '1-URGENT' AND o_totalprice > 0.99 * p95)")
@@ -67,12 +67,12 @@ def q_poll_due(spark, sf_dir):
 
 
 @query(
-    """WITH top AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey ORDER BY n DESC, o_custkey LIMIT 100) SELECT o_custkey, n FROM top WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 2000 AND c_custkey % 14 <= 7)"""
+    """WITH top AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey ORDER BY n DESC, o_custkey LIMIT 100) SELECT o_custkey, n FROM top WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 2000 AND c_mktsegment <> 'BUILDING')"""
 )
 def q_uncached_authors(spark, sf_dir):
     """The busiest hundred without a fresh profile: the cache is TTL-filtered, then anti-joined to the hundred."""
     top = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "o_custkey").limit(100)
-    fresh = table(spark, sf_dir, "customer").where("c_acctbal > 2000 and c_custkey % 14 <= 7").select(F.col("c_custkey").alias("o_custkey"))
+    fresh = table(spark, sf_dir, "customer").where("c_acctbal > 2000 and c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
     return top.join(fresh, "o_custkey", "left_anti")
 
 

@@ -54,10 +54,10 @@ def q_interval(spark, sf_dir):
     return _queue(spark, sf_dir).select("item", r6(F.col("interval"), "interval_hours"))
 
 
-@query(f"WITH {STATE} SELECT item, round(due, 6) AS due, round(lateness, 4) AS lateness, round(temperature / (1 + 0.15::DOUBLE * lateness * interval), 6) AS priority FROM queue ORDER BY round(due, 6), priority DESC, item LIMIT 100")
+@query(f"WITH {STATE} SELECT item, round(due, 6) AS due, round(lateness, 4) AS lateness, round(temperature / (1 + 0.15::DOUBLE * lateness * interval), 6) AS priority FROM queue ORDER BY round(due, 6), priority DESC, item")
 def q_priority_queue(spark, sf_dir):
     q = _queue(spark, sf_dir).select("item", r6(F.col("due"), "due"), F.round("lateness", 4).alias("lateness"), r6(F.col("priority"), "priority"))
-    return q.orderBy("due", F.desc("priority"), "item").limit(100)
+    return q.orderBy("due", F.desc("priority"), "item")
 
 
 @query(f"WITH {STATE} SELECT count(*) AS posts, round(avg(lateness), 4) AS mean_lateness, count(*) FILTER (raw > 0) AS late FROM queue")

@@ -52,26 +52,26 @@ def q_paths(spark, sf_dir):
 
 
 @query(
-    f"""{REC}, mine AS (SELECT thread, node FROM nodes WHERE author = 'assistant' AND length(text) % 5 = 0)
+    f"""{REC}, mine AS (SELECT thread, node FROM nodes WHERE author = 'assistant' AND length(text) > 500)
 SELECT c.thread, c.ancestor AS node FROM closure c JOIN mine USING (thread, node) UNION SELECT c.thread, c.node FROM closure c JOIN mine m ON m.thread = c.thread AND m.node = c.ancestor"""
 )
 def q_user_subtree(spark, sf_dir):
-    return trees.subtree_of(thread_nodes(spark, sf_dir), (F.col("author") == "assistant") & (F.length("text") % 5 == 0))
+    return trees.subtree_of(thread_nodes(spark, sf_dir), (F.col("author") == "assistant") & (F.length("text") > 500))
 
 
 @query(
-    f"""{REC}, inside AS (SELECT c.thread, c.ancestor AS node, sum((n.author = 'assistant' AND length(n.text) % 5 = 0)::INT) AS n_mine, sum((length(n.text) >= 400)::INT) AS n_active FROM closure c JOIN nodes n USING (thread, node) GROUP BY ALL),
+    f"""{REC}, inside AS (SELECT c.thread, c.ancestor AS node, sum((n.author = 'assistant' AND length(n.text) > 500)::INT) AS n_mine, sum((length(n.text) >= 400)::INT) AS n_active FROM closure c JOIN nodes n USING (thread, node) GROUP BY ALL),
   own AS (SELECT n.thread, n.node, n.parent IS NULL OR ((n_mine > 0 OR n_active >= 2) AND length(n.text) >= 60) AS stays FROM nodes n JOIN inside USING (thread, node))
 SELECT c.thread, c.node FROM closure c JOIN own o ON o.thread = c.thread AND o.node = c.ancestor GROUP BY ALL HAVING bool_and(o.stays)"""
 )
 def q_prune(spark, sf_dir):
-    mine = (F.col("author") == "assistant") & (F.length("text") % 5 == 0)
+    mine = (F.col("author") == "assistant") & (F.length("text") > 500)
     return trees.pruned(thread_nodes(spark, sf_dir), mine, F.length("text") >= 400, F.length("text") < 60)
 
 
-@query(f"WITH {NODES}, k AS (SELECT * FROM nodes WHERE node <> 1) SELECT thread, node, parent FROM k WHERE parent IS NOT NULL AND NOT EXISTS (SELECT 1 FROM k p WHERE p.thread = k.thread AND p.node = k.parent)")
+@query(f"WITH {NODES}, k AS (SELECT * FROM nodes WHERE length(text) >= 150) SELECT thread, node, parent FROM k WHERE parent IS NOT NULL AND NOT EXISTS (SELECT 1 FROM k p WHERE p.thread = k.thread AND p.node = k.parent)")
 def q_orphans(spark, sf_dir):
-    return trees.orphans(thread_nodes(spark, sf_dir).where("node <> 1")).select("thread", "node", "parent")
+    return trees.orphans(thread_nodes(spark, sf_dir).where("length(text) >= 150")).select("thread", "node", "parent")
 
 
 @query(f"WITH {NODES} SELECT thread, parent AS src, node AS dst, 't1_' || node AS dst_name FROM nodes WHERE parent IS NOT NULL")
