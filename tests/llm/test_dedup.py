@@ -119,19 +119,36 @@ def test_interval_expansion_finds_the_repeated_strings(seed):
         assert sufarray.repeated_starts(text, k).tolist() == want
 
 
-def test_anchor_filter_keeps_every_repeated_window(spark):
+@pytest.mark.parametrize("hot", [None, 3])
+def test_anchor_filter_keeps_every_repeated_anchor(spark, hot):
     rows = corpus(3)
     scheme = anchors.Scheme(20, 5, words=True)
     docs = common.texts(frame(spark, rows))
-    kept = {r.doc_id: set(r.hs) for r in anchors.with_repeated(docs, scheme).collect() if r.hs}
-    totals = {}
-    for r in anchors.anchors(docs, scheme).collect():
-        totals[r.h] = totals.get(r.h, 0) + r.c
-    want = {}
-    for r in anchors.anchors(docs, scheme).collect():
-        if totals[r.h] > 1:
-            want.setdefault(r.doc_id, set()).add(r.h)
-    assert kept == want
+    totals, held = {}, {}
+    for i, t in rows:
+        for pack in anchors.packs(scheme, [(t or "").encode()]):
+            g, m = anchors.minima(scheme, pack)
+            chosen = {p for s in range(len(m)) if m[s] for p in range(s, s + scheme.span) if g[p] == m[s]}
+            for p in chosen:
+                totals[int(g[p])] = totals.get(int(g[p]), 0) + 1
+                held.setdefault(i, set()).add(int(g[p]))
+    want = {i: {h for h in hs if totals[h] > 1} for i, hs in held.items()}
+    got = anchors.with_repeated(docs, scheme, hot).collect()
+    assert {r.doc_id: {h & (1 << 64) - 1 for h in r.hs} for r in got if r.hs} == {i: hs for i, hs in want.items() if hs}
+    if hot:
+        many = {h for h in totals if sum(h in hs for hs in want.values()) > hot}
+        assert {h & (1 << 64) - 1 for r in got for h in r.hot or ()} == many
+
+
+def test_settled_rows_pass_and_pending_ones_wait():
+    import pyarrow as pa
+
+    def batch(*rows):
+        return pa.RecordBatch.from_pydict({k: [r[i] for r in rows] for i, k in enumerate(("h", "doc_id", "c"))}, schema=anchors._ANCHOR)
+
+    batches = [batch((1, 10, 1), (2, 11, 1)), batch((2, 12, 1), (2, 13, 0), (3, 14, 2)), batch((4, 15, 0)), batch((5, 16, 1)), batch((5, 17, 1), (6, 18, 1))]
+    got = [(d, h) for b in anchors._keep_repeated(iter(batches)) for d, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+    assert sorted(got) == [(11, 2), (12, 2), (13, 2), (14, 3), (15, 4), (16, 5), (17, 5)]
 
 
 def brute_fp(text, k):

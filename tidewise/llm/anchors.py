@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.common import batch_of, sliding
+from tidewise.llm.common import batch_of, cut, sliding
 
 PIECE = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
@@ -127,13 +127,26 @@ def minima(scheme: Scheme, pack: Pack) -> tuple[np.ndarray, np.ndarray]:
 
 
 _ANCHOR = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("c", pa.int32())])
+SETTLED = 0
+
+
+def _collapsed(h: np.ndarray, doc: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+    """Of a hash that several documents of one batch hold, one row goes on for all (c = 2); the others are settled."""
+    order = np.lexsort((doc, h))
+    h, doc, c = h[order], doc[order], c[order]
+    first = np.concatenate([[True], h[1:] != h[:-1]])
+    size = np.diff(np.append(np.flatnonzero(first), len(h)))
+    c = np.where(first, np.where(np.repeat(size, size) > 1, 2, c), SETTLED)
+    return batch_of(_ANCHOR, h=h, doc_id=doc, c=c.astype(np.int32))
 
 
 def anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """h, doc_id, c: each document's distinct anchor hashes, and whether one occurs once (1) or more often (2) in it."""
+    """h, doc_id, c: each document's distinct anchor hashes; c tells whether one occurs once (1) or more often (2) in what the row
+    stands for, or that it is known to repeat already (0), so a hash that very many documents hold gives one unsettled row a batch."""
 
     def run(batches):
         for batch in batches:
+            out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 keys = part.column(0).to_numpy()
@@ -149,7 +162,9 @@ def anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
                     if not len(h):
                         continue
                     first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])]))
-                    yield batch_of(_ANCHOR, h=h[first], doc_id=doc[first], c=np.minimum(np.diff(np.append(first, len(h))), 2).astype(np.int32))
+                    out.append((h[first], doc[first], np.minimum(np.diff(np.append(first, len(h))), 2)))
+            if out:
+                yield _collapsed(*(np.concatenate(x) for x in zip(*out, strict=True)))
 
     return docs.where("doc_id is not null").mapInArrow(run, "h long, doc_id long, c int")
 
@@ -158,12 +173,18 @@ _KEPT = pa.schema([("doc_id", pa.int64()), ("h", pa.int64())])
 
 
 def _keep_repeated(batches):
-    """From rows sorted by h, those of hashes that occur more than once in all; one pending row is all that is carried."""
+    """From rows sorted by h, the settled ones and those of hashes that occur more than once in all; one pending row is all that is carried."""
     last, total, pending = None, 0, None
     for batch in batches:
         if not batch.num_rows:
             continue
         h, doc, c = (batch.column(i).to_numpy() for i in range(3))
+        settled = c == SETTLED
+        if settled.any():
+            yield batch_of(_KEPT, doc_id=doc[settled], h=h[settled])
+            h, doc, c = h[~settled], doc[~settled], c[~settled]
+            if not len(h):
+                continue
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         sums = np.add.reduceat(c.astype(np.int64), first)
         goes_on = last is not None and h[0] == last
@@ -184,16 +205,29 @@ def _keep_repeated(batches):
             yield batch_of(_KEPT, doc_id=out_doc, h=out_h)
 
 
-def with_repeated(docs: DataFrame, scheme: Scheme) -> DataFrame:
+def repeated(docs: DataFrame, scheme: Scheme) -> DataFrame:
+    """doc_id, h: the documents' anchor hashes that occur more than once in all.
+
+    Unsettled rows are dealt by hash and streamed in sorted order, settled ones by document."""
+    home = F.when(F.col("c") == SETTLED, F.xxhash64("doc_id")).otherwise(F.col("h"))
+    return anchors(docs, scheme).repartition(home).sortWithinPartitions("h").mapInArrow(_keep_repeated, "doc_id long, h long")
+
+
+def with_repeated(docs: DataFrame, scheme: Scheme, hot: int | None = None) -> DataFrame:
     """doc_id, text, hs for every document; hs are the hashes of its repeated anchors (null: none).
 
-    The anchors are dealt by hash and streamed in sorted order, so a hash that a third of all documents hold needs no
-    memory.  The join keeps all documents so that their exchange by doc_id is the very one the callers' last join
-    asks for: Spark makes it once and reads it twice.
+    With `hot` also hot: those that over so many documents hold.  The join keeps all documents so that their exchange by doc_id is the very
+    one the callers' last join asks for: Spark makes it once and reads it twice.
     """
-    found = anchors(docs, scheme).repartition("h").sortWithinPartitions("h").mapInArrow(_keep_repeated, "doc_id long, h long")
-    lists = found.groupBy("doc_id").agg(F.collect_list("h").alias("hs"))
-    return docs.join(lists, "doc_id", "left").select("doc_id", "text", "hs")
+    found = repeated(docs, scheme)
+    if hot is None:
+        lists = found.groupBy("doc_id").agg(F.collect_list("h").alias("hs"))
+        return docs.join(lists, "doc_id", "left").select("doc_id", "text", "hs")
+    found = cut(found)  # small: repeated anchors only
+    often = found.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("h", F.lit(True).alias("is_hot"))
+    marked = found.join(often, "h", "left")
+    lists = marked.groupBy("doc_id").agg(F.collect_list("h").alias("hs"), F.collect_list(F.when(F.col("is_hot"), F.col("h"))).alias("hot"))
+    return docs.join(lists, "doc_id", "left").select("doc_id", "text", "hs", "hot")
 
 
 def listed(column) -> list[np.ndarray]:

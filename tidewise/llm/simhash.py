@@ -182,7 +182,9 @@ def compare_tiles(spread: DataFrame, radius: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """doc_id, fp, component_id of every row: all links within `radius` bits, whichever documents they join."""
+    """doc_id, fp, component_id of every row: all links within `radius` bits (4 at most), whichever documents they join."""
+    if not 0 <= radius <= 4:
+        raise ValueError("population counts prune too little beyond 4 bits; use similar_groups")
     marked = fingerprints(docs, shingle)
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("node")).where("node is not null")
     links = compare_tiles(tiles_by_counts(distinct, radius), radius)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.anchors import Scheme, anchors, candidates, grams, listed, packs
+from tidewise.llm.anchors import Scheme, candidates, grams, listed, packs, with_repeated
 from tidewise.llm.common import batch_of, raw, texts
 
 BLOCK = 1 << 20
@@ -36,7 +36,7 @@ _ROW = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64())
 _ROW_DDL = "h1 long, h2 long, doc_id long, pos int, n int, kind int, seg binary"
 _SPAN = pa.schema([("doc_id", pa.int64()), ("span", pa.int64())])
 _LOW = 24  # a span is packed as start << _LOW | windows
-SEGMENT, WINDOW, DONE = 0, 1, 2
+SEGMENT, WINDOW, DONE, TWICE = 0, 1, 2, 3
 
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
@@ -138,8 +138,15 @@ def _segments(scheme, pack, keys, at, h):
     row, pos = pack.owners(at[first])
     whole, starts = pack.units.tobytes(), at[first]
     segs = [whole[s : s + k] for s, k in zip(starts.tolist(), (n + scheme.width - 1).tolist(), strict=True)]
-    k = len(first)
-    yield batch_of(_ROW, h1=h[first], h2=np.zeros(k, np.int64), doc_id=keys[row], pos=pos.astype(np.int32), n=n.astype(np.int32), kind=np.full(k, SEGMENT, np.int32), seg=segs)
+    # of equal segments in one task the first goes on, as one that repeats; the others' windows are settled
+    kind, seen = np.full(len(first), SEGMENT, np.int32), {}
+    home = h[first].copy()
+    for i, key in enumerate(zip(home.tolist(), segs, strict=True)):
+        other = seen.setdefault(key, i)
+        if other != i:
+            kind[i], kind[other], segs[i] = DONE, TWICE, None
+            home[i] = keys[row[i]] * 1_000_003 + pos[i]
+    yield batch_of(_ROW, h1=home, h2=np.zeros(len(first), np.int64), doc_id=keys[row], pos=pos.astype(np.int32), n=n.astype(np.int32), kind=kind, seg=segs)
 
 
 def _windows(scheme, pack, keys, at):
@@ -227,14 +234,16 @@ class _Meeting:
             self.out.append((doc[done], pos[done].astype(np.int64), n[done].astype(np.int64)))
         segs = batch.column(6)
         for i in range(len(h1)):
-            key = (h1[i], h2[i], kind[i] == SEGMENT)
+            if kind[i] == DONE and h2[i] == 0:
+                continue  # a settled segment
+            key = (h1[i], h2[i], kind[i] in (SEGMENT, TWICE))
             if key != self.key:
                 if self.group:
                     self.close()
                 self.key, self.pending, self.repeated = key, None, False
             row = (int(doc[i]), int(pos[i]), int(n[i]))
-            if kind[i] == SEGMENT:
-                self.group.setdefault(segs[i].as_py(), []).append(row)
+            if kind[i] in (SEGMENT, TWICE):
+                self.group.setdefault(segs[i].as_py(), []).extend([row] if kind[i] == SEGMENT else [row, row])
             elif self.repeated:
                 if kind[i] == WINDOW:
                     self.emit([row])
@@ -267,24 +276,12 @@ def _meet(length: int):
     return run
 
 
-_KEPT = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("hot", pa.bool_())])
-
-
-def with_repeated(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """doc_id, text, hs (repeated anchors of the document; null: none), hot (those with over HOT occurrences)."""
-    found = anchors(docs, scheme).repartition("h")  # read twice, made once: both sides ask for the same columns, so the exchange is reused
-    counts = found.groupBy("h").agg(F.sum("c").alias("total"), F.min("doc_id").alias("some")).where("total > 1")
-    kept = found.join(counts, "h").select("doc_id", F.when(F.col("c") > 0, F.col("h")).alias("h"), (F.col("total") > HOT).alias("hot"))
-    lists = kept.groupBy("doc_id").agg(F.collect_list("h").alias("hs"), F.collect_list(F.when(F.col("hot"), F.col("h"))).alias("hot"))
-    return docs.join(lists, "doc_id", "left").select("doc_id", "text", "hs", "hot")  # left: the last join reuses this exchange of docs
-
-
 def dedup(docs: DataFrame, length: int = 200, gram: int = 96, detail: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; with `detail` also spans (start, stop), kept (bytes) and
     kept_text (kept as text; characters that were cut through are left out)."""
     scheme = Scheme(length, gram, words=False)
     docs = texts(docs)
-    rows = with_repeated(docs, scheme).mapInArrow(_cut_segments(scheme), _ROW_DDL)
+    rows = with_repeated(docs, scheme, HOT).mapInArrow(_cut_segments(scheme), _ROW_DDL)
     spans = rows.repartition("h1", "h2").sortWithinPartitions("h1", "h2", F.col("kind").desc()).mapInArrow(_meet(length), "doc_id long, span long")
     per_doc = spans.groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
     fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
