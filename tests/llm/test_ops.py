@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -70,9 +71,9 @@ def test_token_files(spark, monkeypatch, tmp_path, cache):
     assert tokenids.read_document(spark, path, 103) == [got[103].ids]
     encoder = tokenids.WordEncoder(WORDS)
     monkeypatch.setattr(tokenids, "WORD_CACHE", cache)
-    texts = [(t or "").encode() for _, t in rows]
+    texts = [t for _, t in rows]
     for _ in range(2):
-        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_many(texts)] == [library.encode(t.decode(), add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(pa.array(texts))] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
 def test_token_files_of_nothing_and_of_repeats(spark):
@@ -303,3 +304,14 @@ def test_pipeline_stages(spark, tmp_path):
 
 def test_every_query_is_registered():
     assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+
+
+def test_pieces_and_samples_are_bounded(spark):
+    from tidewise.llm import common
+
+    batch = pa.RecordBatch.from_pydict({"text": ["a" * 40, None, "b" * 100, "", "c", "d" * 30, "e" * 31]})
+    got = [p.column(0).to_pylist() for p in common.pieces(iter([batch]), "text", 60)]
+    assert [x for p in got for x in p] == batch.column(0).to_pylist()
+    assert all(len(p) == 1 or sum(len(x or "") for x in p) <= 60 for p in got)
+    assert common.bounded_sample(spark.range(50), 100, "id").count() == 50
+    assert 500 < common.bounded_sample(spark.range(20_000), 1000, "id").count() <= 2000

@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidewise.llm.common import batch_of, raw, rows_of, texts
+from tidewise.llm.common import batch_of, raw, rows_of, texts, worker_state
 
 CACHE_ENTRIES = 500_000
 CACHED_CHARS = 64
@@ -138,14 +138,8 @@ class Codec:
         return b"".join(map(self.vocab.__getitem__, ids))
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
-
-
 def codec(path: str, pattern: str) -> Codec:
-    """One codec a worker process, kept between tasks."""
-    if (path, pattern) not in _codecs:
-        _codecs[path, pattern] = Codec.load(path, pattern)
-    return _codecs[path, pattern]
+    return worker_state(("bpe", path, pattern), lambda: Codec.load(path, pattern))
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool = True) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +27,45 @@ def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple[li
             yield tuple(part.column(part.schema.get_field_index(n)).to_pylist() for n in names)
 
 
+def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches that hold about `most` bytes of the column (at least one row each)."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False)
+        upto, at = np.cumsum(sizes, dtype=np.int64), 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + most, side="right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
+_held: list = [None, None]
+
+
+def worker_state(key, make):
+    """make(), once for a run of tasks with the same key in a worker process.
+
+    One state is held at a time: workers are shared by all operators of a job, and the tables of one that is done would crowd the next."""
+    if _held[0] != key:
+        _held[0] = _held[1] = None
+        _held[1] = make()
+        _held[0] = key
+    return _held[1]
+
+
+def kept_rows(docs: DataFrame, column: str, judge) -> DataFrame:
+    """The rows of docs, all columns, for which judge() gives a function that is true of the column's value; rows pass as Arrow slices."""
+    place = docs.columns.index(column)
+
+    def run(batches):
+        keep = judge()
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                yield part.filter(pa.array([keep(x) for x in part.column(place).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     """A batch of the schema's columns; others given are left out."""
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.common import batch_of, rows_of, texts
+from tidewise.llm.common import batch_of, kept_rows, rows_of, texts
 
 CHARS_PER_ERROR = 12
 MIN_CHARS = 24
@@ -156,10 +156,9 @@ def clean(docs: DataFrame, items: DataFrame, chars_per_error: int = CHARS_PER_ER
     for block in _blocks(items):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
-        @F.pandas_udf("boolean")
-        def holds(column, shared=shared):
+        def judge(shared=shared):
             matcher = Matcher(shared.value, chars_per_error)
-            return column.map(lambda text: bool(matcher.match(text)))
+            return lambda text: not matcher.match(text)
 
-        out = out.where(~holds(F.col("text")))
+        out = kept_rows(out, "text", judge)
     return out

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.common import batch_of, cut, raw, rows_of, texts
+from tidewise.llm.common import batch_of, cut, raw, rows_of, texts, worker_state
 
 END = b"\n"  # no word holds white space
 CLASSES = 256
@@ -230,9 +230,6 @@ def fit(docs: DataFrame) -> Model:
     return model
 
 
-_tables: dict[str, tuple] = {}  # one model a worker process
-
-
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row (log10)."""
     shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, model.table, model.parameters))
@@ -246,13 +243,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         from pyspark import TaskContext
 
         uid, table, flat = shared.value
-        if uid not in _tables:
-            _tables.clear()
+
+        def make():
             counts = np.array([*table.values(), 0], np.float64)  # the last is for what is not in the table
             classes = np.zeros(len(counts), np.int64)
             classes[: min(CLASSES - 1, len(table))] = np.arange(1, min(CLASSES - 1, len(table)) + 1)
-            _tables[uid] = ({w: i for i, w in enumerate(table)}, classes, np.log10(counts + 1), Parameters(flat.copy()).log_table())
-        place, classes, own, logs = _tables[uid]
+            return {w: i for i, w in enumerate(table)}, classes, np.log10(counts + 1), Parameters(flat.copy()).log_table()
+
+        place, classes, own, logs = worker_state(uid, make)
         get, row = place.get, TaskContext.get().partitionId() << 33
         for keys, rows in rows_of(batches, "doc_id", "text"):
             words = [tokens(t) for t in rows]

@@ -14,19 +14,19 @@ by text; a null doc_id sorts first.  An empty table gives an empty result.  Extr
 from __future__ import annotations
 
 import hashlib
-import re
 import zlib
 from array import array
-from itertools import filterfalse, pairwise
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidewise.llm.common import batch_of, bounded_sample, raw, rows_of, shared_path, texts
+from tidewise.llm.common import batch_of, bounded_sample, pieces, shared_path, texts, worker_state
 
 BLOCK_TOKENS = 262_144
 BLOCK_DOCS = 2_048
@@ -34,62 +34,59 @@ DICTIONARY_BYTES = 65_536
 #: The dictionary is fitted on about so many documents, those with the smallest hash of doc_id.
 SAMPLE_DOCS = 1_000
 LEVEL = 3
-WORD_CACHE = 400_000
+WORD_CACHE = 150_000
 
 _BLOCK = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int32())), ("offsets", pa.list_(pa.int64())), ("payload", pa.binary()), ("dictionary_sha256", pa.string()), ("start", pa.int64()), ("block_tokens", pa.int64())])
 _BLOCK_DDL = "part int, block int, doc_ids array<long>, n_tokens array<int>, offsets array<long>, payload binary, dictionary_sha256 string, start long, block_tokens long"
 
 
-#: A full stop or comma between a letter (ASCII, or of Latin-1 by its two UTF-8 bytes) and white space.
-_STOP = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,])(?=\s)")
+#: A full stop or comma between a letter (ASCII or Latin-1) and white space is a pre-token of its own; it is set apart, which
+#: leaves fewer forms of words.
+_STOP = "([a-zß-öø-ÿÀ-ÖØ-Þ])([.,])([ \\t\\n\\r\\f])"
 
 
 class WordEncoder:
-    """Whole-text encoding through a cache of white-space separated words.
+    """Whole-text encoding through tables of white-space separated words.
 
-    Valid for tokenizers that drop white space and never join text across it (word_bpe_49k is one): the ids of a text are
-    then the ids of its words in order.  Words not cached go to the library in one batch.
+    Valid for tokenizers that drop white space, lower-case letters and never join text across white space (word_bpe_49k is one): the
+    ids of a text are then the ids of its words in order.  Texts are split and their distinct words found by Arrow; words
+    not in the tables go to the library in bulk; ids are put together by one numpy gather.
     """
 
     def __init__(self, path: str) -> None:
+        pa.set_memory_pool(pa.system_memory_pool())  # gives large buffers back to the system at once
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = False
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    @staticmethod
-    def words(row: bytes) -> list[bytes]:
-        """The row's words, in fewer forms: ASCII letters are lower-cased (the tokenizer does so anyway) and a full stop or
-        comma between a letter and white space, a pre-token of its own, is set apart.  Rows that may spell a special token stay."""
-        if b"<|" in row:
-            return row.split()
-        return _STOP.sub(rb" \1", row.lower()).split()
-
-    def _learn(self, missing: set[bytes]) -> None:
-        if len(self.young) + len(missing) > WORD_CACHE:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        fresh = []
-        for w in missing:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are not in the young table, which gets them."""
+        old, fresh = self.old, []
+        known: dict[str, bytes] = {}
+        for w in words:
             ids = old.get(w)
             if ids is None:
                 fresh.append(w)
             else:
-                young[w] = ids
-        if fresh:
-            self._encode(fresh, young)
+                known[w] = ids
+        self._encode(fresh, known)
+        if len(self.young) + len(known) > WORD_CACHE:
+            self.old, self.young = self.young, {}
+        self.young.update(known)
+        return [known[w] for w in words]
 
-    def _encode(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
+    def _encode(self, words: list[str], into: dict[str, bytes]) -> None:
         """Words of letters alone are one pre-token, so many go to the library as one text and are told apart by the ends of words."""
         plain, other = [], []
         for w in words:
-            (plain if len(w) < 100 and w.decode().isalpha() else other).append(w)
+            (plain if len(w) < 100 and w.isalpha() else other).append(w)
         for at in range(0, len(plain), 4096):
             part = plain[at : at + 4096]
-            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(part):
                 other += part
@@ -99,30 +96,35 @@ class WordEncoder:
                 into[w] = data[last:stop]
                 last = stop
         if other:
-            for w, got in zip(other, self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False), strict=True):
+            for w, got in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
                 into[w] = array("I", got.ids).tobytes()
 
-    def encode_many(self, rows: list[bytes]) -> list[bytes]:
-        split = [self.words(r) for r in rows]
-        young = self.young
-        missing: set[bytes] = set()
-        for words in split:
-            missing.update(filterfalse(young.__contains__, words))
-        if missing:
-            self._learn(missing)
-            if self.young is not young:  # a new generation: what these rows need is in it or in the one before
-                new, old = self.young, self.old
-                young = {w: new[w] if w in new else old[w] for words in split for w in words}
-        return [b"".join(map(young.__getitem__, words)) for words in split]
-
-
-_encoders: dict[str, WordEncoder] = {}
+    def encode(self, column: pa.Array) -> list[bytes]:
+        """Ids of each text of a string column (null: none) as little-endian unsigned 32-bit integers."""
+        column = column.fill_null("")
+        low = pc.replace_substring_regex(pc.ascii_lower(column), pattern=_STOP, replacement=r"\1 \2\3")
+        special = pc.match_substring(column, "<|")  # may spell a special token: these stay as they are
+        if pc.any(special).as_py():
+            low = pc.if_else(special, column, low)
+        split = pc.ascii_split_whitespace(low)
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        ids = list(map(self.young.get, words))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        for i, x in zip(missing, self._learn([words[i] for i in missing]), strict=True):
+            ids[i] = x
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy()
+        counts = sizes[at]
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        tokens = pool[np.arange(upto[-1]) - np.repeat(upto[:-1] - first[at], counts)].tobytes()
+        edges = (4 * upto[split.offsets.to_numpy() - split.offsets[0].as_py()]).tolist()
+        return [tokens[a:b] for a, b in pairwise(edges)]
 
 
 def encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return worker_state(("words", path), lambda: WordEncoder(path))
 
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, sample_docs: int = SAMPLE_DOCS) -> bytes:
@@ -132,8 +134,8 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, sample_d
 
     def run(batches):
         coder = encoder(tokenizer_path)
-        for (rows,) in rows_of(batches, "text"):
-            yield pa.RecordBatch.from_arrays([pa.array([x[: 1 << 14] + end for x in coder.encode_many([raw(t) for t in rows])], pa.binary())], ["ids"])
+        for part in pieces(batches, "text"):
+            yield pa.RecordBatch.from_arrays([pa.array([x[: 1 << 14] + end for x in coder.encode(part.column(0))], pa.binary())], ["ids"])
 
     samples = [r.ids for r in picked.select("text").mapInArrow(run, "ids binary").collect()]
     if len(samples) < 8:
@@ -163,8 +165,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
         def full():
             return batch_of(_BLOCK, part=[part], block=[block], doc_ids=[ids], n_tokens=[counts], offsets=[offsets], payload=[b"".join(frames)], dictionary_sha256=[digest], start=[start], block_tokens=[sum(counts)])
 
-        for keys, rows in rows_of(batches, "doc_id", "text"):
-            for key, data in zip(keys, coder.encode_many([raw(t) for t in rows]), strict=True):
+        for part_of in pieces(batches, "text"):
+            for key, data in zip(part_of.column(0).to_pylist(), coder.encode(part_of.column(1)), strict=True):
                 frame = squeeze.compress(data + end)
                 ids.append(key)
                 counts.append(len(data) // 4 + 1)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.common import batch_of, bounded_sample, cut, rows_of, texts
+from tidewise.llm.common import batch_of, bounded_sample, cut, kept_rows, rows_of, texts, worker_state
 
 #: What a symbol may stand for in obfuscated spelling.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i", "§": "s", "#": "h", "%": "x"}
@@ -40,7 +40,7 @@ MAX_FEATURES = 4_096
 #: are no more; the language model's counts cover all training texts.
 SAMPLE_ROWS = 30_000
 MAX_TOKEN = 48
-CACHE = 200_000
+CACHE = 150_000
 SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
 EDGE = ".,;:!?\"'()[]{}<>«»„“”…"
 PREFIXES = (4, 5, 6)
@@ -310,27 +310,14 @@ class Detector:
         return texts(docs).mapInArrow(run, "doc_id long, score double")
 
     def flag(self, docs: DataFrame, threshold: float) -> DataFrame:
-        """All columns of docs and score; only rows whose score is under the threshold."""
+        """The rows of docs, all columns, whose text scores under the threshold."""
         shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, self.grams, self.features, self.weights))
 
-        @F.pandas_udf("double")
-        def score(column):
+        def judge():
             scorer = _scorer(shared)
-            return column.map(scorer)
+            return lambda text: scorer(text) < threshold
 
-        return docs.where(~(score(F.col("text")) >= threshold))
-
-
-_kept: dict = {}
-
-
-def _once(key: str, make):
-    """make(), once a worker process and key; the last few are kept."""
-    if key not in _kept:
-        while len(_kept) > 2:
-            _kept.pop(next(iter(_kept)))
-        _kept[key] = make()
-    return _kept[key]
+        return kept_rows(docs, "text", judge)
 
 
 def _scorer(shared):
@@ -347,7 +334,7 @@ def _scorer(shared):
 
         return scorer
 
-    return _once(uid, make)
+    return worker_state(uid, make)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Detector:
@@ -364,7 +351,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Detector:
     schema = pa.schema([("f", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
     def count(batches):
-        found = _once(shared.value[0], lambda: Features(Restorer(CharModel(shared.value[1]))))
+        found = worker_state(shared.value[0], lambda: Features(Restorer(CharModel(shared.value[1]))))
         seen: dict[int, list[int]] = {}
 
         def out():
@@ -398,7 +385,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Detector:
 
     def sparse(batches):
         uid, grams, features = known.value
-        found = _once(uid, lambda: Features(Restorer(CharModel(grams)), {f: i for i, f in enumerate(features)}))
+        found = worker_state(uid, lambda: Features(Restorer(CharModel(grams)), {f: i for i, f in enumerate(features)}))
         for rows, ys in rows_of(batches, "text", "toxic"):
             yield batch_of(pairs, toxic=ys, ids=[sorted(found(t)) for t in rows])
 
