@@ -162,3 +162,20 @@ def test_nested_threads(spark):
     assert (view.score, view.text, view.edits) == (0, "", 0)
     bag = threads.with_remainder(spark.createDataFrame([(1, 2, 3)], "a int, b int, c int"), ["a"]).first()
     assert json.loads(bag.extra) == {"b": 2, "c": 3}
+
+
+def test_source_links(spark):
+    def pick(*links):
+        array = F.array(*[F.struct(F.lit(r).alias("rel"), F.lit(h).alias("href"), F.lit(t).alias("type")) for r, h, t in links])
+        return one(spark, fallback.source_link(array, F.lit("http://x/abs/2401.1v2"), "base/"))
+
+    plain = ("alternate", "http://x/p.pdf", "application/pdf")
+    assert pick(plain) == "base/2401.1v2"
+    assert pick(plain, ("enclosure", "http://x/a.tar.gz", "other")) == "http://x/a.tar.gz"
+    assert pick(("enclosure", "http://x/a.tar.gz", "other"), ("derived", "http://x/t", "application/x-tar")) == "http://x/t"
+    assert pick(("derived", "http://x/t", "application/x-tar"), ("related", "http://x/e", "application/x-eprint")) == "http://x/e"
+
+
+@pytest.mark.parametrize(("items", "mode", "cost"), [(5, "shallow", 2), (5000, "shallow", 10), (120, "medium", 4), (45, "deep", 9), (9000, "deep", 150)])
+def test_request_estimates(spark, items, mode, cost):
+    assert one(spark, models.estimate_requests(F.lit(items), F.lit(mode))) == cost

@@ -85,13 +85,15 @@ def test_archives(spark, tmp_path):
                 info.size = len(text)
                 t.addfile(info, io.BytesIO(text.encode()))
 
-    tar("a.tar.gz", {"x.tex": "no", "main.tex": "\\begin{abstract}z\\end{abstract}\\section{Intro}\\subsection*{Sub}", "f.png": "p"})
-    tar("b.tar.gz", {"sec/one.tex": "a", "two.tex": "b"})
+    tar("a.tar.gz", {"x.tex": "no", "main.tex": "\\begin{abstract}z\\end{abstract}\\section{Intro}\\subsection{Sub}", "f.png": "p"})
+    tar("b.tar.gz", {"01-one.tex": "a", "sec/two.tex": "b"})
+    tar("e.tar.gz", {"x.tex": "", "NeurIPS_2023.tex": "\\section{N}"})
     (tmp_path / "c.gz").write_bytes(gzip.compress(b"\\section{Only}"))
     (tmp_path / "d.pdf").write_bytes(b"%PDF-1.5")
     got = {r.name: r for r in files.archive_structure(files.archives(spark, str(tmp_path))).collect()}
     assert got["a.tar.gz"].main_file == "main.tex" and got["a.tar.gz"].headers == ["Intro", "Sub"] and got["a.tar.gz"].has_abstract
-    assert {n: r.structure for n, r in got.items()} == {"a.tar.gz": "multi", "b.tar.gz": "modular", "c.gz": "unknown", "d.pdf": "unknown"}
+    assert {n: r.structure for n, r in got.items()} == {"a.tar.gz": "multi-file", "b.tar.gz": "modular", "e.tar.gz": "multi-file", "c.gz": "unknown", "d.pdf": "unknown"}
+    assert got["e.tar.gz"].main_file == "NeurIPS_2023.tex"
     assert got["a.tar.gz"].extensions == {"tex": 2, "png": 1}
     x = spark.range(1).select(files.clean_latex(F.lit("A \\textbf{bold} word\\cite{k}. % note\nEnd")).alias("t"), files.section_class(F.lit(" Related Work")).alias("c")).first()
     assert (x.t, x.c) == ("A bold word. End", "background")

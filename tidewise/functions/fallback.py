@@ -64,16 +64,23 @@ def is_removed(text: Column, author: Column) -> Column:
     return F.coalesce(text.isin("[deleted]", "[removed]", "") | text.startswith("[removed]") | (author == "[deleted]"), F.lit(False))
 
 
-def source_link(links: Column, identifier: Column) -> Column:
-    """The source archive among links (array of rel, href, type): by type, by path, by the print link, else derived."""
-    by_type = F.element_at(F.filter(links, lambda x: x["type"].contains("gzip") | x["type"].contains("x-tar")), 1)
-    by_path = F.element_at(F.filter(links, lambda x: x["href"].contains("/e-print/") | x["href"].contains("/src/")), 1)
-    by_print = F.element_at(F.filter(links, lambda x: x["href"].contains("/pdf/")), 1)
-    return F.coalesce(by_type["href"], by_path["href"], F.regexp_replace(by_print["href"], "/pdf/", "/e-print/"), F.concat(F.lit("https://example.org/e-print/"), identifier))
+def source_link(links: Column, identifier: Column, base: str = "https://arxiv.org/e-print/") -> Column:
+    """Address of the source archive among links (array of rel, href, type), in falling order of trust, else derived from the identifier."""
+
+    def first(rule) -> Column:
+        return F.try_element_at(F.filter(links, rule), F.lit(1))["href"]
+
+    def readable(x: Column) -> Column:
+        return ~x["href"].endswith(".pdf") & ~x["href"].endswith(".ps")
+
+    eprint = first(lambda x: (x["rel"] == "related") & x["type"].isin("application/x-eprint-tar", "application/x-eprint") & readable(x))
+    tar = first(lambda x: (x["rel"].isNull() | x["rel"].isin("related", "derived")) & (x["type"] == "application/x-tar") & readable(x))
+    named = first(lambda x: x["href"].endswith(".tar") | x["href"].endswith(".tar.gz"))
+    return F.coalesce(eprint, tar, named, F.concat(F.lit(base), F.element_at(F.split(identifier, "/"), -1)))
 
 
 def is_withdrawn(comment: Column, summary: Column) -> Column:
     """The marks of withdrawn papers."""
     said = F.lower(F.coalesce(comment, F.lit(""))).rlike("withdrawn|retracted|removed by author")
-    told = F.lower(F.coalesce(summary, F.lit(""))).rlike("this paper has been withdrawn|this submission has been withdrawn")
+    told = F.lower(F.coalesce(summary, F.lit(""))).rlike("paper has been withdrawn|this submission has been withdrawn")
     return said | told

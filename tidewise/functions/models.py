@@ -75,10 +75,26 @@ def buffer_interval(tokens: Column, base: float) -> Column:
     return F.when(tokens >= 50, F.lit(0.5)).when(tokens >= 25, F.lit(2.0)).when(tokens >= 10, F.lit(4.0)).otherwise(F.lit(base))
 
 
-def estimate_requests(items: Column, depth: Column) -> Column:
-    """Requests a thread costs: one for 100 items in a shallow, 50 in a medium, 10 in a deep thread."""
-    per = F.when(depth <= 2, F.lit(100)).when(depth <= 5, F.lit(50)).otherwise(F.lit(10))
-    return F.greatest(F.lit(1), F.ceil(items / per)).cast("long")
+#: Items a request covers, extra requests and the most requests, by how deep a thread is read.
+READING = {"shallow": (100, 1, 10), "medium": (50, 2, 30), "deep": (10, 5, 150)}
+
+
+def estimate_requests(items: Column, mode: Column) -> Column:
+    """Requests that reading a thread takes in a mode of READING."""
+    out = None
+    for name, (per, extra, most) in READING.items():
+        cost = F.least(F.greatest(F.floor(items / per), F.lit(1)) + extra, F.lit(most)).cast("long")
+        out = F.when(mode == name, cost) if out is None else out.when(mode == name, cost)
+    return out
+
+
+def revisit_seconds(ratio: Column) -> Column:
+    """Least time between visits: a minute at full coverage, five at none."""
+    return F.floor(60 + (1 - ratio) * 240).cast("long")
+
+
+def batch_size(ratio: Column, rate: float, gain: float) -> Column:
+    return F.greatest(F.floor(max(10.0, min(100.0, rate * gain * 2)) * ratio), F.lit(1)).cast("long")
 
 
 def cost_error_pct(actual: Column, estimated: Column) -> Column:

@@ -80,10 +80,12 @@ def q_should_attempt(spark, sf_dir):
     return table(spark, sf_dir, "orders").join(got, "o_orderkey", "left").where("got is null or o_orderdate > got or o_orderstatus = 'P'").select("o_orderkey")
 
 
-@query("SELECT l_orderkey, l_linenumber, CAST(greatest(1, ceil(l_quantity / (CASE WHEN l_linenumber <= 2 THEN 100 WHEN l_linenumber <= 5 THEN 50 ELSE 10 END))) AS BIGINT) AS estimated, round(abs(l_tax * 100 - l_discount * 100) / greatest(1, l_tax * 100) * 100, 4) AS error_pct FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, CAST(CASE WHEN l_linenumber <= 2 THEN least(10, greatest(1, floor(l_partkey / 100)) + 1) WHEN l_linenumber <= 5 THEN least(30, greatest(1, floor(l_partkey / 50)) + 2) ELSE least(150, greatest(1, floor(l_partkey / 10)) + 5) END AS BIGINT) AS estimated, round(abs(l_tax * 100 - l_discount * 100) / greatest(1, l_tax * 100) * 100, 4) AS error_pct FROM lineitem")
 def q_cost_error(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem")
-    return rows.select("l_orderkey", "l_linenumber", models.estimate_requests(F.col("l_quantity"), F.col("l_linenumber")).alias("estimated"), F.round(models.cost_error_pct(F.col("l_tax") * 100, F.col("l_discount") * 100), 4).alias("error_pct"))
+    n = F.col("l_linenumber")
+    mode = F.when(n <= 2, "shallow").when(n <= 5, "medium").otherwise("deep")
+    return rows.select("l_orderkey", "l_linenumber", models.estimate_requests(F.col("l_partkey"), mode).alias("estimated"), F.round(models.cost_error_pct(F.col("l_tax") * 100, F.col("l_discount") * 100), 4).alias("error_pct"))
 
 
 @query(

@@ -197,10 +197,10 @@ def q_token_bucket(spark, sf_dir):
     return folded.select("item", F.size("f").cast("long").alias("requests"), F.size(F.filter("f", lambda x: x["granted"])).cast("long").alias("granted"))
 
 
-@query("SELECT n_nationkey AS attempt, CAST(least(30 * pow(2, n_nationkey), 240) AS BIGINT) AS retry, round(least(greatest(0.1 + 0.9 * (n_nationkey * 5 - 10) / 90.0, 0.1), 1.0), 6) AS ratio, CAST(CASE WHEN n_nationkey * 5 >= 50 THEN 0.5 WHEN n_nationkey * 5 >= 25 THEN 2 WHEN n_nationkey * 5 >= 10 THEN 4 ELSE 6 END AS DOUBLE) AS buffer FROM nation")
+@query("SELECT n_nationkey AS attempt, CAST(least(30 * pow(2, n_nationkey), 240) AS BIGINT) AS retry, round(least(greatest(0.1 + 0.9 * (n_nationkey * 5 - 10) / 90.0, 0.1), 1.0), 6) AS ratio, CAST(CASE WHEN n_nationkey * 5 >= 50 THEN 0.5 WHEN n_nationkey * 5 >= 25 THEN 2 WHEN n_nationkey * 5 >= 10 THEN 4 ELSE 6 END AS DOUBLE) AS buffer, CAST(floor(60 + (1 - n_nationkey / 25.0) * 240) AS BIGINT) AS revisit, CAST(greatest(1, floor(24 * (n_nationkey / 25.0))) AS BIGINT) AS batch FROM nation")
 def q_pacing_table(spark, sf_dir):
     n = F.col("n_nationkey")
-    return table(spark, sf_dir, "nation").select(n.alias("attempt"), models.retry_seconds(n).alias("retry"), r6(models.budget_ratio(n * 5), "ratio"), models.buffer_interval(n * 5, 6.0).alias("buffer"))
+    return table(spark, sf_dir, "nation").select(n.alias("attempt"), models.retry_seconds(n).alias("retry"), r6(models.budget_ratio(n * 5), "ratio"), models.buffer_interval(n * 5, 6.0).alias("buffer"), models.revisit_seconds(n / 25.0).alias("revisit"), models.batch_size(n / 25.0, 10.0, 1.2).alias("batch"))
 
 
 @query(f"WITH {DELTAS} SELECT item, CAST(day AS INT) AS day, CAST(CASE WHEN n_new > 0 THEN greatest(60, floor(300 / 2)) WHEN n_score > 0 OR n_edit > 0 THEN greatest(300, 300) ELSE least(21600, 300 * 2) END AS BIGINT) AS seconds FROM deltas")

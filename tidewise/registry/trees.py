@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewise.functions import fallback, models
 from tidewise.operators import relational, trees
 from tidewise.registry.base import CLOSURE, NODES, query, r6, thread_nodes
+from tidewise.session import cut_lineage
 
 REC = f"WITH RECURSIVE {NODES}, {CLOSURE}"
 DEPTHS = "depths AS (SELECT thread, node, CAST(max(distance) AS BIGINT) AS depth FROM closure GROUP BY ALL)"
@@ -102,7 +103,7 @@ def q_top_comments(spark, sf_dir):
 
 
 #: Words that mark a dispute.
-CONFLICT = ("disagree", "wrong", "false", "misleading", "actually", "source?", "proof", "incorrect", "bullshit", "lie")
+CONFLICT = ("disagree", "actually", "wrong", "propaganda", "bullshit", "false", "correction", "source?", "lie", "biased")
 
 
 @query(
@@ -113,7 +114,7 @@ def q_interesting(spark, sf_dir):
     """Five ways to be interesting; both thresholds are nearest-rank percentiles of all nodes, joined as one row.
 
     The percentiles come from counts of distinct values (as many as there are values, pre-aggregated), not from one sorted partition."""
-    s = _scored(spark, sf_dir)
+    s = cut_lineage(_scored(spark, sf_dir))  # read by both thresholds and by the filter
 
     def at(column: str, share: float, name: str):
         counts = s.groupBy(column).agg(F.count("*").alias("c"))

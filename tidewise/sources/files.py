@@ -188,7 +188,9 @@ def archives(spark: SparkSession, path: str) -> DataFrame:
         import re
         import tarfile
 
-        names_first = ("main.tex", "paper.tex", "article.tex", "manuscript.tex", "ms.tex")
+        # fixed values: usual names of the main file, then names of templates
+        names = ("main.tex", "paper.tex", "root.tex", "manuscript.tex", "article.tex")
+        templates = [re.compile(r"acl.*\.tex$"), *(re.compile(rf"{t}.*\.tex$", re.I) for t in ("ieee", "iclr", "neurips"))]
         for batch in batches:
             out = []
             for file, content in zip(batch["path"], batch["content"], strict=True):
@@ -199,13 +201,14 @@ def archives(spark: SparkSession, path: str) -> DataFrame:
                         with tarfile.open(fileobj=io.BytesIO(content)) as tar:
                             members = {m.name: m for m in tar.getmembers() if m.isfile()}
                             row["files"] = list(members)
-                            tex = [m for m in members if m.endswith(".tex")]
-                            main = next((m for want in names_first for m in tex if m.rsplit("/", 1)[-1].lower() == want), tex[0] if tex else None)
+                            tex = [m for m in members if m.endswith(".tex") and "/" not in m]
+                            choices = [n for n in names if n in tex] + [m for t in templates for m in tex if t.search(m)] + tex
+                            main = choices[0] if choices else None
                             text = tar.extractfile(members[main]).read().decode("utf-8", "replace") if main else ""
                     except tarfile.TarError:
                         main, text = (name, gzip.decompress(content).decode("utf-8", "replace")) if content[:2] == b"\x1f\x8b" else (None, "")
-                    row["main_file"], row["headers"] = main, re.findall(r"\\(?:sub)*section\*?\{([^}]*)\}", text)
-                    row["has_abstract"] = "\\begin{abstract}" in text or "\\abstract" in text
+                    row["main_file"], row["headers"] = main, re.findall(r"\\(?:sub){0,2}section\{([^}]+)\}", text)
+                    row["has_abstract"] = "\\begin{abstract}" in text
                 out.append(row)
             yield pd.DataFrame(out)
 
@@ -214,8 +217,9 @@ def archives(spark: SparkSession, path: str) -> DataFrame:
 
 def archive_structure(archive: DataFrame) -> DataFrame:
     """archive with its file structure class and extension counts."""
-    tex = F.filter("files", lambda f: f.endswith(".tex"))
-    kind = F.when(F.col("is_pdf") | (F.size(tex) == 0), "unknown").when(F.size(tex) == 1, "single").when(F.exists(tex, lambda f: f.contains("/")), "modular").otherwise("multi")
+    tex = F.filter("files", lambda f: f.endswith(".tex") & ~f.contains("/"))
+    n = F.size(tex)
+    kind = F.when(F.exists(tex, lambda f: f.rlike("^[0-9][0-9]-")) | (n > 10), "modular").when(n == 1, "single-file").when(n >= 2, "multi-file").otherwise("unknown")
     extension = F.transform("files", lambda f: F.lower(F.regexp_extract(f, r"\.([^./]+)$", 1)))
     counts = F.map_from_entries(F.transform(F.array_distinct(extension), lambda e: F.struct(e.alias("k"), F.size(F.filter(extension, lambda x: x == e)).alias("v"))))
     return archive.withColumn("structure", kind).withColumn("tex_files", F.size(tex)).withColumn("extensions", counts)
