@@ -228,12 +228,16 @@ class _Judge:
             root[x] = x = root[up]
         return x
 
+    def _roots(self, nodes: np.ndarray, index: np.ndarray) -> np.ndarray:
+        """Roots of the indexed nodes; the pairs of a block are many, its nodes at most STEP."""
+        low = int(index.min())
+        return np.array([self.find(x) for x in nodes[low : int(index.max()) + 1].tolist()])[index - low]
+
     def compare(self, a, b, upper: bool) -> None:
         (na, fa, sa), (nb, fb, sb) = (tuple(x[np.argsort(np.bitwise_count(side[1]), kind="stable")] for x in side) for side in (a, b))
         for left, right in _near(fa, fb, self.radius, upper):
             while len(left):
-                ra, rb = (np.array([self.find(x) for x in n.tolist()]) for n in (na[left], nb[right]))
-                apart = ra != rb
+                apart = self._roots(na, left) != self._roots(nb, right)
                 left, right = left[apart], right[apart]
                 x, y = left[:VERIFY], right[:VERIFY]
                 for i in np.flatnonzero(overlap(sa[x], sb[y]) >= self.similarity - 1e-9).tolist():
