@@ -34,7 +34,8 @@ DICTIONARY_BYTES = 65_536
 #: The dictionary is fitted on about so many documents, those with the smallest hash of doc_id.
 SAMPLE_DOCS = 1_000
 LEVEL = 3
-WORD_CACHE = 150_000
+WORD_CACHE = 600_000
+PIECE_BYTES = 1 << 23
 
 _BLOCK = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int32())), ("offsets", pa.list_(pa.int64())), ("payload", pa.binary()), ("dictionary_sha256", pa.string()), ("start", pa.int64()), ("block_tokens", pa.int64())])
 _BLOCK_DDL = "part int, block int, doc_ids array<long>, n_tokens array<int>, offsets array<long>, payload binary, dictionary_sha256 string, start long, block_tokens long"
@@ -134,7 +135,7 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, sample_d
 
     def run(batches):
         coder = encoder(tokenizer_path)
-        for part in pieces(batches, "text"):
+        for part in pieces(batches, "text", PIECE_BYTES):
             yield pa.RecordBatch.from_arrays([pa.array([x[: 1 << 14] + end for x in coder.encode(part.column(0))], pa.binary())], ["ids"])
 
     samples = [r.ids for r in picked.select("text").mapInArrow(run, "ids binary").collect()]
@@ -165,7 +166,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
         def full():
             return batch_of(_BLOCK, part=[part], block=[block], doc_ids=[ids], n_tokens=[counts], offsets=[offsets], payload=[b"".join(frames)], dictionary_sha256=[digest], start=[start], block_tokens=[sum(counts)])
 
-        for part_of in pieces(batches, "text"):
+        for part_of in pieces(batches, "text", PIECE_BYTES):
             for key, data in zip(part_of.column(0).to_pylist(), coder.encode(part_of.column(1)), strict=True):
                 frame = squeeze.compress(data + end)
                 ids.append(key)
