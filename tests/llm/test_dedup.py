@@ -223,3 +223,28 @@ def test_simhash_odd_rows(spark):
     got = simhash.near_duplicates(frame(spark, [(None, "a b"), (None, "c d e f"), (4, "A  B"), (4, "a b"), (6, None)])).collect()
     assert sorted((x.doc_id or -1, x.component_id or -1) for x in got) == [(-1, -1), (-1, 4), (4, 4), (4, 4), (6, 6)]
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("block", [4096, 7])
+def test_similar_groups_equal_brute_force_around_the_threshold(spark, monkeypatch, block):
+    """Long texts at overlaps of 0.7 to 0.9, where an estimate from some of the shingles would be wrong for many."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(simhash, "SET_ROWS", 3)
+    r = random.Random(11)
+    words = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(4000)]
+    rows = []
+    for g in range(60):
+        base = r.choices(words, k=r.choice([90, 300, 1200]))
+        share = 0.7 + 0.2 * g / 59
+        new = round(len(base) * (1 - share) / (1 + share))  # so many words replaced at the end give about this overlap
+        rows += [(g * 10, " ".join(base)), (g * 10 + 1, " ".join(base[: len(base) - new] + r.choices(words, k=new)))]
+    rows += [(2000 + i, "one line that many texts share " + " ".join(r.choices(words, k=80))) for i in range(30)]
+    sets = {}
+    for i, t in rows:
+        w = t.split()
+        sets[i] = {" ".join(w[k : k + 5]) for k in range(len(w) - 4)}
+    near = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in combinations(sets, 2)}
+    assert sum(0.7 < x < 0.8 for x in near.values()) > 20 and sum(0.8 <= x < 0.9 for x in near.values()) > 20
+    want = {i: i for i in sets} | {b: a for (a, b), x in near.items() if x >= 0.8}
+    got = {x.doc_id: x.component_id for x in simhash.similar_groups(frame(spark, rows)).collect()}
+    assert got == want

@@ -27,16 +27,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.common import batch_of, components, forest, raw, rows_of, texts
+from tidewise.llm.common import batch_of, components, cut, forest, raw, rows_of, texts
 
 SEED = 42
 SEGMENTS = 6
 BLOCK = 4096
 STEP = 1024
-#: A document is placed in the tiles of its TILES smallest shingle hashes and judged by its SKETCH smallest.
+#: A document is placed in the tiles of its TILES smallest shingle hashes; its SKETCH smallest say which pairs are worth an exact comparison.
 TILES = 6
 SKETCH = 64
 VERIFY = 4096
+#: Filters before the exact comparison keep what is within so many standard deviations of a pair at the wanted similarity.
+DEVIATIONS = 5
+#: Whole shingle sets are compared in blocks of about so many hashes, COLUMNS shingles at a time.
+SET_HASHES = 1 << 17
+SET_ROWS = 256
+COLUMNS = 1 << 12
 
 
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
@@ -64,23 +70,38 @@ def vote(hashes: np.ndarray) -> int:
     return int(np.packbits(count * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, sketch: int = 0) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long); with `sketch`, low (the TILES smallest distinct shingle hashes)
-    and sketch (the upper halves of the so many smallest, big-endian and ascending)."""
-    fields = [("doc_id", pa.int64()), ("fp", pa.int64())] + [("low", pa.list_(pa.int64())), ("sketch", pa.binary())] * bool(sketch)
-    schema = pa.schema(fields)
+def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """doc_id and fp (the 64 bits as a signed long)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches):
         for keys, rows in rows_of(batches, "doc_id", "text"):
-            hashes = [shingle_hashes(raw(t).lower().split(), shingle) for t in rows]
-            out = {"doc_id": keys, "fp": np.array([vote(h) for h in hashes], np.uint64).view(np.int64)}
-            if sketch:
-                small = [np.unique(h)[:sketch] for h in hashes]
-                out["low"] = [h[:TILES].view(np.int64) for h in small]
-                out["sketch"] = [(h >> np.uint64(32)).astype(">u4").tobytes() for h in small]
-            yield batch_of(schema, **out)
+            votes = [vote(shingle_hashes(raw(t).lower().split(), shingle)) for t in rows]
+            yield batch_of(schema, doc_id=keys, fp=np.array(votes, np.uint64).view(np.int64))
+
+    return texts(docs).mapInArrow(run, "doc_id long, fp long")
+
+
+def shingle_sets(docs: DataFrame, shingle: int, *wanted: str) -> DataFrame:
+    """doc_id and what is wanted of the set of a text's distinct shingle hashes: mark (128-bit digest), fp (vote of the set), low (the
+    TILES smallest), sketch (the SKETCH smallest, ascending and big-endian: low whole, of the others the upper halves), size, hashes (all, ascending)."""
+    kinds = {"mark": ("binary", pa.binary()), "fp": ("long", pa.int64()), "low": ("array<long>", pa.list_(pa.int64())), "sketch": ("binary", pa.binary()), "size": ("long", pa.int64()), "hashes": ("binary", pa.binary())}
+    make = {
+        "mark": lambda h: xxhash.xxh3_128_digest(h.tobytes()),
+        "fp": lambda h: _signed(vote(h)),
+        "low": lambda h: h[:TILES].view(np.int64),
+        "sketch": lambda h: h[:TILES].astype(">u8").tobytes() + (h[TILES:SKETCH] >> np.uint64(32)).astype(">u4").tobytes(),
+        "size": len,
+        "hashes": lambda h: h.astype("<u8").tobytes(),
+    }
+    schema = pa.schema([("doc_id", pa.int64()), *[(w, kinds[w][1]) for w in wanted]])
 
-    return texts(docs).mapInArrow(run, "doc_id long, fp long" + ", low array<long>, sketch binary" * bool(sketch))
+    def run(batches):
+        for keys, rows in rows_of(batches, "doc_id", "text"):
+            sets = [np.unique(shingle_hashes(raw(t).lower().split(), shingle)) for t in rows]
+            yield batch_of(schema, doc_id=keys, **{w: [make[w](h) for h in sets] for w in wanted})
+
+    return texts(docs).mapInArrow(run, "doc_id long, " + ", ".join(f"{w} {kinds[w][0]}" for w in wanted))
 
 
 def _segments() -> list[int]:
@@ -194,8 +215,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Jaccard similarity of rows of sketches (ascending, padded by the largest value): the share of common hashes among
-    the SKETCH smallest of both together; exact where both hold fewer shingles than that."""
+    """Estimated Jaccard similarity of rows of sketches (ascending, padded by the largest value): the share of common hashes among
+    the SKETCH smallest of both together."""
     both = np.sort(np.concatenate([a, b], axis=1), axis=1)
     fresh = np.concatenate([np.ones((len(both), 1), bool), both[:, 1:] != both[:, :-1]], axis=1) & (both != _PAD)
     rank = np.cumsum(fresh, axis=1)
@@ -206,100 +227,197 @@ def overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 _PAD = np.uint64(1 << 33)
 
 
-def _sketches(column) -> np.ndarray:
-    out = np.full((len(column), SKETCH), _PAD, np.uint64)
+def _sketches(column) -> tuple[np.ndarray, np.ndarray]:
+    """Sketches (upper halves) and their whole TILES smallest hashes, padded; a row each."""
+    out, low = np.full((len(column), SKETCH), _PAD, np.uint64), np.zeros((len(column), TILES), np.uint64)
     for i, data in enumerate(column.to_pylist()):
-        got = np.frombuffer(data, ">u4")
-        out[i, : len(got)] = got
-    return out
-
-
-class _Judge:
-    """Joins the documents of one tile: a pair that is near by fingerprint and not joined yet is judged by its sketches."""
-
-    def __init__(self, radius: int, similarity: float) -> None:
-        self.radius, self.similarity = radius, similarity
-        self.root: dict[int, int] = {}
-        self.links: list[tuple[int, int]] = []
-
-    def find(self, x: int) -> int:
-        root = self.root
-        while (up := root.setdefault(x, x)) != x:
-            root[x] = x = root[up]
-        return x
-
-    def _roots(self, nodes: np.ndarray, index: np.ndarray) -> np.ndarray:
-        """Roots of the indexed nodes; the pairs of a block are many, its nodes at most STEP."""
-        low = int(index.min())
-        return np.array([self.find(x) for x in nodes[low : int(index.max()) + 1].tolist()])[index - low]
-
-    def compare(self, a, b, upper: bool) -> None:
-        (na, fa, sa), (nb, fb, sb) = (tuple(x[np.argsort(np.bitwise_count(side[1]), kind="stable")] for x in side) for side in (a, b))
-        for left, right in _near(fa, fb, self.radius, upper):
-            while len(left):
-                apart = self._roots(na, left) != self._roots(nb, right)
-                left, right = left[apart], right[apart]
-                x, y = left[:VERIFY], right[:VERIFY]
-                for i in np.flatnonzero(overlap(sa[x], sb[y]) >= self.similarity - 1e-9).tolist():
-                    p, q = int(na[x[i]]), int(nb[y[i]])
-                    rp, rq = self.find(p), self.find(q)
-                    if rp != rq:
-                        self.root[max(rp, rq)] = min(rp, rq)
-                        self.links.append((p, q))
-                left, right = left[VERIFY:], right[VERIFY:]
-
-
-def compare_similar(spread: DataFrame, radius: int, similarity: float) -> DataFrame:
-    """Links between nodes that share a tile, are within the radius and are similar by their sketches."""
+        head, tail = np.frombuffer(data[: 8 * TILES], ">u8"), np.frombuffer(data[8 * TILES :], ">u4")
+        low[i, : len(head)] = head
+        out[i, : len(head)] = head >> np.uint64(32)
+        out[i, len(head) : len(head) + len(tail)] = tail
+    return out, low
+
+
+def _first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest hash that two rows of smallest hashes share (they share one)."""
+    same = (a[:, :, None] == b[:, None, :]).any(axis=2)
+    return a[np.arange(len(a)), same.argmax(axis=1)]
+
+
+class _Side:
+    """Documents of a tile, in order of population count; `marked` are those known to be in a pair worth an exact comparison."""
+
+    def __init__(self, nodes, fps, sizes, sketches, low) -> None:
+        order = np.argsort(np.bitwise_count(fps), kind="stable")
+        self.nodes, self.fps, self.sizes, self.sketches, self.low = (x[order] for x in (nodes, fps, sizes, sketches, low))
+        self.marked = np.zeros(len(nodes), bool)
+
+
+def _mark(a: _Side, b: _Side, tile: int, radius: int, similarity: float) -> None:
+    """Marks both documents of every pair that may be similar and whose first shared tile this is; pairs of two marked ones need no look."""
+    least = similarity - DEVIATIONS * math.sqrt(similarity * (1 - similarity) / SKETCH)
+    for left, right in _near(a.fps, b.fps, radius, a is b):
+        na, nb = a.sizes[left], b.sizes[right]
+        near = np.minimum(na, nb) >= similarity * np.maximum(na, nb) - 1e-9
+        left, right = left[near], right[near]
+        for at in range(0, len(left), VERIFY):
+            x, y = left[at : at + VERIFY], right[at : at + VERIFY]
+            unknown = ~(a.marked[x] & b.marked[y])
+            x, y = x[unknown], y[unknown]
+            here = _first_shared(a.low[x], b.low[y]) == np.uint64(tile)
+            x, y = x[here], y[here]
+            if len(x):
+                alike = overlap(a.sketches[x], b.sketches[y]) >= least
+                a.marked[x[alike]] = True
+                b.marked[y[alike]] = True
+
+
+def candidates(spread: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """tile, blk, role, node: the documents of each block that are in a pair that may be similar, members (0) and probes (1)."""
     dealt = _split_hot(spread).repartition("tile", "blk").sortWithinPartitions("tile", "blk", "role")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("tile", pa.int64()), ("blk", pa.int32()), ("role", pa.int32()), ("node", pa.int64())])
 
     def run(batches):
-        key, judge, held = None, None, None
+        key, held = None, []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tile, blk, role, f, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            tile, blk, role, f, n, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 3, 4, 6))
             f, sketch = f.astype(np.int64).view(np.uint64), None
             starts = np.concatenate([[0], np.flatnonzero((tile[1:] != tile[:-1]) | (blk[1:] != blk[:-1])) + 1, [len(tile)]])
             out = []
             for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 goes_on = key == (tile[s], blk[s])
                 if not goes_on:
-                    key, judge, held = (tile[s], blk[s]), _Judge(radius, similarity), None
+                    key, held = (tile[s], blk[s]), []
                 if not goes_on and e - s == 1 and e < len(tile):
                     continue
                 if sketch is None:
-                    sketch = _sketches(batch.column(5))
-                members = s + int(np.searchsorted(role[s:e], 1))
-                new, probes = ((n[i:j], f[i:j], sketch[i:j]) for i, j in ((s, members), (members, e)))
-                judge.compare(new, new, True)
-                if held is not None:
-                    judge.compare(held, new, False)
-                held = new if held is None else tuple(np.concatenate(x) for x in zip(held, new, strict=True))
-                judge.compare(held, probes, False)
-                out += judge.links
-                judge.links = []
+                    sketch, low = _sketches(batch.column(5))
+                members, number = s + int(np.searchsorted(role[s:e], 1)), int(tile[s]) % (1 << 64)
+                new, probes = (_Side(n[i:j], f[i:j], size[i:j], sketch[i:j], low[i:j]) for i, j in ((s, members), (members, e)))
+                before = [side.marked.copy() for side in held]
+                for side in [*held, new]:
+                    _mark(side, new, number, radius, similarity)
+                held.append(new)
+                before.append(np.zeros(len(new.nodes), bool))
+                for side in held:
+                    _mark(side, probes, number, radius, similarity)
+                fresh = [side.nodes[side.marked & ~old] for side, old in zip(held, before, strict=True)]
+                for r, nodes in ((0, np.concatenate(fresh)), (1, probes.nodes[probes.marked])):
+                    if len(nodes):
+                        out.append((np.full(len(nodes), tile[s]), np.full(len(nodes), blk[s]), np.full(len(nodes), r), nodes))
+            if out:
+                t, k, r, nodes = (np.concatenate(x) for x in zip(*out, strict=True))
+                yield batch_of(schema, tile=t, blk=k, role=r, node=nodes)
+
+    return dealt.mapInArrow(run, "tile long, blk int, role int, node long")
+
+
+class _Sets:
+    """Some documents' whole shingle sets: their hashes end to end, whose each is, and how many each has."""
+
+    def __init__(self, nodes: list[int], sets: list[np.ndarray]) -> None:
+        self.nodes, self.sizes = nodes, np.array([len(h) for h in sets], np.int64)
+        self.hashes, self.owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.sizes)
+        self.distinct = np.unique(self.hashes)
+
+    def rows(self, shared: np.ndarray):
+        """Row and column of each hash that is in `shared` (ascending), by column."""
+        at = np.searchsorted(shared, self.hashes)
+        inside = at < len(shared)
+        inside[inside] = shared[at[inside]] == self.hashes[inside]
+        row, column = self.owner[inside], at[inside]
+        order = np.argsort(column, kind="stable")
+        return row[order], column[order]
+
+
+def similar_pairs(a: _Sets, b: _Sets, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs whose whole sets have a Jaccard similarity of at least `similarity`; common hashes are counted by matrix products."""
+    shared = np.intersect1d(a.distinct, b.distinct, assume_unique=True)
+    common = np.zeros((len(a.nodes), len(b.nodes)), np.int64)
+    (ra, ca), (rb, cb) = a.rows(shared), b.rows(shared)
+    for at in range(0, len(shared), COLUMNS):
+        tables = []
+        for row, column, n in ((ra, ca, len(a.nodes)), (rb, cb, len(b.nodes))):
+            i, j = np.searchsorted(column, [at, at + COLUMNS])
+            tables.append(np.zeros((n, min(COLUMNS, len(shared) - at)), np.float32))
+            tables[-1][row[i:j], column[i:j] - at] = 1
+        common += (tables[0] @ tables[1].T).astype(np.int64)
+    either = a.sizes[:, None] + b.sizes[None, :] - common
+    return np.nonzero(common >= similarity * either - 1e-9)
+
+
+def exact_links(found: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between the documents of a block whose whole shingle sets are similar: every pair not joined yet in the block is compared."""
+    joined = found.join(sets, found.node == sets.doc_id).select("tile", "blk", "role", "node", "hashes")
+    dealt = joined.repartition("tile", "blk").sortWithinPartitions("tile", "blk", "role")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        key, held, nodes, sets, size, root = None, [], [], [], 0, {}
+
+        def find(x):
+            while (up := root.setdefault(x, x)) != x:
+                root[x] = x = root[up]
+            return x
+
+        def judge(role):
+            """Links of the documents at hand among themselves (members) and with the members before them."""
+            new, links = _Sets(nodes, sets), []
+            for side in [*held, new] if role == 0 else held:
+                if len({find(x) for x in side.nodes} | {find(x) for x in new.nodes}) == 1:
+                    continue
+                for i, j in zip(*(x.tolist() for x in similar_pairs(side, new, similarity)), strict=True):
+                    a, b = find(side.nodes[i]), find(new.nodes[j])
+                    if a != b:
+                        root[max(a, b)] = min(a, b)
+                        links.append((side.nodes[i], new.nodes[j]))
+            if role == 0:
+                held.append(new)
+            return links
+
+        for batch in batches:
+            out = []
+            for tile, blk, role, node, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if nodes and (key != (tile, blk, role) or size >= SET_HASHES or len(nodes) >= SET_ROWS):
+                    out += judge(key[2])
+                    nodes, sets, size = [], [], 0
+                if key is None or key[:2] != (tile, blk):
+                    held, root = [], {}
+                key = (tile, blk, role)
+                nodes.append(node)
+                sets.append(np.frombuffer(data, "<u8"))
+                size += len(sets[-1])
             if out:
                 yield batch_of(schema, a=[x for x, _ in out], b=[x for _, x in out])
+        out = judge(key[2]) if nodes else []
+        if out:
+            yield batch_of(schema, a=[x for x, _ in out], b=[x for _, x in out])
 
     return dealt.mapInArrow(run, "a long, b long")
 
 
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """doc_id, component_id: documents linked by a shingle overlap (Jaccard) of at least `similarity`.
+    """doc_id, component_id: documents linked by a shingle overlap (Jaccard of the sets of distinct shingles) of at least `similarity`.
 
-    At the radius this needs (the expected distance at that overlap and three deviations more) population counts alone
+    At the radius this needs (the expected distance at that overlap and DEVIATIONS deviations more) population counts alone
     rule out little, so a tile holds documents that have one of their TILES smallest shingle hashes in common: two documents
     miss each other with probability (1 - similarity)**TILES at most.  Inside a tile the comparison is the same blocked
-    exclusive-or with the same skipping rule, and near pairs not joined yet are judged by their sketches.
-    Documents with equal fingerprint and sketch (exact copies are) are one node.  A text without words is alone.
+    exclusive-or with the same skipping rule; near pairs of fitting sizes whose sketches come within DEVIATIONS deviations of the
+    similarity are candidates, in the first tile they share.  Filters decide no link: the whole shingle sets of a block's candidates are brought to
+    it and compared exactly, all pairs not joined there yet.
+    Documents with equal shingle sets (exact copies are) are one node.  A text without words is alone.
     """
     angle = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    radius = min(64, math.ceil(64 * angle + 3 * math.sqrt(64 * angle * (1 - angle))))
-    marked = fingerprints(docs, shingle, SKETCH)
-    nodes = marked.where("size(low) > 0").groupBy("fp", "low", "sketch").agg(F.min("doc_id").alias("node")).where("node is not null")
-    spread = nodes.select(F.explode("low").alias("tile"), F.lit(0).alias("role"), "fp", "node", "sketch")
-    groups = components(compare_similar(spread, radius, similarity))
-    named = nodes.join(groups, "node", "left").select("fp", "sketch", F.coalesce("component", "node").alias("component_id"))
-    return marked.join(named, ["fp", "sketch"], "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+    radius = min(64, math.ceil(64 * angle + DEVIATIONS * math.sqrt(64 * angle * (1 - angle))))
+    marked = shingle_sets(docs, shingle, "mark", "fp", "low", "sketch", "size")
+    nodes = marked.where("size > 0").groupBy("mark", "fp", "low", "sketch", "size").agg(F.min("doc_id").alias("node")).where("node is not null")
+    nodes = cut(nodes)
+    spread = nodes.select(F.explode("low").alias("tile"), F.lit(0).alias("role"), "fp", "node", "sketch", "size")
+    found = cut(candidates(spread, radius, similarity))
+    wanted = texts(docs).join(found.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = shingle_sets(wanted, shingle, "hashes").dropDuplicates(["doc_id"])
+    groups = components(exact_links(found, sets, similarity))
+    named = nodes.join(groups, "node", "left").select("mark", F.coalesce("component", "node").alias("component_id"))
+    return shingle_sets(docs, shingle, "mark").join(named, "mark", "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
