@@ -167,6 +167,14 @@ def test_disguised_words_are_restored_and_scored(spark, toxic):
     assert reader.spaced("i d i o t") == ("idiot",)
 
 
+def test_long_spelt_out_runs_are_decoded_whole(toxic):
+    reader = toxicity.Restorer(toxicity.CharModel(toxic[2].grams))
+    assert "idiot" in reader.spaced("x " * 120 + "i d i o t")[-1]
+    words = "the quiet river ran past seven houses where people kept small gardens and read books in the evening light".split()
+    spelt = " ".join("".join(words * 4 + ["moron"]))
+    assert len(spelt) > 600 and "moron" in "".join(reader.spaced(spelt)) and len("".join(reader.spaced(spelt))) > 300
+
+
 def test_toxicity_odd_rows(spark, toxic):
     docs, labels, model = toxic
     odd = frame(spark, [(None, "idiot"), (1, None), (2, ""), (2, ""), (3, "z" * 5000), (4, "$ $ $ $ $")])

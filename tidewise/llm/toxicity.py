@@ -112,20 +112,24 @@ def restore(token: str, model: CharModel) -> str:
     if steps is None:
         return token
     blank = " " * (ORDER - 1)
-    states: dict[str, tuple[float, str]] = {blank: (0.0, "")}
+    states: dict[str, tuple[float, tuple | None]] = {blank: (0.0, None)}  # cost, and the pieces as a chain from the last to the first
     cost = model.cost
     for options in [*steps, [(" ", 0.0)]]:
-        after: dict[str, tuple[float, str]] = {}
-        for history, (so_far, text) in states.items():
+        after: dict[str, tuple[float, tuple | None]] = {}
+        for history, (so_far, chain) in states.items():
             for piece, channel in options:
                 total, h = so_far + channel, history
                 for c in piece:
                     total += cost(h, c)
                     h = blank if c == " " else h[1:] + c
                 if h not in after or total < after[h][0]:
-                    after[h] = (total, text + piece)
+                    after[h] = (total, (chain, piece))
         states = after
-    return min(states.values())[1].strip()
+    chain, pieces = states[blank][1], []  # the last step leads all states here
+    while chain is not None:
+        chain, piece = chain
+        pieces.append(piece)
+    return "".join(reversed(pieces)).strip()
 
 
 _TRIPLE = re.compile(r"(.)\1\1", re.DOTALL)
@@ -171,8 +175,7 @@ class Restorer:
         return got
 
     def spaced(self, run: str) -> tuple[str, ...]:
-        run = " ".join(run.split())[: 4 * MAX_TOKEN]
-        return tuple(w for w in restore(run, self.model).split() if len(w) > 1)
+        return tuple(w for w in restore(" ".join(run.split()), self.model).split() if len(w) > 1)
 
 
 def tokens_of(text: str | None) -> tuple[set[str], list[str]]:
