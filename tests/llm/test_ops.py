@@ -175,6 +175,12 @@ def test_long_spelt_out_runs_are_decoded_whole(toxic):
     assert len(spelt) > 600 and "moron" in "".join(reader.spaced(spelt)) and len("".join(reader.spaced(spelt))) > 300
 
 
+def test_doubled_letters_and_look_alikes_at_the_edges_are_choices(toxic):
+    reader = toxicity.Restorer(toxicity.CharModel(toxic[2].grams))
+    assert [reader.token(w) for w in ("iiddiioott", "moronn", "!diot", "$$cum", "(!diot)", "sccuum!")] == [["idiot"], ["moron"], ["idiot"], ["scum"], ["idiot"], ["scum"]]
+    assert [reader.token(w) for w in ("(river", "books!", "**small**", "kept!?", "100!", "!!!")] == [["river"], ["books"], ["small"], ["kept"], ["100"], []]
+
+
 def test_toxicity_odd_rows(spark, toxic):
     docs, labels, model = toxic
     odd = frame(spark, [(None, "idiot"), (1, None), (2, ""), (2, ""), (3, "z" * 5000), (4, "$ $ $ $ $")])

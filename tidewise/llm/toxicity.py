@@ -4,7 +4,7 @@ An obfuscated word is a clean word sent through a channel that swaps letters for
 puts separators between them.  Each suspicious token is spread into a lattice of what each symbol may have been; a
 Viterbi search under a character language model (4-grams with interpolated lower orders, counted over all training
 texts) finds the likeliest original; a logistic model scores the restored text.  A token whose lattice has one path (plain letters, none of
-them tripled) is its own restoration and skips the search.
+them doubled) is its own restoration and skips the search.
 
 Labels are read only from rows that are not held out.  lang, source, doc_id and labels are no inputs of a score.
 Null and empty texts get the score of a text without features.  Repeated rows are scored alike; null doc_ids
@@ -58,33 +58,52 @@ class CharModel:
                 row = self.levels[k].setdefault(context, {})
                 row[c] = row.get(c, 0) + n
                 self.totals[k][context] = self.totals[k].get(context, 0) + n
-        self.memo: dict[tuple[str, str], float] = {}
+        self.memo: dict[str, float] = {}
 
     def cost(self, context: str, c: str) -> float:
         """Negative log-probability of c after the three characters of context."""
-        got = self.memo.get((context, c))
+        got = self.memo.get(context + c)
         if got is None:
             p = 1e-4
             for k in range(ORDER):
                 tail = context[len(context) - k :] if k else ""
                 p = (self.levels[k].get(tail, {}).get(c, 0) + LAMBDA * p) / (self.totals[k].get(tail, 0) + LAMBDA)
-            got = self.memo[context, c] = -float(np.log(p))
+            got = self.memo[context + c] = -math.log(p)
             if len(self.memo) > 1_000_000:
                 self.memo.clear()
         return got
 
 
+_RUN = re.compile(r"(.)\1+", re.DOTALL)
+
+
 def lattice(token: str) -> list[list[tuple[str, float]]] | None:
-    """For each stretch of the token what it may have been, with channel costs; None if there is one path only."""
+    """For each stretch of the token what it may have been, with channel costs; None if there is one path only.
+
+    Around a token (not around a run of single characters) marks may be punctuation: plain ones go, look-alikes go or are letters."""
     out: list[list[tuple[str, float]]] = []
+    if token.isalpha():
+        at = 0
+        for m in _RUN.finditer(token):
+            c, run = m[1], m.end() - m.start()
+            if m.start() > at:
+                out.append([(token[at : m.start()], 0.0)])
+            out.append([(c * run, 0.0), (c, 2 * COLLAPSE)] if run == 2 else [(c * run, 0.0), (c, COLLAPSE), (c * 2, COLLAPSE)])
+            at = m.end()
+        return [*out, [(token[at:], 0.0)]] if out else None
     open_choice = False
     spaced = len(token) > 4 and all(not x.isalnum() or not y.isalnum() for x, y in zip(token, token[1:], strict=False))
     i, n = 0, len(token)
+    first, last = (0, n) if " " in token else _inner(token)
     while i < n:
         c, j = token[i], i + 1
         while j < n and token[j] == c:
             j += 1
         run = j - i
+        outside = (j <= first or i >= last) and (c in EDGE or run > 1 and c != "_")
+        if outside and c not in LOOKALIKES:
+            i = j
+            continue
         options = [(c * run, 0.0 if c.isalpha() else 2.0 * run)]
         if c == " ":
             options = [(" ", 0.0), ("", JOIN)]
@@ -98,14 +117,26 @@ def lattice(token: str) -> list[list[tuple[str, float]]] | None:
                     options.append((letter, swap + (COLLAPSE if run > 1 else 0)))
                 if run == 2 and not c.isalpha() or run > 2:
                     options.append((letter * 2, swap + COLLAPSE))
+        if run == 2 and c.isalpha():
+            options.append((c, 2 * COLLAPSE))
+        if outside:
+            options[0] = ("", 0.0 if c in EDGE else DROP * run)
         open_choice |= len(options) > 1
         out.append(options)
-        if run == 2 and c.isalpha():
-            options.append((c, 2 * COLLAPSE))  # worth asking only where the token is suspicious anyway
         i = j
     return out if open_choice else None
 
 
+def _inner(token: str) -> tuple[int, int]:
+    """Where the letters and digits of a token begin and end."""
+    i, j = 0, len(token)
+    while i < j and not token[i].isalnum():
+        i += 1
+    while j > i and not token[j - 1].isalnum():
+        j -= 1
+    return i, j
+
+
 def restore(token: str, model: CharModel) -> str:
     """The likeliest original of a token (or of a run of single characters) under channel and language model."""
     steps = lattice(token)
@@ -113,15 +144,17 @@ def restore(token: str, model: CharModel) -> str:
         return token
     blank = " " * (ORDER - 1)
     states: dict[str, tuple[float, tuple | None]] = {blank: (0.0, None)}  # cost, and the pieces as a chain from the last to the first
-    cost = model.cost
+    cost, memo = model.cost, model.memo
     for options in [*steps, [(" ", 0.0)]]:
         after: dict[str, tuple[float, tuple | None]] = {}
         for history, (so_far, chain) in states.items():
             for piece, channel in options:
                 total, h = so_far + channel, history
                 for c in piece:
-                    total += cost(h, c)
-                    h = blank if c == " " else h[1:] + c
+                    gram = h + c
+                    own = memo.get(gram)
+                    total += cost(h, c) if own is None else own
+                    h = blank if c == " " else gram[1:]
                 if h not in after or total < after[h][0]:
                     after[h] = (total, (chain, piece))
         states = after
@@ -132,29 +165,27 @@ def restore(token: str, model: CharModel) -> str:
     return "".join(reversed(pieces)).strip()
 
 
-_TRIPLE = re.compile(r"(.)\1\1", re.DOTALL)
+_DOUBLE = re.compile(r"(.)\1", re.DOTALL)
 _LETTER = re.compile(r"[^\W\d_]")
 _FRAME = re.compile(r"^([^\w\s])\1+|([^\w\s])\2+[.,;:!?]*$")
+_PLAIN = "".join(c for c in EDGE if c not in LOOKALIKES)
 _SWAPPED = frozenset(LOOKALIKES) | frozenset(SEPARATORS)
 
 
 def suspicious(token: str) -> bool:
-    """Letters among look-alikes or separators, or a character three times in a row."""
+    """Letters among look-alikes or separators, or a character twice in a row."""
     if token.isalpha():
-        return _TRIPLE.search(token) is not None
-    return _LETTER.search(token) is not None and (not _SWAPPED.isdisjoint(token) or _TRIPLE.search(token) is not None)
+        return _DOUBLE.search(token) is not None
+    return _LETTER.search(token) is not None and (not _SWAPPED.isdisjoint(token) or _DOUBLE.search(token) is not None)
 
 
 def core(token: str) -> str:
-    """A token without the punctuation around it (marks and runs of one symbol); a look-alike at its end stays if the rest is spelt with others."""
+    """A token without the plain punctuation around it; look-alikes stay, the lattice decides on them, unless there is no letter to read."""
     if token.isalpha():
         return token
-    token = _FRAME.sub("", token)
-    bare = token.strip(EDGE)
-    if bare != token and any(c in LOOKALIKES for c in bare):
-        whole = token.strip(".,;:?\"'()[]{}«»„“”…")
-        return whole if len(whole) - len(bare) <= 1 else bare
-    return bare
+    if _LETTER.search(token) is None:
+        return _FRAME.sub("", token).strip(EDGE)
+    return token.strip(_PLAIN)
 
 
 class Restorer:
