@@ -181,6 +181,17 @@ def test_doubled_letters_and_look_alikes_at_the_edges_are_choices(toxic):
     assert [reader.token(w) for w in ("(river", "books!", "**small**", "kept!?", "100!", "!!!")] == [["river"], ["books"], ["small"], ["kept"], ["100"], []]
 
 
+def test_tokens_of_any_length_are_decoded_and_counted(toxic):
+    reader = toxicity.Restorer(toxicity.CharModel(toxic[2].grams))
+    assert reader.token("".join(c * 14 for c in "idiot")) == ["idiot"]
+    dotted = ".".join("".join("the quiet people read books in the evening idiot kept small gardens".split()))
+    assert len(dotted) > 100 and "idiot" in "".join(reader.token(dotted))
+    assert "idiot" in reader.token(".".join("thequietriverranpastsevenhousesidiot"))
+    long = "abcd" * 30
+    grams, counts = toxicity.count_grams({long: 2})
+    assert dict(zip(grams, counts, strict=True))["abcd"] == 60
+
+
 def test_toxicity_odd_rows(spark, toxic):
     docs, labels, model = toxic
     odd = frame(spark, [(None, "idiot"), (1, None), (2, ""), (2, ""), (3, "z" * 5000), (4, "$ $ $ $ $")])

@@ -9,7 +9,7 @@ them doubled) is its own restoration and skips the search.
 Labels are read only from rows that are not held out.  lang, source, doc_id and labels are no inputs of a score.
 Null and empty texts get the score of a text without features.  Repeated rows are scored alike; null doc_ids
 are never training rows.  Unlabelled rows and null labels are ignored in fitting; with fewer than two classes all scores are
-the class share.  Tokens over MAX_TOKEN characters are taken as they are.
+the class share.  Tokens of any length are decoded and counted; the search is linear in their length.
 """
 
 from __future__ import annotations
@@ -39,7 +39,6 @@ MAX_FEATURES = 4_096
 #: The classifier (its features and weights) is fitted on about so many labelled rows, those with the smallest hash, or all if there
 #: are no more; the language model's counts cover all training texts.
 SAMPLE_ROWS = 30_000
-MAX_TOKEN = 48
 CACHE = 150_000
 SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
 EDGE = ".,;:!?\"'()[]{}<>«»„“”…"
@@ -109,6 +108,8 @@ def lattice(token: str) -> list[list[tuple[str, float]]] | None:
             options = [(" ", 0.0), ("", JOIN)]
         elif c in SEPARATORS:
             options = [("", JOIN if spaced else DROP), (c * run, 2.0)]
+            if spaced:
+                options.append((" ", JOIN))  # words spelt out may follow one another
         else:
             letters = c if c.isalpha() else LOOKALIKES.get(c, "")
             swap = 0.0 if c.isalpha() else SWAP
@@ -196,7 +197,7 @@ class Restorer:
 
     def token(self, token: str) -> list[str]:
         bare = core(token)
-        if len(bare) > MAX_TOKEN or not suspicious(bare):
+        if not suspicious(bare):
             return [bare] if bare else []
         got = self.cache.get(bare)
         if got is None:
@@ -263,12 +264,11 @@ def held_out(doc_id="doc_id") -> F.Column:
 
 def count_grams(words: dict[str, int]) -> tuple[list[str], list[int]]:
     """4-grams of words (blanks stand before and behind), each counted as often as its word; in numpy over all words at once."""
-    kept = {w: n for w, n in words.items() if len(w) <= MAX_TOKEN}
-    if not kept:
+    if not words:
         return [], []
     edge = " " * (ORDER - 1)
-    points = np.frombuffer("".join([edge + w + " " for w in kept]).encode("utf-32-le", "replace"), "<u4")
-    weight = np.repeat(np.fromiter(kept.values(), np.int64), [len(w) + ORDER for w in kept])
+    points = np.frombuffer("".join([edge + w + " " for w in words]).encode("utf-32-le", "replace"), "<u4")
+    weight = np.repeat(np.fromiter(words.values(), np.int64), [len(w) + ORDER for w in words])
     alphabet, ids = np.unique(points, return_inverse=True)
     width, n = int(len(alphabet)).bit_length(), len(points) - ORDER + 1
     keys = np.zeros(n, np.int64)
@@ -284,14 +284,17 @@ def count_grams(words: dict[str, int]) -> tuple[list[str], list[int]]:
 def _counts(batches):
     schema = pa.schema([("gram", pa.string()), ("n", pa.int64())])
     words: Counter = Counter()
+    size = 0
     for (rows,) in rows_of(batches, "text"):
         for t in rows:
             if t:
                 words.update(t.lower().split())
-        if len(words) > 300_000:
+                size += len(t)
+        if len(words) > 300_000 or size > 1 << 25:
             grams, counts = count_grams(words)
             yield batch_of(schema, gram=grams, n=counts)
             words.clear()
+            size = 0
     grams, counts = count_grams(words)
     if grams:
         yield batch_of(schema, gram=grams, n=counts)
