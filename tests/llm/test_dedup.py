@@ -54,6 +54,9 @@ def brute_substring(rows, w):
 @pytest.mark.parametrize("window", [20, 7])
 def test_substring_matches_brute_force(spark, window):
     rows = corpus(1)
+    for hot, run in ((3, 4096), (20_000, 7)):
+        got = substring.dedup(frame(spark, rows), window=window, gram=5, hot=hot, run_windows=run, piece=1 << 19 if hot == 3 else 40).collect()
+        assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute_substring(rows, window)
     got = substring.dedup(frame(spark, rows), window=window, gram=5, detail=True).collect()
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute_substring(rows, window)
     text = {i: (t or "").split() for i, t in rows}
@@ -72,6 +75,31 @@ def test_substring_odd_rows(spark):
     assert substring.dedup(frame(spark, [])).count() == 0
 
 
+def test_a_text_longer_than_a_piece(spark):
+    r = random.Random(20)
+    long = [r.choice("abcdefghij") * r.randint(1, 3) + str(r.randint(0, 9000)) for _ in range((1 << 19) + 4000)]
+    middle = (1 << 19) - 30  # the passage lies across the first piece's end
+    rows = [(1, " ".join(long)), (2, "one two " + " ".join(long[middle : middle + 60])), (3, "x " * 5)]
+    got = {x.doc_id: x for x in substring.dedup(frame(spark, rows)).collect()}
+    assert [got[i].n_removed for i in (1, 2, 3)] == [0, 60, 0]
+    cut = {x.doc_id: x for x in sufarray.dedup(frame(spark, rows), detail=True).collect()}
+    size = len(" ".join(long[middle : middle + 60]))
+    assert size <= cut[1].n_removed <= size + 2 and cut[2].n_removed == cut[1].n_removed
+
+
+def test_substring_equals_its_sql(spark):
+    import duckdb
+
+    from tidewise.llm import queries
+
+    path = "/root/testdata/sf0.001"
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet'")
+    want = connection.execute(f"SELECT doc_id, n_words, n_removed, kept_sha256 FROM ({queries.SQL['op4_substring']})").fetchall()
+    got = queries.op4_substring(spark, path).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def brute_bytes(rows, k):
     where = {}
     data = {n: (t or "").encode() for n, (_, t) in enumerate(rows)}
@@ -92,12 +120,10 @@ def brute_bytes(rows, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize(("hot", "block"), [(20_000, 1 << 20), (3, 1 << 10)])
-def test_suffix_array_matches_brute_force(spark, monkeypatch, hot, block):
-    monkeypatch.setattr(sufarray, "HOT", hot)
-    monkeypatch.setattr(sufarray, "BLOCK", block)
+@pytest.mark.parametrize(("hot", "block", "run"), [(20_000, 1 << 20, 1024), (3, 1 << 10, 1024), (1, 300, 9), (50, 2000, 3)])
+def test_suffix_array_matches_brute_force(spark, hot, block, run):
     rows = corpus(2)
-    got = sufarray.dedup(frame(spark, rows), length=100, gram=16)
+    got = sufarray.dedup(frame(spark, rows), length=100, gram=16, hot=hot, block=block, run_windows=run, piece=1 << 19 if run > 9 else 150)
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()) == brute_bytes(rows, 100)
 
 
@@ -119,7 +145,7 @@ def test_interval_expansion_finds_the_repeated_strings(seed):
         assert sufarray.repeated_starts(text, k).tolist() == want
 
 
-@pytest.mark.parametrize("hot", [None, 3])
+@pytest.mark.parametrize("hot", [3, 20_000])
 def test_anchor_filter_keeps_every_repeated_anchor(spark, hot):
     rows = corpus(3)
     scheme = anchors.Scheme(20, 5, words=True)
@@ -135,9 +161,8 @@ def test_anchor_filter_keeps_every_repeated_anchor(spark, hot):
     want = {i: {h for h in hs if totals[h] > 1} for i, hs in held.items()}
     got = anchors.with_repeated(docs, scheme, hot).collect()
     assert {r.doc_id: {h & (1 << 64) - 1 for h in r.hs} for r in got if r.hs} == {i: hs for i, hs in want.items() if hs}
-    if hot:
-        many = {h for h in totals if sum(h in hs for hs in want.values()) > hot}
-        assert {h & (1 << 64) - 1 for r in got for h in r.hot or ()} == many
+    many = {h for h in totals if sum(h in hs for hs in want.values()) > hot}
+    assert {h & (1 << 64) - 1 for r in got for h in r.hot or ()} == many
 
 
 def test_settled_rows_pass_and_pending_ones_wait():

@@ -52,11 +52,12 @@ def grams(values: np.ndarray, k: int, base: int = _BASE) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Scheme:
-    """width: units of a window; gram: units hashed for an anchor; words: units are words, else UTF-8 bytes."""
+    """width: units of a window; gram: units hashed for an anchor; words: units are words, else UTF-8 bytes; piece: units worked on at once."""
 
     width: int
     gram: int
     words: bool
+    piece: int = PIECE
 
     @property
     def span(self) -> int:
@@ -108,11 +109,11 @@ def packs(scheme: Scheme, texts: Iterable[bytes]) -> Iterator[Pack]:
 
     for row, text in enumerate(texts):
         units = scheme.units(text)
-        for at in range(0, len(units) - width + 1, PIECE):
-            piece = units[at : at + PIECE + width - 1]
+        for at in range(0, len(units) - width + 1, scheme.piece):
+            piece = units[at : at + scheme.piece + width - 1]
             held.append((row, at, piece))
             size += len(piece)
-            if size >= PIECE:
+            if size >= scheme.piece:
                 yield pack()
                 held, size = [], 0
     if held:
@@ -213,23 +214,42 @@ def repeated(docs: DataFrame, scheme: Scheme) -> DataFrame:
     return anchors(docs, scheme).repartition(home).sortWithinPartitions("h").mapInArrow(_keep_repeated, "doc_id long, h long")
 
 
-def with_repeated(docs: DataFrame, scheme: Scheme, hot: int | None = None) -> DataFrame:
-    """doc_id, text, hs for every document; hs are the hashes of its repeated anchors (null: none).
+SALTS = 64
 
-    With `hot` also hot: those that over so many documents hold.  The join keeps all documents so that their exchange by doc_id is the very
-    one the callers' last join asks for: Spark makes it once and reads it twice.
+
+def with_repeated(docs: DataFrame, scheme: Scheme, hot: int) -> DataFrame:
+    """doc_id, text, hs, hot for every document; hs are the hashes of its repeated anchors (null: none), hot those that over `hot` documents hold.
+
+    The two-sided join on a hash is salted by document, so that a hash which very many documents hold meets in no one task.  The last join
+    keeps all documents so that their exchange by doc_id is the very one the callers' last join asks for: Spark makes it once and reads it twice.
     """
-    found = repeated(docs, scheme)
-    if hot is None:
-        lists = found.groupBy("doc_id").agg(F.collect_list("h").alias("hs"))
-        return docs.join(lists, "doc_id", "left").select("doc_id", "text", "hs")
-    found = cut(found)  # small: repeated anchors only
-    often = found.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("h", F.lit(True).alias("is_hot"))
-    marked = found.join(often, "h", "left")
+    found = cut(repeated(docs, scheme))  # small: repeated anchors only
+    often = found.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > hot)
+    often = often.select("h", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(True).alias("is_hot"))
+    marked = found.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(often, ["h", "salt"], "left")
     lists = marked.groupBy("doc_id").agg(F.collect_list("h").alias("hs"), F.collect_list(F.when(F.col("is_hot"), F.col("h"))).alias("hot"))
     return docs.join(lists, "doc_id", "left").select("doc_id", "text", "hs", "hot")
 
 
+def stretches(scheme: Scheme, pack: Pack, lists: list[np.ndarray], hot: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the pack's segments start, how many windows each has, and under which key it meets its like.
+
+    A segment is a run of neighbouring windows under one repeated anchor, cut after `longest` windows.  Under an anchor that is hot the gram
+    grows to the whole window: there each window is a segment of its own under its own hash, so that no key gathers texts that differ."""
+    at, h = candidates(scheme, pack, lists)
+    if not len(at):
+        return at, at, h
+    is_hot = np.isin(h, hot) if len(hot) else np.zeros(len(h), bool)
+    if is_hot.any():
+        h = np.where(is_hot, grams(scheme.values(pack.units), scheme.width)[at].view(np.int64), h)
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (h[1:] != h[:-1]) | is_hot[1:]]))
+    n = np.diff(np.append(first, len(at)))
+    if n.max() > longest:  # very periodic text
+        first = np.concatenate([np.arange(s, s + k, longest) for s, k in zip(first.tolist(), n.tolist(), strict=True)])
+        n = np.diff(np.append(first, len(at)))
+    return at[first], n, h[first]
+
+
 def listed(column) -> list[np.ndarray]:
     """Sorted arrays of an Arrow list column; null counts as empty."""
     return [np.sort(np.asarray(x or (), np.int64)) for x in column.to_pylist()]

@@ -9,8 +9,9 @@ increasing order, and the search stops at the threshold: boundaries not reached
 
 What reaches that step: windows whose anchor hash repeats (see anchors) are cut into segments, one for each run of
 windows under an anchor.  All segments of an anchor meet in one task; equal segments collapse (their windows repeat by
-that alone), and what differs is packed into blocks of about BLOCK bytes.  An anchor with over HOT occurrences is not
-gathered: its windows go out one by one under a 128-bit hash, first collapsed within a reading task, so that no group is unbounded.
+that alone), and what differs is packed into blocks of about BLOCK bytes.  For an anchor that over HOT documents hold the gram grows to
+the whole window, so that only equal windows share a key: a group holds HOT different segments of RUN windows at the most.
+Texts are compared byte by byte, no hash decides.
 
 A null text is empty; texts shorter than `length` lose nothing.  Rows with a null doc_id are returned whole and
 take no part.  Repeated rows are separate occurrences: each is a repeat of the other.  Matches never cross documents.
@@ -25,18 +26,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.anchors import Scheme, candidates, grams, listed, packs, with_repeated
+from tidewise.llm.anchors import PIECE, Scheme, listed, packs, stretches, with_repeated
 from tidewise.llm.common import batch_of, raw, texts
 
 BLOCK = 1 << 20
-HOT = 20_000
-RUN = 4096
+HOT = 4_000
+RUN = 1_024
+#: Segments of so many bytes are compared within a reading task before they go on.
+HELD_BYTES = 1 << 24
 
-_ROW = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32()), ("n", pa.int32()), ("kind", pa.int32()), ("seg", pa.binary())])
-_ROW_DDL = "h1 long, h2 long, doc_id long, pos int, n int, kind int, seg binary"
+_ROW = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("span", pa.int64()), ("twice", pa.bool_()), ("seg", pa.binary())])
+_ROW_DDL = "h long, doc_id long, span long, twice boolean, seg binary"
 _SPAN = pa.schema([("doc_id", pa.int64()), ("span", pa.int64())])
 _LOW = 24  # a span is packed as start << _LOW | windows
-SEGMENT, WINDOW, DONE, TWICE = 0, 1, 2, 3
 
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
@@ -107,182 +109,135 @@ def repeated_starts(symbols: np.ndarray, length: int) -> np.ndarray:
     return out[: n - 1]
 
 
-def _cut_segments(scheme: Scheme):
+def _cut_segments(scheme: Scheme, run_windows: int):
+    """Rows of segments; of equal ones within a task the first goes on as one that repeats (twice), the others are settled (no seg; dealt by document)."""
+
+    def settled(h, doc, span, segs):
+        lead: dict[tuple, int] = {}
+        home, twice, left = list(h), [False] * len(h), list(segs)
+        for i, key in enumerate(zip(h, segs, strict=True)):
+            first = lead.setdefault(key, i)
+            if first != i:
+                twice[first] = True
+                home[i], left[i] = doc[i] * 1_000_003 + span[i], None
+        home = np.array([x & (1 << 64) - 1 for x in home], np.uint64).view(np.int64)
+        return batch_of(_ROW, h=home, doc_id=doc, span=span, twice=twice, seg=left)
+
     def run(batches):
+        held, size = ([], [], [], []), 0
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 part = part.filter(part.column(2).is_valid())
+                if not part.num_rows:
+                    continue
                 keys, lists = part.column(0).to_numpy(), listed(part.column(2))
                 hot = np.unique(np.concatenate([np.empty(0, np.int64), *listed(part.column(3))]))
                 for pack in packs(scheme, [raw(t) for t in part.column(1).to_pylist()]):
-                    at_, h = candidates(scheme, pack, lists)
-                    if not len(at_):
-                        continue
-                    is_hot = np.isin(h, hot) if len(hot) else np.zeros(len(h), bool)
-                    yield from _segments(scheme, pack, keys, at_[~is_hot], h[~is_hot])
-                    yield from _windows(scheme, pack, keys, at_[is_hot])
+                    starts, n, h = stretches(scheme, pack, lists, hot, run_windows)
+                    row, pos = pack.owners(starts)
+                    whole, width = pack.units.tobytes(), scheme.width
+                    segs = [whole[s : s + k + width - 1] for s, k in zip(starts.tolist(), n.tolist(), strict=True)]
+                    for values, more in zip(held, (h.tolist(), keys[row].tolist(), (pos.astype(np.int64) << _LOW | n).tolist(), segs), strict=True):
+                        values += more
+                    size += sum(map(len, segs))
+                if size >= HELD_BYTES:
+                    yield settled(*held)
+                    held, size = ([], [], [], []), 0
+        if held[0]:
+            yield settled(*held)
 
     return run
 
 
-def _segments(scheme, pack, keys, at, h):
-    if not len(at):
-        return
-    first = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (h[1:] != h[:-1])]))
-    n = np.diff(np.append(first, len(at)))
-    if n.max() > RUN:  # very periodic text
-        cut = [np.arange(s, s + k, RUN) for s, k in zip(first.tolist(), n.tolist(), strict=True)]
-        first = np.concatenate(cut)
-        n = np.diff(np.append(first, len(at)))
-    row, pos = pack.owners(at[first])
-    whole, starts = pack.units.tobytes(), at[first]
-    segs = [whole[s : s + k] for s, k in zip(starts.tolist(), (n + scheme.width - 1).tolist(), strict=True)]
-    # of equal segments in one task the first goes on, as one that repeats; the others' windows are settled
-    kind, seen = np.full(len(first), SEGMENT, np.int32), {}
-    home = h[first].copy()
-    for i, key in enumerate(zip(home.tolist(), segs, strict=True)):
-        other = seen.setdefault(key, i)
-        if other != i:
-            kind[i], kind[other], segs[i] = DONE, TWICE, None
-            home[i] = keys[row[i]] * 1_000_003 + pos[i]
-    yield batch_of(_ROW, h1=home, h2=np.zeros(len(first), np.int64), doc_id=keys[row], pos=pos.astype(np.int32), n=n.astype(np.int32), kind=kind, seg=segs)
-
-
-def _windows(scheme, pack, keys, at):
-    if not len(at):
-        return
-    h1 = grams(scheme.values(pack.units), scheme.width)[at].view(np.int64)
-    h2 = grams(scheme.values(pack.units), scheme.width, 0xC2B2AE3D27D4EB4F)[at].view(np.int64)
-    row, pos = pack.owners(at)
-    doc, order = keys[row], np.lexsort((h2, h1))
-    h1, h2, doc, pos = h1[order], h2[order], doc[order], pos[order]
-    first = np.flatnonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]))
-    k = np.diff(np.append(first, len(h1)))
-    yield batch_of(_ROW, h1=h1[first], h2=h2[first], doc_id=doc[first], pos=pos[first].astype(np.int32), n=np.ones(len(first), np.int32), kind=np.where(k > 1, DONE, WINDOW).astype(np.int32), seg=pa.nulls(len(first), pa.binary()))
-    rest = np.ones(len(h1), bool)
-    rest[first] = False
-    if rest.any():
-        # the rest repeat the first one of their task; that one still goes on, for those of other tasks
-        m = int(rest.sum())
-        yield batch_of(_ROW, h1=h1[rest], h2=h2[rest], doc_id=doc[rest], pos=pos[rest].astype(np.int32), n=np.ones(m, np.int32), kind=np.full(m, DONE, np.int32), seg=pa.nulls(m, pa.binary()))
-
-
 class _Meeting:
-    """Takes rows sorted by (h1, h2), gives spans of repeated windows."""
+    """Takes segments sorted by key, gives spans of repeated windows."""
 
-    def __init__(self, length: int) -> None:
-        self.length = length
-        self.out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.block: list[tuple[bytes, list]] = []
+    def __init__(self, length: int, block: int) -> None:
+        self.length, self.most = length, block
+        self.spans: list[tuple[int, int]] = []
+        self.block: list[tuple[bytes, int, int, bool]] = []
         self.size = 0
-        self.group: dict[bytes, list[tuple[int, int, int]]] = {}
-        self.key: tuple | None = None
-        self.pending: tuple | None = None
-        self.repeated = False
-
-    def emit(self, rows) -> None:
-        if len(rows):
-            self.out.append(tuple(np.array(x, np.int64) for x in zip(*rows, strict=True)))
+        self.group: dict[bytes, list] = {}  # of each different segment the first place and whether it repeats
+        self.key: int | None = None
+
+    def take(self, h: int, doc: int, span: int, twice: bool, seg: bytes) -> None:
+        if h != self.key:
+            self.close()
+            self.key = h
+        first = self.group.get(seg)
+        if first is None:
+            self.group[seg] = [doc, span, twice]
+            if twice:
+                self.spans.append((doc, span))
+            return
+        if not first[2]:
+            first[2] = True
+            self.spans.append((first[0], first[1]))
+        self.spans.append((doc, span))
 
     def close(self) -> None:
-        """The group of segments is complete."""
-        if len(self.group) == 1:
-            ((seg, rows),) = self.group.items()
-            if len(rows) > 1:
-                self.emit(rows)
-            else:  # it may repeat within itself
-                self.add(seg, rows)
-        else:
-            for seg, rows in self.group.items():
-                self.add(seg, rows)
+        """The group of a key is complete: what differs in it goes to one block; a lone segment that repeats as a whole is settled."""
+        if len(self.group) > 1 or any(not x[2] for x in self.group.values()):
+            for seg, (doc, span, repeats) in self.group.items():
+                self.block.append((seg, doc, span, repeats))
+                self.size += len(seg) + 1
         self.group = {}
-        if self.size >= BLOCK:
+        if self.size >= self.most:
             self.solve()
 
-    def add(self, seg: bytes, rows) -> None:
-        if len(rows) > 1:
-            self.emit(rows)
-        self.block.append((seg, rows))
-        self.size += len(seg) + 1
-
     def solve(self) -> None:
         if not self.block:
             return
-        lengths = np.array([len(s) for s, _ in self.block])
+        lengths = np.array([len(x[0]) for x in self.block])
         symbols = np.full(int(lengths.sum()) + len(lengths), 256, np.int32)
         begin = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
-        joined = np.frombuffer(b"".join(s for s, _ in self.block), np.uint8)
-        where = np.arange(len(joined)) + np.repeat(np.arange(len(lengths)), lengths)
-        symbols[where] = joined
+        joined = np.frombuffer(b"".join(x[0] for x in self.block), np.uint8)
+        symbols[np.arange(len(joined)) + np.repeat(np.arange(len(lengths)), lengths)] = joined
         hit = repeated_starts(symbols, self.length)
-        for (_, rows), b, k in zip(self.block, begin.tolist(), lengths.tolist(), strict=True):
-            if len(rows) > 1:
+        for (_, doc, span, repeats), b, k in zip(self.block, begin.tolist(), lengths.tolist(), strict=True):
+            if repeats:
                 continue  # given out already
             mine = np.flatnonzero(hit[b : b + k - self.length + 1])
             if len(mine):
                 first = np.flatnonzero(np.concatenate([[True], np.diff(mine) != 1]))
                 n = np.diff(np.append(first, len(mine)))
-                doc, pos, _n = rows[0]
-                self.out.append((np.full(len(first), doc), pos + mine[first], n))
+                self.spans += [(doc, ((span >> _LOW) + p) << _LOW | m) for p, m in zip(mine[first].tolist(), n.tolist(), strict=True)]
         self.block, self.size = [], 0
 
-    def take(self, batch) -> None:
-        h1, h2, doc, pos, n, kind = (batch.column(i).to_numpy() for i in range(6))
-        done = kind == DONE
-        if done.any():
-            self.out.append((doc[done], pos[done].astype(np.int64), n[done].astype(np.int64)))
-        segs = batch.column(6)
-        for i in range(len(h1)):
-            if kind[i] == DONE and h2[i] == 0:
-                continue  # a settled segment
-            key = (h1[i], h2[i], kind[i] in (SEGMENT, TWICE))
-            if key != self.key:
-                if self.group:
-                    self.close()
-                self.key, self.pending, self.repeated = key, None, False
-            row = (int(doc[i]), int(pos[i]), int(n[i]))
-            if kind[i] in (SEGMENT, TWICE):
-                self.group.setdefault(segs[i].as_py(), []).extend([row] if kind[i] == SEGMENT else [row, row])
-            elif self.repeated:
-                if kind[i] == WINDOW:
-                    self.emit([row])
-            elif self.pending is None and kind[i] == WINDOW:
-                self.pending = row
-                self.repeated = False
-            else:
-                self.repeated = True
-                self.emit([r for r in (self.pending, row if kind[i] == WINDOW else None) if r])
-                self.pending = None
-
     def flush(self):
-        if self.out:
-            doc, pos, n = (np.concatenate([x[i] for x in self.out]) for i in range(3))
-            self.out = []
-            yield batch_of(_SPAN, doc_id=doc, span=pos << _LOW | n)
+        if self.spans:
+            doc, span = zip(*self.spans, strict=True)
+            self.spans = []
+            yield batch_of(_SPAN, doc_id=doc, span=span)
 
 
-def _meet(length: int):
+def _meet(length: int, block: int):
     def run(batches):
-        meeting = _Meeting(length)
+        meeting = _Meeting(length, block)
         for batch in batches:
-            meeting.take(batch)
+            seg = batch.column(4)
+            done = seg.is_null()
+            if done.true_count:
+                yield pa.RecordBatch.from_arrays([batch.column(i).filter(done) for i in (1, 2)], schema=_SPAN)
+                batch = batch.filter(seg.is_valid())
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                meeting.take(*row)
             yield from meeting.flush()
-        if meeting.group:
-            meeting.close()
+        meeting.close()
         meeting.solve()
         yield from meeting.flush()
 
     return run
 
 
-def dedup(docs: DataFrame, length: int = 200, gram: int = 96, detail: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, length: int = 200, gram: int = 96, detail: bool = False, hot: int = HOT, run_windows: int = RUN, block: int = BLOCK, piece: int = PIECE) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; with `detail` also spans (start, stop), kept (bytes) and
     kept_text (kept as text; characters that were cut through are left out)."""
-    scheme = Scheme(length, gram, words=False)
+    scheme = Scheme(length, gram, False, piece)
     docs = texts(docs)
-    rows = with_repeated(docs, scheme, HOT).mapInArrow(_cut_segments(scheme), _ROW_DDL)
-    spans = rows.repartition("h1", "h2").sortWithinPartitions("h1", "h2", F.col("kind").desc()).mapInArrow(_meet(length), "doc_id long, span long")
+    rows = with_repeated(docs, scheme, hot).mapInArrow(_cut_segments(scheme, run_windows), _ROW_DDL)
+    spans = rows.repartition("h").sortWithinPartitions("h").mapInArrow(_meet(length, block), "doc_id long, span long")
     per_doc = spans.groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
     fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
