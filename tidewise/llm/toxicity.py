@@ -1,10 +1,12 @@
 """Toxicity by noisy-channel deobfuscation.
 
-An obfuscated word is a clean word sent through a channel that swaps letters for look-alikes, stretches them and
-puts separators between them.  Each suspicious token is spread into a lattice of what each symbol may have been; a
+An obfuscated word is a clean word sent through a channel that swaps letters for look-alikes, stretches them, puts
+separators between them and blanks inside them.  Each token is spread into a lattice of what each symbol may have been; a
 Viterbi search under a character language model (4-grams with interpolated lower orders, counted over all training
 texts) finds the likeliest original; a logistic model scores the restored text.  A token whose lattice has one path (plain letters, none of
-them doubled) is its own restoration and skips the search.
+them doubled) is its own restoration and skips the search; tokens without letters are searched like all others (a number's digits cost
+nothing to keep).  Runs of single characters, whatever the blanks between them, are one lattice with the blanks as choices, and so are
+two or three neighbouring tokens that together spell a word of the fitted model.
 
 Labels are read only from rows that are not held out.  lang, source, doc_id and labels are no inputs of a score.
 Null and empty texts get the score of a text without features.  Repeated rows are scored alike; null doc_ids
@@ -18,10 +20,10 @@ import math
 import re
 import uuid
 from collections import Counter
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ from tidewise.llm.common import batch_of, bounded_sample, cut, kept_rows, rows_o
 #: What a symbol may stand for in obfuscated spelling.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i", "§": "s", "#": "h", "%": "x"}
 SEPARATORS = ".-_*~/\\'"
-SWAP, COLLAPSE, JOIN, DROP = 1.0, 1.0, 0.3, 1.5  # channel costs in nats
+SWAP, COLLAPSE, JOIN, DROP, NUMERAL = 1.0, 1.0, 0.3, 1.5, 3.0  # channel costs in nats; a number is seldom a word in disguise
 ORDER = 4
 LAMBDA = 4.0
 #: Sizes of the model, not of the data: so many 4-grams and features are kept, the most frequent and the most telling.
@@ -40,7 +42,8 @@ MAX_FEATURES = 4_096
 #: are no more; the language model's counts cover all training texts.
 SAMPLE_ROWS = 30_000
 CACHE = 150_000
-SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
+ALL = " "  # counts the texts; no feature is a blank
+SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 EDGE = ".,;:!?\"'()[]{}<>«»„“”…"
 PREFIXES = (4, 5, 6)
 
@@ -72,8 +75,17 @@ class CharModel:
                 self.memo.clear()
         return got
 
+    def numeral(self, context: str, c: str) -> float:
+        """The same for a number, whose digits and marks are all alike to it."""
+        return self.cost(context, c) if c.isalpha() or c == " " else math.log(10)
+
 
 _RUN = re.compile(r"(.)\1+", re.DOTALL)
+_NUMBER = re.compile(r"[$€£+-]?\d[\d.,:/-]*%?")
+
+
+def is_number(token: str) -> bool:
+    return _NUMBER.fullmatch(token.strip(EDGE)) is not None
 
 
 def lattice(token: str) -> list[list[tuple[str, float]]] | None:
@@ -90,10 +102,11 @@ def lattice(token: str) -> list[list[tuple[str, float]]] | None:
             out.append([(c * run, 0.0), (c, 2 * COLLAPSE)] if run == 2 else [(c * run, 0.0), (c, COLLAPSE), (c * 2, COLLAPSE)])
             at = m.end()
         return [*out, [(token[at:], 0.0)]] if out else None
-    open_choice = False
+    open_choice, plain = False, ""
     spaced = len(token) > 4 and all(not x.isalnum() or not y.isalnum() for x, y in zip(token, token[1:], strict=False))
     i, n = 0, len(token)
     first, last = (0, n) if " " in token else _inner(token)
+    own, mask = (0.0, NUMERAL) if is_number(token) else (2.0, SWAP)  # of a digit or mark that is itself, or a letter
     while i < n:
         c, j = token[i], i + 1
         while j < n and token[j] == c:
@@ -101,18 +114,22 @@ def lattice(token: str) -> list[list[tuple[str, float]]] | None:
         run = j - i
         outside = (j <= first or i >= last) and (c in EDGE or run > 1 and c != "_")
         if outside and c not in LOOKALIKES:
+            i, open_choice = j, True
+            continue
+        if run == 1 and c.isalpha():
+            plain += c
             i = j
             continue
-        options = [(c * run, 0.0 if c.isalpha() else 2.0 * run)]
+        options = [(c * run, 0.0 if c.isalpha() else own * run)]
         if c == " ":
             options = [(" ", 0.0), ("", JOIN)]
         elif c in SEPARATORS:
-            options = [("", JOIN if spaced else DROP), (c * run, 2.0)]
+            options = [("", JOIN if spaced else DROP), (c * run, own)]
             if spaced:
                 options.append((" ", JOIN))  # words spelt out may follow one another
         else:
             letters = c if c.isalpha() else LOOKALIKES.get(c, "")
-            swap = 0.0 if c.isalpha() else SWAP
+            swap = 0.0 if c.isalpha() else mask
             for letter in letters:
                 if run > 2 or not c.isalpha():
                     options.append((letter, swap + (COLLAPSE if run > 1 else 0)))
@@ -123,43 +140,74 @@ def lattice(token: str) -> list[list[tuple[str, float]]] | None:
         if outside:
             options[0] = ("", 0.0 if c in EDGE else DROP * run)
         open_choice |= len(options) > 1
-        out.append(options)
+        if len(options) == 1:
+            plain += options[0][0]
+        else:
+            if plain:
+                out.append([(plain, 0.0)])
+                plain = ""
+            out.append(options)
         i = j
+    if plain:
+        out.append([(plain, 0.0)])
     return out if open_choice else None
 
 
+_SIGN = re.compile("|".join(re.escape(c) for c in LOOKALIKES if c not in EDGE and not c.isalnum()))
+
+
 def _inner(token: str) -> tuple[int, int]:
-    """Where the letters and digits of a token begin and end."""
-    i, j = 0, len(token)
-    while i < j and not token[i].isalnum():
-        i += 1
-    while j > i and not token[j - 1].isalnum():
-        j -= 1
-    return i, j
+    """Where the letters, digits and lone signs that may be letters begin and end."""
+    inside = [i for i, c in enumerate(token) if c.isalnum() or _SIGN.match(c) and c not in (token[i - 1 : i], token[i + 1 : i + 2])]
+    return (inside[0], inside[-1] + 1) if inside else (len(token), len(token))
+
+
+_BLANK = " " * (ORDER - 1)
 
 
 def restore(token: str, model: CharModel) -> str:
-    """The likeliest original of a token (or of a run of single characters) under channel and language model."""
+    """The likeliest original of a token (or of a run of tokens with blanks) under channel and language model.
+
+    What costs the same on every path is not added up: a stretch without choices that all paths share counts only as far as their
+    histories reach into it, ORDER - 1 characters; behind that they are one."""
     steps = lattice(token)
     if steps is None:
         return token
-    blank = " " * (ORDER - 1)
-    states: dict[str, tuple[float, tuple | None]] = {blank: (0.0, None)}  # cost, and the pieces as a chain from the last to the first
-    cost, memo = model.cost, model.memo
+    states: dict[str, tuple[float, tuple | None]] = {_BLANK: (0.0, None)}  # cost, and the pieces as a chain from the last to the first
+    cost, memo = (model.numeral, {}) if is_number(token) else (model.cost, model.memo)
     for options in [*steps, [(" ", 0.0)]]:
+        if len(options) == 1 and len(options[0][0]) >= ORDER - 1:
+            piece = options[0][0]
+            if len(states) > 1:
+                head, best = piece[: ORDER - 1], None
+                for history, (total, chain) in states.items():
+                    h = history
+                    for c in head:
+                        gram = h + c
+                        x = memo.get(gram)
+                        total += cost(h, c) if x is None else x
+                        h = gram[1:]
+                    if best is None or total < best[0]:
+                        best = (total, chain)
+            else:
+                (best,) = states.values()
+            states = {piece[1 - ORDER :]: (best[0], (best[1], piece))}
+            continue
         after: dict[str, tuple[float, tuple | None]] = {}
         for history, (so_far, chain) in states.items():
             for piece, channel in options:
                 total, h = so_far + channel, history
                 for c in piece:
+                    if c == " " and h == _BLANK:
+                        continue  # no word, no end of one
                     gram = h + c
-                    own = memo.get(gram)
-                    total += cost(h, c) if own is None else own
-                    h = blank if c == " " else gram[1:]
+                    x = memo.get(gram)
+                    total += cost(h, c) if x is None else x
+                    h = _BLANK if c == " " else gram[1:]
                 if h not in after or total < after[h][0]:
                     after[h] = (total, (chain, piece))
         states = after
-    chain, pieces = states[blank][1], []  # the last step leads all states here
+    chain, pieces = states[_BLANK][1], []  # the last step leads all states here
     while chain is not None:
         chain, piece = chain
         pieces.append(piece)
@@ -167,26 +215,7 @@ def restore(token: str, model: CharModel) -> str:
 
 
 _DOUBLE = re.compile(r"(.)\1", re.DOTALL)
-_LETTER = re.compile(r"[^\W\d_]")
-_FRAME = re.compile(r"^([^\w\s])\1+|([^\w\s])\2+[.,;:!?]*$")
 _PLAIN = "".join(c for c in EDGE if c not in LOOKALIKES)
-_SWAPPED = frozenset(LOOKALIKES) | frozenset(SEPARATORS)
-
-
-def suspicious(token: str) -> bool:
-    """Letters among look-alikes or separators, or a character twice in a row."""
-    if token.isalpha():
-        return _DOUBLE.search(token) is not None
-    return _LETTER.search(token) is not None and (not _SWAPPED.isdisjoint(token) or _DOUBLE.search(token) is not None)
-
-
-def core(token: str) -> str:
-    """A token without the plain punctuation around it; look-alikes stay, the lattice decides on them, unless there is no letter to read."""
-    if token.isalpha():
-        return token
-    if _LETTER.search(token) is None:
-        return _FRAME.sub("", token).strip(EDGE)
-    return token.strip(_PLAIN)
 
 
 class Restorer:
@@ -196,52 +225,48 @@ class Restorer:
         self.model, self.cache = model, {}
 
     def token(self, token: str) -> list[str]:
-        bare = core(token)
-        if not suspicious(bare):
-            return [bare] if bare else []
-        got = self.cache.get(bare)
+        """Restored words of a token without the plain punctuation around it; on look-alikes the lattice decides."""
+        if token.isalpha():
+            if _DOUBLE.search(token) is None:
+                return [token]
+        else:
+            token = token.strip(_PLAIN)
+            if not token:
+                return []
+        got = self.cache.get(token)
         if got is None:
             if len(self.cache) >= CACHE:
                 self.cache.clear()
-            got = self.cache[bare] = restore(bare, self.model).split()
+            got = self.cache[token] = restore(token, self.model).split()
         return got
 
     def spaced(self, run: str) -> tuple[str, ...]:
         return tuple(w for w in restore(" ".join(run.split()), self.model).split() if len(w) > 1)
 
 
-def tokens_of(text: str | None) -> tuple[set[str], list[str]]:
-    """Distinct lower-case tokens, and runs of three or more single characters."""
-    low = (text or "").lower()
-    return set(low.split()), SPACED.findall(low)
-
-
-def word_features(word: str) -> list[int]:
-    h = xxhash.xxh64_intdigest
-    out = [h(word) >> 40]
-    for k in PREFIXES:
-        if len(word) > k:
-            out.append(h("^" + word[:k]) >> 40)
-    return out
+def word_features(word: str) -> list[str]:
+    """A word, and its beginnings behind a line break, which no word holds."""
+    return [word, *["\n" + word[:k] for k in PREFIXES if len(word) > k]]
 
 
 class Features:
     """Distinct features of restored texts, with tables of recent tokens in two generations; with `known`, the numbers of those it holds."""
 
-    def __init__(self, restorer: Restorer, known: dict[int, int] | None = None) -> None:
+    def __init__(self, restorer: Restorer, known: dict[str, int] | None = None) -> None:
         self.restorer, self.known = restorer, known
-        self.young: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.young: dict[str, tuple] = {}
+        self.old: dict[str, tuple] = {}
 
-    def _numbers(self, words) -> tuple[int, ...]:
-        ids = [f for w in words for f in word_features(w)]
-        return tuple(ids if self.known is None else [self.known[f] for f in ids if f in self.known])
+    def _numbers(self, words) -> tuple:
+        found = [f for w in words for f in word_features(w)]
+        return tuple(found if self.known is None else [self.known[f] for f in found if f in self.known])
 
-    def __call__(self, text: str | None) -> set[int]:
-        words, runs = tokens_of(text)
+    def __call__(self, text: str | None) -> set:
+        low = (text or "").lower()
+        words = low.split()
         young, old = self.young, self.old
-        out: set[int] = set()
-        for w in words:
+        out: set = set()
+        for w in set(words):
             got = young.get(w)
             if got is None:
                 got = old.get(w)
@@ -253,10 +278,20 @@ class Features:
                 young[w] = got
             if got:
                 out.update(got)
-        for run in runs:
+        for run in SPACED.findall(low):
             out.update(self._numbers(self.restorer.spaced(run)))
+        if self.known and len(words) > 1:
+            for run in self._broken(words):
+                out.update(self._numbers(restore(run, self.restorer.model).split()))
         return out
 
+    def _broken(self, words: list[str]) -> set[str]:
+        """Two or three neighbouring tokens that together spell a word the model knows."""
+        pairs = list(map(add, words, words[1:]))
+        runs = {f"{words[i]} {words[i + 1]}" for i, w in enumerate(pairs) if w in self.known}
+        runs |= {" ".join(words[i : i + 3]) for i, w in enumerate(map(add, pairs, words[2:])) if w in self.known}
+        return runs
+
 
 def held_out(doc_id="doc_id") -> F.Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
@@ -331,7 +366,7 @@ def fit_logistic(rows: list[list[int]], labels: np.ndarray, size: int, l2: float
 class Detector:
     """A fitted model: character 4-grams, features, weights.  Its size is bounded by the constants above."""
 
-    def __init__(self, grams: dict[str, int], features: list[int], weights: np.ndarray) -> None:
+    def __init__(self, grams: dict[str, int], features: list[str], weights: np.ndarray) -> None:
         self.grams, self.features, self.weights = grams, features, weights
 
     def score(self, docs: DataFrame) -> DataFrame:
@@ -381,22 +416,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Detector:
     toxic = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
     sample = bounded_sample(toxic.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), SAMPLE_ROWS, "doc_id")
     # the sample's size is bounded, so it goes to the texts, not the texts to it; of equal texts one is used
-    found = train.join(F.broadcast(sample), "doc_id").groupBy(F.xxhash64("text")).agg(F.min("doc_id").alias("doc_id"), F.min_by("toxic", "doc_id").alias("toxic"))
-    marked = train.join(F.broadcast(cut(found.select("doc_id", "toxic"))), "doc_id").select("doc_id", "text", "toxic")
+    found = train.join(F.broadcast(sample), "doc_id").groupBy(F.xxhash64("text")).agg(F.min_by(F.struct("text", "toxic"), F.struct("doc_id", "text")).alias("r"))
+    marked = cut(found.select("r.text", "r.toxic"))
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((uuid.uuid4().hex, grams))
-    schema = pa.schema([("f", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("f", pa.string()), ("a", pa.int64()), ("b", pa.int64())])
 
     def count(batches):
         found = worker_state(shared.value[0], lambda: Features(Restorer(CharModel(shared.value[1]))))
-        seen: dict[int, list[int]] = {}
+        seen: dict[str, list[int]] = {}
 
         def out():
             return batch_of(schema, f=list(seen), a=[x[1] for x in seen.values()], b=[x[0] for x in seen.values()])
 
         for rows, ys in rows_of(batches, "text", "toxic"):
             for text, y in zip(rows, ys, strict=True):
-                for f in found(text) | {-1}:
+                for f in found(text) | {ALL}:
                     got = seen.get(f)
                     if got is None:
                         got = seen[f] = [0, 0]
@@ -406,16 +441,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Detector:
                 seen.clear()
         yield out()
 
-    stats = marked.select("text", "toxic").mapInArrow(count, "f long, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    stats = stats.persist()
-    total = stats.where("f = -1").first()
+    stats = cut(marked.mapInArrow(count, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+    total = stats.where(F.col("f") == ALL).first()
     if total is None:
-        stats.unpersist()
         return Detector(grams, [], fit_logistic([], np.empty(0), 0))
     odds = F.log((F.col("a") + 0.5) / (total.a - F.col("a") + 0.5)) - F.log((F.col("b") + 0.5) / (total.b - F.col("b") + 0.5))
     z = odds / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    best = stats.where("f >= 0 and a >= 3").select("f", z.alias("z")).where("z > 2").orderBy(F.desc("z"), "f").limit(MAX_FEATURES).collect()
-    stats.unpersist()
+    best = stats.where((F.col("f") != ALL) & (F.col("a") >= 3)).select("f", z.alias("z")).where("z > 2").orderBy(F.desc("z"), "f").limit(MAX_FEATURES).collect()
     features = [r.f for r in best]
     known = spark.sparkContext.broadcast((uuid.uuid4().hex, grams, features))
     pairs = pa.schema([("toxic", pa.int32()), ("ids", pa.list_(pa.int32()))])
@@ -426,6 +458,6 @@ def fit(docs: DataFrame, labels: DataFrame) -> Detector:
         for rows, ys in rows_of(batches, "text", "toxic"):
             yield batch_of(pairs, toxic=ys, ids=[sorted(found(t)) for t in rows])
 
-    got = marked.select("text", "toxic").mapInArrow(sparse, "toxic int, ids array<int>").collect()
-    weights = fit_logistic([list(r.ids) for r in got], np.array([r.toxic for r in got], float), len(features))
+    got = sorted((list(r.ids), r.toxic) for r in marked.mapInArrow(sparse, "toxic int, ids array<int>").collect())  # so the fit does not hang on the layout
+    weights = fit_logistic([ids for ids, _ in got], np.array([y for _, y in got], float), len(features))
     return Detector(grams, features, weights)
