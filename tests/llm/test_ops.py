@@ -164,7 +164,52 @@ def test_disguised_words_are_restored_and_scored(spark, toxic):
     assert ((got.score >= 0.7) == (got.toxic == 1)).mean() > 0.98
     reader = toxicity.Restorer(toxicity.CharModel(model.grams))
     assert [reader.token(w) for w in ("1d10t", "m0r0n,", "$cum", "river", "books...", "12345")] == [["idiot"], ["moron"], ["scum"], ["river"], ["books"], ["12345"]]
-    assert reader.spaced("i d i o t") == ("idiot",)
+    assert reader.spaced("i d i o t") == reader.spaced("i  d \t i   o\nt") == ("idiot",)
+    assert [reader.token(w) for w in ("--", "***", "river***", "0", "2024,", "$!$")] == [[], [], ["river"], ["0"], ["2024"], ["sis"]]
+    assert ["".join(c for c in "".join(reader.token(w)) if c.isalnum()) for w in ("1.0.5.3.12", "100%", "$1,234.50", "10:30")] == ["105312", "100", "123450", "1030"]
+
+
+def every_path(token, model):
+    """The cost of the cheapest path of a token's lattice, all paths written out."""
+    from itertools import product
+
+    def cost(path):
+        text, total = "", sum(c for _, c in path)
+        h = "   "
+        for c in "".join(x for x, _ in path) + " ":
+            if c == " " and h == "   ":
+                continue
+            total += model.numeral(h, c) if toxicity.is_number(token) else model.cost(h, c)
+            h, text = ("   " if c == " " else (h + c)[-3:]), text + c
+        return round(total, 9), text.strip()
+
+    return min(cost(p) for p in product(*toxicity.lattice(token)))[0], cost
+
+
+def test_viterbi_finds_the_cheapest_of_all_paths(toxic):
+    model = toxicity.CharModel(toxic[2].grams)
+    r = random.Random(13)
+    seen = 0
+    for _ in range(600):
+        token = "".join(r.choice(["idi", "o", "rr", "$", "1", "!", ".", "-", "ttt", "moron", " ", "0", "@@"]) for _ in range(r.randint(1, 6))).strip()
+        if not token or toxicity.lattice(token) is None:
+            continue
+        seen += 1
+        best, cost = every_path(token, model)
+        got = toxicity.restore(token, model)
+        # the restored text costs as little as the cheapest path: some path that spells it does
+        from itertools import product
+
+        assert best == min(c for c, text in map(cost, product(*toxicity.lattice(token))) if text == got)
+    assert seen > 300
+
+
+def test_words_broken_by_blanks_are_found(spark, toxic):
+    _, _, model = toxic
+    known = {f: i for i, f in enumerate(model.features)}
+    found = toxicity.Features(toxicity.Restorer(toxicity.CharModel(model.grams)), known)
+    assert known["idiot"] in found("the quiet id iot ran") and known["moron"] in found("m or on")
+    assert not {known["idiot"], known["moron"]} & found("the quiet river ran past seven houses in the evening light")
 
 
 def test_long_spelt_out_runs_are_decoded_whole(toxic):
@@ -260,12 +305,16 @@ def test_neighbours(spark, monkeypatch):
     assert ann.search(df.where("false"), df.where("false")).count() == 0
 
 
-def test_language_model(spark, monkeypatch):
-    monkeypatch.setattr(lm, "TABLE", 12)
+def lm_rows():
     r = random.Random(3)
-    rows = [(i, " ".join(r.choice(["New york", "san Diego", "new", f"w{r.randint(0, 90)}"]) for _ in range(r.randint(1, 60)))) for i in range(250)] + [(900, None), (901, ""), (None, "new york"), (902, "new york"), (902, "new york")]
-    docs = frame(spark, rows)
-    model = lm.fit(docs)
+    rows = [(i, " ".join(r.choice(["New york", "san Diego", "new", f"w{r.randint(0, 90)}"]) for _ in range(r.randint(1, 60)))) for i in range(250)]
+    return rows + [(900, None), (901, ""), (None, "new york"), (902, "new york"), (902, "new york"), (903, "strange things " * 4000)]
+
+
+def test_language_model(spark, monkeypatch):
+    monkeypatch.setattr(lm, "TABLE", 12)  # read on the driver
+    rows = lm_rows()
+    docs = frame(spark, rows, "n_tokens string, word long")
     counts = {}
     for i, t in rows:
         if i is not None and zlib.crc32(str(i).encode()) % 7 != 2:
@@ -273,14 +322,84 @@ def test_language_model(spark, monkeypatch):
                 counts[w] = counts.get(w, 0) + 1
     total, types = sum(counts.values()), len(counts)
     want = sorted((i or -1, len(lm.tokens(t)), sum(w in counts for w in lm.tokens(t)), round(sum(math.log10((counts.get(w, 0) + 1) / (total + types + 1)) for w in lm.tokens(t)), 7)) for i, t in rows)
-    got = lm.score(docs, model).collect()
+    model = lm.count(docs)
+    coded = lm.coded(docs, model).persist()
+    model.parameters = lm.train(coded, model, shard_tokens=3000, batch=256)
+    got = lm.score_coded(coded, model).collect()
     assert sorted((x.doc_id or -1, x.n_tokens, x.n_known, round(x.base_score, 7)) for x in got) == want
     assert all(x.train_tokens == total for x in got)
-    table = lm.Parameters(model.parameters.copy()).log_table()
-    assert np.allclose((10.0**table).sum(axis=1), 1, atol=1e-4)
+    # every score is the plain sum of the model's log-probabilities
+    p = lm.Parameters(model.parameters)
+    own = {w: i for i, w in enumerate(list(model.table)[: lm.COMMON])}
+    rest: dict[int, list[int]] = {}
+    for w, c in counts.items():
+        if w not in own:
+            rest.setdefault(lm.shared_unit(w), []).append(c)
+
+    def softmax(x):
+        x = np.exp(x.astype(np.float64) - x.max())
+        return x / x.sum()
+
+    memo = {}
+
+    def plain(text):
+        first, second, out = lm._START, lm._START, 0.0
+        for w in lm.tokens(text):
+            u = own.get(w, lm.shared_unit(w))
+            if (first, second, u) not in memo:
+                r = p.context[first] @ p.maps[0] + p.context[second] @ p.maps[1]
+                k = u // lm.MEMBERS
+                block = slice(k * lm.MEMBERS, (k + 1) * lm.MEMBERS)
+                memo[first, second, u] = math.log10(softmax(p.klass @ r + p.class_bias)[k] * softmax(p.unit[block] @ r + p.bias[block])[u % lm.MEMBERS])
+            out += memo[first, second, u]
+            if w not in own:
+                inside = rest.get(u, [])
+                out += math.log10((counts.get(w, 0) + 1) / (sum(inside) + len(inside) + 1))
+            first, second = second, u
+        return out
+
+    expected = sorted((i or -1, plain(t)) for i, t in rows)
+    assert [i for i, _ in expected] == sorted(x.doc_id or -1 for x in got)
+    assert np.allclose([x for _, x in expected], [s for _, s in sorted((x.doc_id or -1, x.score) for x in got)], rtol=1e-4, atol=1e-3)
     held = [x for x in got if zlib.crc32(str(x.doc_id).encode()) % 7 == 2 and x.n_tokens > 3]
     assert sum(x.score for x in held) > sum(x.base_score for x in held)
-    assert lm.score(frame(spark, []), lm.fit(frame(spark, []))).count() == 0
+    assert lm.score(frame(spark, [])).count() == 0
+
+
+def test_scores_do_not_hang_on_the_layout(spark):
+    rows = lm_rows()
+    one, many = ({(x.doc_id, x.n_tokens): x.score for x in lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(n)).collect()} for n in (1, 7))
+    assert one.keys() == many.keys() and all(abs(one[k] - many[k]) < 1e-6 * (1 + abs(one[k])) for k in one)
+
+
+def test_probabilities_sum_to_one():
+    shares = np.random.default_rng(2).random(lm.UNITS)
+    shares[500 : lm.COMMON] = 0
+    p = lm.Parameters.start(shares / shares.sum())
+    contexts = np.array([[lm._START, lm._START], [3, 40], [lm.COMMON + 5, 0]])
+    for context in contexts:
+        used = np.flatnonzero(shares)
+        total = np.exp(p.log_probabilities(np.tile(context, (len(used), 1)), used)).sum()
+        assert abs(total - 1) < 1e-4
+    assert np.isfinite(p.log_probabilities(contexts, np.array([0, 7, lm.COMMON]))).all()
+
+
+def test_noise_contrastive_steps_learn_a_succession():
+    shares = np.zeros(lm.UNITS)
+    shares[:300] = 1 / 300
+    shares[lm.COMMON :] = 1e-9
+    shares /= shares.sum()
+    trainer = lm.Trainer(lm.Parameters.start(shares), shares, 0.1, 1)
+    r = np.random.default_rng(3)
+    before = after = None
+    for _ in range(200):
+        second = r.integers(0, 300, 2000)
+        contexts, targets = np.stack([r.integers(0, 300, 2000), second], axis=1), (second + 7) % 300
+        if before is None:
+            before = trainer.p.log_probabilities(contexts, targets).mean()
+        trainer.step(contexts, targets)
+        after = trainer.p.log_probabilities(contexts, targets).mean()
+    assert abs(before + math.log(300)) < 0.3 and after > before + 1.5
 
 
 def test_contexts_do_not_cross_texts():

@@ -1,19 +1,21 @@
 """Language-model scoring with a log-bilinear model trained by noise-contrastive estimation.
 
-The model predicts the class of the next token from the CONTEXT tokens before it: a linear map of their vectors is
-compared with each class's vector.  Classes are the CLASSES - 1 commonest training tokens and one for all others; within that last
-class a token's share is (c + 1) / (rest tokens + rest types + 1) of the full training counts, so every token
-of any text has a normalised probability.
+The model predicts the next token from the CONTEXT tokens before it: a linear map of their vectors is compared with the vectors of what
+may follow.  It knows UNITS units: the COMMON commonest training tokens have one each, all others share RARE units by hash.  A
+unit belongs to one of CLASSES classes of MEMBERS units (neighbours in frequency), and its probability is that of its class given the context
+times its own given class and context, both normalised over blocks of units by batched matrix products.  Within a shared unit a token has
+the share (c + 1) / (the unit's training tokens + its types + 1), so every token of any text has a normalised probability.
 
-Each task trains on all training tokens of its share of the documents in numpy, all from one start, by noise-contrastive
-estimation with noise drawn from the class frequencies; the tasks' parameters are averaged, weighted by tokens.  Scoring takes the
-normalised log-probabilities of all contexts from batched matrix products, once a worker.
+Training is numpy on shards of the training documents: a shard is a fixed share of doc_ids by hash, about SHARD_TOKENS tokens of
+the corpus, whatever the layout of the input.  In each of ROUNDS rounds every shard starts from the same parameters, takes its next share of
+documents in order of doc_id, and steps by AdaGrad on the noise-contrastive objective, with noise drawn from the class frequencies and, within the
+target's class, from its units' frequencies; what the shards changed is averaged, row by row, weighted by how often each used the row.
 
 Token counts cover all training rows and stay distributed; the TABLE commonest tokens are sent to the workers, all others
-are looked up by a join, so hot tokens never meet in one task and nothing unbounded is gathered.
+are looked up by a join in which documents without such tokens take no part, so hot tokens never meet in one task and nothing unbounded is gathered.
 
 Null texts are empty and hold the end token alone.  Repeated rows are scored each; a null doc_id is scored, but not trained on.
-Without training rows all counts are zero and the class model is uniform.
+Without training rows all counts are zero and the model is uniform over the shared units.
 """
 
 from __future__ import annotations
@@ -21,25 +23,34 @@ from __future__ import annotations
 import math
 import uuid
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewise.llm.common import batch_of, cut, raw, rows_of, texts, worker_state
 
 END = b"\n"  # no word holds white space
-CLASSES = 256
+CLASSES, MEMBERS = 128, 256
+UNITS = CLASSES * MEMBERS
+RARE = 4_096
+COMMON = UNITS - RARE
 CONTEXT = 2
 WIDTH = 16
-NOISE = 48
+CLASS_NOISE, UNIT_NOISE = 32, 16
 BATCH = 8_192
-RATE = 0.15
-TABLE = 150_000
-_START = CLASSES  # stands before a text
+RATE, DECAY = 0.05, 0.7
+ROUNDS = 3
+SHARD_TOKENS = 2_000_000
+MAX_SHARDS = 4_096
+TABLE = 250_000
+SEED = 42
+CHUNK = 128  # rows of WIDTH parameters that travel together
+_START = UNITS  # stands before a text
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -52,6 +63,11 @@ def held_out(doc_id="doc_id") -> F.Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
 
 
+def shared_unit(word: bytes) -> int:
+    """The unit of a token that has none of its own."""
+    return COMMON + (xxhash.xxh64_intdigest(word, SEED) & RARE - 1)
+
+
 def _count(batches):
     schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
     seen: Counter = Counter()
@@ -65,86 +81,166 @@ def _count(batches):
         yield batch_of(schema, word=list(seen), n=list(seen.values()))
 
 
-@dataclass
 class Parameters:
-    """The trainable arrays, as views of one flat vector."""
+    """The trainable arrays, as views of rows of WIDTH numbers: vectors of contexts, of units, of classes, the maps, the biases."""
 
-    flat: np.ndarray
+    ROWS = (UNITS + 1) + UNITS + CLASSES + CONTEXT * WIDTH + (UNITS + CLASSES) // WIDTH
 
-    def __post_init__(self) -> None:
-        at = 0
+    def __init__(self, rows: np.ndarray) -> None:
+        self.rows, at = rows, 0
 
-        def take(*shape: int) -> np.ndarray:
+        def take(n: int) -> np.ndarray:
             nonlocal at
-            size = math.prod(shape)
-            at += size
-            return self.flat[at - size : at].reshape(shape)
+            at += n
+            return rows[at - n : at]
 
-        self.context = take(CLASSES + 1, WIDTH)
-        self.maps = take(CONTEXT, WIDTH, WIDTH)
-        self.target = take(CLASSES, WIDTH)
-        self.bias = take(CLASSES)
+        self.context, self.unit, self.klass = take(UNITS + 1), take(UNITS), take(CLASSES)
+        self.maps = take(CONTEXT * WIDTH).reshape(CONTEXT, WIDTH, WIDTH)
+        self.bias, self.class_bias = take(UNITS // WIDTH).reshape(-1), take(CLASSES // WIDTH).reshape(-1)
 
     @classmethod
     def start(cls, shares: np.ndarray) -> Parameters:
-        size = (CLASSES + 1) * WIDTH + CONTEXT * WIDTH * WIDTH + CLASSES * WIDTH + CLASSES
-        p = cls(np.random.default_rng(5).normal(0, 0.1, size).astype(np.float32))
+        """Small random vectors; the biases are the shares of units (0: not in use) in their classes and of classes in all."""
+        p = cls(np.random.default_rng(5).normal(0, 0.1, (cls.ROWS, WIDTH)).astype(np.float32))
         p.maps[:] = np.eye(WIDTH, dtype=np.float32) / CONTEXT
-        p.bias[:] = np.log(shares)
+        by_class = shares.reshape(CLASSES, MEMBERS).sum(axis=1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            p.class_bias[:] = np.log(by_class)
+            p.bias[:] = np.log(shares) - np.repeat(np.log(by_class), MEMBERS)
+        p.bias[shares == 0] = p.class_bias[by_class == 0] = -1e4
         return p
 
     def predicted(self, contexts: np.ndarray) -> np.ndarray:
         return sum(self.context[contexts[:, i]] @ self.maps[i] for i in range(CONTEXT))
 
-    def log_table(self) -> np.ndarray:
-        """Normalised log10-probabilities: a row for each context (first * (CLASSES + 1) + second), a column for each class."""
-        side = CLASSES + 1
-        out = np.empty((side * side, CLASSES), np.float32)
-        for first in range(side):
-            pairs = np.stack([np.full(side, first), np.arange(side)], axis=1)
-            s = self.predicted(pairs) @ self.target.T + self.bias
-            s -= s.max(axis=1, keepdims=True)
-            s -= np.log(np.exp(s).sum(axis=1, keepdims=True))
-            out[first * side : (first + 1) * side] = s / math.log(10)
+    def log_probabilities(self, contexts: np.ndarray, units: np.ndarray) -> np.ndarray:
+        """Normalised natural log-probability of each unit after its context, by blocks of matrix products."""
+        r, out = self.predicted(contexts), np.empty(len(units), np.float64)
+        classes = units // MEMBERS
+        for at in range(0, len(units), BATCH):
+            s = r[at : at + BATCH] @ self.klass.T
+            s += self.class_bias
+            out[at : at + BATCH] = _normalised(s, classes[at : at + BATCH])
+        order = np.argsort(classes.astype(np.uint16), kind="stable")
+        edges = np.searchsorted(classes[order], np.arange(CLASSES + 1))
+        r = r[order]
+        for c in range(CLASSES):
+            a, b = edges[c], edges[c + 1]
+            block = slice(c * MEMBERS, (c + 1) * MEMBERS)
+            for x in range(a, b, BATCH):
+                part = slice(x, min(x + BATCH, b))
+                s = r[part] @ self.unit[block].T
+                s += self.bias[block]
+                out[order[part]] += _normalised(s, units[order[part]] - c * MEMBERS)
         return out
 
 
-def summed(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    """Sums of the rows that share an index."""
-    return np.stack([np.bincount(index, column, size) for column in rows.T], axis=1)
-
-
-def nce_step(p: Parameters, contexts: np.ndarray, targets: np.ndarray, noise: np.ndarray, log_noise: np.ndarray, grads: np.ndarray, rate: float) -> None:
-    """One AdaGrad step on a batch; `noise` are class samples that the whole batch shares, log_noise the log of NOISE * q."""
-    n = len(targets)
-    predicted = p.predicted(contexts)
-    hit = (predicted * p.target[targets]).sum(axis=1) + p.bias[targets] - log_noise[targets]
-    miss = predicted @ p.target[noise].T + p.bias[noise] - log_noise[noise]
-    g_hit = (1 / (1 + np.exp(-np.clip(hit, -30, 30))) - 1) / n
-    g_miss = 1 / (1 + np.exp(-np.clip(miss, -30, 30))) / n * (NOISE / len(noise))
-    g = Parameters(np.zeros_like(p.flat))
-    g.target += summed(targets, g_hit[:, None] * predicted, CLASSES)
-    g.bias += np.bincount(targets, g_hit, CLASSES)
-    back = g_miss.T @ predicted
-    for i, c in enumerate(noise.tolist()):
-        g.target[c] += back[i]
-        g.bias[c] += g_miss[:, i].sum()
-    to_predicted = g_hit[:, None] * p.target[targets] + g_miss @ p.target[noise]
-    for i in range(CONTEXT):
-        word = contexts[:, i]
-        g.maps[i] += p.context[word].T @ to_predicted
-        g.context += summed(word, to_predicted @ p.maps[i].T, CLASSES + 1)
-    grads += g.flat**2
-    p.flat -= rate * g.flat / (np.sqrt(grads) + 1e-6)
-
-
-def contexts_of(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The two classes before each token; texts are laid end to end and `ends` marks their last tokens."""
-    first, second = np.roll(ids, 2), np.roll(ids, 1)
+def _normalised(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log-softmax of each row at its chosen column; overwrites scores."""
+    top = scores.max()
+    picked = scores[np.arange(len(scores)), chosen]
+    if top > 60:
+        peak = scores.max(axis=1, keepdims=True)
+        scores -= peak
+        picked = picked - peak[:, 0]
+    np.exp(scores, out=scores)
+    return picked - np.log(scores.sum(axis=1))
+
+
+class Trainer:
+    """Sparse AdaGrad on the noise-contrastive objective, from given parameters."""
+
+    def __init__(self, p: Parameters, shares: np.ndarray, rate: float, seed: int) -> None:
+        self.p, self.rate, self.rng = p, rate, np.random.default_rng(seed)
+        self.squares = Parameters(np.full((Parameters.ROWS, WIDTH), 1e-10, np.float32))
+        self.used = np.zeros(Parameters.ROWS, np.float32)
+        by_class = shares.reshape(CLASSES, MEMBERS).sum(axis=1)
+        inside = shares.reshape(CLASSES, MEMBERS) / np.maximum(by_class, 1e-300)[:, None]
+        with np.errstate(divide="ignore"):
+            self.log_class = np.log(CLASS_NOISE * by_class).astype(np.float32)
+            self.log_unit = np.log(UNIT_NOISE * inside).reshape(-1).astype(np.float32)
+        self.class_steps = np.cumsum(by_class)
+        self.unit_steps = (np.minimum(np.cumsum(inside, axis=1), 1.0) + np.arange(CLASSES)[:, None]).reshape(-1)
+
+    def _move(self, array: np.ndarray, squares: np.ndarray, at, g: np.ndarray) -> None:
+        s = squares[at] + g * g
+        squares[at] = s
+        array[at] -= self.rate * g / (np.sqrt(s) + 1e-6)
+
+    def step(self, contexts: np.ndarray, targets: np.ndarray) -> None:
+        p, n = self.p, len(targets)
+        r, classes = p.predicted(contexts), targets // MEMBERS
+        noise = np.unique(np.minimum(np.searchsorted(self.class_steps, self.rng.random(CLASS_NOISE) * self.class_steps[-1], side="right"), CLASSES - 1), return_counts=True)
+        noise, times = noise[0], noise[1].astype(np.float32)
+        hit = (r * p.klass[classes]).sum(axis=1) + p.class_bias[classes] - self.log_class[classes]
+        miss = r @ p.klass[noise].T + (p.class_bias[noise] - self.log_class[noise])
+        g_hit, g_miss = (_sigmoid(hit) - 1) / n, _sigmoid(miss) * (times / n)
+        back = g_hit[:, None] * p.klass[classes] + g_miss @ p.klass[noise]
+        g_klass, g_class_bias = np.zeros_like(p.klass), np.bincount(classes, g_hit, CLASSES).astype(np.float32)
+        rows, sums = summed(classes, g_hit[:, None] * r)
+        g_klass[rows] += sums
+        g_klass[noise] += g_miss.T @ r
+        g_class_bias[noise] += g_miss.sum(axis=0)
+        # within the targets' classes
+        order = np.argsort(classes.astype(np.uint16), kind="stable")
+        present, first = np.unique(classes[order], return_index=True)
+        edges = np.append(first, n)
+        draws = np.searchsorted(self.unit_steps, (self.rng.random((len(present), UNIT_NOISE)) + present[:, None]).reshape(-1), side="right")
+        draws = np.minimum(draws.reshape(len(present), UNIT_NOISE), present[:, None] * MEMBERS + MEMBERS - 1)
+        own = p.unit[targets]
+        g_own = (_sigmoid((r * own).sum(axis=1) + p.bias[targets] - self.log_unit[targets]) - 1) / n
+        back += g_own[:, None] * own
+        drawn, offset = p.unit[draws], p.bias[draws] - self.log_unit[draws]
+        by_class, to_sorted = r[order], np.empty((n, WIDTH), np.float32)
+        g_drawn, g_drawn_bias = np.empty((len(present), UNIT_NOISE, WIDTH), np.float32), np.empty((len(present), UNIT_NOISE), np.float32)
+        for i in range(len(present)):
+            a, b = edges[i], edges[i + 1]
+            g = _sigmoid(by_class[a:b] @ drawn[i].T + offset[i]) / n
+            to_sorted[a:b] = g @ drawn[i]
+            g_drawn[i] = g.T @ by_class[a:b]
+            g_drawn_bias[i] = g.sum(axis=0)
+        back[order] += to_sorted
+        rows, sums = summed(np.concatenate([targets, draws.reshape(-1)]), np.concatenate([g_own[:, None] * r, g_drawn.reshape(-1, WIDTH)]))
+        bias_g = np.bincount(np.searchsorted(rows, targets), g_own, len(rows)) + np.bincount(np.searchsorted(rows, draws.reshape(-1)), g_drawn_bias.reshape(-1), len(rows))
+        words = np.concatenate([contexts[:, i] for i in range(CONTEXT)])
+        seen, to_context = summed(words, np.concatenate([back @ p.maps[i].T for i in range(CONTEXT)]))
+        g_maps = np.stack([p.context[contexts[:, i]].T @ back for i in range(CONTEXT)])
+        s = self.squares
+        self._move(p.unit, s.unit, rows, sums)
+        self._move(p.bias, s.bias, rows, bias_g.astype(np.float32))
+        self._move(p.klass, s.klass, slice(None), g_klass)
+        self._move(p.class_bias, s.class_bias, slice(None), g_class_bias)
+        self._move(p.context, s.context, seen, to_context)
+        self._move(p.maps, s.maps, slice(None), g_maps)
+        self.used[: UNITS + 1] += np.bincount(words, minlength=UNITS + 1)
+        self.used[UNITS + 1 : 2 * UNITS + 1] += np.bincount(targets, minlength=UNITS)
+        self.used[UNITS + 1 + rows] += 1
+        self.used[2 * UNITS + 1 :] += n
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    x = np.clip(x, -30, 30)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def summed(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct indices and the sums of the rows that share one."""
+    order = np.argsort(index.astype(np.uint16 if UNITS < 1 << 16 else np.int64), kind="stable")
+    index = index[order]
+    first = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
+    return index[first], np.add.reduceat(rows[order], first, axis=0)
+
+
+def contexts_of(units: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The two units before each token; texts are laid end to end and `ends` marks their last tokens."""
+    first, second = np.roll(units, 2), np.roll(units, 1)
     new = np.flatnonzero(np.concatenate([[True], ends[:-1]]))
     second[new] = _START
     first[new] = _START
-    after = new[new + 1 < len(ids)] + 1
+    after = new[new + 1 < len(units)] + 1
     first[after[~np.isin(after, new, assume_unique=True)]] = _START
     return np.stack([first, second], axis=1)
 
@@ -155,11 +251,15 @@ class Model:
     total: int
     types: int
     table: dict[bytes, int]  # the commonest tokens' counts, in falling order
-    parameters: np.ndarray
+    shared: np.ndarray  # of each shared unit: training tokens and types
+    parameters: np.ndarray = field(default_factory=lambda: np.empty(0))
 
     @property
-    def classes(self) -> dict[bytes, int]:
-        return {w: i + 1 for i, w in enumerate(list(self.table)[: CLASSES - 1])}
+    def shares(self) -> np.ndarray:
+        """Each unit's share of the training tokens, one token added to each that is in use."""
+        own = np.array(list(self.table.values())[:COMMON], np.float64) + 1
+        mass = np.concatenate([own, np.zeros(COMMON - len(own)), self.shared[0] + 1.0])
+        return mass / mass.sum()
 
 
 def commonest(counts: DataFrame, most: int) -> dict[bytes, int]:
@@ -177,119 +277,190 @@ def commonest(counts: DataFrame, most: int) -> dict[bytes, int]:
     return dict(sorted(rows, key=lambda x: (-x[1], x[0])))
 
 
-def fit(docs: DataFrame) -> Model:
+_CODED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("units", pa.binary()), ("word", pa.binary()), ("n", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("own", pa.float64())])
+_CODED_DDL = "row long, doc_id long, units binary, word binary, n long, n_known long, base double, own double"
+
+
+def count(docs: DataFrame) -> Model:
+    """Counts of the training rows, without trained parameters."""
     train = texts(docs).where(F.col("doc_id").isNotNull() & ~held_out())
     counts = cut(train.select("text").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
     total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     table = commonest(counts, TABLE)
-    model = Model(counts, total, types, table, np.empty(0))
-    classes = model.classes
-    common = np.array([0, *list(table.values())[: CLASSES - 1]], np.float64)
-    common[0] = total - common.sum()
-    common = np.append(common, np.zeros(CLASSES - len(common)))
-    shares = (common + 1) / (common.sum() + CLASSES)
-    shared = docs.sparkSession.sparkContext.broadcast((classes, shares))
-    schema = pa.schema([("weight", pa.float64()), ("values", pa.list_(pa.float32()))])
-
-    def train_shard(batches):
-        classes, shares = shared.value
-        p, rng = Parameters.start(shares), np.random.default_rng(1)
-        grads, log_noise = np.full_like(p.flat, 1e-8), np.log(NOISE * shares).astype(np.float32)
-        held, size, seen = [], 0, 0
-
-        def learn():
-            nonlocal seen
-            ids = np.concatenate(held)
-            ends = np.zeros(len(ids), bool)
-            ends[np.cumsum([len(x) for x in held]) - 1] = True
-            contexts = contexts_of(ids, ends)
-            order = rng.permutation(len(ids))
-            for at in range(0, len(order), BATCH):
-                part = order[at : at + BATCH]
-                nce_step(p, contexts[part], ids[part], rng.choice(CLASSES, NOISE, p=shares), log_noise, grads, RATE / 4)
-            seen += len(ids)
-
-        get = classes.get
-        for (rows,) in rows_of(batches, "text"):
-            for t in rows:
-                held.append(np.array(list(map(get, tokens(t), repeat(0))), np.int32))
-                size += len(held[-1])
-            if size >= 16 * BATCH:
-                learn()
-                held, size = [], 0
-        if held:
-            learn()
-        if seen:
-            yield batch_of(schema, weight=[float(seen)], values=[p.flat])
-
-    trained = train.select("text").mapInArrow(train_shard, "weight double, values array<float>")
-    mean = trained.select("weight", F.posexplode("values").alias("i", "x")).groupBy("i").agg((F.sum(F.col("x") * F.col("weight")) / F.sum("weight")).alias("x"))
-    values = {r.i: r.x for r in mean.collect()}  # as many as the model has parameters
-    start = Parameters.start(shares)
-    model.parameters = np.array([values[i] for i in range(len(values))], np.float32) if values else start.flat
-    return model
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row (log10)."""
-    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, model.table, model.parameters))
-    total, types = model.total, model.types
-    in_classes = list(model.table.values())[: CLASSES - 1]
-    rest_total, rest_types = total - sum(in_classes), types - len(in_classes)
-    base_log, rest_log = math.log10(total + types + 1), math.log10(rest_total + rest_types + 1)
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("word", pa.binary()), ("tf", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+    place = F.xxhash64("word").bitwiseAND(F.lit(RARE - 1).cast("long")).alias("place")
+    shared = np.zeros((2, RARE), np.int64)
+    for r in counts.groupBy(place).agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect():  # RARE rows at the most
+        shared[:, r.place] = r.n, r.types
+    for w, n in list(table.items())[:COMMON]:  # these have units of their own
+        shared[:, shared_unit(w) - COMMON] -= n, 1
+    return Model(counts, total, types, table, shared)
+
+
+def coded(docs: DataFrame, model: Model) -> DataFrame:
+    """One row a document (units of its tokens; what its tokens in the table add to n_known, to the base score and to the shares in shared units), and
+    one for each of its distinct tokens that are not in the table (word, n)."""
+    sent = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, model.table))
+    base_log = math.log10(model.total + model.types + 1)
 
     def run(batches):
         from pyspark import TaskContext
 
-        uid, table, flat = shared.value
+        uid, table = sent.value
 
         def make():
-            counts = np.array([*table.values(), 0], np.float64)  # the last is for what is not in the table
-            classes = np.zeros(len(counts), np.int64)
-            classes[: min(CLASSES - 1, len(table))] = np.arange(1, min(CLASSES - 1, len(table)) + 1)
-            return {w: i for i, w in enumerate(table)}, classes, np.log10(counts + 1), Parameters(flat.copy()).log_table()
+            units = np.arange(len(table) + 1, dtype=np.int64)
+            units[COMMON:-1] = [shared_unit(w) for w in list(table)[COMMON:]]
+            return {w: i for i, w in enumerate(table)}, units, np.log10(np.array([*table.values(), 0], np.float64) + 1)
 
-        place, classes, own, logs = worker_state(uid, make)
-        get, row = place.get, TaskContext.get().partitionId() << 33
+        place, unit_of, own = worker_state(uid, make)
+        get, row, unknown = place.get, TaskContext.get().partitionId() << 33, len(place)
         for keys, rows in rows_of(batches, "doc_id", "text"):
             words = [tokens(t) for t in rows]
             sizes = np.array([len(w) for w in words])
-            flat_words = list(chain.from_iterable(words))
-            at = np.array(list(map(get, flat_words, repeat(len(place)))), np.int64)
-            first, ends = np.cumsum(sizes) - sizes, np.zeros(len(at), bool)
-            ends[np.cumsum(sizes) - 1] = True
-            ids, here = classes[at], at < len(place)
-            pairs = contexts_of(ids, ends)
-            by_class = logs[pairs[:, 0] * (CLASSES + 1) + pairs[:, 1], ids].astype(np.float64)
-            base = np.where(here, own[at] - base_log, 0.0)
-            model_score = by_class + np.where(here & (ids == 0), own[at] - rest_log, 0.0)
+            flat = list(chain.from_iterable(words))
+            at = np.array(list(map(get, flat, repeat(unknown))), np.int64)
+            first, here = np.cumsum(sizes) - sizes, at < unknown
+            units = unit_of[at]
             rare = np.flatnonzero(~here)
-            n, k = len(keys), len(rare)
-            numbers = row + 1 + np.arange(n)
-            row += n
-            zero = np.zeros(k)
+            strange = [flat[i] for i in rare.tolist()]
+            units[rare] = [shared_unit(w) for w in strange]
+            base, inside = np.where(here, own[at] - base_log, 0.0), np.where(here & (units >= COMMON), own[at], 0.0)
+            numbers = row + 1 + np.arange(len(keys))
+            row += len(keys)
+            tally = Counter(zip(numbers[np.searchsorted(first, rare, side="right") - 1].tolist(), strange, strict=True))
+            k, data = len(tally), units.astype("<u2").tobytes()
+            ends = (2 * np.cumsum(sizes)).tolist()
             yield batch_of(
-                schema,
-                row=np.concatenate([numbers, numbers[np.searchsorted(first, rare, side="right") - 1]]),
+                _CODED,
+                row=numbers.tolist() + [r for r, _ in tally],
                 doc_id=keys + [None] * k,
-                word=[None] * n + [flat_words[i] for i in rare.tolist()],
-                tf=np.concatenate([np.zeros(n), zero + 1]).astype(np.int64),
-                n_tokens=np.concatenate([sizes, zero]).astype(np.int64),
-                n_known=np.concatenate([np.add.reduceat(here.astype(np.int64), first), zero]).astype(np.int64),
-                base=np.concatenate([np.add.reduceat(base, first), zero]),
-                score=np.concatenate([np.add.reduceat(model_score, first), zero]),
+                units=[data[a:b] for a, b in zip([0, *ends], ends, strict=False)] + [None] * k,
+                word=[None] * len(keys) + [w for _, w in tally],
+                n=sizes.tolist() + list(tally.values()),
+                n_known=np.concatenate([np.add.reduceat(here.astype(np.int64), first), np.zeros(k, np.int64)]),
+                base=np.concatenate([np.add.reduceat(base, first), np.zeros(k)]),
+                own=np.concatenate([np.add.reduceat(inside, first), np.zeros(k)]),
             )
 
-    parts = texts(docs).mapInArrow(run, "row long, doc_id long, word binary, tf long, n_tokens long, n_known long, base double, score double")
-    joined = parts.join(model.counts.withColumnRenamed("n", "c"), "word", "left")
+    return texts(docs).mapInArrow(run, _CODED_DDL)
+
+
+_CHANGE = pa.schema([("chunk", pa.int32()), ("change", pa.binary()), ("used", pa.binary())])
+
+
+def train(rows: DataFrame, model: Model, shard_tokens: int = SHARD_TOKENS, rounds: int = ROUNDS, batch: int = BATCH) -> np.ndarray:
+    """The parameters after all rounds over the coded training documents."""
+    spark, shares = rows.sparkSession, model.shares
+    current = Parameters.start(shares).rows
+    shards = min(MAX_SHARDS, -(-model.total // shard_tokens))
+    if not shards:
+        return current
+    learn = rows.where(F.col("units").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    learn = learn.select(F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"), F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(rounds)).alias("turn"), "doc_id", "units")
+    for turn in range(rounds):
+        sent = spark.sparkContext.broadcast((current, shares))
+
+        def run(batches, sent=sent, turn=turn):
+            start, shares = sent.value
+            shard, held, size, trainer = None, [], 0, None
+
+            def study():
+                ids = np.frombuffer(b"".join(held), "<u2").astype(np.int64)
+                ends = np.zeros(len(ids), bool)
+                ends[np.cumsum([len(x) // 2 for x in held]) - 1] = True
+                contexts, order = contexts_of(ids, ends), trainer.rng.permutation(len(ids))
+                for at in range(0, len(order), batch):
+                    part = order[at : at + batch]
+                    trainer.step(contexts[part], ids[part])
+
+            def changes():
+                delta = (trainer.p.rows - start).astype(np.float16)
+                for at in range(0, len(delta), CHUNK):
+                    yield batch_of(_CHANGE, chunk=[at // CHUNK], change=[delta[at : at + CHUNK].tobytes()], used=[trainer.used[at : at + CHUNK].tobytes()])
+
+            for part in batches:
+                for s, units in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    if s != shard or size >= 16 * batch:
+                        if held:
+                            study()
+                        held, size = [], 0
+                    if s != shard:
+                        if trainer:
+                            yield from changes()
+                        shard, trainer = s, Trainer(Parameters(start.copy()), shares, RATE * DECAY**turn, s * rounds + turn)
+                    held.append(units)
+                    size += len(units) // 2
+            if held:
+                study()
+            if trainer:
+                yield from changes()
+
+        def mean(batches):
+            chunk, total, weight = None, None, None
+
+            def out():
+                return batch_of(_CHANGE, chunk=[chunk], change=[(total / np.maximum(weight, 1e-9)[:, None]).astype(np.float32).tobytes()], used=[None])
+
+            for part in batches:
+                for c, change, used in zip(*(x.to_pylist() for x in part.columns), strict=True):
+                    if c != chunk:
+                        if chunk is not None:
+                            yield out()
+                        chunk, total, weight = c, 0.0, 0.0
+                    w = np.frombuffer(used, np.float32).astype(np.float64)
+                    total = total + np.frombuffer(change, np.float16).astype(np.float64).reshape(-1, WIDTH) * w[:, None]
+                    weight = weight + w
+            if chunk is not None:
+                yield out()
+
+        ddl = "chunk int, change binary, used binary"
+        dealt = learn.where(F.col("turn") == turn).repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "units").select("shard", "units")
+        # sorted by what the rows hold, so that the sum's order, and so its last digits, do not hang on the layout
+        changed = dealt.mapInArrow(run, ddl).repartition("chunk").sortWithinPartitions("chunk", "change").mapInArrow(mean, ddl)
+        current = current.copy()
+        for r in changed.select("chunk", "change").collect():  # as many numbers as the model has parameters
+            part = np.frombuffer(r.change, np.float32).reshape(-1, WIDTH)
+            current[r.chunk * CHUNK : r.chunk * CHUNK + len(part)] += part
+        sent.unpersist()
+    return current
+
+
+def score(docs: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row (log10); the model is trained on the rows that are not held out."""
+    model = count(docs)
+    rows = cut(coded(docs, model))
+    model.parameters = train(rows, model)
+    return score_coded(rows, model)
+
+
+def score_coded(rows: DataFrame, model: Model) -> DataFrame:
+    inside = np.concatenate([np.zeros(COMMON), -np.log10(model.shared.sum(axis=0) + 1.0)])
+    sent = rows.sparkSession.sparkContext.broadcast((model.parameters, inside))
+    base_log = math.log10(model.total + model.types + 1)
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+
+    def run(batches):
+        flat, inside = sent.value
+        p = Parameters(flat)
+        for batch in batches:
+            column = batch.column(2)
+            at = 0
+            sizes = column.value_lengths().to_numpy() if hasattr(column, "value_lengths") else np.array([len(x) for x in column.to_pylist()])
+            sizes = sizes // 2
+            upto = np.cumsum(sizes)
+            while at < batch.num_rows:  # about so many tokens at a time
+                stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + 8 * BATCH, side="right")))
+                part, mine = batch.slice(at, stop - at), sizes[at:stop]
+                units = np.frombuffer(b"".join(part.column(2).to_pylist()), "<u2").astype(np.int64)
+                first, ends = np.cumsum(mine) - mine, np.zeros(len(units), bool)
+                ends[np.cumsum(mine) - 1] = True
+                logs = p.log_probabilities(contexts_of(units, ends), units) / math.log(10) + inside[units]
+                yield batch_of(schema, row=part.column(0), doc_id=part.column(1), n_tokens=mine, n_known=part.column(4), base=part.column(5), score=np.add.reduceat(logs, first) + part.column(6).to_numpy())
+                at = stop
+
+    by_text = rows.where("units is not null").select("row", "doc_id", "units", "n", "n_known", "base", "own").mapInArrow(run, "row long, doc_id long, n_tokens long, n_known long, base double, score double")
     c = F.coalesce(F.col("c"), F.lit(0))
-    own = F.log10(c + 1)
-    rows = joined.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.sum("n_tokens").alias("n_tokens"),
-        (F.sum("n_known") + F.sum(F.when(c > 0, F.col("tf")).otherwise(0))).alias("n_known"),
-        (F.sum("base") + F.sum(F.col("tf") * (own - base_log))).alias("base_score"),
-        (F.sum("score") + F.sum(F.col("tf") * (own - rest_log))).alias("score"),
-    )
-    return rows.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+    rare = rows.where("word is not null").select("row", "word", "n").join(model.counts.withColumnRenamed("n", "c"), "word", "left")
+    rare = rare.select("row", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n_tokens"), F.when(c > 0, F.col("n")).otherwise(0).alias("n_known"), (F.col("n") * (F.log10(c + 1) - base_log)).alias("base"), (F.col("n") * F.log10(c + 1)).alias("score"))
+    out = by_text.unionByName(rare).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("score").alias("score"))
+    return out.select("doc_id", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -57,8 +57,7 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    scored = lm.score(docs, lm.fit(docs))
+    scored = lm.score(table(spark, sf_dir, "documents"))
     return scored.select("doc_id", lm.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
