@@ -1,18 +1,19 @@
 """Approximate nearest neighbours by a hash-prefix forest.
 
-Each vector gets TREES hash strings of BITS random-hyperplane bits.  A tree is the array of one such string for each vector, sorted,
-so vectors that share a prefix are neighbours in it.  A query descends every tree to its longest matching prefix,
-then ascends all trees together, one level at a time, each level taking in the vectors that share a prefix
-one bit shorter, until the candidates of all trees number WANTED; their cosines are then computed exactly.
+Each different vector gets `trees` hash strings of BITS random-hyperplane bits.  A tree is the array of all vectors' strings, sorted over the whole
+table, so vectors that share a prefix are neighbours in it.  The arrays are dealt in ranges of (tree, string), equal strings by a hash of
+the id, so that no prefix, however common, meets in one task.  A query stands in each tree where its own string stands: there it has descended
+to its longest matching prefix, and the window around it holds the next shorter ones.  Then all trees are ascended together, one level at a
+time, each level taking in the vectors that share a prefix one bit shorter, until the candidates of all trees number `wanted`.
 
-The index is dealt by hash into blocks of about BLOCK_ROWS vectors, each with its own forest; every indexed row is in one block, and
-the queries (the stated set) visit each block, which gives back its best k, so rows in flight grow with
-queries x blocks and never with candidate pairs.  Blocks hold whole vectors, so a block answers by itself and a lost
-one is simply made again.
+Candidates are looked up by vector, not by query: vectors are dealt to blocks, a query visits the blocks that hold candidates of its own with the
+list of them, and is answered with their exact cosines in double precision, of which the best of all blocks are kept.  Nothing is of the size of
+queries x rows.  `wanted` is FACTOR * rows ** EXPONENT unless given: what unclustered vectors, the hardest case, need for a recall of 0.9.
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part, as queries or as candidates; nor do
-those of another length than most.  Equal scores go to the smaller vec_id.  Rows repeated under one vec_id count once; a query is never its own
-candidate.  Null vec_ids take no part.
+those of another length than most.  Vectors are scaled by a power of two before they are multiplied, so neither very large nor very small ones are lost.
+Equal vectors are one entry of the forest, whose smallest ids are given out.  Equal scores go to the smaller vec_id.  Rows repeated under one vec_id
+count once (if they differ, as the smallest vector); a query is never its own candidate.  Null vec_ids take no part.
 """
 
 from __future__ import annotations
@@ -22,14 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewise.llm.common import batch_of
+from tidewise.llm.common import batch_of, cut
 
-TREES = 24
+TREES = 128
 BITS = 32
+FACTOR, EXPONENT = 3.6, 0.7
+#: A tree's window around a query holds so many times its share of the wanted candidates.
+SPREAD = 2.0
+ENTRIES = 1_000_000
 BLOCK_ROWS = 8_192
-#: Candidates gathered from all trees of a block, as a share of its rows and at least so many; sets recall.
-WANTED_SHARE = 1.2
-WANTED_LEAST = 2_048
 SEED = 11
 
 
@@ -39,117 +41,180 @@ def usable(table: DataFrame) -> DataFrame:
     fine = F.size(v) > 0
     fine &= ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = table.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fine)
-    return rows.groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.first(v).alias("v"))
+    return rows.groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min(v).alias("v"))
 
 
-def planes(dim: int) -> np.ndarray:
-    return np.random.default_rng(SEED).standard_normal((dim, TREES * BITS)).astype(np.float32)
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times the power of two that brings its largest component to between a half and one."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None])
 
 
-def strings(vectors: np.ndarray, plane: np.ndarray) -> np.ndarray:
-    """(trees, rows) hash strings as integers, first bit highest."""
-    out = np.empty((TREES, len(vectors)), np.uint64)
-    weights = (np.uint64(1) << np.arange(BITS - 1, -1, -1, dtype=np.uint64)).astype(np.float64)
-    for at in range(0, len(vectors), 2048):
-        bits = (vectors[at : at + 2048].astype(np.float32) @ plane) > 0
-        out[:, at : at + 2048] = (bits.reshape(len(bits), TREES, BITS) @ weights).astype(np.uint64).T
+def strings(vectors: np.ndarray, trees: int) -> np.ndarray:
+    """(rows, trees) hash strings as integers, first bit highest."""
+    plane = np.random.default_rng(SEED).standard_normal((vectors.shape[1], trees * BITS)).astype(np.float32)
+    weights = 2.0 ** np.arange(BITS - 1, -1, -1)
+    out = np.empty((len(vectors), trees), np.int64)
+    for at in range(0, len(vectors), 512):
+        bits = (scaled(vectors[at : at + 512]).astype(np.float32) @ plane) > 0
+        out[at : at + 512] = bits.reshape(len(bits), trees, BITS) @ weights
     return out
 
 
-class Forest:
-    """The trees over one block."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        self.ids, self.vectors = ids, vectors
-        self.norms = np.sqrt((vectors * vectors).sum(axis=1))
-        self.plane = planes(vectors.shape[1])
-        hashes = strings(vectors, self.plane)
-        self.order = np.argsort(hashes, axis=1, kind="stable")
-        self.trees = np.take_along_axis(hashes, self.order, axis=1)
-
-    def candidates(self, queries: np.ndarray, wanted: int):
-        """For each query, rows of the block found by synchronous ascent."""
-        hashes = strings(queries, self.plane)
-        low = np.empty((BITS + 1, TREES, len(queries)), np.int64)
-        high = np.empty_like(low)
-        for depth in range(BITS + 1):
-            cut = np.uint64(BITS - depth)
-            first = hashes >> cut << cut
-            last = first | ((np.uint64(1) << cut) - np.uint64(1))
-            for t in range(TREES):
-                low[depth, t] = np.searchsorted(self.trees[t], first[t], side="left")
-                high[depth, t] = np.searchsorted(self.trees[t], last[t], side="right")
-        sizes = (high - low).sum(axis=1)  # by depth and query, growing as depth falls
-        depth = BITS - np.argmax((sizes >= min(wanted, TREES * len(self.ids)))[::-1], axis=0)
-        for q in range(len(queries)):
-            d = depth[q]
-            mark = np.zeros(len(self.ids), bool)
-            for t in range(TREES):
-                mark[self.order[t, low[d, t, q] : high[d, t, q]]] = True
-            yield np.flatnonzero(mark)
-
-    def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
-        """(query row, id, score) of the best k of the block for each query."""
-        wanted = max(WANTED_LEAST, int(WANTED_SHARE * len(self.ids)))
-        for q, rows in enumerate(self.candidates(queries, wanted)):
-            rows = rows[self.ids[rows] != query_ids[q]]
-            v = queries[q]
-            score = (self.vectors[rows] * v).sum(axis=1) / (self.norms[rows] * np.sqrt((v * v).sum()))
-            if len(rows) > k:
-                bar = np.partition(score, len(score) - k)[len(score) - k]
-                keep = score >= bar
-                rows, score = rows[keep], score[keep]
-            best = np.lexsort((self.ids[rows], -score))[:k]
-            yield q, self.ids[rows[best]], score[best]
-
-
-def search(table: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
-    """query_id, rank, vec_id, score: for each query (vec_id, embedding) its k nearest found among the rows of table."""
-    index, asked = usable(table), usable(queries)
-    index = index.persist()
-    rows = index.count()
-    if not rows:
-        index.unpersist()
-        return index.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    blocks = max(1, -(-rows // BLOCK_ROWS))
-    dim = index.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first().d
-    index, asked = index.where(F.size("v") == dim), asked.where(F.size("v") == dim)
-    dealt = index.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("role"), "vec_id", "v")
-    visits = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("role"), "vec_id", "v")
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+def _entries(rows: DataFrame, dim: int, trees: int, role: int) -> DataFrame:
+    """tree, string, tie, role, id: a row's places in all trees."""
+    schema = pa.schema([("id", pa.int64()), ("strings", pa.list_(pa.int64()))])
 
     def run(batches):
-        block, forest, ids, vectors = None, None, [], []
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                found = strings(part.column(1).flatten().to_numpy().reshape(-1, dim), trees)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, found.size + 1, trees, dtype=np.int32)), pa.array(found.reshape(-1)))
+                yield batch_of(schema, id=part.column(0), strings=lists)
+
+    spread = rows.mapInArrow(run, "id long, strings array<long>").select("id", F.posexplode("strings").alias("tree", "string"))
+    return spread.select("tree", "string", F.xxhash64("id", "tree").alias("tie"), F.lit(role).alias("role"), "id")
+
+
+def _windows(width: int):
+    """For each query of a range its neighbours in the tree and the lengths of the prefixes they share with it."""
+    schema = pa.schema([("query", pa.int64()), ("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32()))])
+
+    def near(role, string, ids):
+        """Rows of one tree in order."""
+        index, asked = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
+        if not len(index) or not len(asked):
+            return
+        keys, names = string[index], ids[index]
+        for at in range(0, len(asked), 1024):
+            part = asked[at : at + 1024]
+            place = np.searchsorted(index, part)  # so many entries stand before the query
+            first = np.clip(place - width // 2, 0, max(0, len(index) - width))
+            cells = np.minimum(first[:, None] + np.arange(width), len(index) - 1)
+            if len(index) < width:
+                cells = cells[:, : len(index)]
+            lengths = BITS - np.frexp((keys[cells] ^ string[part][:, None]).astype(np.float64))[1]
+            n, k = cells.shape
+            offsets = pa.array(np.arange(0, n * k + 1, k, dtype=np.int32))
+            yield batch_of(schema, query=ids[part], ids=pa.ListArray.from_arrays(offsets, pa.array(names[cells].reshape(-1))), lengths=pa.ListArray.from_arrays(offsets, pa.array(lengths.reshape(-1).astype(np.int32))))
 
-        def answer(query_ids, queries):
-            out_q, out_i, out_s = [], [], []
-            for q, found, score in forest.nearest(query_ids, queries, k):
-                out_q += [query_ids[q]] * len(found)
-                out_i += found.tolist()
-                out_s += score.tolist()
-            return batch_of(schema, query_id=out_q, vec_id=out_i, score=out_s)
+    def run(batches):
+        tree, held = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t, string, role, ids = (batch.column(i).to_numpy() for i in (0, 1, 3, 4))
+            edges = np.concatenate([[0], np.flatnonzero(t[1:] != t[:-1]) + 1, [len(t)]])
+            for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if t[s] != tree and held:
+                    yield from near(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                    held = []
+                tree = t[s]
+                held.append((role[s:e], string[s:e], ids[s:e]))
+        if held:
+            yield from near(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    return run
+
+
+def _ascend(wanted: int):
+    """From the windows of all trees, sorted by query: the candidates (query, node) of the synchronous ascent."""
+    schema = pa.schema([("query", pa.int64()), ("node", pa.int64())])
+
+    def found(query, held):
+        ids, lengths = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((-lengths, ids))
+        ids, lengths = ids[order], lengths[order]
+        first = np.concatenate([[True], ids[1:] != ids[:-1]])
+        ids, lengths = ids[first], lengths[first]  # of each candidate the longest prefix in any tree
+        upto = np.cumsum(np.bincount(lengths, minlength=BITS + 1)[::-1])  # candidates at a level, from the longest prefix down
+        level = BITS - int(np.argmax(upto >= min(wanted, len(ids))))
+        ids = ids[lengths >= level]
+        return batch_of(schema, query=np.full(len(ids), query), node=ids)
 
+    def run(batches):
+        query, held = None, []
+        for batch in batches:
+            q, ids, lengths = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
+            for i, x in enumerate(q):
+                if x != query and held:
+                    yield found(query, held)
+                    held = []
+                query = x
+                held.append((ids[i].values.to_numpy(), lengths[i].values.to_numpy()))
+        if held:
+            yield found(query, held)
+
+    return run
+
+
+def candidates(nodes: DataFrame, asked: DataFrame, dim: int, trees: int, wanted: int) -> DataFrame:
+    """query, node: what the forest over nodes (node, v) proposes for the queries (vec_id, v)."""
+    both = _entries(nodes.select(F.col("node").alias("id"), "v"), dim, trees, 0).unionByName(_entries(asked.select(F.col("vec_id").alias("id"), "v"), dim, trees, 1))
+    ranges = max(1, -(-nodes.count() * trees // ENTRIES))
+    dealt = both.repartitionByRange(ranges, "tree", "string", "tie").sortWithinPartitions("tree", "string", "tie")
+    width = max(4, int(SPREAD * wanted / trees))
+    near = dealt.mapInArrow(_windows(width), "query long, ids array<long>, lengths array<int>")
+    return near.repartition("query").sortWithinPartitions("query").mapInArrow(_ascend(wanted), "query long, node long")
+
+
+def _score(dim: int, k: int):
+    """From blocks of vectors (role 0) and of queries with their candidates there (role 1): each query's best."""
+    schema = pa.schema([("query_id", pa.int64()), ("node", pa.int64()), ("score", pa.float64())])
+
+    def run(batches):
+        block, ids, vectors, norms = None, [], [], None
         for batch in batches:
             if not batch.num_rows:
                 continue
             b, role, key = (batch.column(i).to_numpy() for i in range(3))
-            v = batch.column(3).flatten().to_numpy().reshape(-1, dim)
-            edges = np.concatenate([[0], np.flatnonzero((b[1:] != b[:-1]) | (role[1:] != role[:-1])) + 1, [len(b)]])
-            for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                if b[s] != block:
-                    block, forest, ids, vectors = b[s], None, [], []
-                if role[s] == 0:
-                    ids.append(key[s:e])
-                    vectors.append(v[s:e])
+            v = scaled(batch.column(3).flatten().to_numpy().reshape(-1, dim))
+            lists = batch.column(4)
+            for i in range(len(b)):
+                if b[i] != block:
+                    block, ids, vectors, norms = b[i], [], [], None
+                if role[i] == 0:
+                    ids.append(key[i])
+                    vectors.append(v[i])
                     continue
-                if not ids:
-                    continue
-                if forest is None:
-                    forest = Forest(np.concatenate(ids), np.concatenate(vectors))
-                for at in range(s, e, 512):
-                    yield answer(key[at : min(at + 512, e)], v[at : min(at + 512, e)])
-
-    both = dealt.union(visits).repartition(blocks, "block").sortWithinPartitions("block", "role", "vec_id")
-    found = both.mapInArrow(run, "query_id long, vec_id long, score double")
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+                if norms is None:
+                    ids, vectors = np.array(ids), np.array(vectors)
+                    order = np.argsort(ids)
+                    ids, vectors = ids[order], vectors[order]
+                    norms = np.sqrt((vectors * vectors).sum(axis=1))
+                rows = np.searchsorted(ids, lists[i].values.to_numpy())
+                score = (vectors[rows] * v[i]).sum(axis=1) / (norms[rows] * np.sqrt((v[i] * v[i]).sum()))
+                if len(rows) > k:
+                    keep = score >= np.partition(score, len(score) - k)[len(score) - k]
+                    rows, score = rows[keep], score[keep]
+                best = np.lexsort((ids[rows], -score))[:k]
+                yield batch_of(schema, query_id=np.full(len(best), key[i]), node=ids[rows[best]], score=score[best])
+
+    return run
+
+
+def search(table: DataFrame, queries: DataFrame, k: int = 5, trees: int = TREES, wanted: int | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score: for each query (vec_id, embedding) its k nearest found among the rows of table."""
+    spark = table.sparkSession
+    index, asked = cut(usable(table)), usable(queries)
+    most = index.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    if most is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    index, asked = index.where(F.size("v") == most.d), cut(asked.where(F.size("v") == most.d))
+    # of equal vectors the k + 1 smallest ids are all that can be given out; the limit acts before the exchange
+    first = index.withColumn("place", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("place") <= k + 1)
+    nodes = cut(first.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).select(F.col("ids")[0].alias("node"), "v", "ids"))
+    rows = nodes.count()
+    wanted = int(FACTOR * rows**EXPONENT) if wanted is None else wanted
+    blocks = -(-rows // BLOCK_ROWS)
+    home = F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("block")
+    pairs = candidates(nodes, asked, most.d, trees, wanted).select("query", "node", home)
+    visits = pairs.groupBy("query", "block").agg(F.collect_list("node").alias("list")).join(asked, F.col("query") == F.col("vec_id"))
+    both = nodes.select(home, F.lit(0).alias("role"), F.col("node").alias("id"), "v", F.lit(None).cast("array<long>").alias("list"))
+    both = both.unionByName(visits.select("block", F.lit(1).alias("role"), F.col("query").alias("id"), "v", "list"))
+    found = both.repartition(blocks, "block").sortWithinPartitions("block", "role", "id").mapInArrow(_score(most.d, k + 1), "query_id long, node long, score double")
+    ranks = Window.partitionBy("query_id")
+    best = found.withColumn("place", F.row_number().over(ranks.orderBy(F.desc("score"), "node"))).where(F.col("place") <= k + 1)
+    named = best.join(nodes.select("node", "ids"), "node").select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
+    ranked = named.withColumn("rank", F.row_number().over(ranks.orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
