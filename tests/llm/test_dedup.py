@@ -203,21 +203,20 @@ def test_simhash_matches_brute_force(spark):
     r = random.Random(9)
     rows += [(3000 + i, rows[i][1].replace("a", "a", 1) + r.choice(["", " zz"])) for i in range(20)]
     got = simhash.near_duplicates(frame(spark, rows), 3, 2).collect()
+    assert sorted(got) == sorted(simhash.near_duplicates(frame(spark, rows), 3, 2, block=3, step=2).collect())
     fps = {i: brute_fp(t, 3) for i, t in rows}
     assert {x.doc_id: x.fp & (1 << 64) - 1 for x in got} == fps
     assert {x.doc_id: x.component_id for x in got} == brute_components(fps, 2)
 
 
 @pytest.mark.parametrize(("block", "step"), [(4096, 1024), (5, 3)])
-def test_tiles_lose_no_link(spark, monkeypatch, block, step):
-    monkeypatch.setattr(simhash, "BLOCK", block)
-    monkeypatch.setattr(simhash, "STEP", step)
+def test_tiles_lose_no_link(spark, block, step):
     r = random.Random(5)
     centres = [r.getrandbits(64) for _ in range(6)]
     fps = {c ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 4))) for c in centres for _ in range(50)} | {0, 1, (1 << 64) - 1}
     fps = dict(enumerate(sorted(fps)))
     df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f, i) for i, f in fps.items()], "fp long, node long")
-    links = simhash.compare_tiles(simhash.tiles_by_counts(df, 2), 2)
+    links = simhash.compare_tiles(simhash.tiles_by_counts(df, 2), 2, block, step)
     found = {x.node: x.component for x in common.components(links).collect()}
     assert {i: found.get(i, i) for i in fps} == brute_components(fps, 2)
 
@@ -248,13 +247,14 @@ def test_simhash_odd_rows(spark):
     got = simhash.near_duplicates(frame(spark, [(None, "a b"), (None, "c d e f"), (4, "A  B"), (4, "a b"), (6, None)])).collect()
     assert sorted((x.doc_id or -1, x.component_id or -1) for x in got) == [(-1, -1), (-1, 4), (4, 4), (4, 4), (6, 6)]
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
+    long = " ".join(str(i * 7 % 1009) for i in range(60_000))
+    got = {x.doc_id: (x.fp & (1 << 64) - 1, x.component_id) for x in simhash.near_duplicates(frame(spark, [(1, long), (2, long + " end")])).collect()}
+    assert got == {1: (brute_fp(long, 3), 1), 2: (brute_fp(long + " end", 3), 1)}
 
 
 @pytest.mark.parametrize("block", [4096, 7])
-def test_similar_groups_equal_brute_force_around_the_threshold(spark, monkeypatch, block):
+def test_similar_groups_equal_brute_force_around_the_threshold(spark, block):
     """Long texts at overlaps of 0.7 to 0.9, where an estimate from some of the shingles would be wrong for many."""
-    monkeypatch.setattr(simhash, "BLOCK", block)
-    monkeypatch.setattr(simhash, "SET_ROWS", 3)
     r = random.Random(11)
     words = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(4000)]
     rows = []
@@ -271,5 +271,5 @@ def test_similar_groups_equal_brute_force_around_the_threshold(spark, monkeypatc
     near = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in combinations(sets, 2)}
     assert sum(0.7 < x < 0.8 for x in near.values()) > 20 and sum(0.8 <= x < 0.9 for x in near.values()) > 20
     want = {i: i for i in sets} | {b: a for (a, b), x in near.items() if x >= 0.8}
-    got = {x.doc_id: x.component_id for x in simhash.similar_groups(frame(spark, rows)).collect()}
+    got = {x.doc_id: x.component_id for x in simhash.similar_groups(frame(spark, rows), block=block, set_rows=3).collect()}
     assert got == want

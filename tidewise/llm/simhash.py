@@ -7,8 +7,8 @@ Tiles are keyed by population counts: the 64 bits are cut into SEGMENTS, and a t
 one vector of segment counts.  Two fingerprints within the radius differ by at most that much in the sum
 of their count differences, so all other tile pairs are skipped without being formed; a fingerprint visits its
 own tile as a member and each later tile in reach as a probe.  Inside a tile the comparison is numpy
-exclusive-or and bit counts over blocks, again skipping blocks whose total counts differ beyond the radius.  A tile with more than
-BLOCK members is split by hash into blocks that meet each other as probes, so no task holds an unbounded group.
+exclusive-or and bit counts over blocks, again skipping blocks whose total counts differ beyond the radius.  The members and the probes of a tile with more than
+`block` of them are split by hash into blocks, and each pair of blocks is a unit of work, so no task holds an unbounded group.
 Only a spanning forest of the links found in a batch of tiles leaves a task.
 
 Exact copies collapse to one fingerprint before any of this.  Null texts have no words (fingerprint zero).  A null doc_id
@@ -129,25 +129,48 @@ def tiles_by_counts(fps: DataFrame, radius: int) -> DataFrame:
     return spread.select((F.col("own") + F.col("step")).alias("tile"), (F.col("step") > 0).cast("int").alias("role"), "fp", "node")
 
 
-def _split_hot(spread: DataFrame) -> DataFrame:
-    """Adds blk: members of a tile of over BLOCK members are dealt to blocks by hash and probe the earlier blocks; probes visit all."""
-    hot = spread.where("role = 0").groupBy("tile").count().where(F.col("count") > BLOCK).select("tile", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    n = F.coalesce(F.col("blocks"), F.lit(1))
-    own = F.pmod(F.xxhash64("fp", "node"), n).cast("int")
-    visits = F.when(F.col("role") == 1, F.sequence(F.lit(0), n - 1)).otherwise(F.sequence(F.lit(0), own))
+SALTS = 64
+_WIDE = 1 << 20
+
+
+def _split_hot(spread: DataFrame, block: int) -> DataFrame:
+    """Adds blk, the unit of work of a row: one a tile, or, for a tile with over `block` members or probes, one for each pair of blocks of them.
+
+    Members and probes of such a tile are dealt to blocks by hash: a block of members meets itself (blk < 0), each later block of members and each block of
+    probes (blk > 0, where members are not compared among themselves), so a unit holds about two blocks.  The look-up of the tile is salted."""
+    sizes = spread.groupBy("tile").agg(F.count_if(F.col("role") == 0).alias("members"), F.count_if(F.col("role") == 1).alias("probes"))
+    hot = sizes.where((F.col("members") > block) | (F.col("probes") > block) & (F.col("members") > 0))
+    hot = hot.select("tile", F.ceil(F.col("members") / block).alias("nb"), F.ceil(F.col("probes") / block).alias("pb"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    own, member = F.col("own"), F.col("role") == 0
+
+    def units(upto, keep, blk, role):
+        row = lambda i: F.struct(blk(i).cast("long").alias("blk"), F.lit(role).alias("role"))
+        return F.transform(F.filter(F.sequence(F.lit(0).cast("long"), F.greatest(upto, F.lit(1)) - 1), lambda i: keep(i) & (i < upto)), row)
+
+    pair = lambda i, j: 2 * (i * _WIDE + j)
+    mine = F.concat(
+        units(F.col("nb"), lambda i: i == own, lambda i: -1 - i, 0),
+        units(F.col("nb"), lambda j: j > own, lambda j: pair(own, j) + 1, 0),
+        units(F.col("nb"), lambda i: i < own, lambda i: pair(i, own) + 1, 1),
+        units(F.col("pb"), lambda j: F.lit(True), lambda j: pair(own, j) + 2, 0),
+    )
+    probe = units(F.col("nb"), lambda i: F.lit(True), lambda i: pair(i, own) + 2, 1)
+    alone = F.array(F.struct(F.lit(0).cast("long").alias("blk"), F.col("role").alias("role")))
     more = [c for c in spread.columns if c not in ("tile", "role", "fp", "node")]
-    dealt = spread.join(hot, "tile", "left").withColumn("own", own).select("tile", "role", "fp", "node", "own", *more, F.explode(visits).alias("blk"))
-    return dealt.select("tile", "blk", F.when((F.col("role") == 0) & (F.col("blk") == F.col("own")), 0).otherwise(1).alias("role"), "fp", "node", *more)
+    dealt = spread.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(hot, ["tile", "salt"], "left")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fp", "node"), F.greatest(F.when(member, F.col("nb")).otherwise(F.col("pb")), F.lit(1))))
+    dealt = dealt.withColumn("unit", F.explode(F.when(F.col("nb").isNull(), alone).when(member, mine).otherwise(probe)))
+    return dealt.select("tile", F.col("unit.blk").alias("blk"), F.col("unit.role").alias("role"), "fp", "node", *more)
 
 
-def _near(a: np.ndarray, b: np.ndarray, radius: int, upper: bool):
+def _near(a: np.ndarray, b: np.ndarray, radius: int, upper: bool, step: int):
     """Index pairs within the radius, block by block; both sides are sorted by population count, and block pairs out of reach are skipped."""
     ca, cb = np.bitwise_count(a), np.bitwise_count(b)
-    for i in range(0, len(a), STEP):
-        x, lo, hi = a[i : i + STEP], int(ca[i]) - radius, int(ca[min(i + STEP, len(a)) - 1]) + radius
+    for i in range(0, len(a), step):
+        x, lo, hi = a[i : i + step], int(ca[i]) - radius, int(ca[min(i + step, len(a)) - 1]) + radius
         first, last = int(np.searchsorted(cb, max(lo, 0))), int(np.searchsorted(cb, min(hi, 64), side="right"))
-        for j in range(max(first, i) if upper else first, last, STEP):
-            y = b[j : min(j + STEP, last)]
+        for j in range(max(first, i) if upper else first, last, step):
+            y = b[j : min(j + step, last)]
             r, c = np.nonzero(np.bitwise_count(x[:, None] ^ y[None, :]) <= radius)
             if upper:
                 keep = r + i < c + j
@@ -156,9 +179,9 @@ def _near(a: np.ndarray, b: np.ndarray, radius: int, upper: bool):
                 yield r + i, c + j
 
 
-def compare_tiles(spread: DataFrame, radius: int) -> DataFrame:
+def compare_tiles(spread: DataFrame, radius: int, block: int = BLOCK, step: int = STEP) -> DataFrame:
     """Links (a, b) between nodes whose fingerprints are within the radius and that share a tile; a forest for each block."""
-    dealt = _split_hot(spread).repartition("tile", "blk").sortWithinPartitions("tile", "blk", "role")
+    dealt = _split_hot(spread, block).repartition("tile", "blk").sortWithinPartitions("tile", "blk", "role")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
@@ -166,7 +189,7 @@ def compare_tiles(spread: DataFrame, radius: int) -> DataFrame:
 
         def link(nodes_a, fps_a, nodes_b, fps_b, upper):
             oa, ob = np.argsort(np.bitwise_count(fps_a), kind="stable"), np.argsort(np.bitwise_count(fps_b), kind="stable")
-            for r, c in _near(fps_a[oa], fps_b[ob], radius, upper):
+            for r, c in _near(fps_a[oa], fps_b[ob], radius, upper, step):
                 yield nodes_a[oa][r], nodes_b[ob][c]
 
         for batch in batches:
@@ -186,7 +209,7 @@ def compare_tiles(spread: DataFrame, radius: int) -> DataFrame:
                 if len(fp) == 0 or (e - s == 1 and len(fp) == 1 and members == e):
                     continue
                 found = []
-                if members > s:
+                if members > s and blk[s] <= 0:
                     found.append(link(n[s:members], f[s:members], n[s:members], f[s:members], True))
                     if len(old_f):
                         found.append(link(old_n, old_f, n[s:members], f[s:members], False))
@@ -202,13 +225,13 @@ def compare_tiles(spread: DataFrame, radius: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, block: int = BLOCK, step: int = STEP) -> DataFrame:
     """doc_id, fp, component_id of every row: all links within `radius` bits (4 at most), whichever documents they join."""
     if not 0 <= radius <= 4:
         raise ValueError("population counts prune too little beyond 4 bits; use similar_groups")
-    marked = fingerprints(docs, shingle)
+    marked = cut(fingerprints(docs, shingle))  # two numbers a document, read three times
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("node")).where("node is not null")
-    links = compare_tiles(tiles_by_counts(distinct, radius), radius)
+    links = compare_tiles(tiles_by_counts(cut(distinct), radius), radius, block, step)
     groups = components(links)
     named = distinct.join(groups, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return marked.join(named, "fp", "left").select("doc_id", "fp", "component_id")
@@ -256,7 +279,7 @@ class _Side:
 def _mark(a: _Side, b: _Side, tile: int, radius: int, similarity: float) -> None:
     """Marks both documents of every pair that may be similar and whose first shared tile this is; pairs of two marked ones need no look."""
     least = similarity - DEVIATIONS * math.sqrt(similarity * (1 - similarity) / SKETCH)
-    for left, right in _near(a.fps, b.fps, radius, a is b):
+    for left, right in _near(a.fps, b.fps, radius, a is b, STEP):
         na, nb = a.sizes[left], b.sizes[right]
         near = np.minimum(na, nb) >= similarity * np.maximum(na, nb) - 1e-9
         left, right = left[near], right[near]
@@ -272,10 +295,10 @@ def _mark(a: _Side, b: _Side, tile: int, radius: int, similarity: float) -> None
                 b.marked[y[alike]] = True
 
 
-def candidates(spread: DataFrame, radius: int, similarity: float) -> DataFrame:
+def candidates(spread: DataFrame, radius: int, similarity: float, block: int = BLOCK) -> DataFrame:
     """tile, blk, role, node: the documents of each block that are in a pair that may be similar, members (0) and probes (1)."""
-    dealt = _split_hot(spread).repartition("tile", "blk").sortWithinPartitions("tile", "blk", "role")
-    schema = pa.schema([("tile", pa.int64()), ("blk", pa.int32()), ("role", pa.int32()), ("node", pa.int64())])
+    dealt = _split_hot(spread, block).repartition("tile", "blk").sortWithinPartitions("tile", "blk", "role")
+    schema = pa.schema([("tile", pa.int64()), ("blk", pa.int64()), ("role", pa.int32()), ("node", pa.int64())])
 
     def run(batches):
         key, held = None, []
@@ -297,7 +320,7 @@ def candidates(spread: DataFrame, radius: int, similarity: float) -> DataFrame:
                 members, number = s + int(np.searchsorted(role[s:e], 1)), int(tile[s]) % (1 << 64)
                 new, probes = (_Side(n[i:j], f[i:j], size[i:j], sketch[i:j], low[i:j]) for i, j in ((s, members), (members, e)))
                 before = [side.marked.copy() for side in held]
-                for side in [*held, new]:
+                for side in [*held, new] if blk[s] <= 0 else []:
                     _mark(side, new, number, radius, similarity)
                 held.append(new)
                 before.append(np.zeros(len(new.nodes), bool))
@@ -311,7 +334,7 @@ def candidates(spread: DataFrame, radius: int, similarity: float) -> DataFrame:
                 t, k, r, nodes = (np.concatenate(x) for x in zip(*out, strict=True))
                 yield batch_of(schema, tile=t, blk=k, role=r, node=nodes)
 
-    return dealt.mapInArrow(run, "tile long, blk int, role int, node long")
+    return dealt.mapInArrow(run, "tile long, blk long, role int, node long")
 
 
 class _Sets:
@@ -348,7 +371,7 @@ def similar_pairs(a: _Sets, b: _Sets, similarity: float) -> tuple[np.ndarray, np
     return np.nonzero(common >= similarity * either - 1e-9)
 
 
-def exact_links(found: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def exact_links(found: DataFrame, sets: DataFrame, similarity: float, set_rows: int = SET_ROWS) -> DataFrame:
     """Links (a, b) between the documents of a block whose whole shingle sets are similar: every pair not joined yet in the block is compared."""
     joined = found.join(sets, found.node == sets.doc_id).select("tile", "blk", "role", "node", "hashes")
     dealt = joined.repartition("tile", "blk").sortWithinPartitions("tile", "blk", "role")
@@ -365,7 +388,7 @@ def exact_links(found: DataFrame, sets: DataFrame, similarity: float) -> DataFra
         def judge(role):
             """Links of the documents at hand among themselves (members) and with the members before them."""
             new, links = _Sets(nodes, sets), []
-            for side in [*held, new] if role == 0 else held:
+            for side in held if role == 1 else [*held, new] if key[1] <= 0 else []:
                 if len({find(x) for x in side.nodes} | {find(x) for x in new.nodes}) == 1:
                     continue
                 for i, j in zip(*(x.tolist() for x in similar_pairs(side, new, similarity)), strict=True):
@@ -380,7 +403,7 @@ def exact_links(found: DataFrame, sets: DataFrame, similarity: float) -> DataFra
         for batch in batches:
             out = []
             for tile, blk, role, node, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if nodes and (key != (tile, blk, role) or size >= SET_HASHES or len(nodes) >= SET_ROWS):
+                if nodes and (key != (tile, blk, role) or size >= SET_HASHES or len(nodes) >= set_rows):
                     out += judge(key[2])
                     nodes, sets, size = [], [], 0
                 if key is None or key[:2] != (tile, blk):
@@ -398,7 +421,7 @@ def exact_links(found: DataFrame, sets: DataFrame, similarity: float) -> DataFra
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, block: int = BLOCK, set_rows: int = SET_ROWS) -> DataFrame:
     """doc_id, component_id: documents linked by a shingle overlap (Jaccard of the sets of distinct shingles) of at least `similarity`.
 
     At the radius this needs (the expected distance at that overlap and DEVIATIONS deviations more) population counts alone
@@ -415,9 +438,9 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
     nodes = marked.where("size > 0").groupBy("mark", "fp", "low", "sketch", "size").agg(F.min("doc_id").alias("node")).where("node is not null")
     nodes = cut(nodes)
     spread = nodes.select(F.explode("low").alias("tile"), F.lit(0).alias("role"), "fp", "node", "sketch", "size")
-    found = cut(candidates(spread, radius, similarity))
+    found = cut(candidates(spread, radius, similarity, block))
     wanted = texts(docs).join(found.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = shingle_sets(wanted, shingle, "hashes").dropDuplicates(["doc_id"])
-    groups = components(exact_links(found, sets, similarity))
+    groups = components(exact_links(found, sets, similarity, set_rows))
     named = nodes.join(groups, "node", "left").select("mark", F.coalesce("component", "node").alias("component_id"))
     return shingle_sets(docs, shingle, "mark").join(named, "mark", "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
