@@ -76,6 +76,21 @@ def test_token_files(spark, monkeypatch, tmp_path, cache):
         assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(pa.array(texts))] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_dictionary_samples_come_from_whole_documents(spark, tmp_path):
+    ids = np.arange(100_000, dtype="<u4").tobytes()
+    parts = tokenids.spread_pieces(ids)
+    assert len(parts) == tokenids.SAMPLE_PIECES and parts[0] == ids[: len(parts[0])] and parts[-1] == ids[-len(parts[-1]) :]
+    assert b"".join(tokenids.spread_pieces(ids[:9000])) == ids[:9000]
+    rows = [(i, " ".join(f"word{i * j % 97}" for j in range(120))) for i in range(300)]
+    path = str(tmp_path / "t")
+    tokenids.write_tokens(frame(spark, rows), WORDS, path)
+    kept = spark.read.parquet(f"{path}-dictionary").first()
+    assert 0 < len(kept.dictionary) <= tokenids.DICTIONARY_BYTES
+    library = Tokenizer.from_file(WORDS)
+    assert tokenids.read_document(spark, path, 299) == [[*library.encode(rows[299][1], add_special_tokens=False).ids, 2]]
+    assert tokenids.read_document(spark, path, 999) == []
+
+
 def test_token_files_of_nothing_and_of_repeats(spark):
     assert tokenids.tokenize_to_files(frame(spark, []), WORDS).count() == 0
     got = tokenids.tokenize_to_files(frame(spark, [(4, "a b"), (4, "a b"), (None, None)]), WORDS).collect()
@@ -103,7 +118,7 @@ def test_myers_equals_the_recurrence():
 def test_decontamination_equals_brute_force(spark):
     r = random.Random(5)
     word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 7)))
-    items = [(i, " ".join(word() for _ in range(r.randint(8, 30)))) for i in range(12)] + [(90, None), (91, ""), (92, "short"), (3, "an item under a number that is used twice, for sure")]
+    items = [(i, " ".join(word() for _ in range(r.randint(8, 30)))) for i in range(12)] + [(90, None), (91, ""), (92, "short"), (93, "a"), (94, "two words"), (3, "an item under a number that is used twice, for sure")]
     rows = []
     for d in range(40):
         text = " ".join(word() for _ in range(30))
@@ -113,12 +128,14 @@ def test_decontamination_equals_brute_force(spark):
                 hurt[r.randrange(len(hurt))] = r.choice(["", "x", "yz"])
             text = f"{text}\n{''.join(hurt).upper()} {text}"
         rows.append((d, text))
-    rows += [(100, None), (101, ""), (102, items[2][1] + " and " + items[5][1])]
+    rows += [(100, None), (101, ""), (102, items[2][1] + " and " + items[5][1]), (103, "it is Short. or SHORT two words"), (104, "shorter a1 xtwo words")]
+    rows += [(105, " ".join([items[4][1][:-1]] * 400) + " tail")]
     want = set()
     for d, text in rows:
         for i, item in items:
             t, p = decontam.normal(text), decontam.normal(item)
-            if len(p) >= decontam.MIN_CHARS and (e := distance(p, t)) <= decontam.budget(p):
+            alone = len(p) >= decontam.CHARS_PER_ERROR or f" {p} " in f" {t} "
+            if p and alone and (e := distance(p, t)) <= decontam.budget(p):
                 want.add((d, i, e))
     bench = spark.createDataFrame(items, "item_id long, text string")
     docs = frame(spark, rows)
@@ -129,12 +146,22 @@ def test_decontamination_equals_brute_force(spark):
     assert decontam.matches(docs, bench.where("item_id > 500")).count() == 0
 
 
-def test_items_in_many_blocks(spark, monkeypatch):
-    monkeypatch.setattr(decontam, "BLOCK_CHARS", 60)
+def test_items_in_many_blocks(spark):
     items = [(i, f"passage number {i} of the benchmark, word {i * 7919}") for i in range(5)]
     docs = frame(spark, [(i, f"before {t} after") for i, t in items])
-    got = {(x.doc_id, x.item_id) for x in decontam.matches(docs, spark.createDataFrame(items, "item_id long, text string")).where("distance = 0").collect()}
+    got = {(x.doc_id, x.item_id) for x in decontam.matches(docs, spark.createDataFrame(items, "item_id long, text string"), block_chars=60).where("distance = 0").collect()}
     assert got == {(i, i) for i in range(5)}
+    more = spark.createDataFrame([(9, "nothing", "x", 1)], docs.schema).unionByName(docs)
+    assert [r.doc_id for r in decontam.clean(more, spark.createDataFrame(items, "item_id long, text string"), block_chars=60).collect()] == [9]
+    nothing = spark.createDataFrame([], docs.schema)
+    assert decontam.matches(nothing, spark.createDataFrame(items, "item_id long, text string")).count() == decontam.clean(nothing, spark.createDataFrame(items, "item_id long, text string")).count() == 0
+
+
+def test_matches_keep_clear_of_other_columns(spark):
+    items = spark.createDataFrame([(1, "the passage that is sought here", "t")], "item_id long, text string, doc_id string")
+    docs = spark.createDataFrame([(5, "x " * 50_000 + "THE passage  that is sought\nhere", 3, "d")], "doc_id long, text string, item_id int, distance string")
+    assert [tuple(r) for r in decontam.matches(docs, items).collect()] == [(5, 1, 0)]
+    assert decontam.clean(docs, items).count() == 0
 
 
 @pytest.fixture(scope="module")
@@ -308,6 +335,34 @@ def test_neighbours(spark, monkeypatch, trees, wanted, recall):
     assert ann.search(df.where("false"), df.where("false")).count() == 0
 
 
+def test_gradients_of_the_cumulative_link():
+    r = np.random.default_rng(4)
+    scores, grades, steps = r.normal(size=30), r.integers(0, 4, 30), np.array([-0.7, 0.2, -0.4])
+    _, by_score, by_step = quality.loss_and_gradients(scores, grades, steps)
+    h = 1e-6
+    for x, g in ((scores, by_score), (steps, by_step)):
+        for i in range(len(x)):
+            x[i] += h
+            up = quality.loss_and_gradients(scores, grades, steps)[0]
+            x[i] -= 2 * h
+            down = quality.loss_and_gradients(scores, grades, steps)[0]
+            x[i] += h
+            assert abs((up - down) / (2 * h) - g[i]) < 1e-6
+
+
+def test_grades_of_nothing_of_repeats_and_of_any_layout(spark):
+    rated = spark.createDataFrame([(i, i % 3) for i in range(60)], "doc_id long, grade int")
+    rows = [(i, ["bad", "so so", "fine"][i % 3] + f" text {i}") for i in range(60)] + [(4, "bad twice"), (4, "bad twice")]
+    data = lambda n: spark.createDataFrame([(i, t, 1.0, 2) for i, t in rows], "doc_id long, text string, expected_grade double, grade int").repartition(n)
+    (w, cuts), (w2, cuts2) = (quality.fit(data(n), rated, 3) for n in (1, 5))
+    assert (w == w2).all() and (cuts == cuts2).all()
+    assert quality.grade(data(2), (w, cuts)).count() == 62
+    nothing = frame(spark, [])
+    assert quality.grade(nothing, quality.fit(nothing, rated, 3)).count() == 0
+    assert quality.shape(b"Ab" + b"x" * 90 + b"9#") == b"Aa9#"
+    assert quality.Features().word(b"x" * 70 + b"!") != quality.Features().word(b"x" * 70)
+
+
 def test_neighbours_are_bought_with_a_share_of_the_pairs(spark):
     """Unclustered vectors, the hardest case: how many pairs the default budget scores."""
     x = np.random.default_rng(5).normal(size=(4000, 64))

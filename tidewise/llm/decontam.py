@@ -5,23 +5,25 @@ occurrence with at most k edits leaves at least one piece untouched, so exact pi
 text) propose places, and Myers' bit-parallel distance decides them: the pass is exact, nothing is sampled.
 Both sides are compared in lower case with white space collapsed.
 
-The items are the stated query set: they are split into blocks of at most BLOCK_CHARS characters, and each block makes one pass
-over all documents, so what is sent to the workers is bounded however many items there are.  Null or empty
-texts hold nothing.  Items that are null or under MIN_CHARS characters after normalising are no test passages and match
+The items are the stated query set: they are dealt by hash to blocks of about BLOCK_CHARS characters, and each block makes one pass
+over all documents.  One block at a time is on the driver and in the workers, however many items there are; where there are several, what a pass
+finds is written to the shared folder before the next begins.  Null or empty texts hold nothing.  Items too short for one error (under
+`chars_per_error` characters) must occur unchanged and as whole words; items that are null or empty after normalising match
 nothing.  Equal items each match.  Repeated rows are judged alike (and give repeated matches); null doc_ids are kept.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.common import batch_of, kept_rows, rows_of, texts
+from tidewise.llm.common import batch_of, kept_rows, rows_of, shared_path, texts
 
 CHARS_PER_ERROR = 12
-MIN_CHARS = 24
 BLOCK_CHARS = 4_000_000
 
 
@@ -72,7 +74,7 @@ class Matcher:
     """All pieces of a block of items in one automaton."""
 
     def __init__(self, items: list[tuple[int, str]], chars_per_error: int) -> None:
-        self.items = [(i, t, budget(t, chars_per_error)) for i, t in items]
+        self.items, self.least = [(i, t, budget(t, chars_per_error)) for i, t in items], chars_per_error
         places: dict[str, list[tuple[int, int]]] = {}
         for number, (_, text, k) in enumerate(self.items):
             for at, piece in pieces(text, k + 1):
@@ -95,47 +97,57 @@ class Matcher:
         out = []
         for number, found in starts.items():
             item, pattern, k = self.items[number]
-            best, checked = None, None
-            for start in sorted(found):
-                if checked is not None and start - k >= checked[0] and start + len(pattern) + k <= checked[1]:
-                    continue
-                low, high = max(0, start - k), start + len(pattern) + k
-                if text.startswith(pattern, start) if start >= 0 else False:
-                    best = 0
-                    break
-                # neighbouring proposals share one window
-                reach = start + 2 * len(pattern)
-                near = [s for s in found if start <= s <= reach]
-                high = max(near) + len(pattern) + k
-                checked = (low, high)
-                got = myers(pattern, text[low:high], k)
-                if got is not None and (best is None or got < best):
-                    best = got
+            best = None
+            if not k and len(pattern) < self.least:  # whole words only
+                best = 0 if any(_stands_alone(text, at, at + len(pattern)) for at in found) else None
+            else:
+                for low, high in _reaches(sorted(found), len(pattern), k):
+                    part = text[max(0, low) : high]
+                    got = 0 if pattern in part else myers(pattern, part, k)
+                    if got is not None and (best is None or got < best):
+                        best = got
+                    if best == 0:
+                        break
             if best is not None:
                 out.append((item, best))
         return out
 
 
-def _blocks(items: DataFrame) -> list[list[tuple[int, str]]]:
-    blocks, size = [[]], 0
-    chosen = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null").distinct()
-    for row in chosen.orderBy("item_id", "text").toLocalIterator():
-        text = normal(row.text)
-        if len(text) < MIN_CHARS:
-            continue
-        if size + len(text) > BLOCK_CHARS and blocks[-1]:
-            blocks, size = [*blocks, []], 0
-        blocks[-1].append((row.item_id, text))
-        size += len(text)
-    return blocks
+def _stands_alone(text: str, start: int, stop: int) -> bool:
+    return not (text[start - 1 : start].isalnum() and text[start].isalnum()) and not (text[stop : stop + 1].isalnum() and text[stop - 1].isalnum())
+
+
+def _reaches(starts: list[int], length: int, errors: int) -> Iterator[tuple[int, int]]:
+    """The stretches in which an item proposed at these places can lie; proposals whose stretches meet share one."""
+    low, high = starts[0] - errors, starts[0] + length + errors
+    for start in starts[1:]:
+        if start - errors > high:
+            yield low, high
+            low = start - errors
+        high = start + length + errors
+    yield low, high
+
 
+def _sized(items: DataFrame, block_chars: int) -> tuple[DataFrame, int]:
+    """The distinct items with the block each is dealt to, and how many blocks there are."""
+    chosen = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null").distinct()
+    size = chosen.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    blocks = max(1, -(-size // block_chars))
+    return chosen.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), blocks
 
-def matches(docs: DataFrame, items: DataFrame, chars_per_error: int = CHARS_PER_ERROR) -> DataFrame:
+
+def _load(sized: DataFrame, block: int) -> list[tuple[int, str]]:
+    rows = sorted((r.item_id, normal(r.text)) for r in sized.where(F.col("block") == block).select("item_id", "text").toLocalIterator())
+    return [(i, t) for i, t in rows if t]
+
+
+def matches(docs: DataFrame, items: DataFrame, chars_per_error: int = CHARS_PER_ERROR, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, item_id, distance: one row for each document and item that occurs in it within the item's error budget."""
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32())])
-    out = None
-    for block in _blocks(items):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+    spark, (sized, blocks) = docs.sparkSession, _sized(items, block_chars)
+    schema, ddl = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32())]), "doc_id long, item_id long, distance int"
+    path = shared_path(spark, "matches") if blocks > 1 else None
+    for block in range(blocks):
+        shared = spark.sparkContext.broadcast(_load(sized, block))
 
         def run(batches, shared=shared):
             matcher = Matcher(shared.value, chars_per_error)
@@ -145,20 +157,28 @@ def matches(docs: DataFrame, items: DataFrame, chars_per_error: int = CHARS_PER_
                     key, item, d = zip(*found, strict=True)
                     yield batch_of(schema, doc_id=key, item_id=item, distance=d)
 
-        part = texts(docs).mapInArrow(run, "doc_id long, item_id long, distance int")
-        out = part if out is None else out.unionByName(part)
-    return out
+        part = texts(docs).mapInArrow(run, ddl)
+        if path is None:
+            return part
+        part.write.mode("append").parquet(path)
+        shared.destroy()
+    return spark.read.parquet(path)
 
 
-def clean(docs: DataFrame, items: DataFrame, chars_per_error: int = CHARS_PER_ERROR) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, chars_per_error: int = CHARS_PER_ERROR, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of docs, all columns, in which no item occurs."""
-    out = docs
-    for block in _blocks(items):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+    spark, (sized, blocks), out = docs.sparkSession, _sized(items, block_chars), docs
+    for block in range(blocks):
+        shared = spark.sparkContext.broadcast(_load(sized, block))
 
         def judge(shared=shared):
             matcher = Matcher(shared.value, chars_per_error)
             return lambda text: not matcher.match(text)
 
         out = kept_rows(out, "text", judge)
+        if block + 1 < blocks:
+            path = shared_path(spark, "clean")
+            out.write.parquet(path)
+            shared.destroy()
+            out = spark.read.parquet(path)
     return out

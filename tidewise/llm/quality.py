@@ -7,7 +7,8 @@ expected grade and the tail probability P(grade >= `tail`), by which it is selec
 Features are hashed words and hashed shapes of words (letters, digits and symbols as classes, doubled symbols kept), each weighted
 by the square root of its share, and a few hashed counts of how often the commonest word returns.  Null and empty texts have none and get the score of the
 thresholds alone.  Repeated rows are scored alike.  Labels that are null are ignored; with no label at all the tail
-probability is 0.5.  The model is fitted on about SAMPLE_ROWS labelled rows, those with the smallest hash of doc_id.
+probability is 0.5.  The model is fitted on about SAMPLE_ROWS labelled rows, those with the smallest hash of doc_id, in order of doc_id,
+so it does not hang on the layout of the input.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ class Features:
         got = self.cache.get(word)
         if got is None:
             h = xxhash.xxh64_intdigest
-            got = (h(b"w" + word.lower()) >> 64 - BITS, h(b"s" + shape(word[:64])) >> 64 - BITS)
+            got = (h(b"w" + word.lower()) >> 64 - BITS, h(b"s" + shape(word)) >> 64 - BITS)
             if len(self.cache) >= CACHE:
                 self.cache.clear()
             self.cache[word] = got
@@ -67,16 +68,36 @@ class Features:
         return np.append(index, extra), np.append(value, [0.5, 0.5])
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def thresholds(steps: np.ndarray) -> np.ndarray:
+    """Ordered thresholds from free numbers: the first, then the logarithms of what each adds."""
+    return np.cumsum(np.concatenate([steps[:1], np.exp(steps[1:])]))
+
+
+def loss_and_gradients(scores: np.ndarray, grades: np.ndarray, steps: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean negative log-likelihood of grades, with its gradients by the scores and by the thresholds' free numbers."""
+    cuts = np.concatenate([[-np.inf], thresholds(steps), [np.inf]])
+    hi, lo = cuts[grades + 1] - scores, cuts[grades] - scores
+    ph, pl = np.where(np.isinf(hi), 1.0, _sigmoid(np.where(np.isinf(hi), 0, hi))), np.where(np.isinf(lo), 0.0, _sigmoid(np.where(np.isinf(lo), 0, lo)))
+    p = np.maximum(ph - pl, 1e-9)
+    dh, dl = ph * (1 - ph) / p, pl * (1 - pl) / p  # of log p by the upper and (negated) lower cut
+    by_cut = np.array([(-(dh * (grades == j)) + dl * (grades == j + 1)).sum() for j in range(len(steps))]) / len(grades)
+    tail = np.cumsum(by_cut[::-1])[::-1]
+    return float(-np.log(p).mean()), (dh - dl) / len(grades), np.concatenate([tail[:1], tail[1:] * np.exp(steps[1:])])
+
+
 def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades: int, l2: float = 1e-5, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds by mini-batch Adam on the cumulative-link likelihood."""
     w, m, v = np.zeros(1 << BITS), np.zeros(1 << BITS), np.zeros(1 << BITS)
     share = np.cumsum(np.bincount(grades, minlength=n_grades))[:-1] / max(1, len(grades))
     share = np.clip(share, 0.01, 0.99)
     first = np.log(share / (1 - share))
-    raw_ = np.concatenate([first[:1], np.log(np.maximum(np.diff(first), 0.05))]) if len(first) else np.zeros(0)
-    mt, vt = np.zeros_like(raw_), np.zeros_like(raw_)
+    free = np.concatenate([first[:1], np.log(np.maximum(np.diff(first), 0.05))]) if len(first) else np.zeros(0)
+    mt, vt = np.zeros_like(free), np.zeros_like(free)
     rng, step = np.random.default_rng(seed), 0
-    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
     for _ in range(max(EPOCHS, -(-STEPS * 256 // max(1, len(rows))))):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), 256):
@@ -85,25 +106,15 @@ def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n
             owner = np.repeat(np.arange(len(part)), [len(rows[i][0]) for i in part])
             column = np.concatenate([rows[i][0] for i in part]).astype(np.int64)
             value = np.concatenate([rows[i][1] for i in part])
-            score = np.bincount(owner, w[column] * value, len(part))
-            cuts = np.concatenate([[-np.inf], np.cumsum(np.concatenate([raw_[:1], np.exp(raw_[1:])])), [np.inf]])
-            y = grades[part]
-            hi, lo = cuts[y + 1] - score, cuts[y] - score
-            ph, pl = np.where(np.isinf(hi), 1.0, sigmoid(np.where(np.isinf(hi), 0, hi))), np.where(np.isinf(lo), 0.0, sigmoid(np.where(np.isinf(lo), 0, lo)))
-            p = np.maximum(ph - pl, 1e-9)
-            dh, dl = ph * (1 - ph) / p, pl * (1 - pl) / p  # of log p by the upper and (negated) lower cut
-            g = (dh - dl) / len(part)  # of -log p by the score
+            _, g, gt = loss_and_gradients(np.bincount(owner, w[column] * value, len(part)), grades[part], free)
             touched = np.unique(column)
             grad = np.bincount(np.searchsorted(touched, column), g[owner] * value, len(touched)) + l2 * w[touched]
             m[touched] = 0.9 * m[touched] + 0.1 * grad
             v[touched] = 0.999 * v[touched] + 0.001 * grad**2
             w[touched] -= 0.05 * (m[touched] / (1 - 0.9**step)) / (np.sqrt(v[touched] / (1 - 0.999**step)) + 1e-8)
-            by_cut = np.array([(-(dh * (y == j)) + dl * (y == j + 1)).sum() for j in range(len(raw_))]) / len(part)
-            tail = np.cumsum(by_cut[::-1])[::-1]
-            gt = np.concatenate([tail[:1], tail[1:] * np.exp(raw_[1:])])
             mt, vt = 0.9 * mt + 0.1 * gt, 0.999 * vt + 0.001 * gt**2
-            raw_ = raw_ - 0.02 * (mt / (1 - 0.9**step)) / (np.sqrt(vt / (1 - 0.999**step)) + 1e-8)
-    return w, np.cumsum(np.concatenate([raw_[:1], np.exp(raw_[1:])]))
+            free = free - 0.02 * (mt / (1 - 0.9**step)) / (np.sqrt(vt / (1 - 0.999**step)) + 1e-8)
+    return w, thresholds(free)
 
 
 def held_out(doc_id="doc_id") -> F.Column:
@@ -115,21 +126,22 @@ def fit(docs: DataFrame, ratings: DataFrame, n_grades: int, sample_rows: int = S
     graded = ratings.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("grade").cast("int").alias("grade")).where(F.col("doc_id").isNotNull() & F.col("grade").between(0, n_grades - 1))
     graded = graded.where(~held_out()).groupBy("doc_id").agg(F.max("grade").alias("grade"))
     graded = F.broadcast(bounded_sample(graded, sample_rows, "doc_id"))  # bounded: it goes to the texts, not the texts to it
-    schema = pa.schema([("grade", pa.int32()), ("i", pa.list_(pa.int32())), ("x", pa.list_(pa.float32()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("grade", pa.int32()), ("i", pa.list_(pa.int32())), ("x", pa.list_(pa.float64()))])
 
     def run(batches):
         features = Features()
-        for rows, ys in rows_of(batches, "text", "grade"):
+        for keys, rows, ys in rows_of(batches, "doc_id", "text", "grade"):
             got = [features(t) for t in rows]
-            yield batch_of(schema, grade=ys, i=[i.astype(np.int32) for i, _ in got], x=[x.astype(np.float32) for _, x in got])
+            yield batch_of(schema, doc_id=keys, grade=ys, i=[i.astype(np.int32) for i, _ in got], x=[x for _, x in got])
 
-    rows, ys = [], []
-    for r in texts(docs).join(graded, "doc_id").select("text", "grade").mapInArrow(run, "grade int, i array<int>, x array<float>").toLocalIterator():
-        rows.append((np.array(r.i, np.int32), np.array(r.x, np.float32)))
-        ys.append(r.grade)
-    if not rows:
+    found = []
+    chosen = texts(docs).join(graded, "doc_id").select("doc_id", "text", "grade").dropDuplicates(["doc_id", "text"])
+    for r in chosen.mapInArrow(run, "doc_id long, grade int, i array<int>, x array<double>").toLocalIterator():
+        found.append((r.doc_id, r.grade, np.array(r.i, np.int32), np.array(r.x)))
+    if not found:
         return np.zeros(1 << BITS), np.zeros(n_grades - 1)
-    return fit_ordinal(rows, np.array(ys), n_grades)
+    found.sort(key=lambda r: (r[0], r[2].tobytes()))
+    return fit_ordinal([(i, x) for _, _, i, x in found], np.array([y for _, y, _, _ in found]), n_grades)
 
 
 def grade(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], tail: int = 1) -> DataFrame:

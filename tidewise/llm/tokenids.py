@@ -1,9 +1,10 @@
 """Token-id output: documents compressed one by one against a shared zstandard dictionary.
 
-A dictionary is trained on serialized id arrays of a bounded sample of documents.  Ids are then written
+A dictionary is trained on serialized id arrays of a bounded sample of documents (of each up to SAMPLE_PIECES pieces of PIECE_IDS ids, spread
+evenly from its beginning to its end); where the samples are too few to train on, they are the dictionary as they stand.  Ids are then written
 as blocks: rows of a Parquet table, each holding up to BLOCK_TOKENS ids of consecutive documents as
 independent zstandard frames (`payload`), the byte offset of each frame (`offsets`), the documents' ids
-and token counts, the SHA-256 of the dictionary, and `start`, the number of ids in the earlier blocks of its part.
+and token counts, the first and last doc_id (on which a look-up is pruned), the SHA-256 of the dictionary, and `start`, the number of ids in the earlier blocks of its part.
 Blocks are in ascending doc_id order across and within files.  One document is read by finding its
 block, taking its slice of `payload`, and decompressing that frame alone.
 
@@ -33,12 +34,15 @@ BLOCK_DOCS = 2_048
 DICTIONARY_BYTES = 65_536
 #: The dictionary is fitted on about so many documents, those with the smallest hash of doc_id.
 SAMPLE_DOCS = 1_000
+SAMPLE_PIECES, PIECE_IDS = 8, 1_024
+#: Fewer samples, or less than four dictionaries of them, are not trained on.
+LEAST_SAMPLES = 64
 LEVEL = 3
 WORD_CACHE = 600_000
 PIECE_BYTES = 1 << 23
 
-_BLOCK = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int32())), ("offsets", pa.list_(pa.int64())), ("payload", pa.binary()), ("dictionary_sha256", pa.string()), ("start", pa.int64()), ("block_tokens", pa.int64())])
-_BLOCK_DDL = "part int, block int, doc_ids array<long>, n_tokens array<int>, offsets array<long>, payload binary, dictionary_sha256 string, start long, block_tokens long"
+_BLOCK = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int32())), ("offsets", pa.list_(pa.int64())), ("payload", pa.binary()), ("dictionary_sha256", pa.string()), ("start", pa.int64()), ("block_tokens", pa.int64()), ("first_doc", pa.int64()), ("last_doc", pa.int64())])
+_BLOCK_DDL = "part int, block int, doc_ids array<long>, n_tokens array<int>, offsets array<long>, payload binary, dictionary_sha256 string, start long, block_tokens long, first_doc long, last_doc long"
 
 
 #: A full stop or comma between a letter (ASCII or Latin-1) and white space is a pre-token of its own; it is set apart, which
@@ -128,23 +132,40 @@ def encoder(path: str) -> WordEncoder:
     return worker_state(("words", path), lambda: WordEncoder(path))
 
 
+def spread_pieces(ids: bytes) -> list[bytes]:
+    """Up to SAMPLE_PIECES pieces of serialized ids, from the first to the last at equal distances; all of them, if they are few."""
+    size = 4 * PIECE_IDS
+    if len(ids) <= SAMPLE_PIECES * size:
+        return [ids[i : i + size] for i in range(0, len(ids), size)]
+    last = len(ids) // 4 - PIECE_IDS
+    return [ids[4 * at : 4 * at + size] for at in (last * i // (SAMPLE_PIECES - 1) for i in range(SAMPLE_PIECES))]
+
+
 def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, sample_docs: int = SAMPLE_DOCS) -> bytes:
-    """A zstandard dictionary of id arrays (empty if there is too little to learn from)."""
-    picked = bounded_sample(texts(docs), sample_docs, "doc_id", "text").where("length(text) > 0")
+    """A zstandard dictionary of id arrays (empty only if no document is)."""
+    picked = bounded_sample(texts(docs), sample_docs, "doc_id", "text")
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches):
         coder = encoder(tokenizer_path)
         for part in pieces(batches, "text", PIECE_BYTES):
-            yield pa.RecordBatch.from_arrays([pa.array([x[: 1 << 14] + end for x in coder.encode(part.column(0))], pa.binary())], ["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array([p for x in coder.encode(part.column(0)) for p in spread_pieces(x + end)], pa.binary())], ["ids"])
+
+    samples = sorted(bytes(r.ids) for r in picked.select("text").mapInArrow(run, "ids binary").collect())
+    if len(samples) >= LEAST_SAMPLES and sum(map(len, samples)) >= 4 * DICTIONARY_BYTES:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
+    return b"".join(samples)[-DICTIONARY_BYTES:]
+
+
+def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
+    shared = _shared(dictionary)
+    if shared:
+        shared.precompute_compress(level=LEVEL)  # digested once, not for each document
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
+
 
-    samples = [r.ids for r in picked.select("text").mapInArrow(run, "ids binary").collect()]
-    if len(samples) < 8:
-        return b""
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, [bytes(s) for s in samples]).as_bytes()
-    except zstandard.ZstdError:
-        return b""
+def _shared(dictionary: bytes) -> zstandard.ZstdCompressionDict | None:
+    return zstandard.ZstdCompressionDict(dictionary) if dictionary else None
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2) -> None:
@@ -157,14 +178,12 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
 
         part = TaskContext.get().partitionId()
         coder = encoder(tokenizer_path)
-        shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-        if shared:
-            shared.precompute_compress(level=LEVEL)  # digested once, not for each document
-        squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
+        squeeze = _compressor(dictionary)
         block, start, ids, counts, offsets, frames = 0, 0, [], [], [0], []
 
         def full():
-            return batch_of(_BLOCK, part=[part], block=[block], doc_ids=[ids], n_tokens=[counts], offsets=[offsets], payload=[b"".join(frames)], dictionary_sha256=[digest], start=[start], block_tokens=[sum(counts)])
+            known = [k for k in ids if k is not None] or [None]  # ascending
+            return batch_of(_BLOCK, part=[part], block=[block], doc_ids=[ids], n_tokens=[counts], offsets=[offsets], payload=[b"".join(frames)], dictionary_sha256=[digest], start=[start], block_tokens=[sum(counts)], first_doc=[known[0]], last_doc=[known[-1]])
 
         for part_of in pieces(batches, "text", PIECE_BYTES):
             for key, data in zip(part_of.column(0).to_pylist(), coder.encode(part_of.column(1)), strict=True):
@@ -206,7 +225,7 @@ def read_tokens(spark, path: str, with_ids: bool = False) -> DataFrame:
     schema = pa.schema(fields)
 
     def run(batches):
-        expand = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
+        expand = zstandard.ZstdDecompressor(dict_data=_shared(dictionary))
         for batch in batches:
             for row in range(batch.num_rows):
                 x = batch.slice(row, 1).to_pylist()[0]
@@ -229,7 +248,7 @@ def read_tokens(spark, path: str, with_ids: bool = False) -> DataFrame:
                 yield batch_of(schema, **out)
 
     ddl = "part int, doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
-    read = blocks.drop("block", "block_tokens").mapInArrow(run, ddl)
+    read = blocks.drop("block", "block_tokens", "first_doc", "last_doc").mapInArrow(run, ddl)
     more = ["ids"] * with_ids
     return read.join(starts(blocks.select("part", "block_tokens")), "part").select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", *more)
 
@@ -237,11 +256,12 @@ def read_tokens(spark, path: str, with_ids: bool = False) -> DataFrame:
 def read_document(spark, path: str, doc_id: int) -> list[list[int]]:
     """The ids of one document (one list for each row of that doc_id), touching its block alone."""
     blocks = spark.read.parquet(path)
-    mine = blocks.where(F.array_contains("doc_ids", F.lit(doc_id).cast("long")))
+    # statistics of the files prune on first_doc and last_doc; of what is left, one block and its neighbours hold the document
+    mine = blocks.where((F.col("first_doc") <= doc_id) & (F.col("last_doc") >= doc_id))
     out = []
     for x in mine.select("doc_ids", "offsets", "payload", "dictionary_sha256").toLocalIterator():
         found = spark.read.parquet(f"{path}-dictionary").first() if x.dictionary_sha256 != hashlib.sha256(b"").hexdigest() else None
-        expand = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(bytes(found.dictionary)) if found else None)
+        expand = zstandard.ZstdDecompressor(dict_data=_shared(bytes(found.dictionary)) if found else None)
         for key, (a, b) in zip(x.doc_ids, pairwise(x.offsets), strict=True):
             if key == doc_id:
                 out.append(np.frombuffer(expand.decompress(bytes(x.payload[a:b])), "<u4").tolist())

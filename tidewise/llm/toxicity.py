@@ -41,7 +41,7 @@ MAX_FEATURES = 4_096
 #: The classifier (its features and weights) is fitted on about so many labelled rows, those with the smallest hash, or all if there
 #: are no more; the language model's counts cover all training texts.
 SAMPLE_ROWS = 30_000
-CACHE = 150_000
+CACHE = 200_000
 ALL = " "  # counts the texts; no feature is a blank
 SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 EDGE = ".,;:!?\"'()[]{}<>«»„“”…"
@@ -170,6 +170,12 @@ def restore(token: str, model: CharModel) -> str:
 
     What costs the same on every path is not added up: a stretch without choices that all paths share counts only as far as their
     histories reach into it, ORDER - 1 characters; behind that they are one."""
+    if token.isalpha():
+        runs = [m.span() for m in _RUN.finditer(token)]
+        if all(b - a == 2 for a, b in runs) and all(c - b >= ORDER - 1 for (_, b), (c, _) in zip(runs, runs[1:], strict=False)):
+            for a, _ in reversed(runs):  # so far apart that none is in another's history
+                token = _one_double(token, a, model)
+            return token
     steps = lattice(token)
     if steps is None:
         return token
@@ -214,6 +220,22 @@ def restore(token: str, model: CharModel) -> str:
     return "".join(reversed(pieces)).strip()
 
 
+def _one_double(token: str, at: int, model: CharModel) -> str:
+    """The same for letters of which one is doubled: two paths, which differ only where their histories hold the doubled letter."""
+    kept, single = f"{_BLANK}{token} ", f"{_BLANK}{token[:at]}{token[at + 1 :]} "
+    cost, memo, first = model.cost, model.memo, at + ORDER
+    of_kept, of_single = 0.0, 2 * COLLAPSE
+    for i in range(first, min(first + ORDER, len(kept))):
+        gram = kept[i + 1 - ORDER : i + 1]
+        x = memo.get(gram)
+        of_kept += cost(gram[:-1], gram[-1]) if x is None else x
+    for i in range(first, min(first + ORDER - 1, len(single))):
+        gram = single[i + 1 - ORDER : i + 1]
+        x = memo.get(gram)
+        of_single += cost(gram[:-1], gram[-1]) if x is None else x
+    return token if of_kept <= of_single else token[:at] + token[at + 1 :]
+
+
 _DOUBLE = re.compile(r"(.)\1", re.DOTALL)
 _PLAIN = "".join(c for c in EDGE if c not in LOOKALIKES)
 
@@ -250,37 +272,48 @@ def word_features(word: str) -> list[str]:
 
 
 class Features:
-    """Distinct features of restored texts, with tables of recent tokens in two generations; with `known`, the numbers of those it holds."""
+    """Distinct features of restored texts; with `known`, the numbers of those it holds.
+
+    Recent tokens are remembered in two generations: those without features as sets, so that most of a text is one set difference."""
 
     def __init__(self, restorer: Restorer, known: dict[str, int] | None = None) -> None:
         self.restorer, self.known = restorer, known
-        self.young: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
+        self.words = {f for f in known or () if f[0] != "\n"}
+        self.heads = {f.lstrip("\n")[: PREFIXES[0]] for f in known or ()}
+        self.found: tuple[dict[str, tuple], dict[str, tuple]] = ({}, {})
+        self.bare: tuple[set[str], set[str]] = (set(), set())
 
     def _numbers(self, words) -> tuple:
-        found = [f for w in words for f in word_features(w)]
-        return tuple(found if self.known is None else [self.known[f] for f in found if f in self.known])
+        if self.known is None:
+            return tuple([f for w in words for f in word_features(w)])
+        heads, head, known = self.heads, PREFIXES[0], self.known
+        return tuple([known[f] for w in words if w[:head] in heads for f in word_features(w) if f in known])
+
+    def _learn(self, w: str) -> tuple:
+        got = self._numbers(self.restorer.token(w))
+        if not got:
+            if len(self.bare[0]) >= CACHE:
+                self.bare = (set(), self.bare[0])
+            self.bare[0].add(w)
+            return got
+        if len(self.found[0]) >= CACHE:
+            self.found = ({}, self.found[0])
+        self.found[0][w] = got
+        return got
 
     def __call__(self, text: str | None) -> set:
         low = (text or "").lower()
         words = low.split()
-        young, old = self.young, self.old
         out: set = set()
-        for w in set(words):
-            got = young.get(w)
-            if got is None:
-                got = old.get(w)
-                if got is None:
-                    got = self._numbers(self.restorer.token(w))
-                if len(young) >= CACHE:
-                    self.old, self.young = young, {}
-                    young, old = self.young, self.old
-                young[w] = got
+        young, old = self.found
+        for w in set(words).difference(*self.bare):
+            got = young.get(w) or old.get(w) or self._learn(w)
             if got:
                 out.update(got)
-        for run in SPACED.findall(low):
-            out.update(self._numbers(self.restorer.spaced(run)))
-        if self.known and len(words) > 1:
+        if list(map(len, words)).count(1) > 2:
+            for run in SPACED.findall(low):
+                out.update(self._numbers(self.restorer.spaced(run)))
+        if self.words:
             for run in self._broken(words):
                 out.update(self._numbers(restore(run, self.restorer.model).split()))
         return out
@@ -288,8 +321,12 @@ class Features:
     def _broken(self, words: list[str]) -> set[str]:
         """Two or three neighbouring tokens that together spell a word the model knows."""
         pairs = list(map(add, words, words[1:]))
-        runs = {f"{words[i]} {words[i + 1]}" for i, w in enumerate(pairs) if w in self.known}
-        runs |= {" ".join(words[i : i + 3]) for i, w in enumerate(map(add, pairs, words[2:])) if w in self.known}
+        runs: set[str] = set()
+        if not self.words.isdisjoint(pairs):
+            runs = {f"{words[i]} {words[i + 1]}" for i, w in enumerate(pairs) if w in self.words}
+        triples = list(map(add, pairs, words[2:]))
+        if not self.words.isdisjoint(triples):
+            runs |= {" ".join(words[i : i + 3]) for i, w in enumerate(triples) if w in self.words}
         return runs
 
 
