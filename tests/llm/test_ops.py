@@ -305,17 +305,17 @@ def test_ordinal_grades(spark):
     assert none.tail_probability == 0.5
 
 
-@pytest.mark.parametrize(("trees", "wanted", "recall"), [(ann.TREES, None, 0.9), (16, 100_000, 1.0), (8, 20, 0.0)])
-def test_neighbours(spark, monkeypatch, trees, wanted, recall):
+@pytest.mark.parametrize(("budgets", "recall"), [({}, 0.95), ({"scored": 300}, 0.85), ({"trees": 4, "window": 4000, "wanted": 4000, "scored": 4000}, 1.0), ({"trees": 8, "window": 16, "wanted": 20, "scored": 10}, 0.0)])
+def test_neighbours(spark, monkeypatch, budgets, recall):
     monkeypatch.setattr(ann, "BLOCK_ROWS", 700)  # both are read on the driver
-    monkeypatch.setattr(ann, "ENTRIES", 400_000 if wanted is None else 10_000_000)
+    monkeypatch.setattr(ann, "ENTRIES", 10_000_000 if recall == 1.0 else 50_000)
     x = np.random.default_rng(1).normal(size=(2000, 48)).astype(np.float32)
     x[100:130] = x[50]
     x[200] *= 1e-30
     rows = [(i, v.tolist(), "y") for i, v in enumerate(x)]
     rows += [(5000, None, "n"), (5001, [0.0] * 48, "n"), (5002, [float("nan")] + [1.0] * 47, "n"), (5003, [None] + [1.0] * 47, "n"), (5004, [], "n"), (5005, [float("inf")] * 48, "n"), (None, x[0].tolist(), "n"), (7, x[7].tolist(), "y"), (5006, [1.0], "n")]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, block string")
-    got = ann.search(df, df.where("vec_id % 50 = 0"), 5, trees, wanted).toPandas()
+    got = ann.search(df, df.where("vec_id % 50 = 0"), 5, **budgets).toPandas()
     assert set(got.query_id) == set(range(0, 2000, 50))
     y = x.astype(np.float64)
     y /= np.sqrt((y * y).sum(axis=1))[:, None]
@@ -327,7 +327,7 @@ def test_neighbours(spark, monkeypatch, trees, wanted, recall):
         s[q] = -9
         best = np.lexsort((np.arange(len(s)), -s.round(12)))[:5]
         found += len(set(best) & set(part.vec_id))
-        if q in (50, 100):
+        if q in (50, 100) and recall:
             assert list(part.vec_id) == best.tolist()  # equal vectors: the smallest ids
     assert found / (5 * got.query_id.nunique()) >= recall
     few = ann.search(df.where("vec_id < 3"), df.where("vec_id = 0"), 5).collect()
@@ -363,13 +363,19 @@ def test_grades_of_nothing_of_repeats_and_of_any_layout(spark):
     assert quality.Features().word(b"x" * 70 + b"!") != quality.Features().word(b"x" * 70)
 
 
-def test_neighbours_are_bought_with_a_share_of_the_pairs(spark):
-    """Unclustered vectors, the hardest case: how many pairs the default budget scores."""
-    x = np.random.default_rng(5).normal(size=(4000, 64))
+def test_budgets_bound_what_is_scored(spark):
+    """Unclustered vectors, the hardest case: a fixed number of candidates a query, and recall with them."""
+    x = np.random.default_rng(5).normal(size=(6000, 64))
     nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, v array<double>")
-    wanted = int(ann.FACTOR * 4000**ann.EXPONENT)
-    pairs = ann.candidates(nodes, nodes.where("node % 50 = 0").withColumnRenamed("node", "vec_id"), 64, ann.TREES, wanted)
-    assert pairs.count() / (80 * 4000) < 0.45 and pairs.distinct().count() == pairs.count()
+    pairs = ann.candidates(nodes, nodes.where("node % 100 = 0").withColumnRenamed("node", "vec_id"), 64).toPandas()
+    assert (pairs.groupby("query").size() == ann.SCORED).all() and not pairs.duplicated().any()
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    found = 0
+    for q, part in pairs.groupby("query"):
+        s = x @ x[q]
+        s[q] = -9
+        found += len(set(np.argsort(-s)[:5]) & set(part.node))
+    assert found / (5 * pairs["query"].nunique()) >= 0.9
 
 
 def test_very_large_and_very_small_vectors(spark):
