@@ -121,7 +121,54 @@ def test_closure_depths_and_duality(spark):
     assert reach["t", 5, 1] == 3 and reach["t", 5, 5] == 0 and ("t", 6, 99) not in reach and len(reach) == 1 + 6 + 1 + 1 + 2 + 3
     counts = {(r.thread, r.node): r.descendants for r in trees.descendant_counts(tree(spark).where("thread <> 'c'")).collect()}
     assert counts["t", 1] == 4 and counts["t", 5] == 0 and sum(counts.values()) == sum(1 for d in reach.values() if d)
-    assert trees.closure(tree(spark), max_depth=8).where("thread = 'c'").count() > 0  # a cycle ends
+    assert {tuple(r) for r in trees.closure(tree(spark)).where("thread = 'c' and distance > 0").select("node", "ancestor", "distance").collect()} == {(1, 2, 1), (2, 1, 1)}  # a cycle ends
+    cyclic = {(r.thread, r.node): r.depth for r in trees.rooted(tree(spark)).collect()}
+    assert cyclic["c", 1] is None and cyclic["t", 5] == 3 and cyclic["t", 6] == 0
+
+
+def test_trees_of_any_depth(spark):
+    n = 150
+    chain = spark.createDataFrame([("t", i, i - 1 if i else None, "u") for i in range(n)], "thread string, node long, parent long, author string")
+    reach = trees.closure(chain)
+    assert reach.agg(F.max("distance")).first()[0] == n - 1 and reach.count() == n * (n + 1) // 2
+    assert {(r.node, r.depth, r.descendants) for r in trees.rooted(chain).collect()} == {(i, i, n - 1 - i) for i in range(n)}
+    assert trees.rooted(chain.where("false")).count() == trees.closure(chain.where("false")).count() == 0
+
+
+def test_single_tree(spark):
+    rows = [("t", 1, 50), ("t", 2, 1), ("t", 3, 2), ("t", 7, None), ("t", 8, 7), ("c", 1, 2), ("c", 2, 1), ("s", 4, 4)]
+    got = {(r.thread, r.node): (r.parent, r.is_root) for r in trees.single_tree(spark.createDataFrame(rows, "thread string, node long, parent long")).collect()}
+    assert got == {("t", 1): (None, True), ("t", 2): (1, False), ("t", 3): (2, False), ("t", 7): (1, False), ("t", 8): (7, False), ("c", 1): (None, True), ("c", 2): (1, False), ("s", 4): (None, True)}
+
+
+def test_running_sums_lags_and_stretches_across_ranges(spark):
+    rows = [(k, i, (i * 7) % 11) for k, n in (("a", 300), ("b", 3), ("c", 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, i int, v int").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    got = {(r.k, r.i): (r.total, r.v) for r in relational.running(df, ["k"], ["i"], F.col("v"), "total").collect()}
+    before = {(r.k, r.i): r.was for r in relational.lagged(df, ["k"], ["i"], "v", "was").collect()}
+    means = {(r.k, r.i): r.m for r in sequences.mean_of_last(df, ["k"], ["i"], "v", 4, "m", stretch=10).collect()}
+    used = {(r.k, r.i): r.used for r in sequences.requests_in_window(df, ["k"], "i", 6, "used", stretch=8).collect()}
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for k in "abc":
+        values = [v for x, _, v in rows if x == k]
+        for i in range(len(values)):
+            assert got[k, i] == (sum(values[: i + 1]), values[i]) and before[k, i] == (values[i - 1] if i else None)
+            last = values[max(0, i - 4) : i]
+            assert means[k, i] == (sum(last) / len(last) if last else None) and used[k, i] == min(i, 6) + 1
+    assert len(got) == len(before) == len(means) == len(used) == len(rows)
+
+
+def test_percentiles_equal_the_built_in(spark):
+    df = spark.createDataFrame([("a", float(i * i % 37)) for i in range(100)] + [("b", 2.0), ("b", None), ("c", None)], "k string, v double")
+    got = {r.k: (r.p, r.q) for r in relational.percentiles(df, ["k"], "v", {"p": 0.5, "q": 0.83}).collect()}
+    want = {r.k: (r.p, r.q) for r in df.where("v is not null").groupBy("k").agg(F.percentile("v", 0.5).alias("p"), F.percentile("v", 0.83).alias("q")).collect()}
+    assert got.keys() == want.keys() and all(abs(x - y) < 1e-9 for k in got for x, y in zip(got[k], want[k], strict=True))
+
+
+def test_backoff_fold(spark):
+    steps = spark.createDataFrame([([(i, r) for i, r in enumerate([True] * 9 + [False] * 3 + [True])],)], "steps array<struct<i: int, refused: boolean>>")
+    assert tuple(steps.select(sequences.fold_backoff(F.col("steps")).alias("f")).select("f.*").first()) == (64.0, 256.0)
 
 
 def test_subtree_prune_attach(spark):

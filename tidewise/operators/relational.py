@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewise.session import cut_lineage
+
 
 def first_wins(df: DataFrame, key: Column, *order) -> DataFrame:
     """The first row of each key; rows whose key is null go."""
@@ -36,23 +38,76 @@ def until_first(df: DataFrame, keys: list[str], order: list, stop: Column) -> Da
     return df.withColumn("_stop", F.max(stop.cast("int")).over(w)).where("_stop = 0").drop("_stop")
 
 
+def _dealt(df: DataFrame, keys: list[str], order: list) -> DataFrame:
+    """df in ranges of (keys, order), _p the range of a row; checkpointed, so that all who read it see the same ranges."""
+    return cut_lineage(df.repartitionByRange(*[F.col(k) for k in keys], *order).withColumn("_p", F.spark_partition_id()))
+
+
+def running(df: DataFrame, keys: list[str], order: list, amount: Column, name: str) -> DataFrame:
+    """Adds the running sum of amount within each key, in an order without ties; no key, nor the whole, meets in one task.
+
+    Sums run inside ranges of the order; what earlier ranges hold of a key comes from one row for each range and key."""
+    dealt = _dealt(df.withColumn("_a", amount), keys, order)
+    inside = F.sum("_a").over(Window.partitionBy("_p", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    totals = dealt.groupBy("_p", *keys).agg(F.sum("_a").alias("_t"))
+    before = totals.select("_p", *keys, (F.sum("_t").over(Window.partitionBy(*keys).orderBy("_p")) - F.col("_t")).alias("_before"))
+    return dealt.withColumn("_in", inside).join(before, ["_p", *keys]).withColumn(name, F.col("_in") + F.col("_before")).drop("_p", "_a", "_in", "_before")
+
+
+def lagged(df: DataFrame, keys: list[str], order: list, column: str, name: str) -> DataFrame:
+    """Adds the value of the row before in each key's order, across the ranges in which the rows are dealt."""
+    dealt = _dealt(df, keys, order)
+    w = Window.partitionBy("_p", *keys).orderBy(*order)
+    last = dealt.withColumn("_back", F.row_number().over(Window.partitionBy("_p", *keys).orderBy(*[_reversed(o) for o in order]))).where("_back = 1").select("_p", *keys, F.struct(F.col(column).alias("x")).alias("_last"))
+    edge = last.select("_p", *keys, F.lag("_last").over(Window.partitionBy(*keys).orderBy("_p")).alias("_edge"))
+    rows = dealt.withColumn("_lag", F.lag(F.struct(F.col(column).alias("x"))).over(w)).join(edge, ["_p", *keys])
+    return rows.withColumn(name, F.coalesce("_lag", "_edge")["x"]).drop("_p", "_lag", "_edge")
+
+
+def _reversed(column: str) -> Column:
+    return F.desc(column)
+
+
+def in_stretches(df: DataFrame, place: Column, width: int, reach: int) -> DataFrame:
+    """Adds _stretch, the part of width `width` in which place (a whole number) lies, and repeats the rows in the last `reach` of each
+    as context (_own false) of the next, so that windows which look back that far can be partitioned by stretch."""
+    own = F.floor(place / width).cast("long")
+    both = F.when(F.floor((place + reach) / width) > own, F.array(own, own + 1)).otherwise(F.array(own))
+    return df.withColumn("_mine", own).withColumn("_stretch", F.explode(both)).withColumn("_own", F.col("_stretch") == F.col("_mine")).drop("_mine")
+
+
+def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, value, upto (how many are not above it) and n (how many there are): counts of distinct values, pre-aggregated and summed over ranges."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
+    upto = running(counts, keys, [value], F.col("_c"), "upto")
+    total = upto.groupBy(*keys).agg(F.max("upto").alias("n"))
+    return (upto.join(total, keys) if keys else upto.join(F.broadcast(total))).drop("_c")  # without keys the total is one row
+
+
 def nearest_rank(df: DataFrame, keys: list[str], value: str, share: float, name: str, top: bool = False) -> DataFrame:
     """sorted[floor(n * share)] of each key (with `top`, at most the last index)."""
-    w = Window.partitionBy(*keys)
-    place = F.floor(F.count("*").over(w) * F.lit(share))
-    place = F.least(place, F.count("*").over(w) - 1) if top else place
-    ranked = df.where(F.col(value).isNotNull()).withColumn("_i", F.row_number().over(w.orderBy(value)) - 1).withColumn("_want", place)
-    return ranked.where("_i = _want").select(*keys, F.col(value).alias(name))
+    want = F.floor(F.col("n") * F.lit(share))
+    want = F.least(want, F.col("n") - 1) if top else want
+    return value_counts(df, keys, value).where(F.col("upto") > want).groupBy(*keys).agg(F.min(value).alias(name))
+
+
+def percentiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """Linearly interpolated percentiles of each key, exact whatever the number of values: no buffer holds them."""
+    upto, found = value_counts(df, keys, value), []
+    for name, share in shares.items():
+        at = (F.col("n") - 1) * F.lit(share)
+        found += [F.min(F.when(F.col("upto") > F.floor(at), F.col(value))).alias(f"_{name}_lo"), F.min(F.when(F.col("upto") > F.ceil(at), F.col(value))).alias(f"_{name}_hi"), F.max(at - F.floor(at)).alias(f"_{name}_part")]
+    got = upto.groupBy(*keys).agg(*found)
+    return got.select(*keys, *[(F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_part")).alias(n) for n in shares])
 
 
 def top_within(df: DataFrame, keys: list[str], n: int, *order) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= n)
 
 
-def prefix_budget(df: DataFrame, keys: list[str], size: Column, budget: int, *order) -> DataFrame:
+def prefix_budget(df: DataFrame, keys: list[str], size: Column, budget: int, order: list) -> DataFrame:
     """Rows in order until the running size would pass the budget; adds running_size."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("running_size", F.sum(size).over(w)).where(F.col("running_size") <= budget)
+    return running(df, keys, order, size, "running_size").where(F.col("running_size") <= budget)
 
 
 def stratified(df: DataFrame, key: str, strata: list[tuple[str, str, int]]) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewise.operators import relational
+
 
 def by(keys: list[str], *order) -> Window:
     return Window.partitionBy(*keys).orderBy(*order)
@@ -36,42 +38,64 @@ def sorted_steps(df: DataFrame, keys: list[str], order: list[str], *fields: str)
 
 
 def fold_ema(steps: Column, start: float, alpha: float, target: float, eta: float, low: float, high: float) -> Column:
-    """The rate controller: array of (ema, gain) after each step of `rps`, with an ema floor at a fifth of the target."""
-    zero = F.array(F.struct(F.lit(start).alias("ema"), F.lit(1.0).alias("gain")))
+    """The rate controller: struct of ema and gain after the last `rps`, of the highest gain and the number of steps; the ema has a floor at a
+    fifth of the target."""
+    zero = F.struct(F.lit(start).alias("ema"), F.lit(1.0).alias("gain"), F.lit(0.0).alias("top_gain"), F.lit(0).cast("long").alias("steps"))
 
-    def step(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
+    def step(last: Column, x: Column) -> Column:
         ema = F.greatest(alpha * x["rps"] + (1 - alpha) * last["ema"], F.lit(0.2 * target))
         gain = F.least(F.greatest(last["gain"] * F.exp(eta * (ema / target - 1.0)), F.lit(low)), F.lit(high))
-        return F.concat(acc, F.array(F.struct(ema.alias("ema"), gain.alias("gain"))))
+        return F.struct(ema.alias("ema"), gain.alias("gain"), F.greatest(last["top_gain"], gain).alias("top_gain"), (last["steps"] + 1).alias("steps"))
 
-    return F.slice(F.aggregate(steps, zero, step), 2, F.size(steps))
+    return F.aggregate(steps, zero, step)
 
 
 def fold_cooldown(steps: Column, seconds: float) -> Column:
-    """Times of alerts that fire: each suppresses those within `seconds` after it (greedy, from the left)."""
-    empty = F.array().cast("array<double>")
+    """Alerts that fire, each suppressing those within `seconds` after it (greedy, from the left): struct of their number and the last one's time."""
+    zero = F.struct(F.lit(None).cast("double").alias("fired"), F.lit(0).cast("long").alias("alerts"))
 
-    def step(acc: Column, x: Column) -> Column:
-        quiet = (F.size(acc) > 0) & (x["sec"] - F.element_at(acc, -1) < seconds)
-        return F.when(quiet, acc).otherwise(F.concat(acc, F.array(x["sec"])))
+    def step(last: Column, x: Column) -> Column:
+        quiet = F.coalesce(x["sec"] - last["fired"] < seconds, F.lit(False))
+        return F.when(quiet, last).otherwise(F.struct(x["sec"].cast("double").alias("fired"), (last["alerts"] + 1).alias("alerts")))
 
-    return F.aggregate(F.filter(steps, lambda x: x["sec"].isNotNull()), empty, step)
+    return F.aggregate(F.filter(steps, lambda x: x["sec"].isNotNull()), zero, step)
 
 
 def fold_bucket(steps: Column, capacity: float, per_second: float) -> Column:
-    """A token bucket: array of (at, tokens, granted) for requests in order; each takes one token if there is one."""
-    zero = F.array(F.struct(F.element_at(steps, 1)["sec"].alias("sec"), F.lit(capacity).alias("tokens"), F.lit(True).alias("granted")))
+    """A token bucket over requests in order, each of which takes a token if there is one: struct of the last time, the tokens left, requests and grants."""
+    zero = F.struct(F.element_at(steps, 1)["sec"].alias("sec"), F.lit(capacity).alias("tokens"), F.lit(0).cast("long").alias("requests"), F.lit(0).cast("long").alias("granted"))
 
-    def step(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
+    def step(last: Column, x: Column) -> Column:
         have = F.least(F.lit(capacity), last["tokens"] + (x["sec"] - last["sec"]) * per_second)
-        return F.concat(acc, F.array(F.struct(x["sec"].alias("sec"), F.when(have >= 1, have - 1).otherwise(have).alias("tokens"), (have >= 1).alias("granted"))))
+        can = (have >= 1).cast("long")
+        return F.struct(x["sec"].alias("sec"), (have - can).alias("tokens"), (last["requests"] + 1).alias("requests"), (last["granted"] + can).alias("granted"))
+
+    return F.aggregate(steps, zero, step)
+
+
+def fold_backoff(steps: Column, start: float = 2.0, cap: float = 256.0) -> Column:
+    """The shared wait between requests (survey M13): doubled by a refusal up to the cap, halved by a success down to the start; struct of
+    the last wait and the longest."""
+
+    def step(last: Column, x: Column) -> Column:
+        wait = F.when(x["refused"], F.least(last["wait"] * 2, F.lit(cap))).otherwise(F.greatest(last["wait"] / 2, F.lit(start)))
+        return F.struct(wait.alias("wait"), F.greatest(last["longest"], wait).alias("longest"))
+
+    return F.aggregate(steps, F.struct(F.lit(start).alias("wait"), F.lit(start).alias("longest")), step)
+
+
+def requests_in_window(df: DataFrame, keys: list[str], seconds: str, width: int, name: str, stretch: int = 86_400) -> DataFrame:
+    """For each row the rows of its key in the `width` seconds up to it (seconds is a column of whole numbers).
 
-    return F.slice(F.aggregate(steps, zero, step), 2, F.size(steps))
+    Windows are partitioned by stretches of time, so a busy key is many tasks."""
+    cut = relational.in_stretches(df, F.col(seconds), stretch, width)
+    w = Window.partitionBy(*keys, "_stretch").orderBy(seconds).rangeBetween(-width, 0)
+    return cut.withColumn(name, F.count("*").over(w)).where("_own").drop("_own", "_stretch")
 
 
-def requests_in_window(df: DataFrame, keys: list[str], seconds: Column, width: int, name: str) -> DataFrame:
-    """For each row the rows of its key in the `width` seconds up to it."""
-    w = Window.partitionBy(*keys).orderBy(seconds).rangeBetween(-width, 0)
-    return df.withColumn(name, F.count("*").over(w))
+def mean_of_last(df: DataFrame, keys: list[str], order: list, value: str, k: int, name: str, stretch: int = 10_000) -> DataFrame:
+    """For each row the mean of the k rows of its key before it; rows are numbered over ranges and windows partitioned by stretches of numbers."""
+    placed = relational.running(df, keys, order, F.lit(1), "_place")
+    cut = relational.in_stretches(placed, F.col("_place"), stretch, k)
+    w = Window.partitionBy(*keys, "_stretch").orderBy("_place").rowsBetween(-k, -1)
+    return cut.withColumn(name, F.avg(value).over(w)).where("_own").drop("_own", "_stretch", "_place")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewise.functions import temporal
+from tidewise.functions import models, temporal
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -45,7 +45,7 @@ def deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = {"n_new": "signup", "n_edit": "purchase", "n_score": "click", "n_delete": "error"}
     days = table(spark, sf_dir, "events").withColumn("day", F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")))
     counted = days.groupBy(F.col("user_id").alias("item"), "day").agg(*[F.count_if(F.col("event_type") == k).alias(n) for n, k in kinds.items()])
-    return counted.withColumn("delta", 1.0 * F.col("n_new") + 0.5 * F.col("n_edit") + 0.2 * F.col("n_score") + 0.1 * F.col("n_delete"))
+    return counted.withColumn("delta", models.delta_info(F.col("n_new"), F.col("n_edit"), F.col("n_score"), F.col("n_delete")))
 
 
 DELTAS = """days AS (SELECT user_id AS item, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS day,

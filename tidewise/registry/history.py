@@ -9,6 +9,7 @@ from tidewise.functions import models
 from tidewise.operators import relational, sequences
 from tidewise.plans import infogain
 from tidewise.registry.base import DELTAS, OBS, deltas, observations, query, r6
+from tidewise.session import cut_lineage
 
 CUT = "2024-01-15"
 
@@ -138,11 +139,13 @@ def q_lambda_hat(spark, sf_dir):
   count(*) FILTER (waste < 0.25) AS waste_low, count(*) FILTER (waste >= 0.25 AND waste < 0.5) AS waste_mid, count(*) FILTER (waste >= 0.5 AND waste < 0.75) AS waste_high, count(*) FILTER (waste >= 0.75) AS waste_top FROM metrics"""
 )
 def q_dataset_summary(spark, sf_dir):
-    w = F.col("waste")
-    return _metrics(spark, sf_dir).agg(
-        F.count("*").alias("posts"), r6(F.avg("total"), "mean_total"), r6(F.percentile("half_life", 0.5), "half_life_p50"), r6(F.percentile("half_life", 0.8), "half_life_p80"), r6(F.avg("lambda_hat"), "mean_lambda"),
+    w, m = F.col("waste"), cut_lineage(_metrics(spark, sf_dir))  # read twice
+    halves = relational.percentiles(m, [], "half_life", {"p50": 0.5, "p80": 0.8}).select(r6(F.col("p50"), "half_life_p50"), r6(F.col("p80"), "half_life_p80"))
+    means = m.agg(
+        F.count("*").alias("posts"), r6(F.avg("total"), "mean_total"), r6(F.avg("lambda_hat"), "mean_lambda"),
         F.count_if(w < 0.25).alias("waste_low"), F.count_if((w >= 0.25) & (w < 0.5)).alias("waste_mid"), F.count_if((w >= 0.5) & (w < 0.75)).alias("waste_high"), F.count_if(w >= 0.75).alias("waste_top"),
     )
+    return means.join(F.broadcast(halves))  # one row each
 
 
 @query(

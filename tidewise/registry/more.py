@@ -40,7 +40,7 @@ def q_thread_velocity(spark, sf_dir):
 @query(f"{REC}, d AS (SELECT thread, node, max(distance) AS depth FROM closure GROUP BY ALL) SELECT n.thread, n.node FROM nodes n JOIN d USING (thread, node) JOIN nodes p ON p.thread = n.thread AND p.node = n.parent WHERE depth >= 2 AND length(n.text) < 400 AND length(p.text) < 400")
 def q_dead_branches(spark, sf_dir):
     nodes = thread_nodes(spark, sf_dir)
-    depth = trees.closure(nodes).groupBy("thread", "node").agg(F.max("distance").alias("depth"))
+    depth = trees.depths(nodes)
     parents = nodes.select("thread", F.col("node").alias("parent"), F.length("text").alias("ps"))
     return nodes.join(depth, ["thread", "node"]).join(parents, ["thread", "parent"]).where((F.col("depth") >= 2) & (F.length("text") < 400) & (F.col("ps") < 400)).select("thread", "node")
 
@@ -48,7 +48,7 @@ def q_dead_branches(spark, sf_dir):
 @query("WITH l AS (SELECT quantile_cont(o_totalprice, 0.95) AS p95 FROM orders) SELECT o_orderkey, round(o_totalprice / p95, 6) AS times FROM orders, l WHERE o_totalprice > 1.02 * p95 OR (o_orderpriority = '1-URGENT' AND o_totalprice > 0.99 * p95)")
 def q_hall_of_fame(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
-    limit = orders.agg(F.percentile("o_totalprice", 0.95).alias("p95"))  # one row
+    limit = relational.percentiles(orders, [], "o_totalprice", {"p95": 0.95})  # one row
     kept = orders.join(F.broadcast(limit)).where((F.col("o_totalprice") > 1.02 * F.col("p95")) | ((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 0.99 * F.col("p95"))))
     return kept.select("o_orderkey", r6(F.col("o_totalprice") / F.col("p95"), "times"))
 
@@ -90,8 +90,8 @@ def q_timestamp_audit(spark, sf_dir):
     f"""WITH {OBS}, e AS (SELECT kind, abs(score - avg(score) OVER (PARTITION BY kind ORDER BY sec, seq ROWS BETWEEN 100 PRECEDING AND 1 PRECEDING)) AS err FROM obs) SELECT kind, count(err) AS predictions, round(avg(err), 4) AS mean_error FROM e GROUP BY kind"""
 )
 def q_mean_prediction_error(spark, sf_dir):
-    before = Window.partitionBy("kind").orderBy("sec", "seq").rowsBetween(-100, -1)
-    e = observations(spark, sf_dir).withColumn("err", F.abs(F.col("score") - F.avg("score").over(before)))
+    e = sequences.mean_of_last(observations(spark, sf_dir).select("kind", "sec", "seq", "score"), ["kind"], ["sec", "seq"], "score", 100, "expected")
+    e = e.withColumn("err", F.abs(F.col("score") - F.col("expected")))
     return e.groupBy("kind").agg(F.count("err").alias("predictions"), F.round(F.avg("err"), 4).alias("mean_error"))
 
 

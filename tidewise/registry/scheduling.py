@@ -97,7 +97,10 @@ def q_priors_rolling(spark, sf_dir):
 
 @query(f"WITH {DELTAS} SELECT CAST(item % 25 AS BIGINT) AS sub, round(avg(delta), 6) AS mean, round(median(delta), 6) AS median, round(quantile_cont(delta, 0.8), 6) AS p80, count(*) AS n FROM deltas GROUP BY item % 25")
 def q_priors_summary(spark, sf_dir):
-    return deltas(spark, sf_dir).groupBy((F.col("item") % 25).cast("long").alias("sub")).agg(r6(F.avg("delta"), "mean"), r6(F.median("delta"), "median"), r6(F.percentile("delta", 0.8), "p80"), F.count("*").alias("n"))
+    d = deltas(spark, sf_dir).select((F.col("item") % 25).cast("long").alias("sub"), "delta")
+    means = d.groupBy("sub").agg(r6(F.avg("delta"), "mean"), F.count("*").alias("n"))
+    shares = relational.percentiles(d, ["sub"], "delta", {"median": 0.5, "p80": 0.8})
+    return means.join(shares, "sub").select("sub", "mean", r6(F.col("median"), "median"), r6(F.col("p80"), "p80"), "n")
 
 
 @query("SELECT n_name AS name, n_nationkey AS rank, round(1 / (1 + exp(0.3::DOUBLE * (n_nationkey - 10))), 6) AS coverage FROM nation")
@@ -136,7 +139,7 @@ def q_selection_policy(spark, sf_dir):
 @query(f"WITH {OBS} SELECT seq, count(*) OVER (PARTITION BY kind ORDER BY CAST(floor(sec) AS BIGINT) RANGE BETWEEN 600 PRECEDING AND CURRENT ROW) AS used FROM obs")
 def q_request_budget(spark, sf_dir):
     obs = observations(spark, sf_dir).withColumn("second", F.floor("sec"))
-    return sequences.requests_in_window(obs, ["kind"], F.col("second"), 600, "used").select("seq", "used")
+    return sequences.requests_in_window(obs, ["kind"], "second", 600, "used").select("seq", "used")
 
 
 @query(f"WITH {OBS} SELECT seq, round(lead(sec, 4) OVER (PARTITION BY item ORDER BY sec, seq) - sec, 6) AS wait FROM obs")
@@ -167,8 +170,7 @@ def q_ema_gain(spark, sf_dir):
     """The rate controller folded over each item's observations in order."""
     steps = sequences.sorted_steps(observations(spark, sf_dir).withColumnRenamed("score", "rps"), ["item"], ["sec", "seq"], "rps")
     folded = steps.select("item", sequences.fold_ema(F.col("steps"), 10.0, 0.2, 10.0, 0.1, 0.5, 3.0).alias("f"))
-    last = F.element_at("f", -1)
-    return folded.select("item", F.size("f").cast("long").alias("steps"), r6(last["ema"], "ema"), r6(last["gain"], "gain"), r6(F.array_max(F.transform("f", lambda x: x["gain"])), "top_gain"))
+    return folded.select("item", F.col("f.steps").alias("steps"), r6(F.col("f.ema"), "ema"), r6(F.col("f.gain"), "gain"), r6(F.col("f.top_gain"), "top_gain"))
 
 
 @query(
@@ -179,8 +181,7 @@ SELECT item, CAST(max(alerts) AS BIGINT) AS alerts, round(max(fired), 3) AS last
 def q_alert_cooldown(spark, sf_dir):
     """Errors raise alerts; each alert silences those of the next day."""
     steps = sequences.sorted_steps(observations(spark, sf_dir).where("kind = 'error'"), ["item"], ["sec"])
-    fired = sequences.fold_cooldown(F.col("steps"), 86_400.0)
-    return steps.select("item", F.size(fired).cast("long").alias("alerts"), F.round(F.element_at(fired, -1), 3).alias("last_fired"))
+    return steps.select("item", sequences.fold_cooldown(F.col("steps"), 86_400.0).alias("f")).select("item", "f.alerts", F.round("f.fired", 3).alias("last_fired"))
 
 
 @query(
@@ -193,8 +194,7 @@ SELECT item, count(*) AS requests, count(*) FILTER (granted) AS granted FROM f G
 def q_token_bucket(spark, sf_dir):
     """Three tokens at most, one more each half day; how many requests are granted."""
     steps = sequences.sorted_steps(observations(spark, sf_dir), ["item"], ["sec", "seq"])
-    folded = steps.select("item", sequences.fold_bucket(F.col("steps"), 3.0, 1 / 43_200).alias("f"))
-    return folded.select("item", F.size("f").cast("long").alias("requests"), F.size(F.filter("f", lambda x: x["granted"])).cast("long").alias("granted"))
+    return steps.select("item", sequences.fold_bucket(F.col("steps"), 3.0, 1 / 43_200).alias("f")).select("item", "f.requests", "f.granted")
 
 
 @query("SELECT n_nationkey AS attempt, CAST(least(30 * pow(2, n_nationkey), 240) AS BIGINT) AS retry, round(least(greatest(0.1 + 0.9 * (n_nationkey * 5 - 10) / 90.0, 0.1), 1.0), 6) AS ratio, CAST(CASE WHEN n_nationkey * 5 >= 50 THEN 0.5 WHEN n_nationkey * 5 >= 25 THEN 2 WHEN n_nationkey * 5 >= 10 THEN 4 ELSE 6 END AS DOUBLE) AS buffer, CAST(floor(60 + (1 - n_nationkey / 25.0) * 240) AS BIGINT) AS revisit, CAST(greatest(1, floor(24 * (n_nationkey / 25.0))) AS BIGINT) AS batch FROM nation")
@@ -225,7 +225,7 @@ def q_cooldown_eligible(spark, sf_dir):
 @query(f"WITH {OBS}, g AS (SELECT kind, sec - lag(sec) OVER (PARTITION BY kind ORDER BY sec, seq) AS gap FROM obs), a AS (SELECT kind, list_sort(list(round(gap, 6)) FILTER (gap IS NOT NULL)) AS x FROM g GROUP BY kind) SELECT kind, x[len(x) // 2 + 1] AS median, x[least(CAST(floor(len(x) * 0.9) AS BIGINT), len(x) - 1) + 1] AS p90, x[-1] AS longest FROM a")
 def q_interval_percentiles(spark, sf_dir):
     """Nearest-rank median and p90 of the gaps between observations of a kind."""
-    gap = F.col("sec") - F.lag("sec").over(Window.partitionBy("kind").orderBy("sec", "seq"))
-    gaps = observations(spark, sf_dir).select("kind", F.round(gap, 6).alias("gap")).where("gap is not null")
+    before = relational.lagged(observations(spark, sf_dir).select("kind", "sec", "seq"), ["kind"], ["sec", "seq"], "sec", "before")
+    gaps = before.select("kind", F.round(F.col("sec") - F.col("before"), 6).alias("gap")).where("gap is not null")
     mid, high = relational.nearest_rank(gaps, ["kind"], "gap", 0.5, "median"), relational.nearest_rank(gaps, ["kind"], "gap", 0.9, "p90", top=True)
     return mid.join(high, "kind").join(gaps.groupBy("kind").agg(F.max("gap").alias("longest")), "kind").select("kind", "median", "p90", "longest")

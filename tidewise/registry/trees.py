@@ -15,7 +15,7 @@ DEPTHS = "depths AS (SELECT thread, node, CAST(max(distance) AS BIGINT) AS depth
 
 
 def _depths(nodes):
-    return trees.closure(nodes).groupBy("thread", "node").agg(F.max("distance").cast("long").alias("depth"))
+    return trees.depths(nodes)
 
 
 @query(f"{REC}, {DEPTHS} SELECT n.thread, count(*) AS nodes, max(depth) AS max_depth, count(parent) AS comments FROM nodes n JOIN depths USING (thread, node) GROUP BY n.thread")
@@ -113,16 +113,10 @@ SELECT thread, node, round(imp, 6) AS imp, eng FROM scored, t WHERE imp >= imp_a
 def q_interesting(spark, sf_dir):
     """Five ways to be interesting; both thresholds are nearest-rank percentiles of all nodes, joined as one row.
 
-    The percentiles come from counts of distinct values (as many as there are values, pre-aggregated), not from one sorted partition."""
+    The percentiles come from counts of distinct values, summed over ranges of values."""
     s = cut_lineage(_scored(spark, sf_dir))  # read by both thresholds and by the filter
 
-    def at(column: str, share: float, name: str):
-        counts = s.groupBy(column).agg(F.count("*").alias("c"))
-        total = s.agg(F.floor(F.count("*") * F.lit(share)).alias("want"))
-        reach = counts.withColumn("upto", F.sum("c").over(Window.orderBy(column)))
-        return reach.join(F.broadcast(total)).where("upto > want").agg(F.min(column).alias(name))
-
-    limits = at("imp", 0.95, "imp_at").join(F.broadcast(at("vel", 0.9, "vel_at")))  # one row each
+    limits = relational.nearest_rank(s, [], "imp", 0.95, "imp_at").join(F.broadcast(relational.nearest_rank(s, [], "vel", 0.9, "vel_at")))  # one row each
     conflict = F.lit(False)
     for w in CONFLICT:
         conflict |= F.lower("text").contains(w)
@@ -163,9 +157,10 @@ def q_depth_decision(spark, sf_dir):
 
 @query(f"""WITH {NODES}, names AS (SELECT author, 'user_' || row_number() OVER (ORDER BY author) AS alias FROM (SELECT DISTINCT author FROM nodes WHERE author <> '[deleted]')) SELECT thread, node, coalesce(alias, author) AS author FROM nodes LEFT JOIN names USING (author)""")
 def q_obfuscate(spark, sf_dir):
-    """Authors under new names; a deleted author stays so.  The numbers run over distinct authors, pre-aggregated."""
+    """Authors under new names; a deleted author stays so.  Distinct authors are numbered over ranges of names."""
     nodes = thread_nodes(spark, sf_dir)
-    names = nodes.where("author <> '[deleted]'").select("author").distinct().withColumn("alias", F.concat(F.lit("user_"), F.row_number().over(Window.orderBy("author")).cast("string")))
+    authors = nodes.where("author <> '[deleted]'").select("author").distinct()
+    names = relational.running(authors, [], ["author"], F.lit(1), "n").select("author", F.concat(F.lit("user_"), F.col("n").cast("string")).alias("alias"))
     return nodes.join(names, "author", "left").select("thread", "node", F.coalesce("alias", "author").alias("author"))
 
 
