@@ -22,17 +22,17 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections import Counter
 from dataclasses import dataclass, field
-from itertools import chain, repeat
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.common import batch_of, cut, raw, rows_of, texts, worker_state
+from tidewise.llm.common import batch_of, cut, pieces, raw, texts, worker_state
 
 END = b"\n"  # no word holds white space
 CLASSES, MEMBERS = 128, 256
@@ -43,12 +43,13 @@ CONTEXT = 2
 WIDTH = 16
 CLASS_NOISE, UNIT_NOISE = 32, 16
 BATCH = 8_192
-RATE, DECAY = 0.05, 0.7
+RATE, DECAY = 0.07, 0.7
 ROUNDS = 3
 SHARD_TOKENS = 2_000_000
 MAX_SHARDS = 4_096
 TABLE = 250_000
 SEED = 42
+PIECE_BYTES = 1 << 22
 CHUNK = 128  # rows of WIDTH parameters that travel together
 _START = UNITS  # stands before a text
 
@@ -68,17 +69,25 @@ def shared_unit(word: bytes) -> int:
     return COMMON + (xxhash.xxh64_intdigest(word, SEED) & RARE - 1)
 
 
+def split(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The lower-cased words of a column of texts, end to end as binary, and how many each text has; what tokens() gives, but for the ends."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(column.fill_null("")))
+    flat, sizes = lists.flatten().cast(pa.binary()), lists.value_lengths().to_numpy().astype(np.int64)
+    empty = pc.equal(pc.binary_length(flat), 0)
+    if pc.any(empty).as_py():  # white space around a text
+        owner = np.repeat(np.arange(len(sizes)), sizes)[empty.to_numpy(zero_copy_only=False)]
+        sizes = sizes - np.bincount(owner, minlength=len(sizes))
+        flat = flat.filter(pc.invert(empty))
+    return flat, sizes
+
+
 def _count(batches):
     schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
-    seen: Counter = Counter()
-    for (rows,) in rows_of(batches, "text"):
-        for t in rows:
-            seen.update(tokens(t))
-        if len(seen) > 250_000:
-            yield batch_of(schema, word=list(seen), n=list(seen.values()))
-            seen.clear()
-    if seen:
-        yield batch_of(schema, word=list(seen), n=list(seen.values()))
+    for part in pieces(batches, "text", PIECE_BYTES):
+        flat, sizes = split(part.column(0))
+        counts = flat.value_counts()
+        yield batch_of(schema, word=counts.field(0), n=counts.field(1))
+        yield batch_of(schema, word=[END], n=[len(sizes)])
 
 
 class Parameters:
@@ -115,36 +124,41 @@ class Parameters:
 
     def log_probabilities(self, contexts: np.ndarray, units: np.ndarray) -> np.ndarray:
         """Normalised natural log-probability of each unit after its context, by blocks of matrix products."""
-        r, out = self.predicted(contexts), np.empty(len(units), np.float64)
+        r, out = np.ones((len(units), WIDTH + 1), np.float32), np.empty(len(units), np.float32)
+        r[:, :WIDTH] = self.predicted(contexts)  # the last column multiplies the bias
         classes = units // MEMBERS
-        for at in range(0, len(units), BATCH):
-            s = r[at : at + BATCH] @ self.klass.T
-            s += self.class_bias
-            out[at : at + BATCH] = _normalised(s, classes[at : at + BATCH])
+        table = np.column_stack([self.klass, self.class_bias])
+        for at in range(0, len(units), SLICE):
+            out[at : at + SLICE] = _normalised(r[at : at + SLICE], table, classes[at : at + SLICE])
         order = np.argsort(classes.astype(np.uint16), kind="stable")
-        edges = np.searchsorted(classes[order], np.arange(CLASSES + 1))
-        r = r[order]
+        edges = np.searchsorted(classes[order], np.arange(CLASSES + 1)).tolist()
+        r, members, inside = r.take(order, axis=0), (units - classes * MEMBERS)[order], np.empty(len(units), np.float32)
+        table = np.column_stack([self.unit, self.bias]).reshape(CLASSES, MEMBERS, WIDTH + 1)
         for c in range(CLASSES):
-            a, b = edges[c], edges[c + 1]
-            block = slice(c * MEMBERS, (c + 1) * MEMBERS)
-            for x in range(a, b, BATCH):
-                part = slice(x, min(x + BATCH, b))
-                s = r[part] @ self.unit[block].T
-                s += self.bias[block]
-                out[order[part]] += _normalised(s, units[order[part]] - c * MEMBERS)
-        return out
-
-
-def _normalised(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Log-softmax of each row at its chosen column; overwrites scores."""
-    top = scores.max()
-    picked = scores[np.arange(len(scores)), chosen]
-    if top > 60:
-        peak = scores.max(axis=1, keepdims=True)
-        scores -= peak
-        picked = picked - peak[:, 0]
-    np.exp(scores, out=scores)
-    return picked - np.log(scores.sum(axis=1))
+            for at in range(edges[c], edges[c + 1], SLICE):
+                part = slice(at, min(at + SLICE, edges[c + 1]))
+                inside[part] = _normalised(r[part], table[c], members[part])
+        out[order] += inside
+        return out.astype(np.float64)
+
+
+SLICE = 2_048
+_ONES = np.ones(max(CLASSES, MEMBERS), np.float32)
+
+
+def _normalised(r: np.ndarray, table: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log-softmax of r @ table.T in each row at its chosen column."""
+    scores, rows = r @ table.T, np.arange(len(r))
+    picked = scores[rows, chosen]
+    with np.errstate(over="ignore"):
+        np.exp(scores, out=scores)
+        total = scores @ _ONES[: scores.shape[1]]
+    if not (np.isfinite(total) & (total > 0)).all():  # seldom: too far out for exponentials as they are
+        scores = r @ table.T
+        scores -= scores.max(axis=1, keepdims=True)
+        picked = scores[rows, chosen]
+        total = np.exp(scores).sum(axis=1)
+    return picked - np.log(total)
 
 
 class Trainer:
@@ -169,42 +183,48 @@ class Trainer:
 
     def step(self, contexts: np.ndarray, targets: np.ndarray) -> None:
         p, n = self.p, len(targets)
-        r, classes = p.predicted(contexts), targets // MEMBERS
-        noise = np.unique(np.minimum(np.searchsorted(self.class_steps, self.rng.random(CLASS_NOISE) * self.class_steps[-1], side="right"), CLASSES - 1), return_counts=True)
-        noise, times = noise[0], noise[1].astype(np.float32)
-        hit = (r * p.klass[classes]).sum(axis=1) + p.class_bias[classes] - self.log_class[classes]
-        miss = r @ p.klass[noise].T + (p.class_bias[noise] - self.log_class[noise])
-        g_hit, g_miss = (_sigmoid(hit) - 1) / n, _sigmoid(miss) * (times / n)
-        back = g_hit[:, None] * p.klass[classes] + g_miss @ p.klass[noise]
-        g_klass, g_class_bias = np.zeros_like(p.klass), np.bincount(classes, g_hit, CLASSES).astype(np.float32)
-        rows, sums = summed(classes, g_hit[:, None] * r)
-        g_klass[rows] += sums
+        order = np.argsort((targets // MEMBERS).astype(np.uint16), kind="stable")
+        targets, contexts = targets[order], contexts[order]
+        classes = targets // MEMBERS
+        present, first = np.unique(classes, return_index=True)
+        edges = np.append(first, n)
+        words = [contexts[:, i] for i in range(CONTEXT)]
+        before = [p.context.take(w, axis=0) for w in words]
+        r = before[0] @ p.maps[0]
+        for i in range(1, CONTEXT):
+            r += before[i] @ p.maps[i]
+        # classes: noise that the whole batch shares
+        noise, times = np.unique(np.minimum(np.searchsorted(self.class_steps, self.rng.random(CLASS_NOISE) * self.class_steps[-1], side="right"), CLASSES - 1), return_counts=True)
+        own = p.klass.take(classes, axis=0)
+        g_hit = (_sigmoid(np.einsum("ij,ij->i", r, own) + (p.class_bias - self.log_class)[classes]) - 1) / n
+        g_miss = _sigmoid(r @ p.klass[noise].T + (p.class_bias[noise] - self.log_class[noise])) * (times / n).astype(np.float32)
+        back = g_miss @ p.klass[noise]
+        back += g_hit[:, None] * own
+        g_klass, g_class_bias = np.zeros_like(p.klass), np.zeros_like(p.class_bias)
+        g_klass[present] = np.add.reduceat(g_hit[:, None] * r, first, axis=0)
+        g_class_bias[present] = np.add.reduceat(g_hit, first)
         g_klass[noise] += g_miss.T @ r
         g_class_bias[noise] += g_miss.sum(axis=0)
-        # within the targets' classes
-        order = np.argsort(classes.astype(np.uint16), kind="stable")
-        present, first = np.unique(classes[order], return_index=True)
-        edges = np.append(first, n)
+        # units: noise that the targets of a class share
         draws = np.searchsorted(self.unit_steps, (self.rng.random((len(present), UNIT_NOISE)) + present[:, None]).reshape(-1), side="right")
         draws = np.minimum(draws.reshape(len(present), UNIT_NOISE), present[:, None] * MEMBERS + MEMBERS - 1)
-        own = p.unit[targets]
-        g_own = (_sigmoid((r * own).sum(axis=1) + p.bias[targets] - self.log_unit[targets]) - 1) / n
+        own, offset = p.unit.take(targets, axis=0), p.bias - self.log_unit
+        g_own = (_sigmoid(np.einsum("ij,ij->i", r, own) + offset[targets]) - 1) / n
         back += g_own[:, None] * own
-        drawn, offset = p.unit[draws], p.bias[draws] - self.log_unit[draws]
-        by_class, to_sorted = r[order], np.empty((n, WIDTH), np.float32)
+        drawn, offset = p.unit[draws], offset[draws]
         g_drawn, g_drawn_bias = np.empty((len(present), UNIT_NOISE, WIDTH), np.float32), np.empty((len(present), UNIT_NOISE), np.float32)
-        for i in range(len(present)):
-            a, b = edges[i], edges[i + 1]
-            g = _sigmoid(by_class[a:b] @ drawn[i].T + offset[i]) / n
-            to_sorted[a:b] = g @ drawn[i]
-            g_drawn[i] = g.T @ by_class[a:b]
+        for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
+            part = r[a:b]
+            g = _sigmoid(part @ drawn[i].T + offset[i])
+            g /= n
+            back[a:b] += g @ drawn[i]
+            g_drawn[i] = g.T @ part
             g_drawn_bias[i] = g.sum(axis=0)
-        back[order] += to_sorted
         rows, sums = summed(np.concatenate([targets, draws.reshape(-1)]), np.concatenate([g_own[:, None] * r, g_drawn.reshape(-1, WIDTH)]))
         bias_g = np.bincount(np.searchsorted(rows, targets), g_own, len(rows)) + np.bincount(np.searchsorted(rows, draws.reshape(-1)), g_drawn_bias.reshape(-1), len(rows))
-        words = np.concatenate([contexts[:, i] for i in range(CONTEXT)])
-        seen, to_context = summed(words, np.concatenate([back @ p.maps[i].T for i in range(CONTEXT)]))
-        g_maps = np.stack([p.context[contexts[:, i]].T @ back for i in range(CONTEXT)])
+        all_words = np.concatenate(words)
+        seen, to_context = summed(all_words, np.concatenate([back @ m.T for m in p.maps]))
+        g_maps = np.stack([x.T @ back for x in before])
         s = self.squares
         self._move(p.unit, s.unit, rows, sums)
         self._move(p.bias, s.bias, rows, bias_g.astype(np.float32))
@@ -212,14 +232,14 @@ class Trainer:
         self._move(p.class_bias, s.class_bias, slice(None), g_class_bias)
         self._move(p.context, s.context, seen, to_context)
         self._move(p.maps, s.maps, slice(None), g_maps)
-        self.used[: UNITS + 1] += np.bincount(words, minlength=UNITS + 1)
+        self.used[: UNITS + 1] += np.bincount(all_words, minlength=UNITS + 1)
         self.used[UNITS + 1 : 2 * UNITS + 1] += np.bincount(targets, minlength=UNITS)
         self.used[UNITS + 1 + rows] += 1
         self.used[2 * UNITS + 1 :] += n
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    x = np.clip(x, -30, 30)
+    """Overwrites x, which stays far from where float32 overflows."""
     np.negative(x, out=x)
     np.exp(x, out=x)
     x += 1
@@ -231,7 +251,7 @@ def summed(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     order = np.argsort(index.astype(np.uint16 if UNITS < 1 << 16 else np.int64), kind="stable")
     index = index[order]
     first = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
-    return index[first], np.add.reduceat(rows[order], first, axis=0)
+    return index[first], np.add.reduceat(rows.take(order, axis=0), first, axis=0)
 
 
 def contexts_of(units: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -313,34 +333,35 @@ def coded(docs: DataFrame, model: Model) -> DataFrame:
             return {w: i for i, w in enumerate(table)}, units, np.log10(np.array([*table.values(), 0], np.float64) + 1)
 
         place, unit_of, own = worker_state(uid, make)
-        get, row, unknown = place.get, TaskContext.get().partitionId() << 33, len(place)
-        for keys, rows in rows_of(batches, "doc_id", "text"):
-            words = [tokens(t) for t in rows]
-            sizes = np.array([len(w) for w in words])
-            flat = list(chain.from_iterable(words))
-            at = np.array(list(map(get, flat, repeat(unknown))), np.int64)
-            first, here = np.cumsum(sizes) - sizes, at < unknown
-            units = unit_of[at]
-            rare = np.flatnonzero(~here)
-            strange = [flat[i] for i in rare.tolist()]
-            units[rare] = [shared_unit(w) for w in strange]
+        row, unknown, end = TaskContext.get().partitionId() << 33, len(place), place.get(END, len(place))
+        for part in pieces(batches, "text", PIECE_BYTES):
+            flat, counts = split(part.column(1))
+            known = flat.dictionary_encode()
+            words = known.dictionary.to_pylist()
+            kinds = np.array([*map(place.get, words, repeat(unknown)), end], np.int64)  # the last is the end
+            sizes = counts + 1
+            stops = np.cumsum(sizes)
+            first, kind = stops - sizes, np.full(int(stops[-1]), len(words), np.int64)
+            inner = np.ones(len(kind), bool)
+            inner[stops - 1] = False
+            kind[inner] = known.indices.to_numpy()
+            units_of = unit_of[kinds]
+            strange = np.flatnonzero(kinds == unknown)
+            units_of[strange] = [shared_unit(words[i] if i < len(words) else END) for i in strange.tolist()]
+            at = kinds[kind]
+            here, units = at < unknown, units_of[kind]
             base, inside = np.where(here, own[at] - base_log, 0.0), np.where(here & (units >= COMMON), own[at], 0.0)
-            numbers = row + 1 + np.arange(len(keys))
-            row += len(keys)
-            tally = Counter(zip(numbers[np.searchsorted(first, rare, side="right") - 1].tolist(), strange, strict=True))
-            k, data = len(tally), units.astype("<u2").tobytes()
-            ends = (2 * np.cumsum(sizes)).tolist()
-            yield batch_of(
-                _CODED,
-                row=numbers.tolist() + [r for r, _ in tally],
-                doc_id=keys + [None] * k,
-                units=[data[a:b] for a, b in zip([0, *ends], ends, strict=False)] + [None] * k,
-                word=[None] * len(keys) + [w for _, w in tally],
-                n=sizes.tolist() + list(tally.values()),
-                n_known=np.concatenate([np.add.reduceat(here.astype(np.int64), first), np.zeros(k, np.int64)]),
-                base=np.concatenate([np.add.reduceat(base, first), np.zeros(k)]),
-                own=np.concatenate([np.add.reduceat(inside, first), np.zeros(k)]),
-            )
+            n = len(sizes)
+            numbers = row + 1 + np.arange(n)
+            row += n
+            rare = np.flatnonzero(~here)
+            pairs, times = np.unique(kind[rare] + (np.searchsorted(first, rare, side="right") - 1) * (len(words) + 1), return_counts=True)
+            of, word = np.divmod(pairs, len(words) + 1)
+            k, data, edges = len(pairs), units.astype("<u2").tobytes(), (2 * np.concatenate([[0], stops])).tolist()
+            yield batch_of(_CODED, row=numbers, doc_id=part.column(0), units=[data[a:b] for a, b in pairwise(edges)], word=pa.nulls(n, pa.binary()), n=sizes, n_known=np.add.reduceat(here.astype(np.int64), first), base=np.add.reduceat(base, first), own=np.add.reduceat(inside, first))
+            if k:
+                named = pa.array([*words, END], pa.binary()).take(pa.array(word))
+                yield batch_of(_CODED, row=numbers[of], doc_id=pa.nulls(k, pa.int64()), units=pa.nulls(k, pa.binary()), word=named, n=times, n_known=np.zeros(k, np.int64), base=np.zeros(k), own=np.zeros(k))
 
     return texts(docs).mapInArrow(run, _CODED_DDL)
 
