@@ -446,6 +446,13 @@ def test_language_model(spark, monkeypatch):
     assert lm.score(frame(spark, [])).count() == 0
 
 
+def test_texts_split_into_the_same_words():
+    texts = [*ODD, " A\x0bB\x1cc\u00a0D\u2003e ", "\t", "ÄÉ Zz"]
+    flat, sizes = lm.split(pa.array(texts, pa.string()))
+    words = [lm.tokens(t)[:-1] for t in texts]
+    assert flat.to_pylist() == [w for ws in words for w in ws] and sizes.tolist() == [len(w) for w in words]
+
+
 def test_scores_do_not_hang_on_the_layout(spark):
     rows = lm_rows()
     one, many = ({(x.doc_id, x.n_tokens): x.score for x in lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(n)).collect()} for n in (1, 7))

@@ -95,6 +95,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a few numbers each that may be broadcast: some 20 MB.
+BROADCAST_ROWS = 500_000
+
+
+def is_small(df: DataFrame, most: int = BROADCAST_ROWS) -> bool:
+    """Whether df (whose lineage is cut) has few enough rows to be broadcast; with more it is joined by a shuffle."""
+    return df.count() <= most
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder the cluster names."""
     base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.common import batch_of, components, cut, forest, raw, rows_of, texts
+from tidewise.llm.common import batch_of, components, cut, forest, is_small, raw, rows_of, texts
 
 SEED = 42
 SEGMENTS = 6
@@ -137,10 +137,11 @@ def _split_hot(spread: DataFrame, block: int) -> DataFrame:
     """Adds blk, the unit of work of a row: one a tile, or, for a tile with over `block` members or probes, one for each pair of blocks of them.
 
     Members and probes of such a tile are dealt to blocks by hash: a block of members meets itself (blk < 0), each later block of members and each block of
-    probes (blk > 0, where members are not compared among themselves), so a unit holds about two blocks.  The look-up of the tile is salted."""
+    probes (blk > 0, where members are not compared among themselves), so a unit holds about two blocks.  The hot tiles are broadcast if they are few, else
+looked up by a salted join."""
     sizes = spread.groupBy("tile").agg(F.count_if(F.col("role") == 0).alias("members"), F.count_if(F.col("role") == 1).alias("probes"))
     hot = sizes.where((F.col("members") > block) | (F.col("probes") > block) & (F.col("members") > 0))
-    hot = hot.select("tile", F.ceil(F.col("members") / block).alias("nb"), F.ceil(F.col("probes") / block).alias("pb"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    hot = cut(hot.select("tile", F.ceil(F.col("members") / block).alias("nb"), F.ceil(F.col("probes") / block).alias("pb")))
     own, member = F.col("own"), F.col("role") == 0
 
     def units(upto, keep, blk, role):
@@ -157,7 +158,11 @@ def _split_hot(spread: DataFrame, block: int) -> DataFrame:
     probe = units(F.col("nb"), lambda i: F.lit(True), lambda i: pair(i, own) + 2, 1)
     alone = F.array(F.struct(F.lit(0).cast("long").alias("blk"), F.col("role").alias("role")))
     more = [c for c in spread.columns if c not in ("tile", "role", "fp", "node")]
-    dealt = spread.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(hot, ["tile", "salt"], "left")
+    if is_small(hot):
+        dealt = spread.join(F.broadcast(hot), "tile", "left")
+    else:
+        salted = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        dealt = spread.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(salted, ["tile", "salt"], "left")
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fp", "node"), F.greatest(F.when(member, F.col("nb")).otherwise(F.col("pb")), F.lit(1))))
     dealt = dealt.withColumn("unit", F.explode(F.when(F.col("nb").isNull(), alone).when(member, mine).otherwise(probe)))
     return dealt.select("tile", F.col("unit.blk").alias("blk"), F.col("unit.role").alias("role"), "fp", "node", *more)
@@ -439,7 +444,8 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, b
     nodes = cut(nodes)
     spread = nodes.select(F.explode("low").alias("tile"), F.lit(0).alias("role"), "fp", "node", "sketch", "size")
     found = cut(candidates(spread, radius, similarity, block))
-    wanted = texts(docs).join(found.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    chosen = cut(found.select(F.col("node").alias("doc_id")).distinct())
+    wanted = texts(docs).join(F.broadcast(chosen) if is_small(chosen) else chosen, "doc_id", "left_semi")
     sets = shingle_sets(wanted, shingle, "hashes").dropDuplicates(["doc_id"])
     groups = components(exact_links(found, sets, similarity, set_rows))
     named = nodes.join(groups, "node", "left").select("mark", F.coalesce("component", "node").alias("component_id"))
