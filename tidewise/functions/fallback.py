@@ -84,3 +84,18 @@ def is_withdrawn(comment: Column, summary: Column) -> Column:
     said = F.lower(F.coalesce(comment, F.lit(""))).rlike("withdrawn|retracted|removed by author")
     told = F.lower(F.coalesce(summary, F.lit(""))).rlike("paper has been withdrawn|this submission has been withdrawn")
     return said | told
+
+
+def is_truthy(column: Column, kind: str) -> Column:
+    """Neither null nor empty nor zero: what counts as given in a required field (survey F2)."""
+    empty = F.lit("") if kind == "string" else F.lit(0)
+    return F.coalesce(column != empty, F.lit(False))
+
+
+def entry_text(entry: Column) -> Column:
+    """The text of a history entry in JSON, whatever its form (survey X14): the first of an array, the text, body or value of an object, else itself."""
+    first = F.trim(entry).startswith("[")
+    of_array = F.get_json_object(entry, "$[0]")
+    of_object = F.coalesce(F.get_json_object(entry, "$.text"), F.get_json_object(entry, "$.body"), F.get_json_object(entry, "$.value"))
+    plain = F.coalesce(F.get_json_object(F.concat(F.lit('{"x":'), entry, F.lit("}")), "$.x"), entry)
+    return F.when(first, of_array).when(F.trim(entry).startswith("{"), of_object).otherwise(plain)

@@ -116,3 +116,29 @@ def explore_decision(depth: Column, age_hours: Column, karma: Column, account_da
     known = (karma > karma_limit) | (account_days > days_limit)
     dead = parent_score.isNotNull() & (parent_score <= score_limit) & (score <= score_limit)
     return F.when(depth < min_depth, say(True, True)).when(age_hours < recent_hours, say(True, True)).when(known, say(True, False)).when(dead, say(False, False)).otherwise(say(True, False))
+
+
+def ramp_coverage(rank: Column, full_until: int, last: int, floor: float) -> Column:
+    """Full coverage up to a rank, then a straight line down to the floor at the last rank (survey T18)."""
+    down = 1 - (1 - floor) * (rank - full_until) / (last - full_until)
+    return F.when(rank <= full_until, F.lit(1.0)).otherwise(F.greatest(down, F.lit(floor)))
+
+
+def floor_sigmoid_coverage(rank: Column, steepness: float, pivot: float, floor: float) -> Column:
+    return floor + (1 - floor) / (1 + F.exp(steepness * (rank - pivot)))
+
+
+def confidence(score: Column) -> Column:
+    """Tier and weight of a score from 0 to 10 (survey M20)."""
+    return F.when(score >= 9, "high").when(score >= 6, "medium").otherwise("low")
+
+
+def weighted_confidence(score: Column, hours: Column) -> Column:
+    """The score after its domain's recency decay."""
+    return score * F.when(hours < 24, F.lit(1.0)).when(hours < 48, F.lit(0.6)).when(hours < 72, F.lit(0.3)).otherwise(F.lit(0.1))
+
+
+def hype_ratio(hype: Column, substance: Column) -> Column:
+    """Struct of hype over substance (null without substance) and whether it is over 2 (survey M16)."""
+    ratio = hype / F.nullif(substance, F.lit(0.0))
+    return F.struct(ratio.alias("ratio"), F.coalesce(ratio > 2, hype > 0).alias("marketing_heavy"))

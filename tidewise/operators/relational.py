@@ -152,3 +152,15 @@ def similar_names(left: DataFrame, right: DataFrame, most: int = 2) -> DataFrame
     a, b = cut(left, left.columns[0], False).alias("a"), cut(right, right.columns[0], True).alias("b")
     met = a.join(b, ["part", "of", "at", "piece"]).select(F.col("a.name").alias("l"), F.col("b.name").alias("r"), F.col("a.low").alias("x"), F.col("b.low").alias("y")).distinct()
     return met.withColumn("distance", F.levenshtein("x", "y")).where(F.col("distance") <= most).select("l", "r", "distance")
+
+
+def shuffled_mapping(users: DataFrame, names: DataFrame, seed: int) -> DataFrame:
+    """user, name: the users in order get the names in the order of a seeded hash, so that their own order cannot be read from them (survey T17).
+
+    Both sides are one column of distinct values, numbered over ranges; fewer names than users is an error."""
+    people, pool = users.select(F.col(users.columns[0]).alias("user")).distinct(), names.select(F.col(names.columns[0]).alias("name")).distinct()
+    need, have = people.count(), pool.count()
+    if have < need:
+        raise ValueError(f"{need} users need as many names, there are {have}")
+    drawn = pool.withColumn("_draw", F.md5(F.concat(F.col("name").cast("string"), F.lit(f"/{seed}")).cast("binary")))
+    return running(people, [], ["user"], F.lit(1), "_place").join(running(drawn, [], ["_draw", "name"], F.lit(1), "_place").select("_place", "name"), "_place").select("user", "name")

@@ -80,3 +80,33 @@ def with_remainder(rows: DataFrame, known: list[str]) -> DataFrame:
     """The known columns and all others as one JSON bag."""
     rest = [c for c in rows.columns if c not in known]
     return rows.select(*known, F.to_json(F.struct(*rest)).alias("extra") if rest else F.lit(None).cast("string").alias("extra"))
+
+
+def upgraded(rows: DataFrame, taken_at: Column) -> DataFrame:
+    """Rows that may hold latest values only (text, score) or histories: histories everywhere, the legacy columns gone (survey P15)."""
+    texts = F.coalesce("text_history", history(F.col("text"), taken_at, F.col("text").isNull() | (F.col("text") == "")))
+    scores = F.coalesce("score_history", history(F.coalesce("score", F.lit(0)), taken_at))
+    return rows.withColumn("text_history", texts).withColumn("score_history", scores).drop("text", "score")
+
+
+def from_map(files: DataFrame) -> DataFrame:
+    """Nodes of maps in camel case (thread, m: id -> node) as flat rows with tuple histories (survey P10): pairs (value, ts)."""
+
+    def pairs(name: str) -> Column:
+        return F.transform(F.coalesce(F.col(f"x.{name}"), F.array()), lambda e: F.struct(e["value"].alias("value"), e["timestamp"].alias("ts")))
+
+    rows = files.select("thread", F.explode("m").alias("node", "x"))
+    return rows.select("thread", "node", F.col("x.parentId").alias("parent"), "x.author", pairs("textHistory").alias("text_history"), pairs("scoreHistory").alias("score_history"))
+
+
+def clean(nodes: DataFrame) -> DataFrame:
+    """Six fields of a node, the first of its histories for text and score; cleaning twice changes nothing (survey P11)."""
+    first = lambda h: F.try_element_at(F.col(h), F.lit(1))["value"]
+    text = F.coalesce(first("text_history"), F.lit("")) if "text_history" in nodes.columns else F.coalesce("text", F.lit(""))
+    score = F.coalesce(first("score_history"), F.lit(0)) if "score_history" in nodes.columns else F.coalesce("score", F.lit(0))
+    return nodes.select("thread", "node", "parent", F.coalesce("author", F.lit("[deleted]")).alias("author"), text.alias("text"), score.alias("score"))
+
+
+def found(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """wanted (thread, node) with author and text of the node, null where there is none (survey G16)."""
+    return wanted.join(nodes.select("thread", "node", "author", "text"), ["thread", "node"], "left")

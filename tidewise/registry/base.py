@@ -41,9 +41,13 @@ OBS = "obs AS (SELECT user_id AS item, event_id AS seq, epoch_us(ts) / 1e6::DOUB
 
 
 def deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deltas_of(table(spark, sf_dir, "events"))
+
+
+def deltas_of(events: DataFrame) -> DataFrame:
     """Information gain of each item and day: signups are new items, purchases edits, clicks score changes, errors deletions, views nothing."""
     kinds = {"n_new": "signup", "n_edit": "purchase", "n_score": "click", "n_delete": "error"}
-    days = table(spark, sf_dir, "events").withColumn("day", F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")))
+    days = events.withColumn("day", F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")))
     counted = days.groupBy(F.col("user_id").alias("item"), "day").agg(*[F.count_if(F.col("event_type") == k).alias(n) for n, k in kinds.items()])
     return counted.withColumn("delta", models.delta_info(F.col("n_new"), F.col("n_edit"), F.col("n_score"), F.col("n_delete")))
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewise.registry.base import query
+from tidewise.functions import models
+from tidewise.plans import scheduler
+from tidewise.registry.base import OBS, deltas_of, query, r6, table
+from tidewise.registry.scheduling import STATE, TODAY
 from tidewise.streaming import feeds
 
 
@@ -49,3 +52,52 @@ SELECT item, CAST(max(alerts) AS BIGINT) AS alerts FROM f GROUP BY item"""
 )
 def q_stream_alerts(spark, sf_dir):
     return feeds.drained(feeds.alerts(feeds.feed(spark, sf_dir)), "alerts").groupBy("item").agg(F.count("*").alias("alerts"))
+
+
+@query(f"WITH {OBS}, l AS (SELECT item, score, row_number() OVER (PARTITION BY item ORDER BY sec DESC, seq DESC) AS back, lag(score) OVER (PARTITION BY item ORDER BY sec, seq) AS before FROM obs), a AS (SELECT item, list_sort(list(score) FILTER (back <= 10)) AS x, count(*) AS observations, count(*) FILTER (score < before - 5) AS resets FROM l GROUP BY item) SELECT item, x[len(x) // 2 + 1] AS learned, observations, resets FROM a WHERE len(x) >= 3")
+def q_stream_learned_limit(spark, sf_dir):
+    path = feeds.run_control_ticks(feeds.learned_limits(feeds.feed(spark, sf_dir)), lambda batch: batch, "limits")
+    last = spark.read.parquet(path).groupBy("item").agg(F.max_by(F.struct("learned", "observations", "resets"), "tick").alias("x"))
+    return last.select("item", "x.*").where("learned is not null")
+
+
+@query("SELECT event_id, user_id, event_type, round(value, 6) AS value FROM events")
+def q_stream_json_append(spark, sf_dir):
+    rows = feeds.json_appended(feeds.feed(spark, sf_dir), "json")
+    return rows.select("event_id", "user_id", "event_type", r6(F.col("value"), "value"))
+
+
+def _cohort(spark, sf_dir):
+    """Events landed in three files, one a tick, in no promised order: the last tick has seen all of them."""
+    path = feeds.shared(spark, "landed")
+    table(spark, sf_dir, "events").repartitionByRange(3, "ts").write.parquet(path)
+    stream = spark.readStream.schema(feeds.EVENTS).option("maxFilesPerTrigger", 1).parquet(path)
+
+    def plan(state):
+        warm = scheduler.temperatures(scheduler.states(state), TODAY)
+        reason = models.retirement_reason(F.col("scrapes"), F.col("zero_streak"), F.col("recent_top") == 0, (TODAY - F.col("last_gain_day")) * 24.0, (TODAY - F.col("day")) * 24.0, F.lit(False), 3, 4, 72.0)
+        marked = scheduler.queue(warm, TODAY).withColumn("reason", reason)
+        priors = marked.where("reason is not null").groupBy((F.col("item") % 25).cast("long").alias("sub")).agg(F.count("*").alias("retired"), F.avg("rate").alias("mean_rate"))
+        return {"queue": marked.where("reason is null"), "priors": priors}
+
+    path = feeds.run_cohort(stream, lambda batch: deltas_of(batch).select("item", "day", "delta"), plan, "cohort")
+    ticks = spark.read.parquet(f"{path}/queue")
+    last = ticks.agg(F.max("tick")).first()[0]
+    return spark.read.parquet(f"{path}/queue/tick={last}"), spark.read.parquet(f"{path}/priors/tick={last}")
+
+
+RETIRED = f"scrapes >= 3 AND (zero_streak >= 4 OR recent_top = 0 OR coalesce(({TODAY} - last_gain_day) * 24.0 >= 72, false) OR ({TODAY} - day) * 24.0 >= 108)"
+
+
+@query(f"WITH {STATE} SELECT item, round(due, 6) AS due, round(lateness, 4) AS lateness, round(temperature / (1 + 0.15::DOUBLE * lateness * interval), 6) AS priority FROM queue WHERE NOT ({RETIRED})")
+def q_stream_control_ticks(spark, sf_dir):
+    """The queue after the last control tick: cohort maxima, temperatures, intervals and lateness of all items that are not retired."""
+    queue, _ = _cohort(spark, sf_dir)
+    return queue.select("item", r6(F.col("due"), "due"), F.round("lateness", 4).alias("lateness"), r6(F.col("priority"), "priority"))
+
+
+@query(f"WITH {STATE} SELECT CAST(item % 25 AS BIGINT) AS sub, count(*) AS retired, round(avg(rate), 6) AS mean_rate FROM queue WHERE {RETIRED} GROUP BY item % 25")
+def q_stream_retired_priors(spark, sf_dir):
+    """What retired items leave to their group: their number and mean rate."""
+    _, priors = _cohort(spark, sf_dir)
+    return priors.select("sub", "retired", r6(F.col("mean_rate"), "mean_rate"))

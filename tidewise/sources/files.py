@@ -180,7 +180,12 @@ def heading_links(pages: DataFrame, base: str) -> DataFrame:
 
 
 def archives(spark: SparkSession, path: str) -> DataFrame:
-    """Members and text of source archives: name, is_pdf, files, main_file, headers, has_abstract."""
+    """The source archives under a path, analysed."""
+    return analysed(spark.read.format("binaryFile").load(path).select("path", "content"))
+
+
+def analysed(packed: DataFrame) -> DataFrame:
+    """Members and text of source archives (path, content): name, is_pdf, files, main_file, headers, has_abstract."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import gzip
@@ -212,7 +217,7 @@ def archives(spark: SparkSession, path: str) -> DataFrame:
                 out.append(row)
             yield pd.DataFrame(out)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "name string, is_pdf boolean, files array<string>, main_file string, headers array<string>, has_abstract boolean")
+    return packed.mapInPandas(run, "name string, is_pdf boolean, files array<string>, main_file string, headers array<string>, has_abstract boolean")
 
 
 def archive_structure(archive: DataFrame) -> DataFrame:
@@ -239,3 +244,49 @@ def section_class(header: Column) -> Column:
     for pattern, name in reversed(rules):
         out = F.when(h.rlike(pattern), name).otherwise(out)
     return out
+
+
+def sections(papers: DataFrame, key: str, text: str) -> DataFrame:
+    """key, place, header, kind, content: the abstract (place 0) and each section from its command to the next one's (survey X8)."""
+    abstract = F.trim(F.regexp_extract(text, r"(?s)\\begin\{abstract\}(.*?)\\end\{abstract\}", 1))
+    first = F.when(F.col(text).rlike(r"(?s)\\begin\{abstract\}.*\\end\{abstract\}"), F.array(F.struct(F.lit("Abstract").alias("header"), F.lit("abstract").alias("kind"), abstract.alias("content")))).otherwise(F.array())
+    parts = F.filter(F.split(text, r"(?=\\section\{[^}]+\})"), lambda p: p.startswith("\\section{"))
+
+    def named(part: Column) -> Column:
+        header = F.regexp_extract(part, r"^\\section\{([^}]+)\}", 1)
+        return F.struct(header.alias("header"), section_class(header).alias("kind"), part.alias("content"))
+
+    return papers.select(key, F.posexplode(F.concat(first, F.transform(parts, named))).alias("place", "s")).select(key, "place", "s.*")
+
+
+def is_bibliography(name: Column) -> Column:
+    """Files that hold references and no text (survey X10)."""
+    return name.endswith(".bib") | name.endswith(".bbl") | (name.contains("ref") & name.endswith(".tex")) | name.contains("bibliograph")
+
+
+def archive_statistics(archive: DataFrame) -> DataFrame:
+    """statistic, name, n, pct of analysed archives (survey A43): kinds and structures, main files, abstracts, the 30 commonest headers and the 15
+    commonest extensions; shares are of sources that are not PDF, but for the kinds, rounded half up."""
+    a = archive_structure(archive)
+    source = a.where("not is_pdf")
+    total = a.agg(F.count("*").alias("all"), F.count_if(~F.col("is_pdf")).alias("sources"))  # one row
+
+    def counted(rows: DataFrame, statistic: str, name: Column, n: Column, of: str | None, most: int | None = None) -> DataFrame:
+        got = rows.groupBy(name.alias("name")).agg(n.cast("long").alias("n"))
+        got = got.orderBy(F.desc("n"), "name").limit(most) if most else got
+        share = F.floor(100 * F.col("n") / F.col(of) + 0.5).cast("long") if of else F.lit(None).cast("long")
+        return got.join(F.broadcast(total)).select(F.lit(statistic).alias("statistic"), "name", "n", share.alias("pct"))
+
+    one = F.count("*")
+    parts = [
+        counted(a, "kind", F.when(F.col("is_pdf"), "pdf").otherwise("source"), one, "all"),
+        counted(source, "structure", F.col("structure"), one, "sources"),
+        counted(a.where("main_file is not null"), "main_file", F.col("main_file"), one, None),
+        counted(source, "abstract", F.when(F.col("has_abstract"), "yes").otherwise("no"), one, "sources"),
+        counted(source.select(F.explode("headers").alias("h")), "header", F.lower(F.trim("h")), one, "sources", 30),
+        counted(a.select(F.explode("extensions").alias("ext", "c")), "extension", F.col("ext"), F.sum("c"), None, 15),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

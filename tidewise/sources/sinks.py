@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def header(items: DataFrame, ts: str, title: str) -> DataFrame:
-    """One row: the header text of a data set (totals and date range)."""
-    s = items.agg(F.count("*").alias("n"), F.date_format(F.min(ts), "yyyy-MM-dd").alias("a"), F.date_format(F.max(ts), "yyyy-MM-dd").alias("b"))
-    return s.select(F.format_string("# %s\n# Format: JSON lines, newest first\n# Total items: %s\n# Date range: %s to %s", F.lit(title), F.format_number("n", 0), F.coalesce("a", F.lit("-")), F.coalesce("b", F.lit("-"))).alias("value"))
+def header(items: DataFrame, ts: str, title: str, statistics: dict[str, Column] | None = None) -> DataFrame:
+    """One row: the header text of a data set: totals, date range and a line for each statistic (an aggregate of the items)."""
+    numbers = {f"_s{i}": c for i, c in enumerate((statistics or {}).values())}
+    s = items.agg(F.count("*").alias("n"), F.date_format(F.min(ts), "yyyy-MM-dd").alias("a"), F.date_format(F.max(ts), "yyyy-MM-dd").alias("b"), *[c.alias(n) for n, c in numbers.items()])
+    top = F.format_string("# %s\n# Format: JSON lines, newest first\n# Total items: %s\n# Date range: %s to %s", F.lit(title), F.format_number("n", 0), F.coalesce("a", F.lit("-")), F.coalesce("b", F.lit("-")))
+    lines = [F.concat(F.lit(f"# {name}: "), F.coalesce(F.col(n).cast("string"), F.lit("-"))) for name, n in zip(statistics or {}, numbers, strict=True)]
+    return s.select(F.concat_ws("\n", top, *lines).alias("value"))
 
 
 def json_lines(items: DataFrame, ts: str, key: str, title: str, path: str) -> None:
@@ -46,3 +49,9 @@ def append_snapshot(rows: DataFrame, fetched_at: str, path: str) -> None:
 def bar(share: Column, width: int = 20) -> Column:
     full = F.floor(share * width).cast("int")
     return F.concat(F.repeat(F.lit("█"), full), F.repeat(F.lit("░"), F.lit(width) - full))
+
+
+def table_lines(rows: DataFrame, name: str, number: str, share: Column, width: int = 14) -> DataFrame:
+    """value: a line of a report table for each row: name, number, share in per cent and its bar (survey K10)."""
+    pct = F.lpad(F.format_string("%.1f%%", 100 * share), 7, " ")
+    return rows.select(F.concat(F.rpad(F.col(name), width, " "), F.lpad(F.format_number(number, 0), 10, " "), pct, F.lit(" "), bar(share)).alias("value"))

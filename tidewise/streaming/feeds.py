@@ -97,3 +97,48 @@ def run_control_ticks(stream: DataFrame, tick, name: str) -> str:
 
     stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
     return f"{path}/data"
+
+
+LIMITS = "item long, learned double, observations long, resets long"
+
+
+def _limits(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    last, seen, resets = state.get if state.exists else ([], 0, 0)
+    last = list(last)
+    rows = pd.concat(list(batches)).sort_values(["ts", "event_id"])
+    for value in rows["value"]:
+        resets += bool(last) and value < last[-1] - 5
+        last = [*last, float(value)][-10:]
+        seen += 1
+    state.update((last, int(seen), int(resets)))
+    yield pd.DataFrame({"item": [key[0]], "learned": [sorted(last)[len(last) // 2] if len(last) >= 3 else None], "observations": [seen], "resets": [resets]})
+
+
+def learned_limits(stream: DataFrame) -> DataFrame:
+    """The limit learned from each item's observations (survey R10): the middle one of the last ten, from three on, and how often the count fell back;
+    a row for each item and micro-batch."""
+    return stream.groupBy("user_id").applyInPandasWithState(_limits, LIMITS, "last array<double>, seen long, resets long", "append", GroupStateTimeout.NoTimeout)
+
+
+def json_appended(stream: DataFrame, name: str) -> DataFrame:
+    """The stream appended as JSON lines in the shared folder (survey K6), and read back."""
+    spark, path = stream.sparkSession, shared(stream.sparkSession, name)
+    stream.writeStream.format("json").option("path", f"{path}/data").option("checkpointLocation", f"{path}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).json(f"{path}/data")
+
+
+def run_cohort(stream: DataFrame, gains, plan, name: str) -> str:
+    """Control ticks over a cohort (survey R2, R3, R5): each micro-batch's gains (item, day, delta) join the state, the whole cohort is planned anew
+    (`plan` gives a dictionary of DataFrames of the state), and every result is written for the tick; returns the folder.
+
+    The state is the gains seen so far, a table that is only appended to, so a tick that is run again after a failure overwrites its own part alone."""
+    spark, path = stream.sparkSession, shared(stream.sparkSession, name)
+
+    def on_batch(batch: DataFrame, number: int) -> None:
+        gains(batch).write.mode("overwrite").parquet(f"{path}/state/batch={number}")
+        state = spark.read.parquet(f"{path}/state").where(F.col("batch") <= number).groupBy("item", "day").agg(F.sum("delta").alias("delta"))
+        for what, rows in plan(state).items():
+            rows.write.mode("overwrite").parquet(f"{path}/{what}/tick={number}")
+
+    stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", f"{path}/offsets").trigger(availableNow=True).start().awaitTermination()
+    return path
