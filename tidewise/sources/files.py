@@ -13,12 +13,17 @@ ENTRY = "struct<id: string, title: string, summary: string, published: string, u
 POST = "struct<id: string, url: string, title: string, content: string, publishedAt: string, published: string, date: string, author: string, sourceId: string>"
 
 
+def _plain(name: Column) -> Column:
+    """A name out of a URI as it is on disk; a plus sign is no blank."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def file_name() -> Column:
-    return F.col("_metadata.file_name")
+    return _plain(F.col("_metadata.file_name"))
 
 
 def parent_folder() -> Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1)
+    return _plain(F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1))
 
 
 def whole_files(spark: SparkSession, path: str, glob: str, recursive: bool = False, modified_after: str | None = None) -> DataFrame:
@@ -90,9 +95,24 @@ def category_config(spark: SparkSession, path: str) -> DataFrame:
     return lines.withColumn("category", above).where("k = 'start_date' and category is not null").select("category", F.to_date("v").alias("start_date"))
 
 
+def _hidden_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of one small file whose name Spark's readers pass over (it begins with a full stop), read through the store's own interface."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(target)
+    try:
+        scanner = jvm.java.util.Scanner(stream, "UTF-8").useDelimiter("\\A")
+        text = scanner.next() if scanner.hasNext() else ""
+    finally:
+        stream.close()
+    return spark.createDataFrame(list(enumerate(text.splitlines())), "line int, value string")
+
+
 def settings(spark: SparkSession, path: str) -> DataFrame:
     """key, value of KEY=VALUE lines, split at the first sign; comments and blanks go."""
-    lines = numbered_lines(spark, path).select(F.trim("value").alias("l")).where("l <> '' and not startswith(l, '#') and contains(l, '=')")
+    hidden = path.rsplit("/", 1)[-1][:1] in "._"
+    whole = _hidden_lines(spark, path) if hidden else numbered_lines(spark, path)
+    lines = whole.select(F.trim("value").alias("l")).where("l <> '' and not startswith(l, '#') and contains(l, '=')")
     both = F.split("l", "=", 2)
     return lines.select(F.trim(both[0]).alias("key"), F.trim(both[1]).alias("value"))
 
