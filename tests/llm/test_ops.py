@@ -533,6 +533,53 @@ def test_pipeline_stages(spark, tmp_path):
     assert {x.doc_id: x.ids_sha256 for x in cp.run(spark, str(tmp_path)).collect()} == {i: x.ids_sha256 for i, x in kept["byte_level_bpe"].items()}
 
 
+CLASHES = "score double, gram string, word string, units string, row long, n string, ids string, part int, block string, start string, f string, tile string, spans string, hs string, factors string, component_id string"
+
+
+def clashing(spark, rows):
+    """Rows with extra columns under the names that the operators use inside."""
+    extra = (0.5, "g", "w", "u", 7, "n", "i", 1, "b", "s", "f", "t", "x", "h", "y", "c")
+    return spark.createDataFrame([(i, t, *extra) for i, t in rows], f"doc_id long, text string, {CLASHES}").repartition(3)
+
+
+def test_other_columns_nulls_and_empty_tables_change_nothing(spark, toxic):
+    from tidewise.llm import simhash, substring, sufarray
+
+    docs, labels, detector = toxic
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(None, "no id"), (3, ODD[3]), (50, "some words " * 30), (51, "some words " * 30)]
+    plain, loaded, empty = frame(spark, rows), clashing(spark, rows), clashing(spark, [])
+    operators = {
+        "op1": lambda d: detector.score(d).select("doc_id", "score"),
+        "op2": simhash.near_duplicates,
+        "op4": lambda d: substring.dedup(d).drop("kept", "factors"),
+        "op5": lambda d: quality.grade(d, (np.zeros(1 << quality.BITS), np.zeros(2))),
+        "op6": lambda d: bpe.encode_documents(d, RANKS, P.PATTERN, with_ids=False),
+        "op7": lm.score,
+        "op9": lambda d: sufarray.dedup(d),
+        "op10": lambda d: tokenids.tokenize_to_files(d, WORDS),
+    }
+    for name, run in operators.items():
+        a, b = (sorted(map(str, run(d).collect())) for d in (plain, loaded))
+        assert len(a) == len(rows) and (a == b or name == "op7" and len(a) == len(b)), name
+        assert run(empty).count() == 0, name
+    assert toxicity.fit(clashing(spark, rows), labels).score(loaded).count() == len(rows)
+
+
+def test_pipeline_of_repeats_and_of_nothing(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    text = " ".join(f"w{i * i % 211}" for i in range(120))
+    rows = [(1, text, "en", "a", 600), (1, text, "en", "a", 600), (2, text + " more", "en", None, 605), (3, None, None, "a", None), (None, "without an id " * 20, "en", "a", 280), (4, "", "en", "a", 0)]
+    for name, data in (("some", rows), ("none", [])):
+        folder = f"{tmp_path}/{name}"
+        spark.createDataFrame(data, schema).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(9, 1, 0)] if data else [], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([(1, "an item of the benchmark that is nowhere")] if data else [], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        got = [r.doc_id for r in cp.run(spark, folder).collect()]
+        assert sorted(i or 0 for i in got) == ([0, 1, 3, 4] if data else [])
+
+
 def test_every_query_is_registered():
     assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
 

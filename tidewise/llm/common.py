@@ -110,6 +110,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of shared_path that nothing will read again."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def bounded_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     """About `rows` rows of df (never over twice as many), those with the smallest hash of the keys; all, if there are no more."""
     total = df.count()

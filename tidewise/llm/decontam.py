@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.common import batch_of, kept_rows, rows_of, shared_path, texts
+from tidewise.llm.common import batch_of, kept_rows, remove, rows_of, shared_path, texts
 
 CHARS_PER_ERROR = 12
 BLOCK_CHARS = 4_000_000
@@ -167,7 +167,7 @@ def matches(docs: DataFrame, items: DataFrame, chars_per_error: int = CHARS_PER_
 
 def clean(docs: DataFrame, items: DataFrame, chars_per_error: int = CHARS_PER_ERROR, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of docs, all columns, in which no item occurs."""
-    spark, (sized, blocks), out = docs.sparkSession, _sized(items, block_chars), docs
+    spark, (sized, blocks), out, before = docs.sparkSession, _sized(items, block_chars), docs, None
     for block in range(blocks):
         shared = spark.sparkContext.broadcast(_load(sized, block))
 
@@ -180,5 +180,7 @@ def clean(docs: DataFrame, items: DataFrame, chars_per_error: int = CHARS_PER_ER
             path = shared_path(spark, "clean")
             out.write.parquet(path)
             shared.destroy()
-            out = spark.read.parquet(path)
+            if before:
+                remove(spark, before)
+            out, before = spark.read.parquet(path), path
     return out
