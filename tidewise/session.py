@@ -15,6 +15,7 @@ def build(master: str | None = None, **conf: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in (defaults | {k.replace("__", "."): v for k, v in conf.items()}).items():
         builder = builder.config(key, value)
