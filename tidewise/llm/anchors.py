@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.common import batch_of, cut, sliding
+from tidewise.llm.common import batch_of, cut, forget_state, sliding
 
 PIECE = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
@@ -146,6 +146,7 @@ def anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
     stands for, or that it is known to repeat already (0), so a hash that very many documents hold gives one unsettled row a batch."""
 
     def run(batches):
+        forget_state()
         for batch in batches:
             out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for at in range(0, batch.num_rows, 512):

@@ -7,6 +7,9 @@ holds a bounded number of bytes whatever the length of the texts.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -52,6 +55,16 @@ def worker_state(key, make):
     return _held[1]
 
 
+def forget_state() -> None:
+    """Give up the state that an earlier operator left in this worker process, and its memory: what comes next needs none."""
+    if _held[0] is None:
+        return
+    _held[0] = _held[1] = None
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can trim
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def kept_rows(docs: DataFrame, column: str, judge) -> DataFrame:
     """The rows of docs, all columns, for which judge() gives a function that is true of the column's value; rows pass as Arrow slices."""
     place = docs.columns.index(column)

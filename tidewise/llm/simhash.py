@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.common import batch_of, components, cut, forest, is_small, raw, rows_of, texts
+from tidewise.llm.common import batch_of, components, cut, forest, forget_state, is_small, raw, rows_of, texts
 
 SEED = 42
 SEGMENTS = 6
@@ -75,6 +75,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches):
+        forget_state()
         for keys, rows in rows_of(batches, "doc_id", "text"):
             votes = [vote(shingle_hashes(raw(t).lower().split(), shingle)) for t in rows]
             yield batch_of(schema, doc_id=keys, fp=np.array(votes, np.uint64).view(np.int64))
@@ -97,6 +98,7 @@ def shingle_sets(docs: DataFrame, shingle: int, *wanted: str) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), *[(w, kinds[w][1]) for w in wanted]])
 
     def run(batches):
+        forget_state()
         for keys, rows in rows_of(batches, "doc_id", "text"):
             sets = [np.unique(shingle_hashes(raw(t).lower().split(), shingle)) for t in rows]
             yield batch_of(schema, doc_id=keys, **{w: [make[w](h) for h in sets] for w in wanted})
@@ -190,6 +192,7 @@ def compare_tiles(spread: DataFrame, radius: int, block: int = BLOCK, step: int
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
+        forget_state()
         key, fp, node = None, np.empty(0, np.uint64), np.empty(0, np.int64)
 
         def link(nodes_a, fps_a, nodes_b, fps_b, upper):
@@ -306,6 +309,7 @@ def candidates(spread: DataFrame, radius: int, similarity: float, block: int = B
     schema = pa.schema([("tile", pa.int64()), ("blk", pa.int64()), ("role", pa.int32()), ("node", pa.int64())])
 
     def run(batches):
+        forget_state()
         key, held = None, []
         for batch in batches:
             if not batch.num_rows:
@@ -383,6 +387,7 @@ def exact_links(found: DataFrame, sets: DataFrame, similarity: float, set_rows:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
+        forget_state()
         key, held, nodes, sets, size, root = None, [], [], [], 0, {}
 
         def find(x):

@@ -42,6 +42,7 @@ MAX_FEATURES = 4_096
 #: are no more; the language model's counts cover all training texts.
 SAMPLE_ROWS = 30_000
 CACHE = 200_000
+MEMO = 400_000
 ALL = " "  # counts the texts; no feature is a blank
 SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 EDGE = ".,;:!?\"'()[]{}<>«»„“”…"
@@ -71,7 +72,7 @@ class CharModel:
                 tail = context[len(context) - k :] if k else ""
                 p = (self.levels[k].get(tail, {}).get(c, 0) + LAMBDA * p) / (self.totals[k].get(tail, 0) + LAMBDA)
             got = self.memo[context + c] = -math.log(p)
-            if len(self.memo) > 1_000_000:
+            if len(self.memo) > MEMO:
                 self.memo.clear()
         return got
 
