@@ -39,7 +39,8 @@ def temperatures(state: DataFrame, today: int, lam: float = 0.15) -> DataFrame:
 def queue(warm: DataFrame, today: int, lam: float = 0.15, stagger: bool = False) -> DataFrame:
     """warm with interval, due (hours since day 0), lateness and priority; `stagger` moves due by up to 15 % by a hash of the item."""
     dt = models.young_or_idle_interval(models.interval_hours(F.col("temperature")), F.col("scrapes"), F.col("zero_streak"))
-    shift = (F.pmod(F.xxhash64("item"), F.lit(3001)) / 10_000.0 - 0.15) if stagger else F.lit(0.0)
+    drawn = F.conv(F.substring(F.md5(F.col("item").cast("string").cast("binary")), 1, 8), 16, 10).cast("long")
+    shift = (drawn % 3001 / 10_000.0 - 0.15) if stagger else F.lit(0.0)
     q = warm.withColumn("interval", dt).withColumn("due", F.col("day") * 24.0 + F.col("interval") * (1 + shift))
     late = F.greatest((today * 24.0 - F.col("due")) / F.col("interval"), F.lit(0.0))
     fresh = F.col("last_gain_day").isNotNull() & ((today - F.col("last_gain_day")) * 24.0 < F.col("interval"))

@@ -27,9 +27,9 @@ def feed(spark: SparkSession, sf_dir: str, table: str = "events") -> DataFrame:
     return raw.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", DELAY)
 
 
-def drained(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a stream over all that is there, into Parquet in the shared folder, and read that."""
-    spark, path = stream.sparkSession, shared(stream.sparkSession, name)
+def drained(stream: DataFrame, name: str, mode: str = "append", path: str | None = None) -> DataFrame:
+    """Run a stream over all that is there, into Parquet in the shared folder, and read that; with a path used before, from where it stopped."""
+    spark, path = stream.sparkSession, path or shared(stream.sparkSession, name)
     query = stream.writeStream.format("parquet").option("path", f"{path}/data").option("checkpointLocation", f"{path}/state").outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/data")
