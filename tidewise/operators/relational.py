@@ -84,11 +84,16 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return (upto.join(total, keys) if keys else upto.join(F.broadcast(total))).drop("_c")  # without keys the total is one row
 
 
+def nearest_ranks(df: DataFrame, keys: list[str], value: str, shares: dict[str, float], top: bool = False) -> DataFrame:
+    """sorted[floor(n * share)] of each key for each named share (with `top`, at most the last index)."""
+    upto = value_counts(df, keys, value)
+    want = {n: F.floor(F.col("n") * F.lit(s)) for n, s in shares.items()}
+    want = {n: F.least(w, F.col("n") - 1) for n, w in want.items()} if top else want
+    return upto.groupBy(*keys).agg(*[F.min(F.when(F.col("upto") > w, F.col(value))).alias(n) for n, w in want.items()])
+
+
 def nearest_rank(df: DataFrame, keys: list[str], value: str, share: float, name: str, top: bool = False) -> DataFrame:
-    """sorted[floor(n * share)] of each key (with `top`, at most the last index)."""
-    want = F.floor(F.col("n") * F.lit(share))
-    want = F.least(want, F.col("n") - 1) if top else want
-    return value_counts(df, keys, value).where(F.col("upto") > want).groupBy(*keys).agg(F.min(value).alias(name))
+    return nearest_ranks(df, keys, value, {name: share}, top)
 
 
 def percentiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:

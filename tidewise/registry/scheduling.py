@@ -227,5 +227,4 @@ def q_interval_percentiles(spark, sf_dir):
     """Nearest-rank median and p90 of the gaps between observations of a kind."""
     before = relational.lagged(observations(spark, sf_dir).select("kind", "sec", "seq"), ["kind"], ["sec", "seq"], "sec", "before")
     gaps = before.select("kind", F.round(F.col("sec") - F.col("before"), 6).alias("gap")).where("gap is not null")
-    mid, high = relational.nearest_rank(gaps, ["kind"], "gap", 0.5, "median"), relational.nearest_rank(gaps, ["kind"], "gap", 0.9, "p90", top=True)
-    return mid.join(high, "kind").join(gaps.groupBy("kind").agg(F.max("gap").alias("longest")), "kind").select("kind", "median", "p90", "longest")
+    return relational.nearest_ranks(gaps, ["kind"], "gap", {"median": 0.5, "p90": 0.9, "longest": 1.0}, top=True)

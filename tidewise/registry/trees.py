@@ -116,7 +116,9 @@ def q_interesting(spark, sf_dir):
     The percentiles come from counts of distinct values, summed over ranges of values."""
     s = cut_lineage(_scored(spark, sf_dir))  # read by both thresholds and by the filter
 
-    limits = relational.nearest_rank(s, [], "imp", 0.95, "imp_at").join(F.broadcast(relational.nearest_rank(s, [], "vel", 0.9, "vel_at")))  # one row each
+    both = s.select(F.inline(F.array(F.struct(F.lit("imp").alias("which"), F.col("imp").alias("x")), F.struct(F.lit("vel").alias("which"), F.col("vel").alias("x")))))
+    ranks = relational.nearest_ranks(both, ["which"], "x", {"p95": 0.95, "p90": 0.9})  # a row for each of the two
+    limits = ranks.agg(F.max(F.when(F.col("which") == "imp", F.col("p95"))).alias("imp_at"), F.max(F.when(F.col("which") == "vel", F.col("p90"))).alias("vel_at"))
     conflict = F.lit(False)
     for w in CONFLICT:
         conflict |= F.lower("text").contains(w)
