@@ -376,7 +376,8 @@ def _counts(batches):
 def char_model(docs: DataFrame) -> dict[str, int]:
     """4-gram counts over all of the given texts; the MAX_GRAMS most frequent make the model."""
     counted = docs.select("text").mapInArrow(_counts, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {r.gram: r.n for r in counted.orderBy(F.desc("n"), "gram").limit(MAX_GRAMS).collect()}
+    best = counted.orderBy(F.desc("n"), "gram").limit(MAX_GRAMS).toArrow()  # as columns: far smaller on the driver than rows
+    return dict(zip(best.column("gram").to_pylist(), best.column("n").to_pylist(), strict=True))
 
 
 def fit_logistic(rows: list[list[int]], labels: np.ndarray, size: int, l2: float = 2e-4, rounds: int = 400) -> np.ndarray:
