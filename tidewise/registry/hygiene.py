@@ -30,24 +30,24 @@ def q_history_repair(spark, sf_dir):
     return h.select("item", F.size("h").cast("long").alias("before"), F.size(hygiene.repaired(F.col("h"), F.col("deleted"))).cast("long").alias("after"), hygiene.null_marks(F.col("h"), F.col("deleted")).alias("fixed"))
 
 
-TELEMETRY = "SELECT user_id % 25 AS subreddit, event_id AS post_id, CAST(floor(value) AS BIGINT) AS requests_used, event_id % 7 AS delta_info FROM events"
+TELEMETRY = "SELECT user_id % 25 AS community, event_id AS post_id, CAST(floor(value) AS BIGINT) AS requests_used, event_id % 7 AS delta_info FROM events"
 
 
 def _telemetry(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select((F.col("user_id") % 25).alias("subreddit"), F.col("event_id").alias("post_id"), F.floor("value").cast("long").alias("requests_used"), (F.col("event_id") % 7).alias("delta_info"))
+    rows = table(spark, sf_dir, "events").select((F.col("user_id") % 25).alias("community"), F.col("event_id").alias("post_id"), F.floor("value").cast("long").alias("requests_used"), (F.col("event_id") % 7).alias("delta_info"))
     rows.createOrReplaceTempView("scrape_telemetry")
 
 
-@query(f"WITH scrape_telemetry AS ({TELEMETRY}) SELECT subreddit, post_id, requests_used, delta_info FROM scrape_telemetry ORDER BY requests_used DESC, post_id LIMIT 50")
+@query(f"WITH scrape_telemetry AS ({TELEMETRY}) SELECT community, post_id, requests_used, delta_info FROM scrape_telemetry ORDER BY requests_used DESC, post_id LIMIT 50")
 def q_costly_posts(spark, sf_dir):
     _telemetry(spark, sf_dir)
-    return spark.sql("SELECT subreddit, post_id, requests_used, delta_info FROM scrape_telemetry ORDER BY requests_used DESC, post_id LIMIT 50")
+    return spark.sql("SELECT community, post_id, requests_used, delta_info FROM scrape_telemetry ORDER BY requests_used DESC, post_id LIMIT 50")
 
 
-@query(f"WITH scrape_telemetry AS ({TELEMETRY}) SELECT post_id, subreddit, round(delta_info / requests_used::DOUBLE, 6) AS vpr FROM scrape_telemetry WHERE requests_used > 50 ORDER BY vpr DESC, post_id")
+@query(f"WITH scrape_telemetry AS ({TELEMETRY}) SELECT post_id, community, round(delta_info / requests_used::DOUBLE, 6) AS vpr FROM scrape_telemetry WHERE requests_used > 50 ORDER BY vpr DESC, post_id")
 def q_value_outliers(spark, sf_dir):
     _telemetry(spark, sf_dir)
-    return spark.sql("SELECT post_id, subreddit, round(delta_info / requests_used, 6) AS vpr FROM scrape_telemetry WHERE requests_used > 50 ORDER BY vpr DESC, post_id")
+    return spark.sql("SELECT post_id, community, round(delta_info / requests_used, 6) AS vpr FROM scrape_telemetry WHERE requests_used > 50 ORDER BY vpr DESC, post_id")
 
 
 @query(f"WITH {STATE} SELECT item, round(day * 24.0::DOUBLE + interval * (1 + (CAST('0x' || substr(md5(CAST(item AS VARCHAR)), 1, 8) AS BIGINT) % 3001) / 10000.0::DOUBLE - 0.15::DOUBLE), 6) AS due FROM dt")
