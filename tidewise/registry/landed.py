@@ -280,3 +280,29 @@ def q_thread_file_sink(spark, sf_dir):
     sinks.thread_files(nodes.select(F.col("r_name").alias("thread"), F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("node"), F.col("n_name").alias("author")), path)
     rows = spark.read.option("recursiveFileLookup", False).text(path, wholetext=True)
     return rows.select("thread", F.explode(F.from_json("value", "map<string, struct<node: string, author: string>>")).alias("node", "x")).select("thread", "node", "x.author")
+
+
+@query("SELECT r_name || '.json' AS file, n, CASE WHEN late THEN 'since 3000' ELSE 'since 2000' END AS modified FROM (SELECT r_name, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name), (VALUES (false)) v(late)")
+def q_scan_modified(spark, sf_dir):
+    """Files modified after a time: those just landed are after 2000, and none is after 3000."""
+    path, found = shared(spark, "modified"), {}
+    for r in _nations(spark, sf_dir):
+        found.setdefault(r.r_name, []).append(r.n_name)
+    for name, nations in found.items():
+        put(spark, f"{path}/{name}.json", json.dumps(nations))
+    out = None
+    for year in ("2000", "3000"):
+        seen = files.whole_files(spark, path, "*.json", modified_after=f"{year}-01-01T00:00:00")
+        part = seen.select("file", F.json_array_length("value").cast("long").alias("n"), F.lit(f"since {year}").alias("modified"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("SELECT n_name || ': ' || count(s_suppkey) || ' suppliers' AS value FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_name")
+def q_report_sink(spark, sf_dir):
+    """A text report, a line a nation, written and read back."""
+    path = shared(spark, "report")
+    found = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.count("*").alias("c"))
+    rows = table(spark, sf_dir, "nation").join(found, "n_nationkey", "left")
+    sinks.report(rows, F.concat("n_name", F.lit(": "), F.coalesce("c", F.lit(0)).cast("string"), F.lit(" suppliers")), path)
+    return spark.read.text(path)
