@@ -56,11 +56,11 @@ def test_encode_and_decode_documents(spark):
 
 @pytest.mark.parametrize("cache", [400_000, 4])
 def test_token_files(spark, monkeypatch, tmp_path, cache):
-    monkeypatch.setattr(tokenids, "BLOCK_DOCS", 3)
     r = random.Random(2)
     rows = list(enumerate(ODD)) + [(100 + i, " ".join(r.choice(["the", "Cat,", "sat.", "Über", "don't", "x9"]) for _ in range(r.randint(0, 30)))) for i in range(40)]
     path = str(tmp_path / "t")
-    tokenids.write_tokens(frame(spark, rows), WORDS, path)
+    tokenids.write_tokens(frame(spark, rows), WORDS, path, block_docs=3, block_tokens=100_000 if cache > 4 else 20)
+    assert spark.read.parquet(path).count() >= len(rows) // 3
     got = {x.doc_id: x for x in tokenids.read_tokens(spark, path, with_ids=True).collect()}
     library, at = Tokenizer.from_file(WORDS), 0
     for i, text in sorted(rows):

@@ -168,8 +168,8 @@ def _shared(dictionary: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(dictionary) if dictionary else None
 
 
-def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2) -> None:
-    """Encode every document and write the block table to `path`."""
+def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2, block_docs: int = BLOCK_DOCS, block_tokens: int = BLOCK_TOKENS) -> None:
+    """Encode every document and write the block table to `path`; a block ends with `block_docs` documents or so many bytes as `block_tokens` ids take."""
     dictionary = train_dictionary(docs, tokenizer_path, end_id)
     digest, end = hashlib.sha256(dictionary).hexdigest(), int(end_id).to_bytes(4, "little")
 
@@ -192,7 +192,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
                 counts.append(len(data) // 4 + 1)
                 frames.append(frame)
                 offsets.append(offsets[-1] + len(frame))
-                if len(ids) >= BLOCK_DOCS or offsets[-1] >= 4 * BLOCK_TOKENS:
+                if len(ids) >= block_docs or offsets[-1] >= 4 * block_tokens:
                     yield full()
                     start += sum(counts)
                     block, ids, counts, offsets, frames = block + 1, [], [], [0], []
