@@ -135,12 +135,19 @@ SALTS = 64
 _WIDE = 1 << 20
 
 
+def _looked_up(spread: DataFrame, facts: DataFrame) -> DataFrame:
+    """spread with what is known of some tiles (facts, whose lineage is cut): broadcast if they are few, else by a join that is salted by document."""
+    if is_small(facts):
+        return spread.join(F.broadcast(facts), "tile", "left")
+    salted = facts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return spread.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(salted, ["tile", "salt"], "left").drop("salt")
+
+
 def _split_hot(spread: DataFrame, block: int) -> DataFrame:
     """Adds blk, the unit of work of a row: one a tile, or, for a tile with over `block` members or probes, one for each pair of blocks of them.
 
     Members and probes of such a tile are dealt to blocks by hash: a block of members meets itself (blk < 0), each later block of members and each block of
-    probes (blk > 0, where members are not compared among themselves), so a unit holds about two blocks.  The hot tiles are broadcast if they are few, else
-looked up by a salted join."""
+    probes (blk > 0, where members are not compared among themselves), so a unit holds about two blocks."""
     sizes = spread.groupBy("tile").agg(F.count_if(F.col("role") == 0).alias("members"), F.count_if(F.col("role") == 1).alias("probes"))
     hot = sizes.where((F.col("members") > block) | (F.col("probes") > block) & (F.col("members") > 0))
     hot = cut(hot.select("tile", F.ceil(F.col("members") / block).alias("nb"), F.ceil(F.col("probes") / block).alias("pb")))
@@ -160,11 +167,7 @@ looked up by a salted join."""
     probe = units(F.col("nb"), lambda i: F.lit(True), lambda i: pair(i, own) + 2, 1)
     alone = F.array(F.struct(F.lit(0).cast("long").alias("blk"), F.col("role").alias("role")))
     more = [c for c in spread.columns if c not in ("tile", "role", "fp", "node")]
-    if is_small(hot):
-        dealt = spread.join(F.broadcast(hot), "tile", "left")
-    else:
-        salted = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        dealt = spread.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(salted, ["tile", "salt"], "left")
+    dealt = _looked_up(spread, hot)
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fp", "node"), F.greatest(F.when(member, F.col("nb")).otherwise(F.col("pb")), F.lit(1))))
     dealt = dealt.withColumn("unit", F.explode(F.when(F.col("nb").isNull(), alone).when(member, mine).otherwise(probe)))
     return dealt.select("tile", F.col("unit.blk").alias("blk"), F.col("unit.role").alias("role"), "fp", "node", *more)
@@ -314,7 +317,7 @@ def candidates(spread: DataFrame, radius: int, similarity: float, block: int = B
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tile, blk, role, f, n, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 3, 4, 6))
+            tile, blk, role, f, n, size, base = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 3, 4, 6, 7))
             f, sketch = f.astype(np.int64).view(np.uint64), None
             starts = np.concatenate([[0], np.flatnonzero((tile[1:] != tile[:-1]) | (blk[1:] != blk[:-1])) + 1, [len(tile)]])
             out = []
@@ -326,7 +329,7 @@ def candidates(spread: DataFrame, radius: int, similarity: float, block: int = B
                     continue
                 if sketch is None:
                     sketch, low = _sketches(batch.column(5))
-                members, number = s + int(np.searchsorted(role[s:e], 1)), int(tile[s]) % (1 << 64)
+                members, number = s + int(np.searchsorted(role[s:e], 1)), int(base[s]) % (1 << 64)
                 new, probes = (_Side(n[i:j], f[i:j], size[i:j], sketch[i:j], low[i:j]) for i, j in ((s, members), (members, e)))
                 before = [side.marked.copy() for side in held]
                 for side in [*held, new] if blk[s] <= 0 else []:
@@ -431,12 +434,24 @@ def exact_links(found: DataFrame, sets: DataFrame, similarity: float, set_rows:
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def refined(nodes: DataFrame, block: int) -> DataFrame:
+    """tile, role, fp, node, sketch, size, base: each document in the tiles of its smallest hashes (base).
+
+    A hash that over `block` documents have among their smallest makes no tile by itself but one with each of the document's other smallest hashes, so
+    a line that very many texts share gathers only those that share more.  (Sets of up to TILES hashes that are similar and not equal share two at least.)"""
+    spread = nodes.select(F.explode("low").alias("tile"), F.lit(0).alias("role"), "fp", "node", "sketch", "size", "low")
+    hot = cut(spread.groupBy("tile").count().where(F.col("count") > block).select("tile", F.lit(True).alias("hot")))
+    others = F.filter("low", lambda x: x != F.col("tile"))
+    tiles = F.when(F.col("hot"), F.transform(others, lambda x: F.xxhash64("tile", x))).otherwise(F.array("tile"))
+    return _looked_up(spread, hot).select(F.explode(tiles).alias("_tile"), "role", "fp", "node", "sketch", "size", F.col("tile").alias("base")).withColumnRenamed("_tile", "tile")
+
+
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, block: int = BLOCK, set_rows: int = SET_ROWS) -> DataFrame:
     """doc_id, component_id: documents linked by a shingle overlap (Jaccard of the sets of distinct shingles) of at least `similarity`.
 
     At the radius this needs (the expected distance at that overlap and DEVIATIONS deviations more) population counts alone
     rule out little, so a tile holds documents that have one of their TILES smallest shingle hashes in common: two documents
-    miss each other with probability (1 - similarity)**TILES at most.  Inside a tile the comparison is the same blocked
+    miss each other with probability (1 - similarity)**TILES at most (one power less where the shared hash is a common one, see refined).  Inside a tile the comparison is the same blocked
     exclusive-or with the same skipping rule; near pairs of fitting sizes whose sketches come within DEVIATIONS deviations of the
     similarity are candidates, in the first tile they share.  Filters decide no link: the whole shingle sets of a block's candidates are brought to
     it and compared exactly, all pairs not joined there yet.
@@ -447,7 +462,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, b
     marked = shingle_sets(docs, shingle, "mark", "fp", "low", "sketch", "size")
     nodes = marked.where("size > 0").groupBy("mark", "fp", "low", "sketch", "size").agg(F.min("doc_id").alias("node")).where("node is not null")
     nodes = cut(nodes)
-    spread = nodes.select(F.explode("low").alias("tile"), F.lit(0).alias("role"), "fp", "node", "sketch", "size")
+    spread = refined(nodes, block)
     found = cut(candidates(spread, radius, similarity, block))
     chosen = cut(found.select(F.col("node").alias("doc_id")).distinct())
     wanted = texts(docs).join(F.broadcast(chosen) if is_small(chosen) else chosen, "doc_id", "left_semi")
