@@ -42,13 +42,16 @@ MAX_FEATURES = 4_096
 #: are no more; the language model's counts cover all training texts.
 SAMPLE_ROWS = 30_000
 CACHE = 200_000
-MEMO = 400_000
+MEMO = 300_000
 ALL = " "  # counts the texts; no feature is a blank
 SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 EDGE = ".,;:!?\"'()[]{}<>«»„“”…"
 PREFIXES = (4, 5, 6)
 
 
+_NONE: dict[str, int] = {}
+
+
 class CharModel:
     """Interpolated character 4-gram model over words; a blank stands for both ends of a word."""
 
@@ -61,19 +64,24 @@ class CharModel:
                 row = self.levels[k].setdefault(context, {})
                 row[c] = row.get(c, 0) + n
                 self.totals[k][context] = self.totals[k].get(context, 0) + n
-        self.memo: dict[str, float] = {}
+        self.memo: dict[str, float] = {}  # recent costs, and those before them
+        self.old: dict[str, float] = {}
 
     def cost(self, context: str, c: str) -> float:
         """Negative log-probability of c after the three characters of context."""
-        got = self.memo.get(context + c)
+        gram = context + c
+        got = self.memo.get(gram)
         if got is None:
-            p = 1e-4
-            for k in range(ORDER):
-                tail = context[len(context) - k :] if k else ""
-                p = (self.levels[k].get(tail, {}).get(c, 0) + LAMBDA * p) / (self.totals[k].get(tail, 0) + LAMBDA)
-            got = self.memo[context + c] = -math.log(p)
-            if len(self.memo) > MEMO:
-                self.memo.clear()
+            got = self.old.get(gram)
+            if got is None:
+                p = 1e-4
+                for k in range(ORDER):
+                    tail = context[len(context) - k :] if k else ""
+                    p = (self.levels[k].get(tail, _NONE).get(c, 0) + LAMBDA * p) / (self.totals[k].get(tail, 0) + LAMBDA)
+                got = -math.log(p)
+            if len(self.memo) >= MEMO:
+                self.memo, self.old = {}, self.memo
+            self.memo[gram] = got
         return got
 
     def numeral(self, context: str, c: str) -> float:
@@ -266,6 +274,18 @@ class Restorer:
     def spaced(self, run: str) -> tuple[str, ...]:
         return tuple(w for w in restore(" ".join(run.split()), self.model).split() if len(w) > 1)
 
+    def words(self, text: str | None) -> set[str]:
+        """The distinct restored words of a text, but for those that blanks break."""
+        low = (text or "").lower()
+        words = low.split()
+        out = {x for w in set(words) for x in self.token(w)}
+        return out.union(*map(self.spaced, spelt_out(low, words)))
+
+
+def spelt_out(low: str, words: list[str]) -> list[str]:
+    """Runs of three or more single characters."""
+    return SPACED.findall(low) if list(map(len, words)).count(1) > 2 else []
+
 
 def word_features(word: str) -> list[str]:
     """A word, and its beginnings behind a line break, which no word holds."""
@@ -273,25 +293,24 @@ def word_features(word: str) -> list[str]:
 
 
 class Features:
-    """Distinct features of restored texts; with `known`, the numbers of those it holds.
+    """Numbers of the known features in texts whose words are restored.
 
     Recent tokens are remembered in two generations: those without features as sets, so that most of a text is one set difference."""
 
-    def __init__(self, restorer: Restorer, known: dict[str, int] | None = None) -> None:
+    def __init__(self, restorer: Restorer, known: dict[str, int]) -> None:
         self.restorer, self.known = restorer, known
-        self.words = {f for f in known or () if f[0] != "\n"}
-        self.heads = {f.lstrip("\n")[: PREFIXES[0]] for f in known or ()}
+        self.words = {f for f in known if f[0] != "\n"}
+        self.heads = {f.lstrip("\n")[: PREFIXES[0]] for f in known}
         self.found: tuple[dict[str, tuple], dict[str, tuple]] = ({}, {})
         self.bare: tuple[set[str], set[str]] = (set(), set())
 
-    def _numbers(self, words) -> tuple:
-        if self.known is None:
-            return tuple([f for w in words for f in word_features(w)])
+    def numbers(self, words) -> tuple:
+        """Of words that are restored already."""
         heads, head, known = self.heads, PREFIXES[0], self.known
         return tuple([known[f] for w in words if w[:head] in heads for f in word_features(w) if f in known])
 
     def _learn(self, w: str) -> tuple:
-        got = self._numbers(self.restorer.token(w))
+        got = self.numbers(self.restorer.token(w))
         if not got:
             if len(self.bare[0]) >= CACHE:
                 self.bare = (set(), self.bare[0])
@@ -311,13 +330,13 @@ class Features:
             got = young.get(w) or old.get(w) or self._learn(w)
             if got:
                 out.update(got)
-        if list(map(len, words)).count(1) > 2:
-            for run in SPACED.findall(low):
-                out.update(self._numbers(self.restorer.spaced(run)))
-        if self.words:
-            for run in self._broken(words):
-                out.update(self._numbers(restore(run, self.restorer.model).split()))
-        return out
+        for run in spelt_out(low, words):
+            out.update(self.numbers(self.restorer.spaced(run)))
+        return out | self.broken(words)
+
+    def broken(self, words: list[str]) -> set:
+        """Of words that blanks break in the tokens of a text."""
+        return {x for run in self._broken(words) for x in self.numbers(restore(run, self.restorer.model).split())} if self.words else set()
 
     def _broken(self, words: list[str]) -> set[str]:
         """Two or three neighbouring tokens that together spell a word the model knows."""
@@ -456,21 +475,27 @@ def fit(docs: DataFrame, labels: DataFrame) -> Detector:
     sample = bounded_sample(toxic.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), SAMPLE_ROWS, "doc_id")
     # the sample's size is bounded, so it goes to the texts, not the texts to it; of equal texts one is used
     found = train.join(F.broadcast(sample), "doc_id").groupBy(F.xxhash64("text")).agg(F.min_by(F.struct("text", "toxic"), F.struct("doc_id", "text")).alias("r"))
-    marked = cut(found.select("r.text", "r.toxic"))
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((uuid.uuid4().hex, grams))
+    plain = pa.schema([("text", pa.string()), ("toxic", pa.int32()), ("words", pa.list_(pa.string()))])
+
+    def restored(batches):
+        reader = worker_state(shared.value[0], lambda: Restorer(CharModel(shared.value[1])))
+        for rows, ys in rows_of(batches, "text", "toxic"):
+            yield batch_of(plain, text=rows, toxic=ys, words=[sorted(reader.words(t)) for t in rows])
+
+    marked = cut(found.select("r.text", "r.toxic").mapInArrow(restored, "text string, toxic int, words array<string>"))  # restored once, read twice
     schema = pa.schema([("f", pa.string()), ("a", pa.int64()), ("b", pa.int64())])
 
     def count(batches):
-        found = worker_state(shared.value[0], lambda: Features(Restorer(CharModel(shared.value[1]))))
         seen: dict[str, list[int]] = {}
 
         def out():
             return batch_of(schema, f=list(seen), a=[x[1] for x in seen.values()], b=[x[0] for x in seen.values()])
 
-        for rows, ys in rows_of(batches, "text", "toxic"):
-            for text, y in zip(rows, ys, strict=True):
-                for f in found(text) | {ALL}:
+        for rows, ys in rows_of(batches, "words", "toxic"):
+            for words, y in zip(rows, ys, strict=True):
+                for f in {ALL, *[f for w in words for f in word_features(w)]}:
                     got = seen.get(f)
                     if got is None:
                         got = seen[f] = [0, 0]
@@ -494,8 +519,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Detector:
     def sparse(batches):
         uid, grams, features = known.value
         found = worker_state(uid, lambda: Features(Restorer(CharModel(grams)), {f: i for i, f in enumerate(features)}))
-        for rows, ys in rows_of(batches, "text", "toxic"):
-            yield batch_of(pairs, toxic=ys, ids=[sorted(found(t)) for t in rows])
+        for rows, lists, ys in rows_of(batches, "text", "words", "toxic"):
+            yield batch_of(pairs, toxic=ys, ids=[sorted({*found.numbers(words), *found.broken((t or "").lower().split())}) for t, words in zip(rows, lists, strict=True)])
 
     got = sorted((list(r.ids), r.toxic) for r in marked.mapInArrow(sparse, "toxic int, ids array<int>").collect())  # so the fit does not hang on the layout
     weights = fit_logistic([ids for ids, _ in got], np.array([y for _, y in got], float), len(features))
