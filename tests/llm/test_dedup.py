@@ -273,3 +273,81 @@ def test_similar_groups_equal_brute_force_around_the_threshold(spark, block):
     want = {i: i for i in sets} | {b: a for (a, b), x in near.items() if x >= 0.8}
     got = {x.doc_id: x.component_id for x in simhash.similar_groups(frame(spark, rows), block=block, set_rows=3).collect()}
     assert got == want
+
+
+def spoilt(r, base, places, words):
+    """base with other words at the given places."""
+    out = base.copy()
+    for at in places:
+        out[at] = r.choice(words)
+    return out
+
+
+def test_similar_groups_link_texts_without_a_common_smallest_shingle(spark):
+    """Similar texts that share none of their smallest shingle hashes, or just one that more texts than a block hold."""
+    r = random.Random(17)
+    words = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(4000)]
+    grams = lambda w: [" ".join(w[k : k + 5]) for k in range(len(w) - 4)]
+    low = lambda w: sorted({xxhash.xxh64_intdigest(g, 42) for g in grams(w)})[: simhash.TILES]
+
+    def pair(shared):
+        while True:
+            base = r.choices(words, k=400)
+            at = {xxhash.xxh64_intdigest(g, 42): k for k, g in enumerate(grams(base))}
+            other = spoilt(r, base, [at[h] + 2 for h in low(base)[shared:]], words)
+            if len(set(low(base)) & set(low(other))) == shared:
+                return base, other, at
+
+    rows, want = [], {}
+    for g in range(4):
+        base, other, at = pair(g % 2)
+        rows += [(g * 100, " ".join(base)), (g * 100 + 1, " ".join(other))]
+        want |= {g * 100: g * 100, g * 100 + 1: g * 100}
+        if g % 2:  # the one hash they share becomes a very common one for a block of 3
+            line = base[at[low(base)[0]] :][:5]
+            for i in range(8):
+                rows.append((g * 100 + 10 + i, " ".join(line + r.choices(words, k=2))))
+                want[g * 100 + 10 + i] = g * 100 + 10 + i
+    for block in (4096, 3):
+        got = {x.doc_id: x.component_id for x in simhash.similar_groups(frame(spark, rows), block=block, set_rows=3).collect()}
+        assert got == want
+
+
+@pytest.mark.parametrize(("block", "small", "most", "batch"), [(4096, 64, 1 << 16, 10_000), (5, 2, 6, 4)])
+def test_leading_shingles_lose_no_link(spark, block, small, most, batch):
+    """The second step alone, from every document as its own group, with frequent lines, equals brute force."""
+    r = random.Random(23)
+    words = ["".join(r.choice("abcd") for _ in range(3)) for _ in range(50)]
+    lines = [r.choices(words, k=12) for _ in range(4)]
+    sets = {}
+    for g in range(70):
+        base = r.choice(lines) + r.choices(words, k=r.choice([0, 3, 9, 40, 150])) + r.choice(lines)
+        for c in range(3):
+            w = spoilt(r, base, r.sample(range(len(base)), r.randint(0, 2)), words) + r.choices(words, k=r.randint(0, 3))
+            sets[g * 10 + c] = np.unique(simhash.shingle_hashes([x.encode() for x in w], 5))
+    want = {(a, b) for a, b in combinations(sets, 2) if len(np.intersect1d(sets[a], sets[b])) >= 0.8 * len(np.union1d(sets[a], sets[b])) - 1e-9}
+    assert len(want) > 40
+    count = dict(zip(*np.unique(np.concatenate(list(sets.values())), return_counts=True), strict=True))
+    common = np.array(sorted((h for h, n in count.items() if n > 20), key=count.get), np.uint64)
+    lead = {i: simhash.leading(h, 0.8, simhash.by_hash(common)) for i, h in sets.items()}
+    assert all(set(lead[a].tolist()) & set(lead[b].tolist()) for a, b in want)
+    wide = lambda h: simhash.parities(h, 512 if len(h) < 100 else 1024)
+    data = [(i, len(h), i, lead[i].astype("<u8").tobytes(), simhash.parities(h, 512), wide(h)) for i, h in sets.items()]
+    nodes = spark.createDataFrame(data, "node long, size long, component long, lead binary, bits binary, wide binary")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    found = {}
+    try:
+        rows = simhash.mixed_tiles(simhash.led(nodes), 0.8, 3, small, most)
+        for x in simhash.narrowed(simhash.possible(rows, nodes, 0.8, block), nodes, 0.8).collect():
+            found.setdefault((x.tile, x.blk), set()).add(x.node)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    met = {p for s in found.values() for p in combinations(sorted(s), 2)}
+    assert want <= met
+
+
+def test_exact_links_join_groups_whose_first_document_is_elsewhere(spark):
+    sets = {i: np.arange(i, i + 100, dtype="<u8").tobytes() for i in (2, 3, 5, 60)}
+    found = spark.createDataFrame([(7, 0, 0, i, g) for i, g in ((2, 1), (3, 1), (5, 4), (60, 60))], "tile long, blk long, role int, node long, component long")
+    got = simhash.exact_links(found, spark.createDataFrame(list(sets.items()), "doc_id long, hashes binary"), 0.8, 1).collect()
+    assert len(got) == 1 and got[0].b + got[0].a in (7, 8)  # one link of 2 or 3 with 5, none within a group

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewise.llm.common import batch_of, bounded_sample, cut, kept_rows, rows_of, texts, worker_state
+from tidewise.llm.common import batch_of, bounded_sample, cut, forget_state, kept_rows, rows_of, texts, worker_state
 
 #: What a symbol may stand for in obfuscated spelling.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i", "§": "s", "#": "h", "%": "x"}
@@ -375,6 +375,7 @@ def count_grams(words: dict[str, int]) -> tuple[list[str], list[int]]:
 
 def _counts(batches):
     schema = pa.schema([("gram", pa.string()), ("n", pa.int64())])
+    forget_state()
     words: Counter = Counter()
     size = 0
     for (rows,) in rows_of(batches, "text"):
