@@ -489,6 +489,55 @@ def test_noise_contrastive_steps_learn_a_succession():
     assert abs(before + math.log(300)) < 0.3 and after > before + 1.5
 
 
+def test_coded_rows_are_one_a_document_and_hold_its_rare_words(spark, monkeypatch):
+    monkeypatch.setattr(lm, "TABLE", 12)  # read on the driver
+    rows = [(i, t) for i, t in lm_rows() if i is not None and i != 902] + [(1000, "Rare rare rarer"), (1001, "")]
+    docs = frame(spark, rows)
+    model = lm.count(docs)
+    got = {r.doc_id: r for r in lm.coded(docs, model).collect()}
+    assert len(got) == len(rows) == lm.coded(docs, model).count()
+    for i, t in rows:
+        words = lm.tokens(t)
+        want = {w: words.count(w) for w in set(words) if w not in model.table}
+        assert len(got[i].words) == len(want) and dict(zip(map(bytes, got[i].words), got[i].times, strict=True)) == want
+        assert got[i].n == len(words) and len(got[i].units) == 2 * len(words)
+
+
+def test_steps_do_not_hang_on_tiles(monkeypatch):
+    r = np.random.default_rng(4)
+    shares = np.zeros(lm.UNITS)
+    shares[: 3 * lm.MEMBERS] = r.random(3 * lm.MEMBERS)
+    shares /= shares.sum()
+    targets = np.concatenate([r.integers(0, lm.MEMBERS, 65), [lm.MEMBERS], r.integers(2 * lm.MEMBERS, 3 * lm.MEMBERS, 32)])
+    contexts, found = r.integers(0, 3 * lm.MEMBERS, (len(targets), 2)), []
+    for tile in (1, 7, 32, 1000):
+        monkeypatch.setattr(lm, "TILE", tile)
+        trainer = lm.Trainer(lm.Parameters.start(shares), shares, 0.1, 1)
+        for _ in range(3):
+            trainer.step(contexts, targets)
+        found.append(trainer.p.rows)
+    assert all(np.allclose(found[0], x, atol=1e-4) for x in found) and not np.allclose(found[0], lm.Parameters.start(shares).rows, atol=1e-2)
+
+
+def test_sums_and_softmax_by_blocks():
+    r = np.random.default_rng(6)
+    for index in (r.integers(0, 9, 50), np.arange(50)[::-1].copy(), np.full(50, 3)):
+        rows = r.normal(0, 1, (50, lm.WIDTH)).astype(np.float32)
+        want = np.zeros((50, lm.WIDTH))
+        np.add.at(want, index, rows)
+        at, sums = lm.summed(index, rows)
+        assert at.tolist() == sorted(set(index.tolist())) and np.allclose(sums, want[at], atol=1e-4)
+    table, chosen = r.normal(0, 1, (9, lm.WIDTH)).astype(np.float32), r.integers(0, 9, 20)
+    for far, bias in ((1, np.zeros(9)), (200, np.zeros(9)), (1, np.linspace(-300, 0, 9)), (30, np.linspace(-100, 5, 9)), (1, np.where(np.arange(9) < 4, lm.UNUSED, -1))):
+        x, bias = r.normal(0, far, (20, lm.WIDTH)).astype(np.float32), bias.astype(np.float32)
+        scores = x.astype(np.float64) @ table.T.astype(np.float64) + bias
+        want = scores - scores.max(axis=1, keepdims=True)
+        want -= np.log(np.exp(want).sum(axis=1, keepdims=True))
+        with np.errstate(over="ignore", invalid="ignore"):
+            got = lm._normalised(x, table, bias, chosen)
+        assert np.allclose(got, want[np.arange(20), chosen], rtol=1e-3, atol=1e-3)
+
+
 def test_contexts_do_not_cross_texts():
     ids, ends = np.array([5, 6, 7, 8, 9, 4]), np.array([False, False, True, True, False, True])
     s = lm._START

@@ -23,7 +23,7 @@ from __future__ import annotations
 import math
 import uuid
 from dataclasses import dataclass, field
-from itertools import pairwise, repeat
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +51,9 @@ TABLE = 250_000
 SEED = 42
 PIECE_BYTES = 1 << 22
 CHUNK = 128  # rows of WIDTH parameters that travel together
+SLICE = 1_024  # rows of a product that stays in a cache
+TILE = 32  # targets of one class in a batched product
+UNUSED = -1e4  # the bias of what never occurs
 _START = UNITS  # stands before a text
 
 
@@ -81,6 +84,15 @@ def split(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat, sizes
 
 
+def plain(column: pa.Array) -> list[bytes]:
+    """What to_pylist() gives of a binary column without nulls, several times as fast."""
+    if not len(column):
+        return []
+    edges, data = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].tolist(), column.buffers()[2]
+    data = data.to_pybytes() if data else b""
+    return [data[a:b] for a, b in pairwise(edges)]
+
+
 def _count(batches):
     schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
     for part in pieces(batches, "text", PIECE_BYTES):
@@ -116,45 +128,41 @@ class Parameters:
         with np.errstate(divide="ignore", invalid="ignore"):
             p.class_bias[:] = np.log(by_class)
             p.bias[:] = np.log(shares) - np.repeat(np.log(by_class), MEMBERS)
-        p.bias[shares == 0] = p.class_bias[by_class == 0] = -1e4
+        p.bias[shares == 0] = p.class_bias[by_class == 0] = UNUSED
         return p
 
     def predicted(self, contexts: np.ndarray) -> np.ndarray:
-        return sum(self.context[contexts[:, i]] @ self.maps[i] for i in range(CONTEXT))
+        return self.context.take(contexts.reshape(-1), axis=0).reshape(-1, CONTEXT * WIDTH) @ self.maps.reshape(-1, WIDTH)
 
     def log_probabilities(self, contexts: np.ndarray, units: np.ndarray) -> np.ndarray:
         """Normalised natural log-probability of each unit after its context, by blocks of matrix products."""
-        r, out = np.ones((len(units), WIDTH + 1), np.float32), np.empty(len(units), np.float32)
-        r[:, :WIDTH] = self.predicted(contexts)  # the last column multiplies the bias
-        classes = units // MEMBERS
-        table = np.column_stack([self.klass, self.class_bias])
-        for at in range(0, len(units), SLICE):
-            out[at : at + SLICE] = _normalised(r[at : at + SLICE], table, classes[at : at + SLICE])
-        order = np.argsort(classes.astype(np.uint16), kind="stable")
-        edges = np.searchsorted(classes[order], np.arange(CLASSES + 1)).tolist()
-        r, members, inside = r.take(order, axis=0), (units - classes * MEMBERS)[order], np.empty(len(units), np.float32)
-        table = np.column_stack([self.unit, self.bias]).reshape(CLASSES, MEMBERS, WIDTH + 1)
-        for c in range(CLASSES):
-            for at in range(edges[c], edges[c + 1], SLICE):
-                part = slice(at, min(at + SLICE, edges[c + 1]))
-                inside[part] = _normalised(r[part], table[c], members[part])
-        out[order] += inside
-        return out.astype(np.float64)
-
-
-SLICE = 2_048
-_ONES = np.ones(max(CLASSES, MEMBERS), np.float32)
-
-
-def _normalised(r: np.ndarray, table: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Log-softmax of r @ table.T in each row at its chosen column."""
+        order = np.argsort((units // MEMBERS).astype(np.uint16), kind="stable")
+        units, r = units[order], self.predicted(contexts.take(order, axis=0))
+        classes, logs = units // MEMBERS, np.empty(len(units), np.float32)
+        edges = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
+        members = units - classes * MEMBERS
+        with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+            for c in range(CLASSES):
+                block = slice(c * MEMBERS, (c + 1) * MEMBERS)
+                for at in range(edges[c], edges[c + 1], SLICE):
+                    part = slice(at, min(at + SLICE, edges[c + 1]))
+                    logs[part] = _normalised(r[part], self.unit[block], self.bias[block], members[part])
+            for at in range(0, len(units), SLICE):
+                part = slice(at, at + SLICE)
+                logs[part] += _normalised(r[part], self.klass, self.class_bias, classes[part])
+        out = np.empty(len(units), np.float64)
+        out[order] = logs
+        return out
+
+
+def _normalised(r: np.ndarray, table: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log-softmax of r @ table.T + bias in each row at its chosen column."""
     scores, rows = r @ table.T, np.arange(len(r))
-    picked = scores[rows, chosen]
-    with np.errstate(over="ignore"):
-        np.exp(scores, out=scores)
-        total = scores @ _ONES[: scores.shape[1]]
-    if not (np.isfinite(total) & (total > 0)).all():  # seldom: too far out for exponentials as they are
-        scores = r @ table.T
+    picked = scores[rows, chosen] + bias[chosen]
+    np.exp(scores, out=scores)
+    total = scores @ np.exp(bias)
+    if not (np.isfinite(total) & (total > 0)).all() or ((bias > UNUSED) & (bias < -60)).any():  # seldom: too far out for exponentials as they are
+        scores = r @ table.T + bias
         scores -= scores.max(axis=1, keepdims=True)
         picked = scores[rows, chosen]
         total = np.exp(scores).sum(axis=1)
@@ -176,63 +184,78 @@ class Trainer:
         self.class_steps = np.cumsum(by_class)
         self.unit_steps = (np.minimum(np.cumsum(inside, axis=1), 1.0) + np.arange(CLASSES)[:, None]).reshape(-1)
 
-    def _move(self, array: np.ndarray, squares: np.ndarray, at, g: np.ndarray) -> None:
-        s = squares[at] + g * g
+    def _move(self, array: np.ndarray, squares: np.ndarray, at: np.ndarray, g: np.ndarray) -> None:
+        """Overwrites g."""
+        s = g * g
+        s += squares.take(at, axis=0)
         squares[at] = s
-        array[at] -= self.rate * g / (np.sqrt(s) + 1e-6)
+        np.sqrt(s, out=s)
+        s += 1e-6
+        g *= self.rate
+        g /= s
+        array[at] = array.take(at, axis=0) - g
 
     def step(self, contexts: np.ndarray, targets: np.ndarray) -> None:
         p, n = self.p, len(targets)
         order = np.argsort((targets // MEMBERS).astype(np.uint16), kind="stable")
-        targets, contexts = targets[order], contexts[order]
+        targets, words = targets[order], contexts.take(order, axis=0).reshape(-1)
         classes = targets // MEMBERS
-        present, first = np.unique(classes, return_index=True)
-        edges = np.append(first, n)
-        words = [contexts[:, i] for i in range(CONTEXT)]
-        before = [p.context.take(w, axis=0) for w in words]
-        r = before[0] @ p.maps[0]
-        for i in range(1, CONTEXT):
-            r += before[i] @ p.maps[i]
+        first = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]]))
+        present, sizes = classes[first], np.diff(first, append=n)
+        maps = p.maps.reshape(CONTEXT * WIDTH, WIDTH)  # of all vectors of a context end to end
+        before = p.context.take(words, axis=0).reshape(n, CONTEXT * WIDTH)
+        r = before @ maps
         # classes: noise that the whole batch shares
         noise, times = np.unique(np.minimum(np.searchsorted(self.class_steps, self.rng.random(CLASS_NOISE) * self.class_steps[-1], side="right"), CLASSES - 1), return_counts=True)
         own = p.klass.take(classes, axis=0)
         g_hit = (_sigmoid(np.einsum("ij,ij->i", r, own) + (p.class_bias - self.log_class)[classes]) - 1) / n
-        g_miss = _sigmoid(r @ p.klass[noise].T + (p.class_bias[noise] - self.log_class[noise])) * (times / n).astype(np.float32)
+        g_miss = r @ p.klass[noise].T
+        g_miss += p.class_bias[noise] - self.log_class[noise]
+        _sigmoid(g_miss)
+        g_miss *= (times / n).astype(np.float32)
         back = g_miss @ p.klass[noise]
-        back += g_hit[:, None] * own
+        own *= g_hit[:, None]
+        back += own
         g_klass, g_class_bias = np.zeros_like(p.klass), np.zeros_like(p.class_bias)
-        g_klass[present] = np.add.reduceat(g_hit[:, None] * r, first, axis=0)
+        g_klass[present] = sums_of(g_hit[:, None] * r, first)
         g_class_bias[present] = np.add.reduceat(g_hit, first)
         g_klass[noise] += g_miss.T @ r
-        g_class_bias[noise] += g_miss.sum(axis=0)
+        g_class_bias[noise] += np.ones(n, np.float32) @ g_miss
         # units: noise that the targets of a class share
         draws = np.searchsorted(self.unit_steps, (self.rng.random((len(present), UNIT_NOISE)) + present[:, None]).reshape(-1), side="right")
         draws = np.minimum(draws.reshape(len(present), UNIT_NOISE), present[:, None] * MEMBERS + MEMBERS - 1)
         own, offset = p.unit.take(targets, axis=0), p.bias - self.log_unit
         g_own = (_sigmoid(np.einsum("ij,ij->i", r, own) + offset[targets]) - 1) / n
-        back += g_own[:, None] * own
-        drawn, offset = p.unit[draws], offset[draws]
-        g_drawn, g_drawn_bias = np.empty((len(present), UNIT_NOISE, WIDTH), np.float32), np.empty((len(present), UNIT_NOISE), np.float32)
-        for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
-            part = r[a:b]
-            g = _sigmoid(part @ drawn[i].T + offset[i])
-            g /= n
-            back[a:b] += g @ drawn[i]
-            g_drawn[i] = g.T @ part
-            g_drawn_bias[i] = g.sum(axis=0)
-        rows, sums = summed(np.concatenate([targets, draws.reshape(-1)]), np.concatenate([g_own[:, None] * r, g_drawn.reshape(-1, WIDTH)]))
-        bias_g = np.bincount(np.searchsorted(rows, targets), g_own, len(rows)) + np.bincount(np.searchsorted(rows, draws.reshape(-1)), g_drawn_bias.reshape(-1), len(rows))
-        all_words = np.concatenate(words)
-        seen, to_context = summed(all_words, np.concatenate([back @ m.T for m in p.maps]))
-        g_maps = np.stack([x.T @ back for x in before])
+        own *= g_own[:, None]
+        back += own
+        # the targets of a class fill whole tiles, the last with zeros, so that one batched product serves all classes
+        tiles = -(-sizes // TILE)
+        of, tile = np.repeat(np.arange(len(present)), tiles), np.cumsum(tiles) - tiles
+        at = np.arange(n) + np.repeat(tile * TILE - first, sizes)
+        part, live = np.zeros((len(of) * TILE, WIDTH), np.float32), np.zeros(len(of) * TILE, np.float32)
+        part[at], live[at] = r, 1 / n
+        part, drawn = part.reshape(-1, TILE, WIDTH), p.unit[draws[of]]
+        g = part @ drawn.transpose(0, 2, 1)
+        g += offset[draws[of]][:, None, :]
+        _sigmoid(g)
+        g *= live.reshape(-1, TILE, 1)
+        back += (g @ drawn).reshape(-1, WIDTH).take(at, axis=0)
+        g_drawn = sums_of((g.transpose(0, 2, 1) @ part).reshape(len(of), -1), tile).reshape(-1, WIDTH)
+        g_drawn_bias = sums_of(g.reshape(-1, UNIT_NOISE), tile * TILE).reshape(-1)
+        draws = draws.reshape(-1)
+        r *= g_own[:, None]
+        rows, sums = summed(np.concatenate([targets, draws]), np.concatenate([r, g_drawn]))
+        bias_g = (np.bincount(targets, g_own, UNITS) + np.bincount(draws, g_drawn_bias, UNITS))[rows]
+        seen, to_context = summed(words, (back @ maps.T).reshape(-1, WIDTH))
+        g_maps = (before.T @ back).reshape(p.maps.shape)
         s = self.squares
         self._move(p.unit, s.unit, rows, sums)
         self._move(p.bias, s.bias, rows, bias_g.astype(np.float32))
-        self._move(p.klass, s.klass, slice(None), g_klass)
-        self._move(p.class_bias, s.class_bias, slice(None), g_class_bias)
+        self._move(p.klass, s.klass, np.arange(CLASSES), g_klass)
+        self._move(p.class_bias, s.class_bias, np.arange(CLASSES), g_class_bias)
         self._move(p.context, s.context, seen, to_context)
-        self._move(p.maps, s.maps, slice(None), g_maps)
-        self.used[: UNITS + 1] += np.bincount(all_words, minlength=UNITS + 1)
+        self._move(p.maps, s.maps, np.arange(CONTEXT), g_maps)
+        self.used[: UNITS + 1] += np.bincount(words, minlength=UNITS + 1)
         self.used[UNITS + 1 : 2 * UNITS + 1] += np.bincount(targets, minlength=UNITS)
         self.used[UNITS + 1 + rows] += 1
         self.used[2 * UNITS + 1 :] += n
@@ -250,8 +273,18 @@ def summed(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """The distinct indices and the sums of the rows that share one."""
     order = np.argsort(index.astype(np.uint16 if UNITS < 1 << 16 else np.int64), kind="stable")
     index = index[order]
-    first = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
-    return index[first], np.add.reduceat(rows.take(order, axis=0), first, axis=0)
+    new = np.concatenate([[True], index[1:] != index[:-1], [True]])
+    first = np.flatnonzero(new[:-1])
+    sums, alone = rows.take(order[first], axis=0), new[first + 1]
+    if not alone.all():  # most are alone and need no sum
+        shared = ~(new[:-1] & new[1:])
+        sums[~alone] = sums_of(rows.take(order[shared], axis=0), np.flatnonzero(new[:-1][shared]))
+    return index[first], sums
+
+
+def sums_of(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sums of runs of neighbouring rows of float32; numbers are added in pairs, which takes half the loops."""
+    return np.add.reduceat(rows.view(np.complex64), first, axis=0).view(np.float32)
 
 
 def contexts_of(units: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -297,8 +330,8 @@ def commonest(counts: DataFrame, most: int) -> dict[bytes, int]:
     return dict(sorted(rows, key=lambda x: (-x[1], x[0])))
 
 
-_CODED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("units", pa.binary()), ("word", pa.binary()), ("n", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("own", pa.float64())])
-_CODED_DDL = "row long, doc_id long, units binary, word binary, n long, n_known long, base double, own double"
+_CODED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("units", pa.binary()), ("n", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("own", pa.float64()), ("words", pa.list_(pa.binary())), ("times", pa.list_(pa.int64()))])
+_CODED_DDL = "row long, doc_id long, units binary, n long, n_known long, base double, own double, words array<binary>, times array<long>"
 
 
 def count(docs: DataFrame) -> Model:
@@ -317,8 +350,8 @@ def count(docs: DataFrame) -> Model:
 
 
 def coded(docs: DataFrame, model: Model) -> DataFrame:
-    """One row a document (units of its tokens; what its tokens in the table add to n_known, to the base score and to the shares in shared units), and
-    one for each of its distinct tokens that are not in the table (word, n)."""
+    """One row a document: units of its tokens; what its tokens in the table add to n_known, to the base score and to the shares in shared units; its distinct
+    tokens that are not in the table, and how often each occurs (side by side in the row, so that what only trains does not read millions of rows past)."""
     sent = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, model.table))
     base_log = math.log10(model.total + model.types + 1)
 
@@ -330,38 +363,33 @@ def coded(docs: DataFrame, model: Model) -> DataFrame:
         def make():
             units = np.arange(len(table) + 1, dtype=np.int64)
             units[COMMON:-1] = [shared_unit(w) for w in list(table)[COMMON:]]
-            return {w: i for i, w in enumerate(table)}, units, np.log10(np.array([*table.values(), 0], np.float64) + 1)
+            return pa.array(list(table), pa.binary()), units, np.log10(np.array([*table.values(), 0], np.float64) + 1)
 
-        place, unit_of, own = worker_state(uid, make)
-        row, unknown, end = TaskContext.get().partitionId() << 33, len(place), place.get(END, len(place))
+        known, unit_of, own = worker_state(uid, make)
+        row, unknown, end = TaskContext.get().partitionId() << 33, len(known), known.index(END).as_py() % (len(known) + 1)
         for part in pieces(batches, "text", PIECE_BYTES):
             flat, counts = split(part.column(1))
-            known = flat.dictionary_encode()
-            words = known.dictionary.to_pylist()
-            kinds = np.array([*map(place.get, words, repeat(unknown)), end], np.int64)  # the last is the end
+            found = pc.index_in(flat, value_set=known)
             sizes = counts + 1
-            stops = np.cumsum(sizes)
-            first, kind = stops - sizes, np.full(int(stops[-1]), len(words), np.int64)
-            inner = np.ones(len(kind), bool)
+            stops, n = np.cumsum(sizes), len(sizes)
+            first, at, inner = stops - sizes, np.full(int(stops[-1]), end, np.int64), np.ones(int(stops[-1]), bool)
             inner[stops - 1] = False
-            kind[inner] = known.indices.to_numpy()
-            units_of = unit_of[kinds]
-            strange = np.flatnonzero(kinds == unknown)
-            units_of[strange] = [shared_unit(words[i] if i < len(words) else END) for i in strange.tolist()]
-            at = kinds[kind]
-            here, units = at < unknown, units_of[kind]
+            at[inner] = pc.fill_null(found, unknown).to_numpy()
+            here, units = at < unknown, unit_of[at]
+            rare = np.flatnonzero(~here)
+            strange = flat.filter(pc.is_null(found)).dictionary_encode()
+            words = [*plain(strange.dictionary), END]
+            kind = np.full(len(rare), len(words) - 1)  # the end
+            kind[inner[rare]] = strange.indices.to_numpy()
+            units[rare] = np.array([shared_unit(w) for w in words])[kind]
             base, inside = np.where(here, own[at] - base_log, 0.0), np.where(here & (units >= COMMON), own[at], 0.0)
-            n = len(sizes)
-            numbers = row + 1 + np.arange(n)
+            pairs, times = np.unique(kind + (np.searchsorted(first, rare, side="right") - 1) * len(words), return_counts=True)
+            of, word = np.divmod(pairs, len(words))
+            starts = pa.array(np.searchsorted(of, np.arange(n + 1)), pa.int32())
+            lists = pa.ListArray.from_arrays(starts, pa.array(words, pa.binary()).take(pa.array(word))), pa.ListArray.from_arrays(starts, pa.array(times, pa.int64()))
+            data, edges = units.astype("<u2").tobytes(), (2 * np.concatenate([[0], stops])).tolist()
+            yield batch_of(_CODED, row=row + 1 + np.arange(n), doc_id=part.column(0), units=[data[a:b] for a, b in pairwise(edges)], n=sizes, n_known=np.add.reduceat(here.astype(np.int64), first), base=np.add.reduceat(base, first), own=np.add.reduceat(inside, first), words=lists[0], times=lists[1])
             row += n
-            rare = np.flatnonzero(~here)
-            pairs, times = np.unique(kind[rare] + (np.searchsorted(first, rare, side="right") - 1) * (len(words) + 1), return_counts=True)
-            of, word = np.divmod(pairs, len(words) + 1)
-            k, data, edges = len(pairs), units.astype("<u2").tobytes(), (2 * np.concatenate([[0], stops])).tolist()
-            yield batch_of(_CODED, row=numbers, doc_id=part.column(0), units=[data[a:b] for a, b in pairwise(edges)], word=pa.nulls(n, pa.binary()), n=sizes, n_known=np.add.reduceat(here.astype(np.int64), first), base=np.add.reduceat(base, first), own=np.add.reduceat(inside, first))
-            if k:
-                named = pa.array([*words, END], pa.binary()).take(pa.array(word))
-                yield batch_of(_CODED, row=numbers[of], doc_id=pa.nulls(k, pa.int64()), units=pa.nulls(k, pa.binary()), word=named, n=times, n_known=np.zeros(k, np.int64), base=np.zeros(k), own=np.zeros(k))
 
     return texts(docs).mapInArrow(run, _CODED_DDL)
 
@@ -376,7 +404,7 @@ def train(rows: DataFrame, model: Model, shard_tokens: int = SHARD_TOKENS, round
     shards = min(MAX_SHARDS, -(-model.total // shard_tokens))
     if not shards:
         return current
-    learn = rows.where(F.col("units").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    learn = rows.where(F.col("doc_id").isNotNull() & ~held_out())
     learn = learn.select(F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"), F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(rounds)).alias("turn"), "doc_id", "units")
     for turn in range(rounds):
         sent = spark.sparkContext.broadcast((current, shares))
@@ -396,8 +424,8 @@ def train(rows: DataFrame, model: Model, shard_tokens: int = SHARD_TOKENS, round
 
             def changes():
                 delta = (trainer.p.rows - start).astype(np.float16)
-                for at in range(0, len(delta), CHUNK):
-                    yield batch_of(_CHANGE, chunk=[at // CHUNK], change=[delta[at : at + CHUNK].tobytes()], used=[trainer.used[at : at + CHUNK].tobytes()])
+                starts = range(0, len(delta), CHUNK)
+                yield batch_of(_CHANGE, chunk=[at // CHUNK for at in starts], change=[delta[at : at + CHUNK].tobytes() for at in starts], used=[trainer.used[at : at + CHUNK].tobytes() for at in starts])
 
             for part in batches:
                 for s, units in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
@@ -470,7 +498,7 @@ def score_coded(rows: DataFrame, model: Model) -> DataFrame:
             sizes = sizes // 2
             upto = np.cumsum(sizes)
             while at < batch.num_rows:  # about so many tokens at a time
-                stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + 8 * BATCH, side="right")))
+                stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + 16 * BATCH, side="right")))
                 part, mine = batch.slice(at, stop - at), sizes[at:stop]
                 units = np.frombuffer(b"".join(part.column(2).to_pylist()), "<u2").astype(np.int64)
                 first, ends = np.cumsum(mine) - mine, np.zeros(len(units), bool)
@@ -479,9 +507,9 @@ def score_coded(rows: DataFrame, model: Model) -> DataFrame:
                 yield batch_of(schema, row=part.column(0), doc_id=part.column(1), n_tokens=mine, n_known=part.column(4), base=part.column(5), score=np.add.reduceat(logs, first) + part.column(6).to_numpy())
                 at = stop
 
-    by_text = rows.where("units is not null").select("row", "doc_id", "units", "n", "n_known", "base", "own").mapInArrow(run, "row long, doc_id long, n_tokens long, n_known long, base double, score double")
+    by_text = rows.select("row", "doc_id", "units", "n", "n_known", "base", "own").mapInArrow(run, "row long, doc_id long, n_tokens long, n_known long, base double, score double")
     c = F.coalesce(F.col("c"), F.lit(0))
-    rare = rows.where("word is not null").select("row", "word", "n").join(model.counts.withColumnRenamed("n", "c"), "word", "left")
+    rare = rows.select("row", F.inline(F.arrays_zip("words", "times"))).select("row", F.col("words").alias("word"), F.col("times").alias("n")).join(model.counts.withColumnRenamed("n", "c"), "word", "left")
     rare = rare.select("row", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n_tokens"), F.when(c > 0, F.col("n")).otherwise(0).alias("n_known"), (F.col("n") * (F.log10(c + 1) - base_log)).alias("base"), (F.col("n") * F.log10(c + 1)).alias("score"))
     out = by_text.unionByName(rare).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("score").alias("score"))
     return out.select("doc_id", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
