@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewise.llm import bpe, decontam, simhash, sufarray, toxicity
-from tidewise.llm.common import remove, shared_path
+from tidewise.llm.common import cut, is_small, remove, shared_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC_AT = 0.7
@@ -29,12 +29,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id stays (once, if its row is repeated)."""
+    """Of each group of near-duplicates the document with the smallest doc_id stays (once, if its row is repeated).
+
+    Which ones stay is known before a text is read, so while they are few texts are filtered as they pass, by a broadcast, instead of being shuffled."""
     groups = simhash.similar_groups(docs, SHINGLE_WORDS, SIMILARITY)
-    first = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n_rows"))
-    joined = docs.select(*COLUMNS).join(first, "doc_id")
-    once, often = joined.where("n_rows = 1"), joined.where("n_rows > 1").dropDuplicates(["doc_id"])
-    return once.unionByName(often).select(*COLUMNS).unionByName(docs.where("doc_id is null").select(*COLUMNS))
+    first = cut(groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n_rows")))
+
+    def rows(chosen):
+        return docs.select(*COLUMNS).join(F.broadcast(chosen) if is_small(chosen) else chosen, "doc_id", "left_semi")
+
+    once, often = rows(first.where("n_rows = 1").select("doc_id")), rows(first.where("n_rows > 1").select("doc_id")).dropDuplicates(["doc_id"])
+    return once.unionByName(often).unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

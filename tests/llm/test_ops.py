@@ -582,6 +582,28 @@ def test_pipeline_stages(spark, tmp_path):
     assert {x.doc_id: x.ids_sha256 for x in cp.run(spark, str(tmp_path)).collect()} == {i: x.ids_sha256 for i, x in kept["byte_level_bpe"].items()}
 
 
+def test_texts_pass_the_near_copies_stage_without_a_shuffle(spark, tmp_path, monkeypatch):
+    import corpus_pipeline as cp
+
+    texts = [" ".join(f"w{(i * 7 + j * j) % 997}x{i % 3}" for j in range(90)) for i in range(3)]
+    rows = [(i, texts[i % 3], "en", "s", 1) for i in range(9)] + [(0, texts[0], "en", "s", 1), (20, None, "en", "s", 1), (20, None, "en", "s", 1), (21, "alone", "en", "s", 1), (None, "x", "en", "s", 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = cp.drop_near_copies(spark, docs, str(tmp_path))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        few = sorted(kept.collect(), key=str)
+        monkeypatch.setattr(cp, "is_small", lambda df: False)
+        assert sorted(cp.drop_near_copies(spark, docs, str(tmp_path)).collect(), key=str) == few
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted((r.doc_id, r.text) for r in few if r.doc_id is not None) == [(0, texts[0]), (1, texts[1]), (2, texts[2]), (20, None), (21, "alone")]
+    assert [r.text for r in few if r.doc_id is None] == ["x"]
+
+
 CLASHES = "score double, gram string, word string, units string, row long, n string, ids string, part int, block string, start string, f string, tile string, spans string, hs string, factors string, component_id string"
 
 
