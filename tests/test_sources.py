@@ -99,6 +99,44 @@ def test_archives(spark, tmp_path):
     assert (x.t, x.c) == ("A bold word. End", "background")
 
 
+def test_archive_statistics_unpack_each_archive_once(spark):
+    unpacked = spark.sparkContext.accumulator(0)
+    ddl = "name string, is_pdf boolean, files array<string>, main_file string, headers array<string>, has_abstract boolean"
+    rows = [(f"{i}.tar", False, ["main.tex", "a.PNG", "none"][: i % 3 + 1], "main.tex" if i else None, ["Intro ", f"h{i % 35:02}", *(["intro"] if i == 7 else [])], i < 8) for i in range(70)]
+    rows += [("p.pdf", True, [], None, [], False), ("q.gz", False, [], None, None, False)]
+
+    def seen(batches):
+        for batch in batches:
+            unpacked.add(len(batch))
+            yield batch
+
+    got = {(r.statistic, r.name): (r.n, r.pct) for r in files.archive_statistics(spark.createDataFrame(rows, ddl).mapInPandas(seen, ddl)).collect()}
+    assert unpacked.value == 72
+    assert {k[1]: v for k, v in got.items() if k[0] == "kind"} == {"pdf": (1, 1), "source": (71, 99)}
+    assert {k[1]: v for k, v in got.items() if k[0] == "structure"} == {"single-file": (70, 99), "unknown": (1, 1)}
+    assert {k[1]: v for k, v in got.items() if k[0] == "abstract"} == {"yes": (8, 11), "no": (63, 89)}
+    assert {k[1]: v for k, v in got.items() if k[0] == "main_file"} == {"main.tex": (69, None)}
+    assert {k[1]: v for k, v in got.items() if k[0] == "extension"} == {"tex": (70, None), "png": (46, None), "": (23, None)}
+    # of 36 headers the first 30, equal ones by name
+    assert {k[1]: v for k, v in got.items() if k[0] == "header"} == {"intro": (71, 100)} | {f"h{i:02}": (2, 3) for i in range(29)}
+
+
+def test_archives_plain_and_compressed(spark, tmp_path):
+    for mode in ("w", "w:gz", "w:bz2", "w:xz"):
+        for form in (tarfile.USTAR_FORMAT, tarfile.GNU_FORMAT, tarfile.PAX_FORMAT):
+            with tarfile.open(tmp_path / f"{mode.replace(':', '_')}{form}.tar", mode, format=form) as t:
+                for member in ("paper.tex", "long/" * 30 + "é.png"):
+                    info = tarfile.TarInfo(member if form != tarfile.USTAR_FORMAT else member[-9:])
+                    info.size = 12
+                    t.addfile(info, io.BytesIO(b"\\section{One}"[:12]))
+    bad = bytearray((tmp_path / "w0.tar").read_bytes())
+    bad[0] ^= 1  # the checksum does not hold
+    (tmp_path / "bad.tar").write_bytes(bytes(bad))
+    got = {r.name: r for r in files.archives(spark, str(tmp_path)).collect()}
+    assert len(got) == 13 and got.pop("bad.tar").main_file is None
+    assert all(r.main_file == "paper.tex" and len(r.files) == 2 for r in got.values())
+
+
 def test_sinks(spark, tmp_path):
     items = spark.createDataFrame([(1, "2024-01-01", None), (2, "2024-02-01", "x")], "id int, ts string, t string")
     sinks.json_lines(items, "ts", "id", "Items", str(tmp_path / "out"))

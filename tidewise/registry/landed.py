@@ -229,7 +229,7 @@ def q_archive_statistics(spark, sf_dir):
                 main = ("\\begin{abstract}A\\end{abstract}" if k % 7 < 3 else "") + f"\\section{{Introduction}} a \\section{{Method {size % 4}}} b"
                 members = {"main.tex": main, "fig/one.PNG": "x"} | {f"a{i}.tex": "x" for i in range(k % 3)} | ({"refs.bib": "x"} if k % 2 == 0 else {})
                 held = io.BytesIO()
-                with tarfile.open(fileobj=held, mode="w") as tar:
+                with tarfile.open(fileobj=held, mode="w", format=tarfile.USTAR_FORMAT) as tar:
                     for name, text in members.items():
                         info = tarfile.TarInfo(name)
                         info.size = len(text)
@@ -237,7 +237,8 @@ def q_archive_statistics(spark, sf_dir):
                 out.append((f"{k}.tar", held.getvalue()))
             yield pd.DataFrame(out, columns=["path", "content"])
 
-    packed = table(spark, sf_dir, "part").select("p_partkey", "p_size").mapInPandas(pack, "path string, content binary")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # keys and sizes are small and lie in few row groups, their archives are not
+    packed = table(spark, sf_dir, "part").select("p_partkey", "p_size").repartition(parts, "p_partkey").mapInPandas(pack, "path string, content binary")
     return files.archive_statistics(files.analysed(packed)).withColumn("pct", F.coalesce("pct", F.lit(-1)))
 
 

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewise.session import cut_lineage
+
 NODE = "struct<id: string, parentId: string, author: string, createdUtc: double, permalink: string, depth: int, textHistory: array<struct<value: string, timestamp: string>>, scoreHistory: array<struct<value: bigint, timestamp: string>>, isDeleted: boolean, deletedAt: string, subreddit: string, title: string, url: string>"
 ENTRY = "struct<id: string, title: string, summary: string, published: string, updated: string, authors: array<string>, categories: array<string>, primaryCategory: string, links: array<struct<rel: string, href: string, type: string>>, comment: string>"
 POST = "struct<id: string, url: string, title: string, content: string, publishedAt: string, published: string, date: string, author: string, sourceId: string>"
@@ -223,7 +225,8 @@ def analysed(packed: DataFrame) -> DataFrame:
                 row = {"name": name, "is_pdf": content[:4] == b"%PDF", "files": [], "main_file": None, "headers": [], "has_abstract": False}
                 if not row["is_pdf"]:
                     try:
-                        with tarfile.open(fileobj=io.BytesIO(content)) as tar:
+                        plain = content[257:262] == b"ustar" and content[:2] not in (b"\x1f\x8b", b"BZ", b"\xfd7")  # without asking gzip, bzip2 and xz first
+                        with tarfile.open(fileobj=io.BytesIO(content), mode="r:" if plain else "r") as tar:
                             members = {m.name: m for m in tar.getmembers() if m.isfile()}
                             row["files"] = list(members)
                             tex = [m for m in members if m.endswith(".tex") and "/" not in m]
@@ -286,27 +289,30 @@ def is_bibliography(name: Column) -> Column:
 
 def archive_statistics(archive: DataFrame) -> DataFrame:
     """statistic, name, n, pct of analysed archives (survey A43): kinds and structures, main files, abstracts, the 30 commonest headers and the 15
-    commonest extensions; shares are of sources that are not PDF, but for the kinds, rounded half up."""
-    a = archive_structure(archive)
-    source = a.where("not is_pdf")
-    total = a.agg(F.count("*").alias("all"), F.count_if(~F.col("is_pdf")).alias("sources"))  # one row
-
-    def counted(rows: DataFrame, statistic: str, name: Column, n: Column, of: str | None, most: int | None = None) -> DataFrame:
-        got = rows.groupBy(name.alias("name")).agg(n.cast("long").alias("n"))
-        got = got.orderBy(F.desc("n"), "name").limit(most) if most else got
-        share = F.floor(100 * F.col("n") / F.col(of) + 0.5).cast("long") if of else F.lit(None).cast("long")
-        return got.join(F.broadcast(total)).select(F.lit(statistic).alias("statistic"), "name", "n", share.alias("pct"))
-
-    one = F.count("*")
-    parts = [
-        counted(a, "kind", F.when(F.col("is_pdf"), "pdf").otherwise("source"), one, "all"),
-        counted(source, "structure", F.col("structure"), one, "sources"),
-        counted(a.where("main_file is not null"), "main_file", F.col("main_file"), one, None),
-        counted(source, "abstract", F.when(F.col("has_abstract"), "yes").otherwise("no"), one, "sources"),
-        counted(source.select(F.explode("headers").alias("h")), "header", F.lower(F.trim("h")), one, "sources", 30),
-        counted(a.select(F.explode("extensions").alias("ext", "c")), "extension", F.col("ext"), F.sum("c"), None, 15),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    commonest extensions; shares are of sources that are not PDF, but for the kinds, rounded half up.
+
+    An archive is unpacked once: it gives all that is counted of it as rows, and what is read several times is the counts."""
+    source, one = F.expr("not is_pdf"), F.lit(1).cast("long")
+
+    def item(statistic: str, name: Column, n: Column = one) -> Column:
+        return F.struct(F.lit(statistic).alias("statistic"), name.alias("name"), n.alias("n"))
+
+    def given(condition: Column, items: Column) -> Column:
+        return F.when(condition, items).otherwise(F.array().cast("array<struct<statistic: string, name: string, n: bigint>>"))
+
+    items = F.concat(
+        F.array(item("kind", F.when(F.col("is_pdf"), "pdf").otherwise("source"))),
+        given(source, F.array(item("structure", F.col("structure")), item("abstract", F.when(F.col("has_abstract"), "yes").otherwise("no")))),
+        given(F.col("main_file").isNotNull(), F.array(item("main_file", F.col("main_file")))),
+        given(source & F.col("headers").isNotNull(), F.transform("headers", lambda h: item("header", F.lower(F.trim(h))))),
+        given(F.col("extensions").isNotNull(), F.transform(F.map_entries("extensions"), lambda e: item("extension", e["key"], e["value"].cast("long")))),
+    )
+    counted = cut_lineage(archive_structure(archive).select(F.inline(items)).groupBy("statistic", "name").agg(F.sum("n").alias("n")))
+    kind, n = F.col("statistic"), F.col("n")
+    total = counted.agg(F.sum(F.when(kind == "kind", n)).alias("all"), F.sum(F.when(kind == "structure", n)).alias("sources"))  # one row; a source has one structure
+    most = {"header": 30, "extension": 15}
+    out = counted.where(~kind.isin(*most))
+    for statistic, rows in most.items():
+        out = out.unionByName(counted.where(kind == statistic).orderBy(F.desc("n"), "name").limit(rows))
+    of = F.when(kind == "kind", F.col("all")).when(kind.isin("structure", "abstract", "header"), F.col("sources"))
+    return out.join(F.broadcast(total)).select("statistic", "name", "n", F.floor(100 * n / of + 0.5).cast("long").alias("pct"))
